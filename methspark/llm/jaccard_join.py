@@ -32,7 +32,7 @@ from ._text import SPACED, U, chunks, mix, table
 
 SHINGLE = 4
 PERCENT = 85
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 4_096
 HOT_SHARE = 0.002
 FLUSH = 4_000_000
 MEMBERS = 1024
