@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .plans.queries import ORACLE, QUERIES
+
 ENTRY = "read_level_metrics"
-QUERIES: dict = {}
-ORACLE: dict = {}
+
+__all__ = ["ENTRY", "ORACLE", "QUERIES"]
