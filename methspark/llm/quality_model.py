@@ -33,6 +33,8 @@ MIN_TOXIC_DOCS = 4
 INSULTS = "clown disgusting idiot loser moron pathetic scum stupid trash worthless".split()
 
 ABSTAIN, GOOD, BAD = 0, 1, 2
+#: Pseudo-counts of abstain, good and bad votes on good and on bad documents: a labeller is thought to mean what it says.
+PRIOR = np.array([[2, 2, 0.02], [2, 0.02, 2]])
 LETTER = np.zeros(256, bool)
 LETTER[0x61:0x7B] = LETTER[0x80:] = True
 SYMBOL = np.zeros(256, bool)
@@ -143,7 +145,7 @@ class LabelModel:
             self.bad = float(np.clip((r * counts).sum() / counts.sum(), 1e-3, 0.5))
             for c, w in ((0, (1 - r) * counts), (1, r * counts)):
                 for k in range(self.m):
-                    n = np.bincount(votes[:, k], w, 3) + 0.5
+                    n = np.bincount(votes[:, k], w, 3) + PRIOR[c]
                     self.p[c, k] = n / n.sum()
             for k in range(self.m):  # a labeller is never taken to vote against its own meaning
                 if self.p[1, k, BAD] < self.p[0, k, BAD]:
