@@ -80,7 +80,7 @@ class Votes:
         bang = words.data[words.ends - 1] == 0x21 if len(words.ends) else np.zeros(0, bool)
         bang = bang & (words.data[np.maximum(words.ends - 2, 0)] == 0x21) & (length > 2)
         enough = words.count >= 20
-        self.shape = {"symbol": symbol > 0, "upper": shout, "bang": bang, "same": same, "short": length <= 3}
+        self.shape = {"symbol": symbol > 0, "upper": shout, "bang": bang, "same": same, "short": (length <= 3) & (symbol == 0) & (upper + lower > 0)}
         s = {k: _share(v, words) for k, v in self.shape.items()}
         never = lambda x: np.zeros(n, bool)
         plain = np.maximum.reduce([s[k] for k in ("symbol", "upper", "bang", "same")])
