@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,25 +53,23 @@ class Encoder:
             with open(ranks, "rb") as lines:
                 held = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
             self.fast = tiktoken.Encoding("plain", pat_str=pattern, mergeable_ranks=held, special_tokens={})
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
 
-    def piece(self, text: str) -> np.ndarray:
+    def piece(self, text: str) -> list[int]:
         if self.fast and PLAIN.fullmatch(text) and SPECIAL not in text:
-            ids = self.fast.encode_ordinary(text)
-        else:
-            ids = self.whole.encode(text, add_special_tokens=False).ids
-        return np.array(ids, np.uint32)
+            return self.fast.encode_ordinary(text)
+        return self.whole.encode(text, add_special_tokens=False).ids
 
     def ids(self, text: str) -> np.ndarray:
-        if len(self.known) > CACHE:
-            self.known.clear()
-        out, known = [], self.known
-        for p in cut(text):
-            ids = known.get(p)
-            if ids is None:
-                ids = known[p] = self.piece(p)
-            out.append(ids)
-        return np.concatenate([*out, np.array([END_ID], np.uint32)])
+        known, parts = self.known, cut(text)
+        new = set(parts) - known.keys()
+        if len(known) + len(new) > CACHE:
+            known.clear()
+            new = set(parts)
+        for p in new:
+            known[p] = tuple(self.piece(p))
+        out = np.fromiter(chain.from_iterable(map(known.__getitem__, parts)), np.uint32)
+        return np.append(out, np.uint32(END_ID))
 
 
 SPLIT = re.compile(r"(?<=[^\s]) (?=[^\s])")
