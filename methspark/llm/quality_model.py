@@ -34,7 +34,7 @@ INSULTS = "clown disgusting idiot loser moron pathetic scum stupid trash worthle
 
 ABSTAIN, GOOD, BAD = 0, 1, 2
 #: Pseudo-counts of abstain, good and bad votes on good and on bad documents: a labeller is thought to mean what it says.
-PRIOR = np.array([[2, 2, 0.02], [2, 0.02, 2]])
+PRIOR = np.array([[0.5, 0.5, 0.02], [0.5, 0.5, 1]])
 LETTER = np.zeros(256, bool)
 LETTER[0x61:0x7B] = LETTER[0x80:] = True
 SYMBOL = np.zeros(256, bool)
@@ -80,7 +80,7 @@ class Votes:
         bang = words.data[words.ends - 1] == 0x21 if len(words.ends) else np.zeros(0, bool)
         bang = bang & (words.data[np.maximum(words.ends - 2, 0)] == 0x21) & (length > 2)
         enough = words.count >= 20
-        self.shape = {"symbol": symbol > 0, "upper": shout, "bang": bang, "same": same, "short": (length <= 3) & (symbol == 0) & (upper + lower > 0)}
+        self.shape = {"symbol": symbol > 0, "upper": shout, "bang": bang, "same": same, "short": length <= 3}
         s = {k: _share(v, words) for k, v in self.shape.items()}
         never = lambda x: np.zeros(n, bool)
         plain = np.maximum.reduce([s[k] for k in ("symbol", "upper", "bang", "same")])
