@@ -3,19 +3,17 @@
 Every labeller votes good, bad or abstains on each whole text. Expectation-maximisation over the
 counts of vote patterns (a bounded table, gathered from all documents) estimates each labeller's
 accuracy; the posterior of the patterns then labels a sample of at most ``TRAIN_ROWS`` documents on
-which a logistic scorer over hashed words is trained, in ``SHARDS`` tasks whose weights are averaged.
+which a logistic scorer over hashed words is trained, in tasks of some ``SHARD_ROWS`` rows whose weights are averaged.
 Two such models are fitted, one for well-formedness and one for toxicity. The keyword and stem lists
 of two toxicity labellers come from at most ``LABELLED_ROWS`` rows of a table of labels.
 
-Defined results: null and empty texts get abstentions alone, so the prior and the scorer's bias
-decide; repeated rows are judged alike; without labels the learned lists are empty; an empty table
+Defined results: null and empty texts get abstentions alone, so the prior decides, nearly
+alone where words are few; repeated rows are judged alike; without labels the learned lists are empty; an empty table
 gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,7 +23,7 @@ from ._text import SPACED, U, chunks, hash_spans, mix, table, words_of
 
 TRAIN_ROWS = 16_384
 LABELLED_ROWS = 20_000
-SHARDS = 8
+SHARD_ROWS = 2048
 DIMS = 1 << 16
 EPOCHS = 5
 MIN_TOXIC_DOCS = 4
@@ -33,6 +31,12 @@ MIN_TOXIC_DOCS = 4
 INSULTS = "clown disgusting idiot loser moron pathetic scum stupid trash worthless".split()
 
 ABSTAIN, GOOD, BAD = 0, 1, 2
+#: The share of bad documents is taken from the data and from so many imagined documents with the prior share.
+PRIOR_DOCS = 20
+#: A labeller's bad vote is at least so many times as frequent on bad documents as on good ones.
+MIN_ODDS = 30
+#: The scorer's probability is drawn towards the model's share of bad documents as by so many words.
+PRIOR_WORDS = 5
 #: Pseudo-counts of abstain, good and bad votes on good and on bad documents: a labeller is thought to mean what it says.
 PRIOR = np.array([[0.5, 0.5, 0.02], [0.5, 0.5, 1]])
 LETTER = np.zeros(256, bool)
@@ -80,7 +84,7 @@ class Votes:
         bang = words.data[words.ends - 1] == 0x21 if len(words.ends) else np.zeros(0, bool)
         bang = bang & (words.data[np.maximum(words.ends - 2, 0)] == 0x21) & (length > 2)
         enough = words.count >= 20
-        self.shape = {"symbol": symbol > 0, "upper": shout, "bang": bang, "same": same, "short": length <= 3}
+        self.shape = {"symbol": symbol > 0, "upper": shout, "bang": bang, "same": same, "short": (length <= 3) & (symbol == 0)}
         s = {k: _share(v, words) for k, v in self.shape.items()}
         never = lambda x: np.zeros(n, bool)
         plain = np.maximum.reduce([s[k] for k in ("symbol", "upper", "bang", "same")])
@@ -123,7 +127,7 @@ class LabelModel:
     """Dawid-Skene model of m labellers with abstentions; fitted on pattern counts."""
 
     def __init__(self, m: int, prior_bad: float = 0.1, accuracy: float = 0.8):
-        self.m, self.bad = m, prior_bad
+        self.m, self.bad, self.prior_bad = m, prior_bad, prior_bad
         # p[class, labeller, vote]; abstentions first taken as uninformative
         p = np.full((2, m, 3), 1.0)
         p[0, :, GOOD] = p[1, :, BAD] = accuracy
@@ -142,14 +146,18 @@ class LabelModel:
         votes = unpack(patterns, self.m)
         for _ in range(rounds if counts.sum() else 0):
             r = self.posterior(patterns)
-            self.bad = float(np.clip((r * counts).sum() / counts.sum(), 1e-3, 0.5))
+            self.bad = float(np.clip(((r * counts).sum() + PRIOR_DOCS * self.prior_bad) / (counts.sum() + PRIOR_DOCS), 1e-3, 0.5))
             for c, w in ((0, (1 - r) * counts), (1, r * counts)):
                 for k in range(self.m):
                     n = np.bincount(votes[:, k], w, 3) + PRIOR[c]
                     self.p[c, k] = n / n.sum()
-            for k in range(self.m):  # a labeller is never taken to vote against its own meaning
-                if self.p[1, k, BAD] < self.p[0, k, BAD]:
-                    self.p[:, k, BAD] = self.p[:, k, BAD].mean()
+            for k in range(self.m):  # faults exclude each other, so a rarer fault must not be taken for chance
+                if self.p[1, k, BAD] < MIN_ODDS * self.p[0, k, BAD]:
+                    rate = (1 - self.bad) * self.p[0, k, BAD] + self.bad * self.p[1, k, BAD]
+                    low = min(rate / (1 - self.bad + self.bad * MIN_ODDS), 0.9 / MIN_ODDS)
+                    for c, new in ((0, low), (1, MIN_ODDS * low)):
+                        self.p[c, k, :BAD] *= (1 - new) / self.p[c, k, :BAD].sum()
+                        self.p[c, k, BAD] = new
         return self
 
 
@@ -228,6 +236,9 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "do
     key, n = (np.array([r[c] for r in patterns], np.int64) for c in ("key", "n"))
     models = [LabelModel(6).fit(key // 3**4, n), LabelModel(4, 0.05).fit(key % 3**4, n)]
 
+    total = own.count()
+    shards = max(1, -(-min(total, train_rows) // SHARD_ROWS))
+
     def prepare(batches):
         for batch in batches:
             for _, _, words in chunks(batch.column("text"), SPACED):
@@ -236,7 +247,7 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "do
                 order = np.argsort(doc, kind="stable")
                 cut = np.cumsum(np.bincount(doc, minlength=len(words.count)))[:-1]
                 target = [m.posterior(Votes.pattern(x)) for m, x in zip(models, (v.quality, v.toxic), strict=True)]
-                shard = (mix(np.add.reduceat(np.concatenate((words.hash, [U(0)])), np.minimum(words.first[:-1], len(words.hash)))) % U(SHARDS)).astype(np.int64)
+                shard = (mix(np.add.reduceat(np.concatenate((words.hash, [U(0)])), np.minimum(words.first[:-1], len(words.hash)))) % U(shards)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), pa.array(np.split(dim[order].astype(np.int32), cut), pa.list_(pa.int32())), pa.array(np.split(value[order].astype(np.float32), cut), pa.list_(pa.float32())), pa.array(target[0]), pa.array(target[1])], ["shard", "dims", "vals", "bad", "toxic"])
 
     def train(rows: pa.Table) -> pa.Table:
@@ -244,7 +255,6 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "do
         w = train_shard([(np.array(a), np.array(b), np.array([c, d])) for a, b, c, d in data])
         return pa.table({"n": [len(data)], "w": pa.array([w.astype(np.float32).tobytes()], pa.binary())})
 
-    total = own.count()
     sample = own.where(F.expr(f"pmod(xxhash64(id, 5), 1000000) < {int(np.ceil(1e6 * min(1.0, train_rows / max(total, 1))))}"))
     trained = sample.select("text").mapInArrow(prepare, "shard int, dims array<int>, vals array<float>, bad double, toxic double").groupBy("shard").applyInArrow(train, "n long, w binary").collect()
     w = sum((np.frombuffer(bytes(r["w"]), np.float32).reshape(2, -1) * r["n"] for r in trained), np.zeros((2, DIMS + 1))) / max(1, sum(r["n"] for r in trained))
@@ -257,6 +267,7 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "do
                 doc, dim, value = features(words, v)
                 p = [m.posterior(Votes.pattern(x)) for m, x in zip(models, (v.quality, v.toxic), strict=True)]
                 s = [1 / (1 + np.exp(-np.clip(np.bincount(doc, weights.value[k][dim] * value, j - i) + weights.value[k][-1], -60, 60))) for k in (0, 1)]
+                s = [(words.count * x + PRIOR_WORDS * m.bad) / (words.count + PRIOR_WORDS) for x, m in zip(s, models, strict=True)]
                 kept = (p[0] + s[0] < 1) & (p[1] + s[1] < 1)
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), *map(pa.array, (p[0], s[0], p[1], s[1], kept))], ["id", "bad_posterior", "bad_score", "toxic_posterior", "toxic_score", "kept"])
 
