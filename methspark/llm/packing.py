@@ -62,7 +62,7 @@ class Encoder:
 
     def ids(self, text: str) -> np.ndarray:
         known, parts = self.known, cut(text)
-        new = set(parts) - known.keys()
+        new = set(parts).difference(known)  # not "- known.keys()", which walks all of known
         if len(known) + len(new) > CACHE:
             known.clear()
             new = set(parts)
