@@ -7,8 +7,8 @@ neighbours follow by falling score until the window is full. What does not fit i
 next window, so only a shard's last window has padding.
 
 A task holds one shard, which does not grow with the table. Ids come from the given tokenizer file;
-texts are cut at single spaces between other characters, where its pattern always splits, and each
-distinct piece is tokenized once.
+texts with characters beyond the plain ones are cut at single spaces between other characters, where its
+pattern always splits, and each distinct piece is tokenized once.
 
 Defined results: null or empty texts hold the end id alone; a document longer than a window spans
 several; repeated rows are packed each; an empty table gives no row; extra columns are ignored.
@@ -40,7 +40,7 @@ _encoders: dict = {}
 
 
 class Encoder:
-    """Ids of texts. Pieces of plain characters go through the same vocabulary's ranks, all others through the tokenizer file itself."""
+    """Ids of texts. Texts and pieces of plain characters go through the same vocabulary's ranks, all other pieces through the tokenizer file itself."""
 
     def __init__(self, file: str, ranks: str | None, pattern: str | None):
         from tokenizers import Tokenizer
@@ -55,12 +55,17 @@ class Encoder:
             self.fast = tiktoken.Encoding("plain", pat_str=pattern, mergeable_ranks=held, special_tokens={})
         self.known: dict[str, tuple[int, ...]] = {}
 
+    def plain(self, text: str) -> bool:
+        return self.fast is not None and PLAIN.fullmatch(text) is not None and SPECIAL not in text
+
     def piece(self, text: str) -> list[int]:
-        if self.fast and PLAIN.fullmatch(text) and SPECIAL not in text:
+        if self.plain(text):
             return self.fast.encode_ordinary(text)
         return self.whole.encode(text, add_special_tokens=False).ids
 
     def ids(self, text: str) -> np.ndarray:
+        if self.plain(text):
+            return np.array([*self.fast.encode_ordinary(text), END_ID], np.uint32)
         known, parts = self.known, cut(text)
         new = set(parts).difference(known)  # not "- known.keys()", which walks all of known
         if len(known) + len(new) > CACHE:
