@@ -36,7 +36,7 @@ GROWTH = 1.2
 MU = 8.0
 MAX_FILTER_BYTES = 256 << 20
 MAX_VOCAB = 8_000_000
-FLUSH = 3_000_000
+FLUSH = 1_000_000
 END = mix(np.array([0x656E64], U))[0]
 LEVELS = np.unique(np.floor(GROWTH ** np.arange(0, 200)).astype(np.int64))  # 1, 2, 3, 5, 7, ...
 MULTIPLIER = U(0xC2B2AE3D27D4EB4F)
