@@ -1,10 +1,13 @@
 """Lexical retrieval packing of documents into windows of tokens.
 
-Documents are dealt by hash into shards of about ``DOCS_PER_SHARD``. A shard's task tokenizes its
-documents, builds a BM25 inverted index over their words, and fills one window after another: the seed
-(the lowest unused document in hash order) asks the index with its heaviest terms, and its unused
-neighbours follow by falling score until the window is full. What does not fit is cut and opens the
-next window, so only a shard's last window has padding.
+Document frequencies and the mean length are counted over all documents. Documents are sorted by their
+signature (their heaviest terms by BM25 that another document holds too, heaviest first) and cut into
+shards of about ``DOCS_PER_SHARD``, so documents with the same heavy terms stand together; a hot first
+term is divided by the next ones. A shard's task tokenizes its documents, builds an inverted index with
+the corpus-wide statistics, and fills one window after another: the seed (the lowest unused document in
+hash order) asks the index with all its terms, and its unused neighbours follow by falling score until
+the window is full. What does not fit is cut and opens the next window, so only a shard's last window
+has padding. A neighbour in another shard is not found; the README gives the share.
 
 A task holds one shard, which does not grow with the table. Ids come from the given tokenizer file;
 texts with characters beyond the plain ones are cut at single spaces between other characters, where its
@@ -26,12 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._text import ALNUM, Words, buffers, table
+from ._spark import shared
+from ._text import ALNUM, U, Words, buffers, chunks, table
 
 WINDOW = 2048
 DOCS_PER_SHARD = 1024
 END_ID = 1
-QUERY_TERMS = 24
+SIGNATURE = 4
+FLUSH = 2_000_000
+MAX_VOCABULARY = 8_000_000
 K1, B = 1.2, 0.75
 SPECIAL = "<|endoftext|>"
 PLAIN = re.compile("[\\n -~À-ɏ]*")
@@ -93,35 +99,40 @@ def encoder(file: str, ranks: str | None, pattern: str | None) -> Encoder:
     return _encoders[key]
 
 
+def doc_terms(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct terms; and of each text's terms, by text and hash: the text, the term's number, its occurrences."""
+    term, at = np.unique(words.hash, return_inverse=True)
+    u, tf = np.unique(words.doc.astype(np.int64) * max(1, len(term)) + at, return_counts=True)
+    return term, u // max(1, len(term)), u % max(1, len(term)), tf
+
+
+def weights(df: np.ndarray, tf: np.ndarray, length: np.ndarray, n_docs: int, mean: float) -> np.ndarray:
+    """BM25 weights of terms by their documents of n_docs and their occurrences in texts of these lengths."""
+    return np.log1p((n_docs - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / max(1.0, mean)))
+
+
 class BM25:
-    """Inverted index of one shard's texts; documents that are used leave the results."""
+    """Inverted index of one shard's texts, weighted by the whole corpus; documents that are used leave the results."""
 
-    def __init__(self, words: Words):
+    def __init__(self, words: Words, corpus_df: np.ndarray, n_docs: int, mean: float):
         n = len(words.count)
-        term, at = np.unique(words.hash, return_inverse=True)
-        key = words.doc.astype(np.int64) * max(1, len(term)) + at
-        u, tf = np.unique(key, return_counts=True)
-        doc, term_of = u // max(1, len(term)), u % max(1, len(term))
+        term, doc, term_of, tf = doc_terms(words)
         df = np.bincount(term_of, minlength=len(term))
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * words.count / max(1.0, words.count.mean() if n else 1.0))
-        weight = idf[term_of] * tf * (K1 + 1) / (tf + norm[doc])
+        weight = weights(corpus_df, tf, words.count[doc], n_docs, mean)
         self.query_start = np.searchsorted(doc, np.arange(n + 1))
-        self.doc_terms, self.doc_weight, self.df = term_of, weight, df
+        self.doc_terms, self.df = term_of, df
         order = np.argsort(term_of, kind="stable")
         self.post_doc, self.post_weight = doc[order], weight[order]
         self.post_start = np.concatenate(([0], np.cumsum(df)))
         self.n = n
 
     def neighbours(self, seed: int, used: np.ndarray) -> np.ndarray:
-        """Unused documents that share a term with the seed's heaviest ones, best first, ties in order."""
-        a, b = self.query_start[seed], self.query_start[seed + 1]
-        terms, weight = self.doc_terms[a:b], self.doc_weight[a:b]
-        terms, weight = terms[self.df[terms] > 1], weight[self.df[terms] > 1]
+        """Unused documents that share a term with the seed, best first, ties in order."""
+        terms = self.doc_terms[self.query_start[seed] : self.query_start[seed + 1]]
+        terms = terms[self.df[terms] > 1]
         if not len(terms):
             return np.empty(0, np.int64)
-        top = terms[np.argsort(-weight, kind="stable")[:QUERY_TERMS]]
-        lo, size = self.post_start[top], self.df[top]
+        lo, size = self.post_start[terms], self.df[terms]
         at = np.repeat(lo - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
         score = np.bincount(self.post_doc[at], self.post_weight[at], self.n)
         score[used] = 0
@@ -156,33 +167,136 @@ def fill(index: BM25, lengths: np.ndarray, window: int) -> list[tuple[int, int,
             doc = -1
 
 
+def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct terms, in order, and their summed counts."""
+    term, at = np.unique(np.concatenate([t for t, _ in parts]), return_inverse=True)
+    return term, np.bincount(at, np.concatenate([c for _, c in parts]), len(term)).astype(np.int64)
+
+
+def vocabulary(own: DataFrame) -> tuple[DataFrame, int, int]:
+    """(bucket, terms, counts) of the terms that several documents hold, by bucket of the hash, checkpointed; the documents and words of all."""
+    buckets = 16 << max(0, (own.rdd.getNumPartitions() // 8).bit_length())
+
+    def scan(batches):
+        held, docs, n_words = [(np.empty(0, U), np.empty(0, np.int64))], 0, 0
+
+        def flush():
+            term, count = summed(held)
+            bucket = (term >> U(32)).astype(np.int64) % buckets
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            at = [(k, order[a:b]) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a or not k]
+            return pa.RecordBatch.from_pydict({"bucket": pa.array([k for k, _ in at], pa.int32()), "terms": pa.array([term[x].tobytes() for _, x in at], pa.binary()), "counts": pa.array([count[x].tobytes() for _, x in at], pa.binary()), "docs": pa.array([0 if k else docs for k, _ in at], pa.int64()), "words": pa.array([0 if k else n_words for k, _ in at], pa.int64())})
+
+        for batch in batches:
+            for i, j, words in chunks(batch.column("text"), ALNUM):
+                term, _, term_of, _ = doc_terms(words)
+                held.append((term, np.bincount(term_of, minlength=len(term))))
+                docs, n_words = docs + j - i, n_words + len(words.hash)
+                if sum(len(t) for t, _ in held) > FLUSH:
+                    held = [summed(held)]
+                    if len(held[0][0]) > FLUSH // 2:
+                        yield flush()
+                        held, docs, n_words = [(np.empty(0, U), np.empty(0, np.int64))], 0, 0
+        yield flush()
+
+    def add(rows: pa.Table) -> pa.Table:
+        term, count = summed([(np.frombuffer(t, U), np.frombuffer(c, np.int64)) for t, c in zip(rows["terms"].to_pylist(), rows["counts"].to_pylist(), strict=True)])
+        keep = count > 1
+        return pa.table({"bucket": rows["bucket"].slice(0, 1), "terms": pa.array([term[keep].tobytes()], pa.binary()), "counts": pa.array([count[keep].tobytes()], pa.binary()), "docs": pa.array([sum(rows["docs"].to_pylist())], pa.int64()), "words": pa.array([sum(rows["words"].to_pylist())], pa.int64())})
+
+    schema = "bucket int, terms binary, counts binary, docs long, words long"
+    found = own.select("text").mapInArrow(scan, schema).groupBy("bucket").applyInArrow(add, schema).checkpoint()
+    total = found.agg(F.coalesce(F.sum("docs"), F.lit(0)).alias("docs"), F.coalesce(F.sum("words"), F.lit(0)).alias("words")).first()
+    return found.select("bucket", "terms", "counts"), total["docs"], total["words"]
+
+
+def segments(found: DataFrame, most: int):
+    """Broadcasts of (terms, counts), in order of the terms, of at most about `most` terms each; one at least."""
+    sizes = sorted((r["bucket"], r["n"]) for r in found.select("bucket", (F.length("terms") / 8).cast("long").alias("n")).collect())
+    groups, size = [[]], 0
+    for bucket, n in sizes:
+        if groups[-1] and size + n > most:
+            groups, size = [*groups, []], 0
+        groups[-1].append(bucket)
+        size += n
+    for own in groups:
+        parts = [(np.frombuffer(r["terms"], U), np.frombuffer(r["counts"], np.int64)) for r in found.where(F.col("bucket").isin(own)).toLocalIterator()]
+        yield found.sparkSession.sparkContext.broadcast(summed([(np.empty(0, U), np.empty(0, np.int64)), *parts]))
+
+
+def signed(own: DataFrame, kind: str, max_vocabulary: int) -> tuple[DataFrame, int, float]:
+    """id, text, dfs (documents of each of its terms, in order of the hash) and s0, s1, ... (its signature); the documents and the mean length.
+
+    Each segment of the vocabulary is one pass over the texts, which fills in the terms it holds."""
+    found, n_docs, n_words = vocabulary(own)
+    mean = n_words / max(1, n_docs)
+    marks = [f"s{k}" for k in range(SIGNATURE)]
+    out = own.withColumn("dfs", F.lit(None).cast("binary"))
+    for held in segments(found, max_vocabulary):
+
+        def look(batches, held=held):
+            known, counts = held.value
+            for batch in batches:
+                before = batch.column("dfs").to_pylist()
+                for i, j, words in chunks(batch.column("text"), ALNUM):
+                    term, doc, term_of, tf = doc_terms(words)
+                    df = np.ones(len(term), np.int64)
+                    if len(known):
+                        at = np.minimum(np.searchsorted(known, term), len(known) - 1)
+                        df = np.where(known[at] == term, counts[at], 1)
+                    df = df[term_of]
+                    if before[i] is not None:
+                        df = np.maximum(df, np.frombuffer(b"".join(before[i:j]), np.uint32))
+                    weight = np.where(df > 1, weights(df, tf, words.count[doc], n_docs, mean), -1.0)
+                    order = np.lexsort((term_of, -weight, doc))
+                    cut = np.searchsorted(doc, np.arange(j - i + 1))
+                    sign = np.zeros((SIGNATURE, j - i), np.int64)
+                    for k in range(SIGNATURE):
+                        has = np.flatnonzero(cut[:-1] + k < cut[1:])
+                        own = order[cut[has] + k]
+                        sign[k, has] = np.where(df[own] > 1, term[term_of[own]].view(np.int64), 0)
+                    data = df.astype(np.uint32)
+                    dfs = pa.array([data[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary())
+                    yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), batch.column("text").slice(i, j - i), dfs, *map(pa.array, sign)], ["id", "text", "dfs", *marks])
+
+        out = out.select("id", "text", "dfs").mapInArrow(look, f"id {kind}, text string, dfs binary, " + ", ".join(f"{m} long" for m in marks)).checkpoint()
+    return out, n_docs, mean
+
+
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str | None = None, window: int = WINDOW, docs_per_shard: int = DOCS_PER_SHARD, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str | None = None, window: int = WINDOW, docs_per_shard: int = DOCS_PER_SHARD, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, max_vocabulary: int = MAX_VOCABULARY) -> DataFrame:
     """One row for each piece; ``with_ids`` adds the piece's token ids."""
+    shared(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
-    n_shards = 1 + docs.count() // docs_per_shard
-    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    own = own.withColumn("shard", F.expr(f"cast(pmod(xxhash64(id, {n_shards}, text), {n_shards}) as int)"))
-
-    def run(rows: pa.Table) -> pa.Table:
-        rows = rows.combine_chunks()
-        ids, shard = rows["id"].to_pylist(), rows["shard"][0].as_py()
+    own, n_docs, mean = signed(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), kind, max_vocabulary)
+    # each range of the order is a shard, and a partition; copies are divided by their id
+    own = own.repartitionByRange(1 + n_docs // docs_per_shard, *[F.col(f"s{k}") for k in range(SIGNATURE)], F.xxhash64("text"), F.xxhash64("id"))
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        rows = [b.select(["id", "text", "dfs"]) for b in batches if b.num_rows]
+        if not rows:
+            return
+        rows, shard = pa.Table.from_batches(rows).combine_chunks(), TaskContext.get().partitionId()
+        ids, dfs = rows["id"].to_pylist(), rows["dfs"].to_pylist()
         texts = [t or "" for t in rows["text"].to_pylist()]
         keys = sorted(range(len(ids)), key=lambda k: (zlib.crc32(texts[k].encode()), str(ids[k])))
-        ids, texts = [ids[k] for k in keys], [texts[k] for k in keys]
+        ids, texts, dfs = [ids[k] for k in keys], [texts[k] for k in keys], b"".join(dfs[k] for k in keys)
         enc = encoder(tokenizer, ranks, pattern)
         tokens = [enc.ids(t) for t in texts]
-        index = BM25(Words(*buffers(pa.array(texts, pa.large_string())), ALNUM))
+        index = BM25(Words(*buffers(pa.array(texts, pa.large_string())), ALNUM), np.frombuffer(dfs, np.uint32).astype(np.int64), n_docs, mean)
         lengths = np.array([len(t) for t in tokens])
         pieces = fill(index, lengths, window)
         doc, start, length, seq, offset = (list(x) for x in zip(*pieces, strict=True))
         parts = [tokens[d][s : s + n].astype("<u4") for d, s, n in zip(doc, start, length, strict=True)]
         out = {"id": pa.array([ids[d] for d in doc], rows.schema.field("id").type), "start": pa.array(start, pa.int64()), "length": pa.array(length, pa.int64()), "ids_crc32": pa.array([zlib.crc32(p.tobytes()) for p in parts], pa.int64()), "doc_tokens": pa.array(lengths[doc], pa.int64()), "sequence_id": pa.array([(shard << 32) + s for s in seq], pa.int64()), "offset": pa.array(offset, pa.int64())}
-        return pa.table(out | ({"ids": pa.array(parts, pa.list_(pa.int32()))} if with_ids else {}))
+        yield from pa.table(out | ({"ids": pa.array(parts, pa.list_(pa.int32()))} if with_ids else {})).to_batches()
 
-    out = own.groupBy("shard").applyInArrow(run, f"id {kind}, {PIECE}" + ", ids array<int>" * with_ids)
+    out = own.mapInArrow(run, f"id {kind}, {PIECE}" + ", ids array<int>" * with_ids)
     return out.withColumnRenamed("id", id_col)
 
 
