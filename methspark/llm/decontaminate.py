@@ -115,41 +115,55 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_co
 def remove_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", whole_documents: bool = False, max_windows: int = MAX_WINDOWS) -> DataFrame:
     """The documents with every hit word cut out of the text, or without the documents that have one.
 
-    All columns are kept as they are; a text without a hit is returned byte for byte. Blocks of test
-    items are applied one after the other to the text as given, so order does not matter for whole
-    documents; for spans a later block sees the text the earlier ones left.
+    All columns are kept as they are; a text without a hit is returned byte for byte. Each block of test
+    items marks its hits (words of the text as given) in a further column; all are cut at once, after the
+    last block, so the result does not depend on the blocks.
     """
+    marks = "_hit_words"
+    while marks in docs.columns:
+        marks += "_"
+    marked = docs.withColumn(marks, F.expr("cast(array() as array<int>)"))
     for held in window_blocks(items, window, item_col, item_text_col, max_windows):
 
-        def clean(batches, held=held):
+        def mark(batches, held=held):
             for batch in batches:
-                column = batch.schema.get_field_index(text_col)
-                texts, drop = {}, []
-                for i, _, words in chunks(batch.column(column), ALNUM):
+                at = batch.schema.get_field_index(marks)
+                hits = batch.column(at).to_pylist()
+                for i, _, words in chunks(batch.column(batch.schema.get_field_index(text_col)), ALNUM):
                     hit, found = held.value.scan(words)
                     for k in (k for k, x in enumerate(found) if x):
-                        lo, hi = words.offsets[k], words.offsets[k + 1]
-                        a, b = words.first[k], words.first[k + 1]
-                        s, e = runs(hit[a:b])
-                        at, kept = lo, []
-                        for x, y in zip(words.starts[a + s].tolist(), words.ends[a + e - 1].tolist(), strict=True):
+                        hits[i + k] = np.union1d(hits[i + k], np.flatnonzero(hit[words.first[k] : words.first[k + 1]])).astype(np.int32)
+                yield batch.set_column(at, batch.schema.field(at), pa.array(hits, batch.schema.field(at).type))
+
+        marked = marked.mapInArrow(mark, marked.schema)
+
+    def clean(batches):
+        for batch in batches:
+            hits, column = batch.column(marks).to_pylist(), batch.schema.get_field_index(text_col)
+            batch = batch.drop_columns([marks])
+            if whole_documents:
+                yield batch.filter(pa.array([not x for x in hits], pa.bool_()))
+                continue
+            own = [n for n, x in enumerate(hits) if x]
+            if own:
+                texts = {}
+                for i, j, words in chunks(batch.column(column).take(pa.array(own, pa.int64())), ALNUM):
+                    for k in range(j - i):
+                        first, flags = words.first[k], np.zeros(words.count[k], bool)
+                        flags[hits[own[i + k]]] = True
+                        s, e = runs(flags)
+                        at, kept = words.offsets[k], []
+                        for x, y in zip(words.starts[first + s].tolist(), words.ends[first + e - 1].tolist(), strict=True):
                             kept.append(words.raw[at:x].tobytes())
                             at = y
-                        texts[i + k] = b"".join([*kept, words.raw[at:hi].tobytes()]).decode()
-                        drop.append(i + k)
-                if whole_documents and drop:
-                    keep = np.ones(batch.num_rows, bool)
-                    keep[drop] = False
-                    batch = batch.filter(pa.array(keep))
-                elif texts:
-                    values = batch.column(column).to_pylist()
-                    for k, v in texts.items():
-                        values[k] = v
-                    batch = batch.set_column(column, batch.schema.field(column), pa.array(values, batch.schema.field(column).type))
-                yield batch
-
-        docs = docs.mapInArrow(clean, docs.schema)
-    return docs
+                        texts[own[i + k]] = b"".join([*kept, words.raw[at : words.offsets[k + 1]].tobytes()]).decode()
+                values = batch.column(column).to_pylist()
+                for n, v in texts.items():
+                    values[n] = v
+                batch = batch.set_column(column, batch.schema.field(column), pa.array(values, batch.schema.field(column).type))
+            yield batch
+
+    return marked.mapInArrow(clean, docs.schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from methspark.llm import packing
+from methspark.llm import decontaminate, packing
 
 from .test_llm import SCHEMA, corpus, docs, empty, prose  # noqa: F401
 
@@ -34,3 +34,19 @@ def test_packing_asks_with_every_term():
     light = words.hash[words.first[1] - 1]
     df = np.where(term[term_of] == light, 900, 2)
     assert packing.BM25(words, df, 1000, 30.0).neighbours(0, np.zeros(3, bool)).tolist() == [1, 2]
+
+
+def test_removal_does_not_depend_on_blocks(spark, docs):  # noqa: F811
+    """Overlapping hits of items in different blocks are all cut; words that a cut brings together are no hit."""
+    w = [f"q{k}" for k in range(40)]
+    items = [(str(k), " ".join(w[a : a + 10])) for k, a in enumerate(range(0, 30, 5))]
+    items += [("j", " ".join(w[30:35] + ["left"] + ["right"] + w[35:38])), *[(f"n{k}", prose(7 + k % 9, 12)) for k in range(9)]]
+    texts = ["a b " + " ".join(w[:15]) + " c d", " ".join(w[30:35]) + " left " + " ".join(w[:10]) + " right " + " ".join(w[35:38]), "no hit, None", None, ""]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    table = docs.unionAll(spark.createDataFrame([(500 + k, t, None, None, 0, None, None, None) for k, t in enumerate(texts)], SCHEMA))
+    for whole in (False, True):
+        one, many = ([(r.doc_id, r.text) for r in decontaminate.remove_contamination(table, bench, whole_documents=whole, max_windows=n).collect()] for n in (10**6, 20))
+        assert one == many
+        if not whole:
+            got = dict(many)
+            assert got[500] == "a b  c d" and got[501] == texts[1].replace(" ".join(w[:10]), "") and got[502] == texts[2] and got[503] is None
