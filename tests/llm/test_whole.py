@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from methspark.llm import decontaminate, packing
+from methspark.llm import decontaminate, packing, substring_dedup
 
 from .test_llm import SCHEMA, corpus, docs, empty, prose  # noqa: F401
 
@@ -50,3 +50,34 @@ def test_removal_does_not_depend_on_blocks(spark, docs):  # noqa: F811
         if not whole:
             got = dict(many)
             assert got[500] == "a b  c d" and got[501] == texts[1].replace(" ".join(w[:10]), "") and got[502] == texts[2] and got[503] is None
+
+
+def shared_windows(texts, size=50):
+    """(document, place) of the windows that an earlier document holds too."""
+    seen, out = {}, set()
+    for d, t in enumerate(texts):
+        w = (t or "").split()
+        for k in range(len(w) - size + 1):
+            if seen.setdefault(tuple(w[k : k + size]), d) != d:
+                out.add((d, k))
+    return out
+
+
+def test_every_verbatim_window_is_reported(spark, monkeypatch):
+    """A passage of two lines that documents between hold one by one, in one flush and over several tasks."""
+    one, two = prose(901, 30, 5000), prose(902, 30, 5000)
+    texts = [prose(903, 40) + " " + one + " " + two]
+    texts += [prose(910 + k, 30) + " " + (one, two)[k % 2] + " " + prose(950 + k, 20) for k in range(12)]
+    texts += [prose(980, 40) + " " + one + " " + two + " " + prose(981, 40), one + " " + two, None, ""]
+    table = spark.createDataFrame([(k, t, *[None] * 6) for k, t in enumerate(texts)], SCHEMA)
+    want = shared_windows(texts)
+    assert {d for d, _ in want} == {13, 14}
+    for flush in (substring_dedup.FLUSH, 30):
+        monkeypatch.setattr(substring_dedup, "FLUSH", flush)
+        for parts in (1, 5):
+            spans = {}
+            # min_words=50 everywhere; coalesce keeps the order of rows
+            for r in substring_dedup.merged(substring_dedup.repeats(spark.createDataFrame(table.rdd.coalesce(parts), SCHEMA) if parts == 1 else table.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id"))).select("row", "spans").collect():
+                spans[r.row] = [(x.start, x.end) for x in r.spans]
+            found = sorted(spans.items())
+            assert len(found) == 2 and all(sum(e - s for s, e in x) >= 60 for _, x in found)
