@@ -55,3 +55,72 @@ def passage(a: np.ndarray, b: np.ndarray, lo: int, hi: int) -> tuple[int, int, i
     if len(a) == len(b) and lo <= 0 <= hi and (a == b).all():
         return len(a), len(a), 0, len(a), 0, len(b)
     return local(a, b, lo, hi)
+
+
+def matched_words(a: np.ndarray, b: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """Which words of a match in a best alignment of all of a with all of b on diagonals lo to hi."""
+    width, least = hi - lo + 1, -(1 << 40)
+    step, moves, sources = np.arange(width), [], []
+    score = np.full(width + 1, least, np.int64)
+    if 0 <= -lo < width:
+        score[-lo] = 0  # before both: no word of a, none of b
+    for i in range(len(a)):
+        j = i + lo + step
+        inside = (j >= 0) & (j < len(b))
+        eq = inside & (b[np.clip(j, 0, len(b) - 1)] == a[i])
+        diagonal, up = score[:width] + np.where(eq, MATCH, MISMATCH), score[1:] + GAP
+        move = np.where(up > diagonal, 2, eq.astype(np.int8)).astype(np.int8)  # 0 a mismatch, 1 a match, 2 a word of a alone
+        d = np.where(inside, np.maximum(diagonal, up), least)
+        lifted = d - GAP * step
+        top = np.maximum.accumulate(lifted)
+        at = np.maximum.accumulate(np.where(lifted == top, step, 0))
+        score = np.append(np.where(inside, top + GAP * step, least), least)
+        moves.append(move)
+        sources.append(at.astype(np.int32))
+    out = np.zeros(len(a), bool)
+    c = len(b) - len(a) - lo
+    for i in range(len(a) - 1, -1, -1):
+        if not 0 <= c < width:
+            break
+        c = int(sources[i][c])
+        out[i] = moves[i][c] == 1
+        c += int(moves[i][c] == 2)
+    return out
+
+
+def dense(flags: np.ndarray, least: int, share: float) -> list[tuple[int, int]]:
+    """Disjoint intervals of at least `least` places, `share` of them true, their ends true: the longest, then so in what lies before and after it."""
+    if len(flags) < least:
+        return []
+    total = np.concatenate(([0.0], np.cumsum(flags - share)))
+    low = np.minimum.accumulate(np.where(flags, total[:-1], np.inf))
+    ends = np.flatnonzero(flags[least - 1 :]) + least
+    # the first start from which the sum up to each end is not negative
+    begins = np.searchsorted(-low, -(total[ends] + 1e-6), side="left")
+    size = np.where(ends - begins >= least, ends - begins, 0)
+    if not size.any():
+        return []
+    k = int(size.argmax())
+    s, e = int(begins[k]), int(ends[k])
+    return [*dense(flags[:s], least, share), (s, e), *((x + e, y + e) for x, y in dense(flags[e:], least, share))]
+
+
+def passages(a: np.ndarray, b: np.ndarray, lo: int, hi: int, least: int, share: float) -> list[tuple[int, int, int]]:
+    """(start, end, matches) in a, in order: disjoint passages of at least `least` words, `share` of which match b on the band.
+
+    The best local alignment, or its parts that pass if it does not as a whole; then so what lies before and after it in both."""
+    if len(a) < least or not len(b) or hi < lo:
+        return []
+    score, matched, s, e, c, d = passage(a, b, lo, hi)
+    # a passage with m of n words matched has at most n - m words of a alone and hi - lo more of b alone: no lower score than this
+    if score <= 0 or score < (3 * share - 2) * least - (hi - lo):
+        return []
+    out = []
+    if e - s < least:
+        pass
+    elif matched >= share * (e - s):
+        out = [(s, e, matched)]
+    else:
+        flags = matched_words(a[s:e], b[c:d], lo + s - c, hi + s - c)
+        out = [(s + x, s + y, int(flags[x:y].sum())) for x, y in dense(flags, least, share)]
+    return [*passages(a[:s], b[:c], lo, hi, least, share), *out, *((e + x, e + y, n) for x, y, n in passages(a[e:], b[d:], lo + e - d, hi + e - d, least, share))]

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from methspark.llm import decontaminate, packing, substring_dedup
+from methspark.llm import align, decontaminate, packing, substring_dedup
 
 from .test_llm import SCHEMA, corpus, docs, empty, prose  # noqa: F401
 
@@ -81,3 +81,43 @@ def test_every_verbatim_window_is_reported(spark, monkeypatch):
                 spans[r.row] = [(x.start, x.end) for x in r.spans]
             found = sorted(spans.items())
             assert len(found) == 2 and all(sum(e - s for s, e in x) >= 60 for _, x in found)
+
+
+def test_a_far_best_fragment_does_not_hide_a_near_one():
+    """Four fragments of 15 words after a block of 500 chain as they do alone; and against brute force over all predecessors."""
+    near, at = [], 600
+    for gap in (0, 3, 4, 3):
+        near.append((at + gap, at + gap, 15))
+        at += gap + 15
+    alone, after = substring_dedup.chain(near), substring_dedup.chain([(0, 0, 500), *near])
+    assert len(alone) == 1 and alone[0][:2] in {c[:2] for c in after} and len(after) == 2
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        parts = sorted({(int(a), int(b), int(n)) for a, b, n in zip(*rng.integers(0, 150, (2, 14)), rng.integers(5, 40, 14), strict=True)})
+        score = [float(n) for _, _, n in parts]
+        for i, (a, b, n) in enumerate(parts):
+            for j, (c, d, m) in enumerate(parts[:i]):
+                if c + m < a + 5 and d + m <= b + 5 and max(a - c - m, b - d - m) <= 30:
+                    score[i] = max(score[i], n + score[j] - 0.2 * (a + b - c - d - 2 * m))
+        last = parts[int(np.argmax(score))]
+        best = [c for c in substring_dedup.chain(parts) if c[1] == last[0] + last[2] and c[3] == last[1] + last[2]]
+        assert best
+
+
+def test_passages_inside_a_failed_alignment():
+    """60 equal words beside a region that matches by 55 % are reported; and no window of 50 words with 0.8 is left."""
+    rng = np.random.default_rng(6)
+    for n in range(30):
+        a = rng.integers(1, 1 << 30, 260 + n).astype(np.uint32)
+        b = a.copy()
+        share = np.where((np.arange(len(a)) // 65) % 2 == n % 2, 0.0, 0.42)
+        off = rng.random(len(a)) < share
+        b[off] += 1
+        got = align.passages(a, b, -8, 8, 50, 0.8)
+        left = np.ones(len(a), bool)
+        for s, e, matched in got:
+            assert e - s >= 50 and matched >= 0.8 * (e - s) and left[s:e].all() and matched == (~off[s:e]).sum()
+            left[s:e] = False
+        for s in range(len(a) - 49):
+            assert not (left[s : s + 50].all() and not off[s] and not off[s + 49] and off[s : s + 50].sum() <= 10)
+        assert got
