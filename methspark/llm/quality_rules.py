@@ -1,7 +1,8 @@
 """Quality rules by distribution divergence, in DataFrame operations only.
 
 Each language's reference is learned from all its documents: the histogram of character classes, and
-the shares of its most frequent short words. A document is rejected when the Jensen-Shannon distance
+the shares of its most frequent short words. Both are blended with those of all languages together, which
+count as ``PRIOR_WORDS`` further words, so a language has a reference at every size of the table. A document is rejected when the Jensen-Shannon distance
 of its own histogram to its language's reference is above a threshold; each test has a minimum length,
 below which it gives no verdict. Plain base rules (too few words, repeated three-word windows) come first.
 
@@ -28,7 +29,7 @@ COMMON_CHARS = 5
 MIN_CHARS, MAX_CHAR_DISTANCE = 200, 0.32
 MIN_SAMPLE, MAX_WORD_DISTANCE = 100, 0.31
 FEW = 24
-MIN_REFERENCE_WORDS = 20_000
+PRIOR_WORDS, PRIOR_CHARS = 100, 600
 MAX_LANGUAGES = 4096
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -122,19 +123,27 @@ def distance(p: Column, q: Column) -> Column:
 
 
 def references(docs: DataFrame, lang_col: str, text_col: str, common: int, common_chars: int) -> DataFrame:
-    """lang, ref_words (the most frequent short words with a letter), ref_shares (theirs, then the rest's), ref_classes, ref_total."""
+    """lang, ref_words (the most frequent short words with a letter), ref_shares (theirs, then the rest's), ref_classes; a table without a letter has none."""
     own = docs.select(F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
     classes = own.select("lang", class_counts(F.col("text")).alias("c")).groupBy("lang").agg(F.array(*[F.sum(F.get("c", F.lit(i))) for i in range(6)]).alias("c"))
-    sums = classes.select("lang", F.transform("c", lambda x: x / F.greatest(total(F.col("c")), F.lit(1.0))).alias("ref_classes"))
+    every = classes.agg(F.array(*[F.sum(F.get("c", F.lit(i))) for i in range(6)]).alias("every"))
+    blend = lambda x, y: (x + PRIOR_CHARS * y / F.greatest(total(F.col("every")), F.lit(1.0))) / (total(F.col("c")) + PRIOR_CHARS)
+    sums = classes.crossJoin(F.broadcast(every)).select("lang", F.zip_with("c", "every", blend).alias("ref_classes"))
     # all words that are too long count as one
     counts = own.select("lang", F.explode(word_array(F.col("text"))).alias("word")).groupBy("lang", F.when(F.length("word") <= common_chars, F.col("word")).alias("word")).agg(F.count("*").alias("n")).checkpoint()
     totals = counts.groupBy("lang").agg(F.sum("n").cast("double").alias("total"))
-    best = counts.where(F.col("word").rlike(r"[a-zA-Z]|[^\x00-\x7F]")).withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))).where(F.col("k") <= common)
+    letters = F.col("word").rlike(r"[a-zA-Z]|[^\x00-\x7F]")
+    shares = counts.groupBy("word").agg(F.sum("n").alias("all")).crossJoin(F.broadcast(counts.agg(F.sum("n").alias("of")))).select("word", (PRIOR_WORDS * F.col("all") / F.col("of")).alias("prior")).where(letters).checkpoint()
+    # words that a language has not come in only by their share in all: no more than the first of all can be among its best
+    first = F.broadcast(shares.orderBy(F.desc("prior"), "word").limit(common))
+    new = classes.select("lang").crossJoin(first).join(counts.where(letters), ["lang", "word"], "left_anti").select("lang", "word", F.col("prior").alias("n"))
+    blended = counts.join(shares, "word").select("lang", "word", (F.col("n") + F.col("prior")).alias("n")).unionAll(new)
+    best = blended.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))).where(F.col("k") <= common)
     lists = best.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("k", "word", "n"))).alias("top"))
-    out = sums.join(totals, "lang").join(lists, "lang")
+    out = sums.join(totals, "lang", "left").join(lists, "lang").withColumn("total", F.coalesce("total", F.lit(0.0)) + PRIOR_WORDS)
     shares = F.transform("top", lambda x: x["n"] / F.col("total"))
-    return out.select("lang", F.transform("top", lambda x: x["word"]).alias("ref_words"), F.concat(shares, F.array(1 - F.aggregate(shares, F.lit(0.0), lambda a, x: a + x))).alias("ref_shares"), "ref_classes", F.col("total").alias("ref_total"))
+    return out.select("lang", F.transform("top", lambda x: x["word"]).alias("ref_words"), F.concat(shares, F.array(1 - F.aggregate(shares, F.lit(0.0), lambda a, x: a + x))).alias("ref_shares"), "ref_classes")
 
 
 def word_shares(words: Column, ref: Column, most: int) -> Column:
@@ -160,9 +169,8 @@ def judged(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", comm
     m, n = F.col("_m"), F.col("_m.n_words")
     total = F.aggregate(m["classes"], F.lit(0.0), lambda a, x: a + x)
     classes = let(total, lambda t: F.transform(m["classes"], lambda x: x / t))
-    known = F.coalesce(F.col("_ref_total") >= MIN_REFERENCE_WORDS, F.lit(False))
-    chars = F.when(known & (total >= MIN_CHARS), distance(classes, F.col("_ref_classes")))
-    words = F.when(known & (n >= MIN_SAMPLE), distance(word_shares(m["words"], F.col("_ref_words"), common_chars), F.col("_ref_shares")))
+    chars = F.when(total >= MIN_CHARS, distance(classes, F.col("_ref_classes")))
+    words = F.when(n >= MIN_SAMPLE, distance(word_shares(m["words"], F.col("_ref_words"), common_chars), F.col("_ref_shares")))
     failed = (n < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * n)
     fields = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     first = F.struct(*[m[f].alias(f) for f in fields], failed.alias("base_failed"), chars.alias("char_distance"), words.alias("word_distance"))

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from methspark.llm import align, decontaminate, packing, substring_dedup
+from methspark.llm import align, decontaminate, packing, quality_rules, substring_dedup
 
 from .test_llm import SCHEMA, corpus, docs, empty, prose  # noqa: F401
 
@@ -121,3 +121,20 @@ def test_passages_inside_a_failed_alignment():
         for s in range(len(a) - 49):
             assert not (left[s : s + 50].all() and not off[s] and not off[s + 49] and off[s : s + 50].sum() <= 10)
         assert got
+
+
+def test_small_languages_are_judged(spark):
+    """A language of few words gets verdicts: junk goes, clean text stays, also that of a language with one document."""
+    common = {"en": ["the", "of", "and", "to", "in", "is"], "de": ["der", "die", "und", "von", "ist", "das"], "xx": ["la", "el", "que", "de", "los", "por"]}
+
+    def clean(lang, seed):
+        rng = np.random.default_rng(seed)
+        return " ".join(common[lang][rng.integers(6)] if rng.random() < 0.35 else "".join(rng.choice(list("abcdeilmnorst"), 7)) for _ in range(150))
+
+    texts = [("en", clean("en", k)) for k in range(30)] + [("de", clean("de", 100 + k)) for k in range(6)] + [("xx", clean("xx", 200))]
+    rng = np.random.default_rng(9)
+    junk = " ".join("".join(rng.choice(list("ABC0123456789#*$|"), 6)) for _ in range(150))
+    rows = [(k, t, lang, *[None] * 5) for k, (lang, t) in enumerate([*texts, ("de", junk)])]
+    got = {r.doc_id: r for r in quality_rules.judged(spark.createDataFrame(rows, SCHEMA)).select("doc_id", "quality.*").collect()}
+    assert all(got[k].kept and got[k].char_distance is not None and got[k].word_distance is not None for k in range(len(texts)))
+    assert not got[len(texts)].kept and not got[len(texts)].base_failed
