@@ -51,7 +51,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("quality rules", quality), ("near duplicates", near_duplicates), ("substring dedup", repeated_passages), ("decontamination", benchmark_passages), ("packing", packed)]
-#: The stages' operators have no SQL form; tests hold them against brute force.
+#: The stages' operators have no SQL form; tests hold parts of each against brute force, but not all stages in order.
 ORACLE_SQL = None
 
 
