@@ -4,13 +4,18 @@ A text's set are its distinct shingles (hashes of ``size`` words). Sets are band
 band the hash universe is cut into segments, more than two linked sets can differ in. So two linked
 sets agree on at least one segment; a document is indexed under the hash of what it has in each. A
 one-deletion segment is indexed under all its subsets with one shingle less, too, and so counts twice;
-``allocate`` picks how many of each kind cost least. Segments that are empty or hold only frequent
-shingles are left out where enough others remain for the guarantee.
-
-Equal sets are one node. In each index group the nodes are compared with the group's first node; then
-nodes of a group that lie in different components are compared with each other, which is exact: no
-link between components is lost, and the links inside one need not be known. All comparisons are of
-whole sets. Hot nodes are split over many tasks, and every step is spread by hashes.
+``allocate`` picks how many of each kind cost least. A few segments are spare: each set leaves out that
+many of its exact ones, those with the fewest infrequent shingles first, in an order all sets agree on,
+so the best segment two linked sets agree on is never left out.
+
+Equal sets are one node. The nodes of one index hash meet as a unit, named by the hash's least node or,
+if hot, by the hash itself. A unit is resolved without pairing its nodes: its centre are the shingles
+more than half of its nodes hold, and each set is written as its differences from the centre. Two sets
+whose differences are few in sum are surely linked, and then both with the node of fewest differences;
+all other linked pairs must share a certain number of differences, which few nodes do and which are
+counted over lists of the nodes that share each. A list that is long itself is a unit with a centre of
+its own, of half the nodes at most. Units too large for a task are split so by Spark, round by round.
+Sets are compared as wholes, by 64-bit hashes of their shingles.
 
 Defined results: null, empty and wordless texts have an empty set and are linked with nothing (their
 component is their own id); shorter texts than a shingle have their whole word sequence as one; null ids
@@ -24,7 +29,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._spark import components, shared
@@ -35,8 +40,10 @@ PERCENT = 85
 SAMPLE_ROWS = 4_096
 HOT_SHARE = 0.002
 FLUSH = 4_000_000
-MEMBERS = 1024
-ROWS_PER_GROUP = 4096
+HOT_ROWS = 256
+UNIT_SHINGLES = 2_000_000
+TASK_SHINGLES = 1_000_000
+LONG_LIST = 256
 
 
 def shingles(words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -141,11 +148,12 @@ class Plan:
         of = np.repeat(np.arange(len(count)), count)
         number = np.arange(first[-1]) - first[of]
         tag = mix(band[of].astype(U) * U(1 << 24) + number.astype(U) + U(1))
-        single = number < exact[of]
-        weak = single & (cold_n == 0)
-        many = np.bincount(of, weak, len(count)) > spare
-        emit = ~weak | many[of]
-        yield mix(total[emit] + tag[emit]), of[emit]
+        entry, single = mix(total + tag), number < exact[of]
+        # the spare ones: least infrequent shingles, then fewest; all of this follows from the segment's content
+        order = np.lexsort((entry, np.bincount(key, minlength=len(of)), cold_n, ~single, of))
+        emit = np.ones(len(of), bool)
+        emit[order] = np.arange(len(of)) - first[of[order]] >= np.minimum(spare, np.maximum(exact - (deletion == 0), 0))[of[order]]
+        yield entry[emit], of[emit]
         twice = np.flatnonzero(~single[key])
         if len(twice):
             yield mix(total[key[twice]] - part[twice] + tag[key[twice]]), of[key[twice]]
@@ -187,16 +195,21 @@ def nodes_of(own: DataFrame, kind: str, size: int) -> DataFrame:
     return own.mapInArrow(run, f"id {kind}, n_shingles long, node long")
 
 
-def index_groups(own: DataFrame, plan, size: int, buckets: int) -> DataFrame:
-    """(kind, a, b, members): kind 0 are pairs of a group's first node and another; kind 1 are groups of three nodes or more."""
+def index_units(own: DataFrame, plan, size: int, buckets: int) -> DataFrame:
+    """(unit, node), distinct: the nodes that meet under one index hash, for hashes of several nodes."""
 
     def index(batches):
         held, total, seen = [], 0, np.empty(0, np.int64)
 
         def flush():
             h, node = (np.concatenate(x) for x in zip(*held, strict=True))
-            rows = _blobs((h >> U(40)).astype(np.int64) % buckets, buckets, h, node)
-            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["bucket", "hashes", "nodes"])
+            _, at, n = np.unique(h, return_inverse=True, return_counts=True)
+            hot = n[at] > HOT_ROWS
+            # a hot hash's nodes go anywhere, and node 0 tells its bucket that it is hot
+            marks = np.unique(h[hot])
+            rows = [(b, False, *x) for b, *x in _blobs(np.concatenate((h[~hot], marks)).view(np.int64) % buckets, buckets, np.concatenate((h[~hot], marks)), np.concatenate((node[~hot], np.zeros(len(marks), np.int64))))]
+            rows += [(b, True, *x) for b, *x in _blobs((node[hot] >> 1) % buckets, buckets, h[hot], node[hot])]
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), pa.bool_(), pa.binary(), pa.binary()), strict=True)], ["bucket", "hot", "hashes", "nodes"])
 
         for batch in batches:
             for i, j, words in chunks(batch.column("text"), SPACED):
@@ -219,27 +232,30 @@ def index_groups(own: DataFrame, plan, size: int, buckets: int) -> DataFrame:
             yield flush()
 
     def meet(rows: pa.Table) -> pa.Table:
-        h = np.concatenate([np.frombuffer(x, U) for x in rows["hashes"].to_pylist()])
-        node = np.concatenate([np.frombuffer(x, np.int64) for x in rows["nodes"].to_pylist()])
+        hot = np.array(rows["hot"].to_pylist(), bool)
+        parts = [(np.frombuffer(h, U), np.frombuffer(n, np.int64)) for h, n in zip(rows["hashes"].to_pylist(), rows["nodes"].to_pylist(), strict=True)]
+        none = (np.empty(0, U), np.empty(0, np.int64))
+        far_h, far = (np.concatenate(x) for x in zip(none, *[p for p, k in zip(parts, hot, strict=True) if k], strict=True))
+        h, node = (np.concatenate(x) for x in zip(none, *[p for p, k in zip(parts, hot, strict=True) if not k], strict=True))
         order = np.lexsort((node, h))
         h, node = h[order], node[order]
-        new = np.concatenate(([True], (h[1:] != h[:-1]) | (node[1:] != node[:-1])))
+        new = np.concatenate(([True], (h[1:] != h[:-1]) | (node[1:] != node[:-1])))[: len(h)]
         h, node = h[new], node[new]
-        start = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+        start = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))[: len(h)])
         length = np.diff(np.append(start, len(h)))
         first = np.repeat(node[start], length)
-        own = first != node
-        pairs = np.unique(np.stack((first[own], node[own]), 1), axis=0)
-        groups = {node[s : s + n].tobytes() for s, n in zip(start[length > 2].tolist(), length[length > 2].tolist(), strict=True)}
-        a, b = (pa.array(np.concatenate((pairs[:, k], np.zeros(len(groups), np.int64)))) for k in (0, 1))
-        return pa.table({"kind": pa.array([0] * len(pairs) + [1] * len(groups), pa.int32()), "a": a, "b": b, "members": pa.array([None] * len(pairs) + sorted(groups), pa.binary())})
+        keep = (np.repeat(length, length) > 1) & (node > 0)
+        name = lambda h: ((h >> U(2)) << U(1)).astype(np.int64)  # noqa: E731  even; nodes are odd
+        unit = np.concatenate((np.where(first > 0, first, name(h))[keep], name(far_h)))
+        pairs = np.unique(np.stack((unit, np.concatenate((node[keep], far))), 1), axis=0)
+        return pa.table({"unit": pa.array(pairs[:, 0]), "node": pa.array(pairs[:, 1])})
 
-    return own.select("text").mapInArrow(index, "bucket int, hashes binary, nodes binary").groupBy("bucket").applyInArrow(meet, "kind int, a long, b long, members binary")
+    sent = own.select("text").mapInArrow(index, "bucket int, hot boolean, hashes binary, nodes binary")
+    return sent.groupBy("bucket").applyInArrow(meet, "unit long, node long").distinct()
 
 
-def verify(own: DataFrame, pairs: DataFrame, percent: int, size: int) -> DataFrame:
-    """The pairs of nodes (a, b) whose sets link. pairs: stored, distinct."""
-    needed = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct().checkpoint()
+def texts_of(own: DataFrame, needed: DataFrame, size: int) -> DataFrame:
+    """(node, text) of the nodes in `needed`, which is stored and distinct."""
     n = needed.count()
     bits = 1 << max(16, min(26, (8 * n).bit_length()))
     flags = np.zeros(bits // 64, np.int64)
@@ -258,59 +274,191 @@ def verify(own: DataFrame, pairs: DataFrame, percent: int, size: int) -> DataFra
                 keep = first if maybe.value is None else first[(maybe.value[k // 64] >> (k % 64)) & 1 == 1]
                 yield pa.RecordBatch.from_arrays([pa.array(node[keep]), batch.column("text").slice(i, j - i).take(pa.array(keep))], ["node", "text"])
 
-    held = own.select("text").mapInArrow(texts, "node long, text string").groupBy("node").agg(F.first("text").alias("text")).join(needed, "node", "left_semi").checkpoint()
-    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(MEMBERS)).alias("parts"))
-    split = pairs.join(parts, "a").select("a", "b", F.expr("cast(pmod(xxhash64(b), parts) as int)").alias("part"))
-    split = split.checkpoint()
-    groups = 1 + split.count() // ROWS_PER_GROUP
-    leaders = split.select("a", "part").distinct()
-    one = leaders.join(held, leaders["a"] == held["node"]).select("a", "part", F.lit(0).cast("long").alias("b"), "text")
-    two = split.join(held, split["b"] == held["node"]).select("a", "part", "b", "text")
-    bucket = F.expr(f"cast(pmod(xxhash64(a, part), {groups}) as int)")
-
-    def compare(rows: pa.Table) -> pa.Table:
-        a, part, b = (np.array(rows[c].to_pylist()) for c in ("a", "part", "b"))
-        sets = []
-        for i, j, words in chunks(rows["text"], SPACED):
-            doc, h = shingles(words, size)
-            sets += np.split(h, np.searchsorted(doc, np.arange(1, j - i)))
-        order = np.lexsort((b, part, a))
-        out = []
-        cut = np.flatnonzero(np.diff(a[order]) | np.diff(part[order])) + 1
-        for own in np.split(order, cut):
-            head, rest = sets[own[0]], own[1:]
-            if not len(rest):
-                continue
-            size_b = np.array([len(sets[k]) for k in rest])
-            of = np.repeat(np.arange(len(rest)), size_b)
-            shared_n = np.bincount(of, np.isin(np.concatenate([sets[k] for k in rest]), head), len(rest)).astype(np.int64)
-            out.append(rest[100 * shared_n >= percent * (size_b + len(head) - shared_n)])
-        good = np.concatenate(out) if out else np.empty(0, np.int64)
-        return pa.table({"a": pa.array(a[good], pa.int64()), "b": pa.array(b[good], pa.int64())})
-
-    return one.unionAll(two).withColumn("bucket", bucket).groupBy("bucket").applyInArrow(compare, "a long, b long").checkpoint()
-
-
-def across(groups: DataFrame, roots: DataFrame, done: DataFrame) -> DataFrame:
-    """Pairs of nodes of one group in different components that are not compared yet."""
-    groups = groups.withColumn("g", F.xxhash64("members"))
-
-    def members(batches):
-        for batch in batches:
-            nodes = [np.frombuffer(x, np.int64) for x in batch.column("members").to_pylist()]
-            if nodes:
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(batch.column("g").to_pylist(), np.int64), [len(x) for x in nodes])), pa.array(np.concatenate(nodes))], ["g", "node"])
+    return own.select("text").mapInArrow(texts, "node long, text string").groupBy("node").agg(F.first("text").alias("text")).join(needed, "node", "left_semi")
+
+
+def resolve(unit: np.ndarray, node: np.ndarray, doc: np.ndarray, h: np.ndarray, percent: int) -> list[np.ndarray]:
+    """Links (two arrays of nodes) that join all linked nodes of each unit. doc, h: the rows' shingles."""
+    lose, take = 100 - percent, 100 + percent
+    _, unit = np.unique(unit, return_inverse=True)
+    size = np.bincount(doc, minlength=len(node))
+    members = np.bincount(unit)
+    order = np.lexsort((h, unit[doc]))
+    doc, h = doc[order], h[order]
+    of = unit[doc]
+    new = np.concatenate(([True], (of[1:] != of[:-1]) | (h[1:] != h[:-1])))
+    run, start = np.cumsum(new) - 1, np.flatnonzero(new)
+    count = np.diff(np.append(start, len(h)))
+    central = 2 * count > members[of[start]]
+    centre = np.bincount(of[start], central, len(members)).astype(np.int64)[unit]
+    hit = np.bincount(doc, central[run], len(node)).astype(np.int64)
+    # linked: take * differences <= lose * (size + size), where differences = own + own - 2 * shared
+    cost = take * (size + centre - 2 * hit) - lose * size
+    order = np.lexsort((node, cost, unit))
+    head = order[np.flatnonzero(np.diff(unit[order], prepend=-1))][unit]
+    rows = np.arange(len(node))
+    sure = (cost + cost[head] <= 0) & (head != rows)
+    out = [np.stack((node[head[sure]], node[sure]))]
+    common = np.bincount(doc, ~central[run] & (count[run] > 1), len(node)).astype(np.int64) + centre - hit
+    live = cost + cost[head] <= 2 * take * common
+    others = np.bincount(unit[live & ~sure & (head != rows)], minlength=len(members))
+    live &= (others > 0)[unit]
+    for u in np.flatnonzero((others > 0) & (np.bincount(unit[live], minlength=len(members)) > 1)).tolist():
+        mine = np.flatnonzero(live & (unit == u))
+        label = np.where(sure[mine] | (head[mine] == mine), head[mine], mine)
+        a, b = np.searchsorted(of, (u, u + 1))
+        out += differing(mine, label, cost, node, doc[a:b], h[a:b], central[run[a:b]], percent)
+    return out
+
+
+def differing(mine, label, cost, node, doc, h, central, percent) -> list[np.ndarray]:
+    """Links between rows `mine` of one unit with different labels, by the differences they share. doc, h, central: the unit's shingles by hash."""
+    take, out = 2 * (100 + percent), []
+    label, cost, names = label.copy(), cost[mine], node[mine]
+    place = np.full(max(int(doc.max()), int(mine.max())) + 1, -1)
+    place[mine] = np.arange(len(mine))
+    kept = place[doc] >= 0
+    mine_doc, mine_h, mine_central = place[doc[kept]], h[kept], central[kept]
+    code, item = np.unique(mine_h, return_inverse=True)
+    middle = np.unique(h[central])
+    # differences: own shingles outside the centre, and the centre's shingles that a row lacks
+    has = np.searchsorted(middle, mine_h[mine_central])
+    lacks = np.ones((len(mine), len(middle)), bool) if len(mine) * len(middle) < 50_000_000 else None
+    if lacks is not None:
+        lacks[mine_doc[mine_central], has] = False
+        who, what = np.nonzero(lacks)
+    else:
+        own = np.sort(mine_doc[mine_central].astype(np.int64) * len(middle) + has)
+        whole = [np.setdiff1d(np.arange(r * len(middle), (r + 1) * len(middle)), own[slice(*np.searchsorted(own, (r * len(middle), (r + 1) * len(middle))))], assume_unique=True) for r in range(len(mine))]
+        whole = np.concatenate(whole)
+        who, what = whole // len(middle), whole % len(middle)
+    row = np.concatenate((mine_doc[~mine_central], who))
+    item = np.concatenate((item[~mine_central], len(code) + what))
+    alive = np.ones(len(mine), bool)
+    while True:  # rows that share too few differences go, and what only they shared
+        keep = alive[row]
+        row, item = row[keep], item[keep]
+        n = np.bincount(item, minlength=len(code) + len(middle))
+        keep = n[item] > 1
+        row, item = row[keep], item[keep]
+        least = cost[alive].min() if alive.any() else 0
+        still = alive & (cost + least <= take * np.bincount(row, minlength=len(mine)))
+        if still.sum() == alive.sum():
+            break
+        alive = still
+    if len(np.unique(label[alive])) < 2:
+        return out
+
+    def join(x, others):
+        for c in np.unique(label[others]):
+            if c != label[x]:
+                y = others[label[others] == c][0]
+                out.append(np.array([[names[x]], [names[y]]]))
+                label[label == c] = label[x]
+
+    order = np.lexsort((row, item))
+    row, item = row[order], item[order]
+    first = np.flatnonzero(np.diff(item, prepend=-1))
+    n = np.diff(np.append(first, len(item)))
+    for k in np.flatnonzero(n > LONG_LIST)[np.argsort(-n[n > LONG_LIST], kind="stable")].tolist():
+        part = row[first[k] : first[k] + n[k]]
+        if len(np.unique(label[part])) > 1:  # a unit of its own, of at most half the nodes
+            inside = np.full(len(mine), -1)
+            inside[part] = np.arange(len(part))
+            sub = inside[mine_doc] >= 0
+            at = {int(x): k for k, x in enumerate(names)}
+            for link in resolve(np.zeros(len(part), np.int64), names[part], inside[mine_doc[sub]], mine_h[sub], percent):
+                for a, b in link.T:
+                    join(at[int(a)], np.array([at[int(b)]]))
+    short = np.repeat(n <= LONG_LIST, n)
+    row, item = row[short], item[short]
+    first = np.flatnonzero(np.diff(item, prepend=-1))
+    n = np.diff(np.append(first, len(item)))
+    group = np.repeat(np.arange(len(first)), n)
+    by_row = np.argsort(row, kind="stable")
+    cut = np.searchsorted(row[by_row], np.arange(len(mine) + 1))
+    for x in np.flatnonzero(alive).tolist():
+        lists = group[by_row[cut[x] : cut[x + 1]]]
+        if len(lists):
+            lo, size = first[lists], n[lists]
+            other = row[np.repeat(lo - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())]
+            other, both = np.unique(other[(label[other] != label[x]) & (other > x)], return_counts=True)
+            join(x, other[cost[x] + cost[other] <= take * both])
+    return out
+
+
+def resolve_units(members: DataFrame, total: int, percent: int, size: int) -> DataFrame:
+    """Links (a, b) of units that fit a task. members: unit, node, text; total: their shingles."""
 
-    flat = groups.select("g", "members").mapInArrow(members, "g long, node long")
-    flat = flat.join(roots, "node").select("g", "node", "root")
-    mixed = flat.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("g")
-    flat = flat.join(mixed, "g").checkpoint()
-    x, y = flat.alias("x"), flat.alias("y")
-    pairs = x.join(y, (F.col("x.g") == F.col("y.g")) & (F.col("x.root") != F.col("y.root")) & (F.col("x.node") < F.col("y.node"))).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    return pairs.join(done, ["a", "b"], "left_anti").checkpoint()
+    def run(rows: pa.Table) -> pa.Table:
+        parts = [(doc + i, h) for i, _, words in chunks(rows["text"], SPACED) for doc, h in [shingles(words, size)]]
+        doc, h = (np.concatenate(x) for x in zip(*parts, strict=True))
+        unit, node = (rows[c].to_numpy() for c in ("unit", "node"))
+        found = np.concatenate(resolve(unit, node, doc, h, percent), 1)
+        return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
 
+    bucket = F.expr(f"cast(pmod(xxhash64(unit), {1 + total // TASK_SHINGLES}) as int)")
+    return members.select("unit", "node", "text", bucket.alias("bucket")).groupBy("bucket").applyInArrow(run, "a long, b long")
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS, hot_share: float = HOT_SHARE, buckets: int | None = None) -> DataFrame:
+
+def split_units(members: DataFrame, percent: int, size: int) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) and smaller units (unit, node) that hold all other linked pairs. members: unit, node, text, n, stored."""
+    lose, take = 100 - percent, 100 + percent
+
+    def each(batches):
+        for batch in batches:
+            for i, j, words in chunks(batch.column("text"), SPACED):
+                doc, h = shingles(words, size)
+                yield pa.RecordBatch.from_arrays([batch.column("unit").take(pa.array(i + doc)), pa.array(h.view(np.int64))], ["unit", "h"])
+
+    nodes = members.groupBy("unit").agg(F.count("*").alias("members"))
+    held = members.select("unit", "text").mapInArrow(each, "unit long, h long").groupBy("unit", "h").agg(F.count("*").alias("count"))
+    centres = nodes.join(held.join(nodes, "unit").where("2 * count > members").groupBy("unit").agg(F.collect_list("h").alias("centre")), "unit", "left").select("unit", "centre").checkpoint()
+
+    def differ(batches):
+        for batch in batches:
+            centre = [np.array(x or [], np.int64).view(U) for x in batch.column("centre").to_pylist()]
+            for i, j, words in chunks(batch.column("text"), SPACED):
+                doc, h = shingles(words, size)
+                own = [np.setxor1d(x, centre[i + k], assume_unique=True).view(np.int64) for k, x in enumerate(np.split(h, np.searchsorted(doc, np.arange(1, j - i))))]
+                yield pa.RecordBatch.from_arrays([batch.column(c).slice(i, j - i) for c in ("unit", "node", "n")] + [pa.array(own, pa.list_(pa.int64()))], ["unit", "node", "n", "items"])
+
+    rows = members.join(centres, "unit").mapInArrow(differ, "unit long, node long, n long, items array<long>")
+    rows = rows.select("unit", "node", (take * F.size("items") - lose * F.col("n")).alias("cost"), "items").checkpoint()
+    heads = rows.groupBy("unit").agg(F.min(F.struct("cost", "node")).alias("head"))
+    rows = rows.join(heads, "unit").withColumn("sure", F.expr("cost + head.cost <= 0"))
+    links = rows.where("sure and node <> head.node").select(F.col("head.node").alias("a"), F.col("node").alias("b"))
+    items = rows.select("unit", "node", "cost", F.col("head.cost").alias("least"), "sure", F.explode("items").alias("item"))
+    many = items.groupBy("unit", "item").agg(F.count("*").alias("count"), F.bool_and("sure").alias("all_sure")).where("count > 1")
+    by_row = Window.partitionBy("unit", "node")
+    # a prefix of the rarest: two linked rows share more differences than either leaves out
+    items = items.join(many, ["unit", "item"]).withColumn("rank", F.row_number().over(by_row.orderBy("count", "item"))).withColumn("common", F.count("*").over(by_row))
+    items = items.where(f"not all_sure and rank <= common + 1 - greatest(1, ceil((cost + least) / {2 * take}))")
+    units = items.select(F.xxhash64("unit", "item").alias("unit"), "node").distinct()
+    return links, units
+
+
+def links_between(own: DataFrame, units: DataFrame, nodes: DataFrame, percent: int, size: int, unit_shingles: int = UNIT_SHINGLES) -> DataFrame:
+    """Links (a, b) that join all linked nodes of each unit (unit, node). nodes: node, n (shingles), stored."""
+    units = units.checkpoint()
+    texts = texts_of(own, units.select("node").distinct().checkpoint(), size).checkpoint()
+    found = None
+    while True:
+        sized = units.join(nodes, "node")
+        totals = sized.groupBy("unit").agg(F.sum("n").alias("total"), F.count("*").alias("members")).where("members > 1").checkpoint()
+        fits = F.col("total") <= unit_shingles
+        total, large = totals.agg(F.coalesce(F.sum(F.when(fits, F.col("total"))), F.lit(0)), F.count(F.when(~fits, 1))).first()
+        small = units.join(totals.where(fits), "unit", "left_semi").join(texts, "node")
+        links = resolve_units(small, total, percent, size).checkpoint()
+        found = links if found is None else found.unionAll(links)
+        if not large:
+            return found
+        members = sized.join(totals.where(~fits), "unit", "left_semi").join(texts, "node").checkpoint()
+        links, units = split_units(members, percent, size)
+        found, units = found.unionAll(links.checkpoint()), units.checkpoint()
+
+
+def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS, hot_share: float = HOT_SHARE, buckets: int | None = None, unit_shingles: int = UNIT_SHINGLES) -> DataFrame:
     """id, n_shingles, component_id (the smallest id reachable by links), node (equal for equal sets); one row for each document."""
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType.simpleString()
     shared(spark)
@@ -320,15 +468,9 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
     n_docs, most = facts.agg(F.count("*"), F.coalesce(F.max("n_shingles"), F.lit(1))).first()
     hot, agree = _frequent(own, n_docs, size, sample_rows, hot_share)
     plan = spark.sparkContext.broadcast(Plan(percent, max(1, most), n_docs, agree, hot))
-    met = index_groups(own, plan, size, buckets).checkpoint()
-    pairs = met.where("kind = 0").select("a", "b").distinct().checkpoint()
-    links = verify(own, pairs, percent, size)
-    nodes = facts.where("node > 0").select("node").distinct().checkpoint()
+    nodes = facts.where("node > 0").groupBy("node").agg(F.first("n_shingles").alias("n")).checkpoint()
+    links = links_between(own, index_units(own, plan, size, buckets), nodes, percent, size, unit_shingles)
     roots = components(nodes, links).checkpoint()
-    rest = across(met.where("kind = 1"), roots, pairs)
-    if not rest.isEmpty():
-        more = verify(own, rest, percent, size)
-        roots = components(nodes, links.unionAll(more)).checkpoint()
     named = facts.join(roots, "node", "left").select("id", "n_shingles", "node", "root").checkpoint()
     least = named.where("root is not null").groupBy("root").agg(F.min("id").alias("least")).checkpoint()
     out = named.join(least, "root", "left")

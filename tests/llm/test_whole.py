@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from methspark.llm import align, decontaminate, packing, quality_rules, substring_dedup
+from methspark.llm import align, decontaminate, jaccard_join, packing, quality_rules, substring_dedup
 
 from .test_llm import SCHEMA, corpus, docs, empty, prose  # noqa: F401
 
@@ -138,3 +138,69 @@ def test_small_languages_are_judged(spark):
     got = {r.doc_id: r for r in quality_rules.judged(spark.createDataFrame(rows, SCHEMA)).select("doc_id", "quality.*").collect()}
     assert all(got[k].kept and got[k].char_distance is not None and got[k].word_distance is not None for k in range(len(texts)))
     assert not got[len(texts)].kept and not got[len(texts)].base_failed
+
+
+def brute_components(sets, percent):
+    """The least index reachable over links of 100 * shared >= percent * union, by lists of the sets that hold each element."""
+    root, where = list(range(len(sets))), {}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for i, s in enumerate(sets):
+        shared = {}
+        for e in s:
+            for j in where.setdefault(e, []):
+                shared[j] = shared.get(j, 0) + 1
+            where[e].append(i)
+        for j, n in shared.items():
+            if 100 * n >= percent * (len(s) + len(sets[j]) - n):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return [find(i) for i in range(len(sets))]
+
+
+def test_units_are_resolved_exactly(monkeypatch):
+    """Random units of near copies of several centres: the links join what brute force joins, with short and with long lists."""
+    rng = np.random.default_rng(11)
+    for turn in range(60):
+        percent, rows = (85, 80, 50)[turn % 3], []
+        for _ in range(rng.integers(1, 4)):
+            base = rng.choice(400, rng.integers(5, 60), replace=False)
+            for _ in range(rng.integers(1, 25)):
+                own = base[rng.random(len(base)) > rng.choice([0, 0.03, 0.1, 0.2])]
+                rows.append(np.unique(np.concatenate((own, rng.choice(400, rng.integers(0, 6))))).astype(np.uint64))
+        rows = [np.array(x, np.uint64) for x in {tuple(r.tolist()) for r in rows if len(r)}]
+        monkeypatch.setattr(jaccard_join, "LONG_LIST", (2, 1000)[turn % 2])
+        doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        found = np.concatenate(jaccard_join.resolve(np.full(len(rows), 7), np.arange(len(rows)), doc, np.concatenate(rows), percent), 1)
+        want = brute_components([set(r.tolist()) for r in rows], percent)
+        for a, b in found.T:
+            both = len(np.intersect1d(rows[a], rows[b]))
+            assert 100 * both >= percent * (len(rows[a]) + len(rows[b]) - both)
+        root = list(range(len(rows)))
+        for a, b in [*found.T, *found.T[::-1]] * 3:
+            root = [min(root[a], root[b]) if x in (root[a], root[b]) else x for x in root]
+        assert root == want
+
+
+def test_large_groups_of_near_copies(spark, monkeypatch):
+    """3,000 near copies, most of them apart, and 1,500 texts that share a passage alone: as brute force, whatever the size of a unit."""
+    rng = np.random.default_rng(12)
+    base, passage, rows = prose(700, 120, 3000).split(), prose(701, 30, 3000), []
+    for k in range(3000):
+        w = list(base)
+        for at in rng.integers(0, len(w), k % 6):
+            w[at] = f"e{rng.integers(40 if k % 2 else 10**6)}"
+        rows.append(" ".join(w))
+    rows += [passage + " " + prose(5000 + k, 12 + k % 90, 3000) for k in range(1500)]
+    table = spark.createDataFrame([(k, t, *[None] * 6) for k, t in enumerate(rows)], SCHEMA)
+    grams = [{tuple(w[k : k + 4]) for k in range(len(w) - 3)} for w in (t.split() for t in rows)]
+    want = brute_components(grams, 85)
+    for unit, hot in ((jaccard_join.UNIT_SHINGLES, jaccard_join.HOT_ROWS), (20_000, 50)):
+        monkeypatch.setattr(jaccard_join, "HOT_ROWS", hot)
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(table.repartition(3), unit_shingles=unit).collect()}
+        assert [got[k] for k in range(len(rows))] == [(len(g), c) for g, c in zip(grams, want, strict=True)]
