@@ -1,4 +1,4 @@
-"""Shared folder for checkpoints."""
+"""Shared folder for checkpoints, places of rows, and components of links."""
 
 from __future__ import annotations
 
@@ -8,13 +8,51 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+MAX_FILES = 50_000
+
+
 def shared(spark: SparkSession) -> None:
-    """Makes sure that checkpoint() has a folder: the session's spark.checkpoint.dir, else (local tests) a new one."""
+    """Makes sure that checkpoint() has a folder: the session's spark.checkpoint.dir, else (local mode only) a new one."""
     if spark.sparkContext.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
 
 
+def free(columns: list[str], *names: str) -> tuple[str, ...]:
+    """The names, lengthened until they clash with no column (nor with each other) in any case."""
+    taken, out = {c.lower() for c in columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return tuple(out)
+
+
+def placed(docs: DataFrame, name: str) -> DataFrame:
+    """docs with a long column of unique places that every reading gives alike, also if executors come and go.
+
+    Rows of stored Parquet files have their file's rank and their number in it; anything else is checkpointed."""
+    shared(docs.sparkSession)
+    plan, nodes = docs._jdf.queryExecution().analyzed(), []
+    while True:
+        nodes.append(plan.nodeName())
+        if plan.children().size() != 1:
+            break
+        plan = plan.children().apply(0)
+    scan = nodes[-1] == "LogicalRelation" and set(nodes[:-1]) <= {"Project", "Filter", "SubqueryAlias"} and "parquet" in plan.toString().lower() and docs._jdf.queryExecution().analyzed().deterministic()
+    path, number, rank = free([*docs.columns, name], "path", "number", "rank")
+    if scan and "_metadata" not in docs.columns:
+        files = [r[0] for r in docs.select("_metadata.file_path").distinct().limit(MAX_FILES + 1).collect()]
+        if len(files) <= MAX_FILES:
+            ranks = docs.sparkSession.createDataFrame([(f, k) for k, f in enumerate(sorted(files))], f"`{path}` string, `{rank}` long")
+            own = docs.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(number)).join(F.broadcast(ranks), path)
+            return own.select(*[F.col(f"`{c}`") for c in docs.columns], (F.shiftleft(rank, 40) + F.col(number)).alias(name))
+    return docs.withColumn(name, F.monotonically_increasing_id()).checkpoint()
+
+
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(node, root): the smallest node that each node reaches over the links (a, b).
 

@@ -1,90 +1,134 @@
-"""Banded alignment of two sequences of word hashes, a row of the band at a time."""
+"""Banded alignment of sequences of word hashes, many pairs at a time: one row of all their bands in each step."""
 
 from __future__ import annotations
 
 import numpy as np
 
-MATCH, MISMATCH, GAP = 1, -1, -1
-
-
-def local(a: np.ndarray, b: np.ndarray, lo: int, hi: int) -> tuple[int, int, int, int, int, int]:
-    """Best local alignment of a and b on diagonals lo to hi (b's place less a's).
-
-    Returns (score, matches, start in a, end, start in b, end); ends are exclusive. Score: 1 for a match,
-    -1 for a mismatch or a gap word; ties go to the earliest end in a, then b, and to the shortest start."""
-    best = (0, 0, 0, 0, 0, 0)
-    width = hi - lo + 1
-    if not len(a) or not len(b) or width <= 0:
-        return best
-    # each state packs score, matches and the start in one row of three arrays; column c of row i stands for b[i + lo + c]
-    score, match, sa, sb = (np.zeros(width + 1, np.int64) for _ in range(4))
-    step = np.arange(width)
-    for i in range(len(a)):
-        j = i + lo + step
-        inside = (j >= 0) & (j < len(b))
-        if not inside.any():
-            if i + lo >= len(b):
-                break
-            score, match, sa, sb = (np.zeros(width + 1, np.int64) for _ in range(4))
-            continue
-        eq = inside & (b[np.clip(j, 0, len(b) - 1)] == a[i])
-        d, dm, da, db = score[:width].copy(), match[:width].copy(), sa[:width].copy(), sb[:width].copy()
-        fresh = d <= 0
-        d[fresh], dm[fresh], da[fresh], db[fresh] = 0, 0, i, j[fresh]
-        d += np.where(eq, MATCH, MISMATCH)
-        dm += eq
-        up = score[1:] + GAP
-        take = up > d
-        d, dm, da, db = (np.where(take, y, x) for x, y in ((d, up), (dm, match[1:]), (da, sa[1:]), (db, sb[1:])))
-        d[~inside] = -(1 << 40)
-        # along the row: gap words of b
-        lifted = d - GAP * step
-        top = np.maximum.accumulate(lifted)
-        at = np.maximum.accumulate(np.where(lifted == top, step, 0))
-        d, dm, da, db = top + GAP * step, dm[at], da[at], db[at]
-        d = np.where(inside, np.maximum(d, 0), 0)
-        k = int(d.argmax())
-        if d[k] > best[0]:
-            best = (int(d[k]), int(dm[k]), int(da[k]), i + 1, int(db[k]), int(j[k]) + 1)
-        score, match, sa, sb = (np.append(x, 0) for x in (d, dm, da, db))
-    return best
-
-
-def passage(a: np.ndarray, b: np.ndarray, lo: int, hi: int) -> tuple[int, int, int, int, int, int]:
-    """As local(); equal sequences cost one comparison."""
-    if len(a) == len(b) and lo <= 0 <= hi and (a == b).all():
-        return len(a), len(a), 0, len(a), 0, len(b)
-    return local(a, b, lo, hi)
-
-
-def matched_words(a: np.ndarray, b: np.ndarray, lo: int, hi: int) -> np.ndarray:
-    """Which words of a match in a best alignment of all of a with all of b on diagonals lo to hi."""
-    width, least = hi - lo + 1, -(1 << 40)
-    step, moves, sources = np.arange(width), [], []
-    score = np.full(width + 1, least, np.int64)
-    if 0 <= -lo < width:
-        score[-lo] = 0  # before both: no word of a, none of b
-    for i in range(len(a)):
-        j = i + lo + step
-        inside = (j >= 0) & (j < len(b))
-        eq = inside & (b[np.clip(j, 0, len(b) - 1)] == a[i])
-        diagonal, up = score[:width] + np.where(eq, MATCH, MISMATCH), score[1:] + GAP
-        move = np.where(up > diagonal, 2, eq.astype(np.int8)).astype(np.int8)  # 0 a mismatch, 1 a match, 2 a word of a alone
-        d = np.where(inside, np.maximum(diagonal, up), least)
-        lifted = d - GAP * step
-        top = np.maximum.accumulate(lifted)
-        at = np.maximum.accumulate(np.where(lifted == top, step, 0))
-        score = np.append(np.where(inside, top + GAP * step, least), least)
-        moves.append(move)
-        sources.append(at.astype(np.int32))
-    out = np.zeros(len(a), bool)
-    c = len(b) - len(a) - lo
-    for i in range(len(a) - 1, -1, -1):
-        if not 0 <= c < width:
-            break
-        c = int(sources[i][c])
-        out[i] = moves[i][c] == 1
-        c += int(moves[i][c] == 2)
+ONE = 1 << 32  # scores are packed above 32 bits that count matches, so equal scores prefer more matches
+CELLS = 1 << 14
+MOVES = 1 << 25
+
+
+class Block:
+    """Pairs (a, b, lo, hi) side by side: column c of row i of a pair compares a[i] with b[i + lo + c], on diagonals lo to hi."""
+
+    def __init__(self, pairs: list[tuple[np.ndarray, np.ndarray, int, int]]):
+        self.length = np.array([len(a) for a, _, _, _ in pairs])
+        self.width = np.array([hi - lo + 1 for _, _, lo, hi in pairs])
+        n, w = int(self.length.max()), int(self.width.max())
+        self.a = np.zeros((len(pairs), n), np.uint32)
+        self.b = np.zeros((len(pairs), n + w), np.uint32)
+        self.there = np.zeros((len(pairs), n + w), bool)
+        for k, (a, b, lo, _) in enumerate(pairs):
+            self.a[k, : len(a)] = a
+            s, e = max(0, -lo), min(n + w, len(b) - lo)
+            if e > s:
+                self.b[k, s:e] = b[s + lo : e + lo]
+                self.there[k, s:e] = True
+        self.inside = np.arange(w) < self.width[:, None]
+        self.steps = np.arange(w) * ONE
+        self.column = np.broadcast_to(np.arange(w), (len(pairs), w))
+
+    def row(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which cells of row i exist, and which of them match."""
+        w = self.inside.shape[1]
+        cells = self.there[:, i : i + w] & self.inside & (i < self.length)[:, None]
+        return cells, cells & (self.b[:, i : i + w] == self.a[:, i : i + 1])
+
+    def along(self, score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Best scores with gap words of b before them, and the column each comes from."""
+        lifted = score + self.steps
+        top = np.maximum.accumulate(lifted, axis=1)
+        return top - self.steps, np.maximum.accumulate(np.where(lifted == top, self.column, 0), axis=1)
+
+
+def blocks(pairs: list[tuple], cells: int, area: int | None = None):
+    """Numbers of pairs of like length, as many as fit in `cells` of a row and `area` of a block."""
+    order = sorted(range(len(pairs)), key=lambda k: len(pairs[k][0]))
+    own, width = [], 0
+    for k in order:
+        n, w = len(pairs[k][0]), max(width, pairs[k][3] - pairs[k][2] + 1)
+        if own and ((len(own) + 1) * w > cells or n > 64 + 5 * len(pairs[own[0]][0]) // 4 or area and (len(own) + 1) * w * n > area):
+            yield own
+            own, w = [], pairs[k][3] - pairs[k][2] + 1
+        own.append(k)
+        width = w
+    if own:
+        yield own
+
+
+def local(pairs: list[tuple[np.ndarray, np.ndarray, int, int]]) -> list[tuple[int, int, int, int, int, int]]:
+    """Best local alignment of each pair on its diagonals (b's place less a's).
+
+    (score, matches, start in a, end, start in b, end) each; ends are exclusive. Score: 1 for a match, -1 for a
+    mismatch or a gap word; ties go to more matches, then to the earliest end in a, then b."""
+    out: list = [(0, 0, 0, 0, 0, 0)] * len(pairs)
+    for own in blocks(pairs, CELLS):
+        block = Block([pairs[k] for k in own])
+        n, w = len(own), block.inside.shape[1]
+        score, start = np.zeros((n, w + 1), np.int64), np.zeros((n, w + 1), np.int64)
+        best, begin, end = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        at = np.arange(n)
+        for i in range(block.a.shape[1]):
+            cells, equal = block.row(i)
+            d = score[:, :w]
+            fresh = d < ONE
+            s = np.where(fresh, i * w + block.column, start[:, :w])
+            d = np.where(fresh, 0, d) + np.where(equal, ONE + 1, -ONE)
+            up = score[:, 1:] - ONE
+            take = up > d
+            d, s = np.where(take, up, d), np.where(take, start[:, 1:], s)
+            d[~cells] = -(1 << 60)
+            d, source = block.along(d)
+            s = np.take_along_axis(s, source, 1)
+            d[~cells] = 0
+            np.maximum(d, 0, out=d)
+            k = d.argmax(1)
+            top = d[at, k]
+            better = top > best
+            if better.any():
+                best = np.where(better, top, best)
+                begin = np.where(better, s[at, k], begin)
+                end = np.where(better, i * w + k, end)
+            score[:, :w], start[:, :w] = d, s
+        for x, k in enumerate(own):
+            if best[x]:
+                lo, (i, c), (j, e) = pairs[k][2], divmod(int(begin[x]), w), divmod(int(end[x]), w)
+                out[k] = (int(best[x]) >> 32, int(best[x]) & (ONE - 1), i, j + 1, i + lo + c, j + lo + e + 1)
+    return out
+
+
+def matched_words(pairs: list[tuple[np.ndarray, np.ndarray, int, int]]) -> list[np.ndarray]:
+    """Which words of each a match in a best alignment of all of a with all of b on the pair's diagonals."""
+    out: list = [None] * len(pairs)
+    least = -(1 << 60)
+    for own in blocks(pairs, CELLS, MOVES):
+        block = Block([pairs[k] for k in own])
+        n, w = len(own), block.inside.shape[1]
+        origin = np.array([-pairs[k][2] for k in own])
+        score = np.full((n, w + 1), least, np.int64)
+        fits = (origin >= 0) & (origin < block.width)
+        score[np.flatnonzero(fits), origin[fits]] = 0  # before both: no word of a, none of b
+        moves, sources = [], []
+        for i in range(block.a.shape[1]):
+            cells, equal = block.row(i)
+            d, up = score[:, :w] + np.where(equal, ONE + 1, -ONE), score[:, 1:] - ONE
+            moves.append(np.where(up > d, 2, equal).astype(np.int8))  # 0 a mismatch, 1 a match, 2 a word of a alone
+            d = np.where(cells, np.maximum(d, up), least)
+            d, source = block.along(d)
+            sources.append(source.astype(np.int16 if w < 1 << 15 else np.int32))
+            score[:, :w] = np.where(cells, np.maximum(d, least), least)
+        flags = np.zeros(block.a.shape, bool)
+        c = np.array([len(pairs[k][1]) - len(pairs[k][0]) - pairs[k][2] for k in own])
+        for i in range(block.a.shape[1] - 1, -1, -1):
+            on = np.flatnonzero((i < block.length) & (c >= 0) & (c < block.width))
+            if len(on):
+                from_ = sources[i][on, c[on]].astype(np.int64)
+                move = moves[i][on, from_]
+                flags[on, i] = move == 1
+                c[on] = from_ + (move == 2)
+        for x, k in enumerate(own):
+            out[k] = flags[x, : block.length[x]]
     return out
 
 
@@ -105,22 +149,31 @@ def dense(flags: np.ndarray, least: int, share: float) -> list[tuple[int, int]]:
     return [*dense(flags[:s], least, share), (s, e), *((x + e, y + e) for x, y in dense(flags[e:], least, share))]
 
 
-def passages(a: np.ndarray, b: np.ndarray, lo: int, hi: int, least: int, share: float) -> list[tuple[int, int, int]]:
-    """(start, end, matches) in a, in order: disjoint passages of at least `least` words, `share` of which match b on the band.
+def passages(pairs: list[tuple[np.ndarray, np.ndarray, int, int]], least: int, share: float) -> list[list[tuple[int, int, int]]]:
+    """(start, end, matches) in each pair's a, in order: disjoint passages of at least `least` words, `share` of which match b on the band.
 
     The best local alignment, or its parts that pass if it does not as a whole; then so what lies before and after it in both."""
-    if len(a) < least or not len(b) or hi < lo:
-        return []
-    score, matched, s, e, c, d = passage(a, b, lo, hi)
-    # a passage with m of n words matched has at most n - m words of a alone and hi - lo more of b alone: no lower score than this
-    if score <= 0 or score < (3 * share - 2) * least - (hi - lo):
-        return []
-    out = []
-    if e - s < least:
-        pass
-    elif matched >= share * (e - s):
-        out = [(s, e, matched)]
-    else:
-        flags = matched_words(a[s:e], b[c:d], lo + s - c, hi + s - c)
-        out = [(s + x, s + y, int(flags[x:y].sum())) for x, y in dense(flags, least, share)]
-    return [*passages(a[:s], b[:c], lo, hi, least, share), *out, *((e + x, e + y, n) for x, y, n in passages(a[e:], b[d:], lo + e - d, hi + e - d, least, share))]
+    out: list = [[] for _ in pairs]
+    todo = [(k, 0, *p) for k, p in enumerate(pairs)]
+    while todo:
+        ready = []
+        for k, at, a, b, lo, hi in todo:
+            if len(a) < least or not len(b) or hi < lo:
+                continue
+            if len(a) == len(b) and lo <= 0 <= hi and (a == b).all():
+                out[k].append((at, at + len(a), len(a)))
+            else:
+                ready.append((k, at, a, b, lo, hi))
+        todo, part = [], []
+        for (k, at, a, b, lo, hi), (score, matched, s, e, c, d) in zip(ready, local([x[2:] for x in ready]), strict=True):
+            # a passage with m of n words matched has at most n - m words of a alone and hi - lo more of b alone: no lower score than this
+            if score <= 0 or score < (3 * share - 2) * least - (hi - lo):
+                continue
+            if e - s >= least and matched >= share * (e - s):
+                out[k].append((at + s, at + e, matched))
+            elif e - s >= least:
+                part.append((k, at + s, a[s:e], b[c:d], lo + s - c, hi + s - c))
+            todo += [(k, at, a[:s], b[:c], lo, hi), (k, at + e, a[e:], b[d:], lo + e - d, hi + e - d)]
+        for (k, at, *_), flags in zip(part, matched_words([x[2:] for x in part]), strict=True):
+            out[k] += [(at + x, at + y, int(flags[x:y].sum())) for x, y in dense(flags, least, share)]
+    return [sorted(x) for x in out]

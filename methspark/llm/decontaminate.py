@@ -4,7 +4,7 @@ Test items are lower-cased (A-Z), cut into words of digits, a-z and non-ASCII ch
 windows of ``window`` words (a shorter item is one window). The windows' hashes are broadcast, in
 blocks whose size is checked; training texts are scanned once per block, every hash hit is verified
 against the words themselves, and hit words are removed as spans or with their whole document.
-Nothing is shuffled while one block is enough, which holds up to ``MAX_WINDOWS`` distinct words.
+Nothing is shuffled. A block holds up to ``MAX_WINDOWS`` words, but for a single item that has more.
 
 Defined results: null or empty text has no words and no hit; null or empty items have no window;
 repeated items each count; repeated documents each keep their row; other columns are untouched.
@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._spark import free
 from ._text import ALNUM, chunks, runs, table, words_of
 
 WINDOW = 10
@@ -76,71 +77,61 @@ def window_blocks(items: DataFrame, window: int, item_col: str, text_col: str, m
 REPORT = "n_words long, hits array<struct<start:int,end:int>>, items array<string>"
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", max_windows: int = MAX_WINDOWS) -> DataFrame:
-    """Per document: id, n_words, hits (runs of hit words, [start, end) in words), items (those found)."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    parts = []
+def _marked(docs: DataFrame, items: DataFrame, window: int, text_col: str, item_col: str, item_text_col: str, max_windows: int) -> tuple[DataFrame, str, str, str]:
+    """docs with three columns, whose names are free: the hit words of each text, the items found and the number of words. Each block of items adds to them, by one pass that shuffles nothing."""
+    marks, names, sizes = free(docs.columns, "hit_words", "found_items", "n_words")
+    marked = docs.select("*", F.expr("cast(array() as array<int>)").alias(marks), F.expr("cast(array() as array<string>)").alias(names), F.lit(0).cast("long").alias(sizes))
     for held in window_blocks(items, window, item_col, item_text_col, max_windows):
 
-        def scan(batches, held=held):
+        def mark(batches, held=held):
             for batch in batches:
-                for i, j, words in chunks(batch.column("text"), ALNUM):
+                at, to, count = (batch.schema.get_field_index(c) for c in (marks, names, sizes))
+                hits, known, n_words = batch.column(at).to_pylist(), batch.column(to).to_pylist(), np.zeros(batch.num_rows, np.int64)
+                for i, j, words in chunks(batch.column(batch.schema.get_field_index(text_col)), ALNUM):
                     hit, found = held.value.scan(words)
-                    rows = []
-                    for k in range(j - i):
-                        if found[k]:
-                            s, e = runs(hit[words.first[k] : words.first[k + 1]])
-                            rows.append([{"start": a, "end": b} for a, b in zip(s.tolist(), e.tolist(), strict=True)])
-                        else:
-                            rows.append([])
-                    hits = pa.array(rows, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
-                    yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), batch.column("row").slice(i, j - i), pa.array(words.count, pa.int64()), hits, pa.array([sorted(x) for x in found], pa.list_(pa.string()))], ["id", "row", "n_words", "hits", "items"])
-
-        own = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"))
-        parts.append(own.mapInArrow(scan, f"id {kind}, row long, {REPORT}"))
-    out = parts[0]
-    if len(parts) > 1:  # one row for each document and block: merge what the blocks found
-        for p in parts[1:]:
-            out = out.unionAll(p)
-        merged = F.aggregate(
-            F.array_sort(F.flatten(F.collect_list("hits"))),
-            F.expr("array(named_struct('start', -1, 'end', -1))"),
-            lambda acc, x: F.when(x["start"] <= F.element_at(acc, -1)["end"], F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], x["end"]).alias("end"))))).otherwise(F.concat(acc, F.array(x))),
-        )
-        out = out.groupBy("id", "row").agg(F.first("n_words").alias("n_words"), merged.alias("hits"), F.array_sort(F.flatten(F.collect_set("items"))).alias("items"))
-        out = out.withColumn("hits", F.filter("hits", lambda x: x["start"] >= 0))
-    return out.select(F.col("id").alias(id_col), "n_words", "hits", F.array_distinct("items").alias("items"))
+                    n_words[i:j] = words.count
+                    for k in (k for k, x in enumerate(found) if x):
+                        hits[i + k] = np.union1d(hits[i + k], np.flatnonzero(hit[words.first[k] : words.first[k + 1]])).astype(np.int32)
+                        known[i + k] = sorted(found[k].union(known[i + k]))
+                batch = batch.set_column(at, batch.schema.field(at), pa.array(hits, batch.schema.field(at).type))
+                batch = batch.set_column(to, batch.schema.field(to), pa.array(known, batch.schema.field(to).type))
+                yield batch.set_column(count, batch.schema.field(count), pa.array(n_words))
+
+        marked = marked.mapInArrow(mark, marked.schema)
+    return marked, marks, names, sizes
+
+
+def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", max_windows: int = MAX_WINDOWS) -> DataFrame:
+    """Per document: id, n_words, hits (runs of hit words, [start, end) in words), items (those found)."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    marked, marks, names, sizes = _marked(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), items, window, "text", item_col, item_text_col, max_windows)
+
+    def report(batches):
+        for batch in batches:
+            hits = []
+            for x in batch.column(marks).to_pylist():
+                x = np.array(x, np.int64)
+                cut = np.flatnonzero(np.diff(x) > 1) + 1
+                hits.append([{"start": int(p[0]), "end": int(p[-1]) + 1} for p in np.split(x, cut)] if len(x) else [])
+            hits = pa.array(hits, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column(sizes), hits, batch.column(names)], ["id", "n_words", "hits", "items"])
+
+    out = marked.drop("text").mapInArrow(report, f"id {kind}, n_words long, hits array<struct<start:int,end:int>>, items array<string>")
+    return out.withColumnRenamed("id", id_col)
 
 
 def remove_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", whole_documents: bool = False, max_windows: int = MAX_WINDOWS) -> DataFrame:
     """The documents with every hit word cut out of the text, or without the documents that have one.
 
-    All columns are kept as they are; a text without a hit is returned byte for byte. Each block of test
-    items marks its hits (words of the text as given) in a further column; all are cut at once, after the
-    last block, so the result does not depend on the blocks.
+    All columns are kept as they are; a text without a hit is returned byte for byte. Hits of all blocks of
+    test items are words of the text as given and are cut at once, so the result does not depend on the blocks.
     """
-    marks = "_hit_words"
-    while marks in docs.columns:
-        marks += "_"
-    marked = docs.withColumn(marks, F.expr("cast(array() as array<int>)"))
-    for held in window_blocks(items, window, item_col, item_text_col, max_windows):
-
-        def mark(batches, held=held):
-            for batch in batches:
-                at = batch.schema.get_field_index(marks)
-                hits = batch.column(at).to_pylist()
-                for i, _, words in chunks(batch.column(batch.schema.get_field_index(text_col)), ALNUM):
-                    hit, found = held.value.scan(words)
-                    for k in (k for k, x in enumerate(found) if x):
-                        hits[i + k] = np.union1d(hits[i + k], np.flatnonzero(hit[words.first[k] : words.first[k + 1]])).astype(np.int32)
-                yield batch.set_column(at, batch.schema.field(at), pa.array(hits, batch.schema.field(at).type))
-
-        marked = marked.mapInArrow(mark, marked.schema)
+    marked, marks, names, sizes = _marked(docs, items, window, text_col, item_col, item_text_col, max_windows)
 
     def clean(batches):
         for batch in batches:
             hits, column = batch.column(marks).to_pylist(), batch.schema.get_field_index(text_col)
-            batch = batch.drop_columns([marks])
+            batch = batch.drop_columns([marks, names, sizes])
             if whole_documents:
                 yield batch.filter(pa.array([not x for x in hits], pa.bool_()))
                 continue

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._spark import shared
+from ._spark import free, shared
 from ._text import table
 
 MIN_WORDS = 50
@@ -158,25 +158,27 @@ def word_shares(words: Column, ref: Column, most: int) -> Column:
     return let(F.array_remove(F.transform(short, lambda x: F.array_position(ref, x).cast("int")), 0), count)
 
 
-def judged(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", common: int = COMMON_WORDS, common_chars: int = COMMON_CHARS, max_languages: int = MAX_LANGUAGES) -> DataFrame:
-    """The documents with a struct column ``quality``: the base counts, base_failed, char_distance, word_distance (null: no verdict) and kept."""
+def judged(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", common: int = COMMON_WORDS, common_chars: int = COMMON_CHARS, max_languages: int = MAX_LANGUAGES, quality_col: str = "quality") -> DataFrame:
+    """The documents with a struct column ``quality_col``, which must be new: the base counts, base_failed, char_distance, word_distance (null: no verdict) and kept."""
     shared(docs.sparkSession)
     refs = references(docs, lang_col, text_col, common, common_chars).checkpoint()
-    refs = refs.select([F.col(c).alias(f"_{c}") for c in refs.columns])
+    measures, *names = free([*docs.columns, quality_col], "measures", *refs.columns)
+    refs = refs.select([F.col(c).alias(n) for c, n in zip(refs.columns, names, strict=True)])
+    lang, ref_words, ref_shares, ref_classes = map(F.col, names)
     if refs.count() <= max_languages:
         refs = F.broadcast(refs)
-    out = docs.withColumn("_m", measured(F.col(text_col))).join(refs, F.coalesce(F.col(lang_col), F.lit("")) == F.col("_lang"), "left")
-    m, n = F.col("_m"), F.col("_m.n_words")
+    out = docs.withColumn(measures, measured(F.col(text_col))).join(refs, F.coalesce(F.col(lang_col), F.lit("")) == lang, "left")
+    m, n = F.col(measures), F.col(measures)["n_words"]
     total = F.aggregate(m["classes"], F.lit(0.0), lambda a, x: a + x)
     classes = let(total, lambda t: F.transform(m["classes"], lambda x: x / t))
-    chars = F.when(total >= MIN_CHARS, distance(classes, F.col("_ref_classes")))
-    words = F.when(n >= MIN_SAMPLE, distance(word_shares(m["words"], F.col("_ref_words"), common_chars), F.col("_ref_shares")))
+    chars = F.when(total >= MIN_CHARS, distance(classes, ref_classes))
+    words = F.when(n >= MIN_SAMPLE, distance(word_shares(m["words"], ref_words, common_chars), ref_shares))
     failed = (n < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * n)
     fields = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     first = F.struct(*[m[f].alias(f) for f in fields], failed.alias("base_failed"), chars.alias("char_distance"), words.alias("word_distance"))
     kept = lambda q: ~q["base_failed"] & (F.coalesce(q["char_distance"], F.lit(0.0)) <= MAX_CHAR_DISTANCE) & (F.coalesce(q["word_distance"], F.lit(0.0)) <= MAX_WORD_DISTANCE)
     quality = let(first, lambda q: F.struct(*[q[f].alias(f) for f in [*fields, "base_failed", "char_distance", "word_distance"]], kept(q).alias("kept")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], quality.alias("quality"))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns], quality.alias(quality_col))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

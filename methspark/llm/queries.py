@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
-
-from . import decontaminate, jaccard_join, license_scan, lm_score, packing, quality_model, quality_rules, sharding, substring_dedup, url_filter
+from . import decontaminate, jaccard_join, license_scan, lm_score, packing, pipeline, quality_model, quality_rules, sharding, substring_dedup, url_filter
 
 QUERIES = {
     "op1_lm_score": lm_score.query,
@@ -17,7 +15,7 @@ QUERIES = {
     "op8_license_scan": license_scan.query,
     "op9_jaccard_join": jaccard_join.query,
     "op10_url_filter": url_filter.query,
-    "pipeline": corpus_pipeline.run,
+    "pipeline": pipeline.run,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

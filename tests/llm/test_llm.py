@@ -266,18 +266,3 @@ def test_urls(spark, empty):
     wild = [url_filter.Rule("*.net", "/*/ads", "block"), url_filter.Rule("ads*.com", "", "block")]
     more = spark.createDataFrame([(1, "http://q.net/a/ads/1"), (2, "http://ads7.com"), (3, "http://net/ads")], "page_id long, url string")
     assert [r.verdict for r in url_filter.filter_urls(more, wild).orderBy("page_id").collect()] == ["block", "block", "allow"]
-
-
-def test_pipeline(spark, tmp_path):
-    import corpus_pipeline
-
-    rows = [r[:5] for r in corpus()]
-    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
-    spark.createDataFrame([(1, prose(7, 30))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
-    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
-    kept = corpus_pipeline.quality(spark, docs, str(tmp_path))
-    assert kept.columns == docs.columns and kept.where("doc_id in (0, 1, 3, 13)").count() == 0 and kept.where("doc_id = 7").count() == 1
-    kept.write.parquet(str(tmp_path / "a"))
-    one = corpus_pipeline.near_duplicates(spark, spark.read.parquet(str(tmp_path / "a")), str(tmp_path))
-    assert one.where("doc_id in (8, 9)").count() == 1
-    assert corpus_pipeline.run(spark, str(tmp_path)).where("length <= 0").count() == 0

@@ -113,7 +113,7 @@ def test_passages_inside_a_failed_alignment():
         share = np.where((np.arange(len(a)) // 65) % 2 == n % 2, 0.0, 0.42)
         off = rng.random(len(a)) < share
         b[off] += 1
-        got = align.passages(a, b, -8, 8, 50, 0.8)
+        got = align.passages([(a, b, -8, 8)], 50, 0.8)[0]
         left = np.ones(len(a), bool)
         for s, e, matched in got:
             assert e - s >= 50 and matched >= 0.8 * (e - s) and left[s:e].all() and matched == (~off[s:e]).sum()
