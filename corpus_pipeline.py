@@ -1,66 +1,5 @@
-"""The corpus pipeline: documents that survive the rules, without near duplicates, repeated passages and
-benchmark passages, packed into training windows.
+"""The corpus pipeline of ``methspark.llm.pipeline``: its stages, their SQL and run(spark, sf_dir)."""
 
-Each stage takes (spark, docs, sf_dir) and works on all its predecessor kept; all but the last return
-the columns of ``documents``, with ``n_chars`` as long as the text left.
-"""
+from methspark.llm.pipeline import ORACLE_SQL, STAGES, run
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from methspark.llm import decontaminate, jaccard_join, packing, quality_rules, substring_dedup
-from methspark.llm._spark import shared
-
-
-def _counted(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
-
-
-def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    judged = quality_rules.judged(docs)
-    return judged.where("quality.kept").drop("quality")
-
-
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of linked word shingles (five words, Jaccard 0.8 or more): the first by place."""
-    shared(spark)
-    placed = docs.withColumn("_row", F.monotonically_increasing_id())
-    found = jaccard_join.jaccard_components(placed.select("_row", "text"), percent=80, size=5, id_col="_row")
-    kept = found.where(F.col("component_id") == F.col("_row")).select("_row").checkpoint()
-    return placed.join(kept, "_row", "left_semi").drop("_row")
-
-
-def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages that an earlier one holds; one that is left without a word goes."""
-    out = _counted(substring_dedup.remove_repeats(docs))
-    return out.where(F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
-
-
-def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the words that occur in windows of benchmark items."""
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _counted(decontaminate.remove_contamination(docs, items))
-
-
-def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' pieces in windows of 2048 tokens."""
-    return packing.pack(docs, *packing.public_files())
-
-
-STAGES = [("quality rules", quality), ("near duplicates", near_duplicates), ("substring dedup", repeated_passages), ("decontamination", benchmark_passages), ("packing", packed)]
-#: The stages' operators have no SQL form; tests hold parts of each against brute force, but not all stages in order.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents. Each stage's rows are stored in the shared folder before the next reads them."""
-    shared(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{spark.sparkContext._jvm.java.util.UUID.randomUUID()}"
-    for k, (_, stage) in enumerate(STAGES[:-1]):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
-        docs = spark.read.parquet(f"{folder}/{k}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
