@@ -1,17 +1,19 @@
 """Lexical retrieval packing of documents into windows of tokens.
 
-Document frequencies and the mean length are counted over all documents. Documents are sorted by their
-signature (their heaviest terms by BM25 that another document holds too, heaviest first) and cut into
-shards of about ``DOCS_PER_SHARD``, so documents with the same heavy terms stand together; a hot first
-term is divided by the next ones. A shard's task tokenizes its documents, builds an inverted index with
-the corpus-wide statistics, and fills one window after another: the seed (the lowest unused document in
-hash order) asks the index with all its terms, and its unused neighbours follow by falling score until
-the window is full. What does not fit is cut and opens the next window, so only a shard's last window
-has padding. A neighbour in another shard is not found; the README gives the share.
-
-A task holds one shard, which does not grow with the table. Ids come from the given tokenizer file;
-texts with characters beyond the plain ones are cut at single spaces between other characters, where its
-pattern always splits, and each distinct piece is tokenized once.
+Document frequencies and the mean length are counted over all documents. Each document gets a signature:
+its heaviest terms by BM25 that another document holds too. Documents are dealt to partitions by the first
+of them (by more of them, and by their id, where it is so frequent that a partition would grow), sorted by
+signature there and cut into shards of about ``DOCS_PER_SHARD``, so documents with the same heavy terms
+stand together. For each shard an inverted index is built with the corpus-wide statistics, and one window
+after another is filled: the seed (the lowest unused document in hash order) asks the index with all its
+terms, and its unused neighbours follow by falling score until the window is full. What does not fit is
+cut and opens the next window, so only a shard's last window has padding. A neighbour in another shard is
+not found; the README gives the share.
+
+A task holds one shard at a time, which does not grow with the table; one shuffle moves each text once.
+Terms are told apart by 44 bits of a hash. Texts are cut at single spaces between other characters, where
+the tokenizer's pattern always splits, and each distinct piece (by a 64-bit hash) is tokenized once: by
+the same vocabulary's ranks if its characters are plain, else by the tokenizer file itself.
 
 Defined results: null or empty texts hold the end id alone; a document longer than a window spans
 several; repeated rows are packed each; an empty table gives no row; extra columns are ignored.
@@ -22,7 +24,6 @@ from __future__ import annotations
 import base64
 import re
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._spark import shared
-from ._text import ALNUM, U, Words, buffers, chunks, table
+from ._text import ALNUM, U, buffers, chunks, hash_spans, mix, table
 
 WINDOW = 2048
 DOCS_PER_SHARD = 1024
@@ -42,11 +43,14 @@ K1, B = 1.2, 0.75
 SPECIAL = "<|endoftext|>"
 PLAIN = re.compile("[\\n -~À-ɏ]*")
 CACHE = 400_000
+SHARD_BYTES = 8 << 20
+PARTITION_WORDS = 4_000_000
+DENSE = 8
 _encoders: dict = {}
 
 
 class Encoder:
-    """Ids of texts. Texts and pieces of plain characters go through the same vocabulary's ranks, all other pieces through the tokenizer file itself."""
+    """Ids of texts. Each distinct piece of a text is encoded once and remembered, up to CACHE of them."""
 
     def __init__(self, file: str, ranks: str | None, pattern: str | None):
         from tokenizers import Tokenizer
@@ -59,37 +63,92 @@ class Encoder:
             with open(ranks, "rb") as lines:
                 held = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
             self.fast = tiktoken.Encoding("plain", pat_str=pattern, mergeable_ranks=held, special_tokens={})
-        self.known: dict[str, tuple[int, ...]] = {}
+            self.size = np.zeros(max(held.values()) + 1, np.int64)
+            for word, rank in held.items():
+                self.size[rank] = len(word)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.count, self.start, self.pool = np.empty(0, U), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
 
     def plain(self, text: str) -> bool:
         return self.fast is not None and PLAIN.fullmatch(text) is not None and SPECIAL not in text
 
     def piece(self, text: str) -> list[int]:
-        if self.plain(text):
-            return self.fast.encode_ordinary(text)
-        return self.whole.encode(text, add_special_tokens=False).ids
-
-    def ids(self, text: str) -> np.ndarray:
-        if self.plain(text):
-            return np.array([*self.fast.encode_ordinary(text), END_ID], np.uint32)
-        known, parts = self.known, cut(text)
-        new = set(parts).difference(known)  # not "- known.keys()", which walks all of known
-        if len(known) + len(new) > CACHE:
-            known.clear()
-            new = set(parts)
-        for p in new:
-            known[p] = tuple(self.piece(p))
-        out = np.fromiter(chain.from_iterable(map(known.__getitem__, parts)), np.uint32)
-        return np.append(out, np.uint32(END_ID))
-
-
-SPLIT = re.compile(r"(?<=[^\s]) (?=[^\s])")
-
-
-def cut(text: str) -> list[str]:
-    """Pieces between which the tokenizer's pattern always splits: before a single space between two other characters."""
-    parts = SPLIT.split(text)
-    return [parts[0], *(" " + p for p in parts[1:])] if text else []
+        return self.fast.encode_ordinary(text) if self.plain(text) else self.whole.encode(text, add_special_tokens=False).ids
+
+    def _learn(self, raw: np.ndarray, h: np.ndarray, s: np.ndarray, e: np.ndarray, joins: np.ndarray) -> None:
+        """Encodes new pieces; those that can follow each other (a space before, none at the end) in one text, which is cut again by the tokens' sizes."""
+        size, counts, out = e - s, np.zeros(len(h), np.int64), []
+        many, rest = np.flatnonzero(joins), np.flatnonzero(~joins)
+        done = np.zeros(0, np.int64)
+        if len(many):
+            ends = np.cumsum(size[many])
+            at = np.repeat(s[many] - np.concatenate(([0], ends[:-1])), size[many]) + np.arange(ends[-1])
+            ids = np.array(self.fast.encode_ordinary(raw[at].tobytes().decode()), np.uint32)
+            told = np.cumsum(self.size[ids])
+            cut = np.minimum(np.searchsorted(told, ends), len(told) - 1)
+            if (told[cut] == ends).all():
+                counts[many] = np.diff(np.concatenate(([-1], cut)))
+                out, done = [ids], many
+            else:
+                rest = np.arange(len(h))
+        for k in rest.tolist():
+            ids = np.array(self.piece(raw[s[k] : e[k]].tobytes().decode()), np.uint32)
+            counts[k] = len(ids)
+            out.append(ids)
+        order = np.concatenate((done, rest))
+        starts = np.empty(len(h), np.int64)
+        starts[order] = len(self.pool) + np.concatenate(([0], np.cumsum(counts[order])[:-1]))
+        known = np.concatenate((self.known, h))
+        sort = np.argsort(known, kind="stable")
+        self.known, self.count, self.start = known[sort], np.concatenate((self.count, counts))[sort], np.concatenate((self.start, starts))[sort]
+        self.pool = np.concatenate((self.pool, *out)) if out else self.pool
+
+    def batch(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of consecutive texts, the end id after each, and their offsets."""
+        n = len(offsets) - 1
+        texts = [raw[a:b].tobytes().decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+        plain = np.array([self.plain(t) for t in texts], bool)
+        doc_plain = np.repeat(plain, np.diff(offsets))
+        solid = (raw > 0x20) & ((raw < 0x7F) | doc_plain)  # surely no white space
+        cut = raw == 0x20
+        cut[1:] &= solid[:-1]
+        cut[:-1] &= solid[1:]
+        if len(cut):
+            cut[-1] = False
+            starts = offsets[:-1][np.diff(offsets) > 0]
+            ends = offsets[1:][np.diff(offsets) > 0]
+            cut[ends - 1] = False  # a last space is not followed by its text's character
+            begin = cut.copy()
+            begin[starts] = True
+        else:
+            begin = cut
+        s = np.flatnonzero(begin)
+        e = np.append(s[1:], len(raw))
+        h = hash_spans(raw, s, e)
+        u, first, back = np.unique(h, return_index=True, return_inverse=True)
+        if len(self.known) + len(u) > CACHE:
+            self._forget()
+        at = np.searchsorted(self.known, u)
+        new = np.ones(len(u), bool) if not len(self.known) else self.known[np.minimum(at, len(self.known) - 1)] != u
+        if new.any():
+            where = first[new]
+            lone = ~((raw == 0x0A) | ((raw >= 0x20) & (raw < 0x7F)) | doc_plain)
+            if not plain.all():
+                lone |= (raw == ord("<")) & ~doc_plain  # may begin the special token
+            odd = np.concatenate(([0], np.cumsum(lone)))
+            joins = cut[s[where]] & solid[e[where] - 1] & (odd[e[where]] == odd[s[where]]) if self.fast else np.zeros(len(where), bool)
+            self._learn(raw, u[new], s[where], e[where], joins)
+            at = np.searchsorted(self.known, u)
+        count, start = self.count[at][back], self.start[at][back]
+        sizes = np.bincount(np.searchsorted(offsets, s, side="right") - 1, count, n).astype(np.int64) if len(s) else np.zeros(n, np.int64)
+        total = np.concatenate(([0], np.cumsum(sizes + 1)))
+        out = np.full(total[-1], END_ID, np.uint32)
+        inside = np.ones(total[-1], bool)
+        inside[total[1:] - 1] = False
+        out[inside] = self.pool[np.repeat(start - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())] if len(s) else 0
+        return out, total
 
 
 def encoder(file: str, ranks: str | None, pattern: str | None) -> Encoder:
@@ -99,11 +158,11 @@ def encoder(file: str, ranks: str | None, pattern: str | None) -> Encoder:
     return _encoders[key]
 
 
-def doc_terms(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct terms; and of each text's terms, by text and hash: the text, the term's number, its occurrences."""
-    term, at = np.unique(words.hash, return_inverse=True)
-    u, tf = np.unique(words.doc.astype(np.int64) * max(1, len(term)) + at, return_counts=True)
-    return term, u // max(1, len(term)), u % max(1, len(term)), tf
+def doc_terms(words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each text's distinct terms, by text and term: the text, the term (44 bits), its occurrences. At most 2**20 texts."""
+    key = np.sort((words.doc.astype(U) << U(44)) | (words.hash >> U(20)))
+    at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))[: len(key)]
+    return (key[at] >> U(44)).astype(np.int64), key[at] & U((1 << 44) - 1), np.diff(np.append(at, len(key)))
 
 
 def weights(df: np.ndarray, tf: np.ndarray, length: np.ndarray, n_docs: int, mean: float) -> np.ndarray:
@@ -112,13 +171,21 @@ def weights(df: np.ndarray, tf: np.ndarray, length: np.ndarray, n_docs: int, mea
 
 
 class BM25:
-    """Inverted index of one shard's texts, weighted by the whole corpus; documents that are used leave the results."""
+    """Inverted index of one shard's texts, weighted by the whole corpus; documents that are used leave the results.
+
+    The lists of terms that more than one in DENSE texts holds are kept as rows of a matrix."""
 
-    def __init__(self, words: Words, corpus_df: np.ndarray, n_docs: int, mean: float):
-        n = len(words.count)
-        term, doc, term_of, tf = doc_terms(words)
+    def __init__(self, doc: np.ndarray, term: np.ndarray, tf: np.ndarray, lengths: np.ndarray, corpus_df: np.ndarray, n_docs: int, mean: float):
+        n = len(lengths)
+        term, term_of = np.unique(term, return_inverse=True)
         df = np.bincount(term_of, minlength=len(term))
-        weight = weights(corpus_df, tf, words.count[doc], n_docs, mean)
+        weight = weights(corpus_df, tf, lengths[doc], n_docs, mean)
+        often = np.flatnonzero(df * DENSE > n)
+        self.row = np.full(len(term), -1)
+        self.row[often] = np.arange(len(often))
+        self.matrix = np.zeros((len(often), n))
+        own = self.row[term_of] >= 0
+        self.matrix[self.row[term_of[own]], doc[own]] = weight[own]
         self.query_start = np.searchsorted(doc, np.arange(n + 1))
         self.doc_terms, self.df = term_of, df
         order = np.argsort(term_of, kind="stable")
@@ -129,12 +196,13 @@ class BM25:
     def neighbours(self, seed: int, used: np.ndarray) -> np.ndarray:
         """Unused documents that share a term with the seed, best first, ties in order."""
         terms = self.doc_terms[self.query_start[seed] : self.query_start[seed + 1]]
-        terms = terms[self.df[terms] > 1]
-        if not len(terms):
-            return np.empty(0, np.int64)
-        lo, size = self.post_start[terms], self.df[terms]
-        at = np.repeat(lo - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
-        score = np.bincount(self.post_doc[at], self.post_weight[at], self.n)
+        rows = self.row[terms]
+        score = self.matrix[rows[rows >= 0]].sum(0)
+        terms = terms[(self.df[terms] > 1) & (rows < 0)]
+        if len(terms):
+            lo, size = self.post_start[terms], self.df[terms]
+            at = np.repeat(lo - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
+            score += np.bincount(self.post_doc[at], self.post_weight[at], self.n)
         score[used] = 0
         score[seed] = 0
         found = np.flatnonzero(score)
@@ -182,7 +250,7 @@ def vocabulary(own: DataFrame) -> tuple[DataFrame, int, int]:
 
         def flush():
             term, count = summed(held)
-            bucket = (term >> U(32)).astype(np.int64) % buckets
+            bucket = (term >> U(8)).astype(np.int64) % buckets
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
             at = [(k, order[a:b]) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a or not k]
@@ -190,8 +258,10 @@ def vocabulary(own: DataFrame) -> tuple[DataFrame, int, int]:
 
         for batch in batches:
             for i, j, words in chunks(batch.column("text"), ALNUM):
-                term, _, term_of, _ = doc_terms(words)
-                held.append((term, np.bincount(term_of, minlength=len(term))))
+                key = np.sort(((words.hash >> U(20)) << U(20)) | words.doc.astype(U))
+                term = key[np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))[: len(key)]] >> U(20)
+                at = np.flatnonzero(np.concatenate(([True], term[1:] != term[:-1])))[: len(term)]
+                held.append((term[at], np.diff(np.append(at, len(term)))))
                 docs, n_words = docs + j - i, n_words + len(words.hash)
                 if sum(len(t) for t, _ in held) > FLUSH:
                     held = [summed(held)]
@@ -225,76 +295,108 @@ def segments(found: DataFrame, most: int):
         yield found.sparkSession.sparkContext.broadcast(summed([(np.empty(0, U), np.empty(0, np.int64)), *parts]))
 
 
-def signed(own: DataFrame, kind: str, max_vocabulary: int) -> tuple[DataFrame, int, float]:
-    """id, text, dfs (documents of each of its terms, in order of the hash) and s0, s1, ... (its signature); the documents and the mean length.
+def signed(own: DataFrame, kind: str, max_vocabulary: int, docs_per_shard: int, partition_words: int) -> tuple[DataFrame, int, float, int]:
+    """id, text, dfs (documents of each of its terms, in order of the term), s0, s1, ... (its signature) and part; the documents, the mean length and the number of partitions.
 
     Each segment of the vocabulary is one pass over the texts, which fills in the terms it holds."""
     found, n_docs, n_words = vocabulary(own)
-    mean = n_words / max(1, n_docs)
+    mean, parts = n_words / max(1, n_docs), 1 + n_words // partition_words
+    limit = max(docs_per_shard, n_docs // (4 * parts))
     marks = [f"s{k}" for k in range(SIGNATURE)]
-    out = own.withColumn("dfs", F.lit(None).cast("binary"))
-    for held in segments(found, max_vocabulary):
+    out, held_all = own.select("id", "text", F.xxhash64("id").alias("salt"), F.lit(None).cast("binary").alias("dfs")), list(segments(found, max_vocabulary))
+    for number, held in enumerate(held_all):
 
         def look(batches, held=held):
             known, counts = held.value
             for batch in batches:
-                before = batch.column("dfs").to_pylist()
+                before, salts = batch.column("dfs").to_pylist(), np.array(batch.column("salt"))
                 for i, j, words in chunks(batch.column("text"), ALNUM):
-                    term, doc, term_of, tf = doc_terms(words)
+                    doc, term, tf = doc_terms(words)
                     df = np.ones(len(term), np.int64)
                     if len(known):
                         at = np.minimum(np.searchsorted(known, term), len(known) - 1)
                         df = np.where(known[at] == term, counts[at], 1)
-                    df = df[term_of]
                     if before[i] is not None:
                         df = np.maximum(df, np.frombuffer(b"".join(before[i:j]), np.uint32))
                     weight = np.where(df > 1, weights(df, tf, words.count[doc], n_docs, mean), -1.0)
-                    order = np.lexsort((term_of, -weight, doc))
                     cut = np.searchsorted(doc, np.arange(j - i + 1))
-                    sign = np.zeros((SIGNATURE, j - i), np.int64)
-                    for k in range(SIGNATURE):
-                        has = np.flatnonzero(cut[:-1] + k < cut[1:])
-                        own = order[cut[has] + k]
-                        sign[k, has] = np.where(df[own] > 1, term[term_of[own]].view(np.int64), 0)
+                    sign, often = np.zeros((SIGNATURE, j - i), np.int64), np.zeros((SIGNATURE, j - i), np.int64)
+                    has = np.flatnonzero(cut[:-1] < cut[1:])
+                    for k in range(SIGNATURE if len(has) else 0):
+                        best = np.maximum.reduceat(weight, cut[has])
+                        first = np.flatnonzero(weight == np.repeat(best, np.diff(cut)[has]))
+                        first = first[np.concatenate(([True], doc[first][1:] != doc[first][:-1]))]
+                        first = first[weight[first] > 0]
+                        sign[k, doc[first]], often[k, doc[first]] = term[first].view(np.int64), df[first]
+                        weight[first] = -1.0
+                    # a first term of too many documents is divided by the whole signature, and that by the id
+                    wide = -(-np.where(sign[0] != 0, often[0], n_docs) // limit)
+                    alike = -(-np.where(sign[-1] != 0, often.min(0), np.where(sign[0] != 0, often[0], n_docs)) // limit)
+                    whole = mix(sign.astype(U).T @ (np.arange(SIGNATURE).astype(U) * U(2654435762) + U(1)))
+                    part = mix(sign[0].astype(U) + whole % wide.astype(U) * U(0x9E3779B97F4A7C15)) + mix(salts[i:j].astype(U)) % alike.astype(U)
                     data = df.astype(np.uint32)
                     dfs = pa.array([data[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary())
-                    yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), batch.column("text").slice(i, j - i), dfs, *map(pa.array, sign)], ["id", "text", "dfs", *marks])
+                    yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), batch.column("text").slice(i, j - i), batch.column("salt").slice(i, j - i), dfs, *map(pa.array, sign), pa.array(part.view(np.int64))], ["id", "text", "salt", "dfs", *marks, "part"])
 
-        out = out.select("id", "text", "dfs").mapInArrow(look, f"id {kind}, text string, dfs binary, " + ", ".join(f"{m} long" for m in marks)).checkpoint()
-    return out, n_docs, mean
+        out = out.select("id", "text", "salt", "dfs").mapInArrow(look, f"id {kind}, text string, salt long, dfs binary, " + ", ".join(f"{m} long" for m in marks) + ", part long")
+        if number < len(held_all) - 1:
+            out = out.checkpoint()
+    return out, n_docs, mean, parts
 
 
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str | None = None, window: int = WINDOW, docs_per_shard: int = DOCS_PER_SHARD, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, max_vocabulary: int = MAX_VOCABULARY) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str | None = None, window: int = WINDOW, docs_per_shard: int = DOCS_PER_SHARD, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, max_vocabulary: int = MAX_VOCABULARY, partition_words: int = PARTITION_WORDS) -> DataFrame:
     """One row for each piece; ``with_ids`` adds the piece's token ids."""
     shared(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
-    own, n_docs, mean = signed(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), kind, max_vocabulary)
-    # each range of the order is a shard, and a partition; copies are divided by their id
-    own = own.repartitionByRange(1 + n_docs // docs_per_shard, *[F.col(f"s{k}") for k in range(SIGNATURE)], F.xxhash64("text"), F.xxhash64("id"))
+    own, n_docs, mean, parts = signed(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), kind, max_vocabulary, docs_per_shard, partition_words)
+    marks = [f"s{k}" for k in range(SIGNATURE)]
+    own = own.repartition(parts, "part").sortWithinPartitions(*marks, F.xxhash64("text"), "salt").select("id", "text", "dfs")
+
+    def shards(batches):
+        """Tables of at most docs_per_shard rows and, but for a single long one, SHARD_BYTES of text."""
+        held, rows, size = [], 0, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            _, offsets = buffers(batch.column("text"))
+            at = 0
+            while at < batch.num_rows:
+                end = min(batch.num_rows, at + docs_per_shard - rows)
+                end = min(end, max(at + (not rows), int(np.searchsorted(offsets, offsets[at] + SHARD_BYTES - size, side="right")) - 1))
+                if end > at:
+                    held.append(batch.slice(at, end - at))
+                    rows, size, at = rows + end - at, size + int(offsets[end] - offsets[at]), end
+                if at < batch.num_rows:
+                    yield pa.Table.from_batches(held)
+                    held, rows, size = [], 0, 0
+        if held:
+            yield pa.Table.from_batches(held)
 
     def run(batches):
         from pyspark import TaskContext
 
-        rows = [b.select(["id", "text", "dfs"]) for b in batches if b.num_rows]
-        if not rows:
-            return
-        rows, shard = pa.Table.from_batches(rows).combine_chunks(), TaskContext.get().partitionId()
-        ids, dfs = rows["id"].to_pylist(), rows["dfs"].to_pylist()
-        texts = [t or "" for t in rows["text"].to_pylist()]
-        keys = sorted(range(len(ids)), key=lambda k: (zlib.crc32(texts[k].encode()), str(ids[k])))
-        ids, texts, dfs = [ids[k] for k in keys], [texts[k] for k in keys], b"".join(dfs[k] for k in keys)
-        enc = encoder(tokenizer, ranks, pattern)
-        tokens = [enc.ids(t) for t in texts]
-        index = BM25(Words(*buffers(pa.array(texts, pa.large_string())), ALNUM), np.frombuffer(dfs, np.uint32).astype(np.int64), n_docs, mean)
-        lengths = np.array([len(t) for t in tokens])
-        pieces = fill(index, lengths, window)
-        doc, start, length, seq, offset = (list(x) for x in zip(*pieces, strict=True))
-        parts = [tokens[d][s : s + n].astype("<u4") for d, s, n in zip(doc, start, length, strict=True)]
-        out = {"id": pa.array([ids[d] for d in doc], rows.schema.field("id").type), "start": pa.array(start, pa.int64()), "length": pa.array(length, pa.int64()), "ids_crc32": pa.array([zlib.crc32(p.tobytes()) for p in parts], pa.int64()), "doc_tokens": pa.array(lengths[doc], pa.int64()), "sequence_id": pa.array([(shard << 32) + s for s in seq], pa.int64()), "offset": pa.array(offset, pa.int64())}
-        yield from pa.table(out | ({"ids": pa.array(parts, pa.list_(pa.int32()))} if with_ids else {})).to_batches()
+        sequence, enc = TaskContext.get().partitionId() << 32, encoder(tokenizer, ranks, pattern)
+        for rows in shards(batches):
+            dfs = rows["dfs"].to_pylist()
+            raw, offsets = buffers(rows["text"])
+            order = sorted(range(rows.num_rows), key=lambda k: zlib.crc32(raw[offsets[k] : offsets[k + 1]]))
+            rows = rows.take(pa.array(order))
+            doc, term, tf, counts = [], [], [], []
+            for i, _, words in chunks(rows["text"], ALNUM):
+                for x, y in zip((doc, term, tf, counts), (*doc_terms(words), words.count), strict=True):
+                    x.append(y + i if x is doc else y)
+            doc, term, tf, counts = (np.concatenate(x) for x in (doc, term, tf, counts))
+            tokens, at = enc.batch(*buffers(rows["text"]))
+            index = BM25(doc, term, tf, counts, np.frombuffer(b"".join(dfs[k] for k in order), np.uint32).astype(np.int64), n_docs, mean)
+            lengths = np.diff(at)
+            doc, start, length, seq, offset = (np.array(x) for x in zip(*fill(index, lengths, window), strict=True))
+            parts = [tokens[a : a + n] for a, n in zip((at[doc] + start).tolist(), length.tolist(), strict=True)]
+            out = {"id": rows["id"].take(pa.array(doc)), "start": start, "length": length, "ids_crc32": pa.array([zlib.crc32(p) for p in parts], pa.int64()), "doc_tokens": lengths[doc], "sequence_id": sequence + seq, "offset": offset}
+            yield from pa.table(out | ({"ids": pa.array(parts, pa.list_(pa.int32()))} if with_ids else {})).to_batches()
+            sequence += int(seq.max()) + 1
 
     out = own.mapInArrow(run, f"id {kind}, {PIECE}" + ", ids array<int>" * with_ids)
     return out.withColumnRenamed("id", id_col)
