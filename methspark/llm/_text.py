@@ -7,7 +7,9 @@ is needed. Word hashes are 64-bit: a polynomial over random byte codes, then a f
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import inspect
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,27 @@ FOLD[0x41:0x5B] += 32
 SAME = np.arange(256, dtype=np.uint8)
 
 
+def thrifty(f: Callable) -> Callable:
+    """f, of batches or of a group's table, after which the worker gives freed memory back, as it lives on beside later stages."""
+
+    def release() -> None:
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    def batches(held):
+        yield from f(held)
+        release()
+
+    def group(rows: pa.Table) -> pa.Table:
+        out = f(rows)
+        release()
+        return out
+
+    return batches if inspect.isgeneratorfunction(f) else group
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser."""
     x = x ^ (x >> U(30))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._spark import free
-from ._text import ALNUM, chunks, runs, table, words_of
+from ._text import ALNUM, chunks, runs, table, thrifty, words_of
 
 WINDOW = 10
 MAX_WINDOWS = 1_000_000
@@ -97,7 +97,7 @@ def _marked(docs: DataFrame, items: DataFrame, window: int, text_col: str, item_
                 batch = batch.set_column(to, batch.schema.field(to), pa.array(known, batch.schema.field(to).type))
                 yield batch.set_column(count, batch.schema.field(count), pa.array(n_words))
 
-        marked = marked.mapInArrow(mark, marked.schema)
+        marked = marked.mapInArrow(thrifty(mark), marked.schema)
     return marked, marks, names, sizes
 
 
@@ -116,7 +116,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_co
             hits = pa.array(hits, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column(sizes), hits, batch.column(names)], ["id", "n_words", "hits", "items"])
 
-    out = marked.drop("text").mapInArrow(report, f"id {kind}, n_words long, hits array<struct<start:int,end:int>>, items array<string>")
+    out = marked.drop("text").mapInArrow(thrifty(report), f"id {kind}, n_words long, hits array<struct<start:int,end:int>>, items array<string>")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -154,7 +154,7 @@ def remove_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW
                 batch = batch.set_column(column, batch.schema.field(column), pa.array(values, batch.schema.field(column).type))
             yield batch
 
-    return marked.mapInArrow(clean, docs.schema)
+    return marked.mapInArrow(thrifty(clean), docs.schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

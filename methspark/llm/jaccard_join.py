@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._spark import components, shared
-from ._text import SPACED, U, chunks, mix, table
+from ._text import SPACED, U, chunks, mix, table, thrifty
 
 SHINGLE = 4
 PERCENT = 85
@@ -177,7 +177,7 @@ def _frequent(own: DataFrame, n_docs: int, size: int, sample_rows: int, hot_shar
                 yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
 
     least = max(20, int(hot_share * min(n_docs, sample_rows)))
-    counts = sample.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    counts = sample.mapInArrow(thrifty(count), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     hot = counts.where(F.col("n") >= least).toLocalIterator()
     rows = [(r["h"], r["n"]) for r in hot]
     seen = np.array([r[1] for r in rows], float)
@@ -192,7 +192,7 @@ def nodes_of(own: DataFrame, kind: str, size: int) -> DataFrame:
                 n, node = set_hash(*shingles(words, size), j - i)
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), pa.array(n.astype(np.int64)), pa.array(node)], ["id", "n_shingles", "node"])
 
-    return own.mapInArrow(run, f"id {kind}, n_shingles long, node long")
+    return own.mapInArrow(thrifty(run), f"id {kind}, n_shingles long, node long")
 
 
 def index_units(own: DataFrame, plan, size: int, buckets: int) -> DataFrame:
@@ -250,8 +250,8 @@ def index_units(own: DataFrame, plan, size: int, buckets: int) -> DataFrame:
         pairs = np.unique(np.stack((unit, np.concatenate((node[keep], far))), 1), axis=0)
         return pa.table({"unit": pa.array(pairs[:, 0]), "node": pa.array(pairs[:, 1])})
 
-    sent = own.select("text").mapInArrow(index, "bucket int, hot boolean, hashes binary, nodes binary")
-    return sent.groupBy("bucket").applyInArrow(meet, "unit long, node long").distinct()
+    sent = own.select("text").mapInArrow(thrifty(index), "bucket int, hot boolean, hashes binary, nodes binary")
+    return sent.groupBy("bucket").applyInArrow(thrifty(meet), "unit long, node long").distinct()
 
 
 def texts_of(own: DataFrame, needed: DataFrame, size: int) -> DataFrame:
@@ -274,7 +274,7 @@ def texts_of(own: DataFrame, needed: DataFrame, size: int) -> DataFrame:
                 keep = first if maybe.value is None else first[(maybe.value[k // 64] >> (k % 64)) & 1 == 1]
                 yield pa.RecordBatch.from_arrays([pa.array(node[keep]), batch.column("text").slice(i, j - i).take(pa.array(keep))], ["node", "text"])
 
-    return own.select("text").mapInArrow(texts, "node long, text string").groupBy("node").agg(F.first("text").alias("text")).join(needed, "node", "left_semi")
+    return own.select("text").mapInArrow(thrifty(texts), "node long, text string").groupBy("node").agg(F.first("text").alias("text")).join(needed, "node", "left_semi")
 
 
 def resolve(unit: np.ndarray, node: np.ndarray, doc: np.ndarray, h: np.ndarray, percent: int) -> list[np.ndarray]:
@@ -398,7 +398,7 @@ def resolve_units(members: DataFrame, total: int, percent: int, size: int) -> Da
         return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
 
     bucket = F.expr(f"cast(pmod(xxhash64(unit), {1 + total // TASK_SHINGLES}) as int)")
-    return members.select("unit", "node", "text", bucket.alias("bucket")).groupBy("bucket").applyInArrow(run, "a long, b long")
+    return members.select("unit", "node", "text", bucket.alias("bucket")).groupBy("bucket").applyInArrow(thrifty(run), "a long, b long")
 
 
 def split_units(members: DataFrame, percent: int, size: int) -> tuple[DataFrame, DataFrame]:
@@ -412,7 +412,7 @@ def split_units(members: DataFrame, percent: int, size: int) -> tuple[DataFrame,
                 yield pa.RecordBatch.from_arrays([batch.column("unit").take(pa.array(i + doc)), pa.array(h.view(np.int64))], ["unit", "h"])
 
     nodes = members.groupBy("unit").agg(F.count("*").alias("members"))
-    held = members.select("unit", "text").mapInArrow(each, "unit long, h long").groupBy("unit", "h").agg(F.count("*").alias("count"))
+    held = members.select("unit", "text").mapInArrow(thrifty(each), "unit long, h long").groupBy("unit", "h").agg(F.count("*").alias("count"))
     centres = nodes.join(held.join(nodes, "unit").where("2 * count > members").groupBy("unit").agg(F.collect_list("h").alias("centre")), "unit", "left").select("unit", "centre").checkpoint()
 
     def differ(batches):
@@ -423,7 +423,7 @@ def split_units(members: DataFrame, percent: int, size: int) -> tuple[DataFrame,
                 own = [np.setxor1d(x, centre[i + k], assume_unique=True).view(np.int64) for k, x in enumerate(np.split(h, np.searchsorted(doc, np.arange(1, j - i))))]
                 yield pa.RecordBatch.from_arrays([batch.column(c).slice(i, j - i) for c in ("unit", "node", "n")] + [pa.array(own, pa.list_(pa.int64()))], ["unit", "node", "n", "items"])
 
-    rows = members.join(centres, "unit").mapInArrow(differ, "unit long, node long, n long, items array<long>")
+    rows = members.join(centres, "unit").mapInArrow(thrifty(differ), "unit long, node long, n long, items array<long>")
     rows = rows.select("unit", "node", (take * F.size("items") - lose * F.col("n")).alias("cost"), "items").checkpoint()
     heads = rows.groupBy("unit").agg(F.min(F.struct("cost", "node")).alias("head"))
     rows = rows.join(heads, "unit").withColumn("sure", F.expr("cost + head.cost <= 0"))

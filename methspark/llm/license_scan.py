@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._text import ALNUM, chunks, table, words_of
+from ._text import ALNUM, chunks, table, thrifty, words_of
 from .align import local
 
 GRAM, WINNOW = 3, 4
@@ -113,7 +113,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, cove
                 found = [[dict(zip(("license", "coverage", "start", "end"), m, strict=True)) for m in x] for x in index.value.scan(words, coverage, band)]
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), pa.array(words.count, pa.int64()), pa.array(found, ARROW)], ["id", "n_words", "matches"])
 
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n_words long, matches {MATCHES}")
+    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(thrifty(run), f"id {kind}, n_words long, matches {MATCHES}")
     return out.withColumnRenamed("id", id_col)
 
 

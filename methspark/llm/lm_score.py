@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._spark import shared
-from ._text import SPACED, U, chunks, mix, table
+from ._text import SPACED, U, chunks, mix, table, thrifty
 
 ORDER = 2
 BITS_PER_ENTRY = 8
@@ -106,7 +106,7 @@ def count_ngrams(docs: DataFrame, text_col: str, order: int, buckets: int) -> Da
                     size = 0
         yield from flush()
 
-    return docs.select(text_col).mapInArrow(run, "kind int, bucket int, hashes binary, counts binary")
+    return docs.select(text_col).mapInArrow(thrifty(run), "kind int, bucket int, hashes binary, counts binary")
 
 
 def _pieces(rows: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -196,7 +196,7 @@ def fit(train: DataFrame, text_col: str = "text", order: int = ORDER, mu: float
     The segments are kept in the shared checkpoint folder, so that a lost executor costs nothing."""
     shared(train.sparkSession)
     buckets = buckets or 16 << max(0, (train.rdd.getNumPartitions() // 8).bit_length())
-    merged = count_ngrams(train, text_col, order, buckets).groupBy("kind", "bucket").applyInArrow(lambda t: segment(t, per_entry), SEGMENT).checkpoint()
+    merged = count_ngrams(train, text_col, order, buckets).groupBy("kind", "bucket").applyInArrow(thrifty(lambda t: segment(t, per_entry)), SEGMENT).checkpoint()
     facts = merged.select("kind", "bucket", "n", "total", F.length("filter").alias("size")).collect()
     word = [r for r in facts if r["kind"] == 1]
     return Model(buckets, per_entry, order, mu, sum(r["total"] for r in word), sum(r["n"] for r in word), [(r["bucket"], r["size"]) for r in facts if r["kind"] == 2]), merged
@@ -276,7 +276,7 @@ def score(docs: DataFrame, model: Model, merged: DataFrame, id_col: str = "doc_i
                         ["id", "row", "n_tokens", "n_known", "base_score", "ngram_score"],
                     )
 
-        parts.append(own.mapInArrow(run, f"id {kind}, row long, {FIELDS}"))
+        parts.append(own.mapInArrow(thrifty(run), f"id {kind}, row long, {FIELDS}"))
     if exact is None:
         parts.append(_base_by_join(own, merged, kind, model))
     out = parts[0]
@@ -321,7 +321,7 @@ def _base_by_join(own: DataFrame, merged: DataFrame, kind: str, model: Model) ->
         rows, found, sums = (np.concatenate(x) for x in (rows, found, sums)) if rows else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
         return pa.table({"row": rows, "n_known": found, "base_score": sums})
 
-    asked = own.select("text", "row").mapInArrow(ask, "bucket int, hashes binary, rows binary, times binary")
+    asked = own.select("text", "row").mapInArrow(thrifty(ask), "bucket int, hashes binary, rows binary, times binary")
     known = merged.where("kind = 1").select("bucket", "hashes", "counts")
     sums = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(answer, "row long, n_known long, base_score double")
     zero = F.lit(0).cast("long")

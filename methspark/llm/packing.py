@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._spark import shared
-from ._text import ALNUM, U, buffers, chunks, hash_spans, mix, table
+from ._text import ALNUM, U, buffers, chunks, hash_spans, mix, table, thrifty
 
 WINDOW = 2048
 DOCS_PER_SHARD = 1024
@@ -43,7 +43,7 @@ K1, B = 1.2, 0.75
 SPECIAL = "<|endoftext|>"
 PLAIN = re.compile("[\\n -~À-ɏ]*")
 CACHE = 400_000
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 PARTITION_WORDS = 4_000_000
 DENSE = 8
 _encoders: dict = {}
@@ -137,8 +137,7 @@ class Encoder:
             lone = ~((raw == 0x0A) | ((raw >= 0x20) & (raw < 0x7F)) | doc_plain)
             if not plain.all():
                 lone |= (raw == ord("<")) & ~doc_plain  # may begin the special token
-            odd = np.concatenate(([0], np.cumsum(lone)))
-            joins = cut[s[where]] & solid[e[where] - 1] & (odd[e[where]] == odd[s[where]]) if self.fast else np.zeros(len(where), bool)
+            joins = cut[s[where]] & solid[e[where] - 1] & ~np.logical_or.reduceat(lone, s)[where] if self.fast else np.zeros(len(where), bool)
             self._learn(raw, u[new], s[where], e[where], joins)
             at = np.searchsorted(self.known, u)
         count, start = self.count[at][back], self.start[at][back]
@@ -276,7 +275,7 @@ def vocabulary(own: DataFrame) -> tuple[DataFrame, int, int]:
         return pa.table({"bucket": rows["bucket"].slice(0, 1), "terms": pa.array([term[keep].tobytes()], pa.binary()), "counts": pa.array([count[keep].tobytes()], pa.binary()), "docs": pa.array([sum(rows["docs"].to_pylist())], pa.int64()), "words": pa.array([sum(rows["words"].to_pylist())], pa.int64())})
 
     schema = "bucket int, terms binary, counts binary, docs long, words long"
-    found = own.select("text").mapInArrow(scan, schema).groupBy("bucket").applyInArrow(add, schema).checkpoint()
+    found = own.select("text").mapInArrow(thrifty(scan), schema).groupBy("bucket").applyInArrow(thrifty(add), schema).checkpoint()
     total = found.agg(F.coalesce(F.sum("docs"), F.lit(0)).alias("docs"), F.coalesce(F.sum("words"), F.lit(0)).alias("words")).first()
     return found.select("bucket", "terms", "counts"), total["docs"], total["words"]
 
@@ -338,7 +337,7 @@ def signed(own: DataFrame, kind: str, max_vocabulary: int, docs_per_shard: int,
                     dfs = pa.array([data[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary())
                     yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), batch.column("text").slice(i, j - i), batch.column("salt").slice(i, j - i), dfs, *map(pa.array, sign), pa.array(part.view(np.int64))], ["id", "text", "salt", "dfs", *marks, "part"])
 
-        out = out.select("id", "text", "salt", "dfs").mapInArrow(look, f"id {kind}, text string, salt long, dfs binary, " + ", ".join(f"{m} long" for m in marks) + ", part long")
+        out = out.select("id", "text", "salt", "dfs").mapInArrow(thrifty(look), f"id {kind}, text string, salt long, dfs binary, " + ", ".join(f"{m} long" for m in marks) + ", part long")
         if number < len(held_all) - 1:
             out = out.checkpoint()
     return out, n_docs, mean, parts
@@ -398,7 +397,7 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str
             yield from pa.table(out | ({"ids": pa.array(parts, pa.list_(pa.int32()))} if with_ids else {})).to_batches()
             sequence += int(seq.max()) + 1
 
-    out = own.mapInArrow(run, f"id {kind}, {PIECE}" + ", ids array<int>" * with_ids)
+    out = own.mapInArrow(thrifty(run), f"id {kind}, {PIECE}" + ", ids array<int>" * with_ids)
     return out.withColumnRenamed("id", id_col)
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._text import SPACED, U, chunks, hash_spans, mix, table, words_of
+from ._text import SPACED, U, chunks, hash_spans, mix, table, thrifty, words_of
 
 TRAIN_ROWS = 16_384
 LABELLED_ROWS = 20_000
@@ -208,7 +208,7 @@ def learn_words(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
                     bad = toxic[i:j][doc[new]]
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u), kind), pa.int32()), pa.array(u.view(np.int64)), pa.array(np.bincount(back, bad, len(u)).astype(np.int64)), pa.array(np.bincount(back, 1 - bad, len(u)).astype(np.int64))], ["kind", "h", "bad", "good"])
 
-    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(labels), "id").select("toxic", "text").mapInArrow(count, "kind int, h long, bad long, good long")
+    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(labels), "id").select("toxic", "text").mapInArrow(thrifty(count), "kind int, h long, bad long, good long")
     found = found.groupBy("kind", "h").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     found = found.where(f"bad >= {MIN_TOXIC_DOCS} and good * 4 <= bad").select("kind", "h").toLocalIterator()
     lists = {0: [], 1: []}
@@ -232,7 +232,7 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "do
                 key, n = np.unique(Votes.pattern(v.quality) * 3**4 + Votes.pattern(v.toxic), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n.astype(np.int64))], ["key", "n"])
 
-    patterns = own.select("text").mapInArrow(vote, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).collect()
+    patterns = own.select("text").mapInArrow(thrifty(vote), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).collect()
     key, n = (np.array([r[c] for r in patterns], np.int64) for c in ("key", "n"))
     models = [LabelModel(6).fit(key // 3**4, n), LabelModel(4, 0.05).fit(key % 3**4, n)]
 
@@ -256,7 +256,7 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "do
         return pa.table({"n": [len(data)], "w": pa.array([w.astype(np.float32).tobytes()], pa.binary())})
 
     sample = own.where(F.expr(f"pmod(xxhash64(id, 5), 1000000) < {int(np.ceil(1e6 * min(1.0, train_rows / max(total, 1))))}"))
-    trained = sample.select("text").mapInArrow(prepare, "shard int, dims array<int>, vals array<float>, bad double, toxic double").groupBy("shard").applyInArrow(train, "n long, w binary").collect()
+    trained = sample.select("text").mapInArrow(thrifty(prepare), "shard int, dims array<int>, vals array<float>, bad double, toxic double").groupBy("shard").applyInArrow(thrifty(train), "n long, w binary").collect()
     w = sum((np.frombuffer(bytes(r["w"]), np.float32).reshape(2, -1) * r["n"] for r in trained), np.zeros((2, DIMS + 1))) / max(1, sum(r["n"] for r in trained))
     weights = spark.sparkContext.broadcast(w.astype(np.float32))
 
@@ -271,7 +271,7 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "do
                 kept = (p[0] + s[0] < 1) & (p[1] + s[1] < 1)
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), *map(pa.array, (p[0], s[0], p[1], s[1], kept))], ["id", "bad_posterior", "bad_score", "toxic_posterior", "toxic_score", "kept"])
 
-    out = own.mapInArrow(judge, f"id {kind}, bad_posterior double, bad_score double, toxic_posterior double, toxic_score double, kept boolean")
+    out = own.mapInArrow(thrifty(judge), f"id {kind}, bad_posterior double, bad_score double, toxic_posterior double, toxic_score double, kept boolean")
     return out.withColumnRenamed("id", id_col)
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._text import table
+from ._text import table, thrifty
 
 MAX_RULES = 200_000
 TOKEN = re.compile("[0-9a-z]+")
@@ -98,7 +98,7 @@ def token_counts(pages: DataFrame, url_col: str, wanted: set[str]) -> dict[str,
                     n[t] = n.get(t, 0) + 1
             yield pa.RecordBatch.from_pydict({"token": pa.array(list(n), pa.string()), "n": pa.array(list(n.values()), pa.int64())})
 
-    return {r["token"]: r["n"] for r in pages.select(url_col).mapInArrow(run, "token string, n long").groupBy("token").agg(F.sum("n").alias("n")).toLocalIterator()}
+    return {r["token"]: r["n"] for r in pages.select(url_col).mapInArrow(thrifty(run), "token string, n long").groupBy("token").agg(F.sum("n").alias("n")).toLocalIterator()}
 
 
 def filter_urls(pages: DataFrame, rules=RULES, default: str = "allow", id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -120,7 +120,7 @@ def filter_urls(pages: DataFrame, rules=RULES, default: str = "allow", id_col: s
                 rows.append((host, path, r and r.name, r.verdict if r else default))
             yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array([x[k] for x in rows], pa.string()) for k in range(4))], ["id", "host", "path", "rule", "verdict"])
 
-    out = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url")).mapInArrow(run, f"id {kind}, host string, path string, rule string, verdict string")
+    out = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url")).mapInArrow(thrifty(run), f"id {kind}, host string, path string, rule string, verdict string")
     return out.withColumnRenamed("id", id_col)
 
 
