@@ -24,6 +24,7 @@ from __future__ import annotations
 import base64
 import re
 import zlib
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,7 @@ K1, B = 1.2, 0.75
 SPECIAL = "<|endoftext|>"
 PLAIN = re.compile("[\\n -~À-ɏ]*")
 CACHE = 400_000
+JOINED = 8192
 SHARD_BYTES = 4 << 20
 PARTITION_WORDS = 4_000_000
 DENSE = 8
@@ -53,10 +55,7 @@ class Encoder:
     """Ids of texts. Each distinct piece of a text is encoded once and remembered, up to CACHE of them."""
 
     def __init__(self, file: str, ranks: str | None, pattern: str | None):
-        from tokenizers import Tokenizer
-
-        self.whole = Tokenizer.from_file(file)
-        self.fast = None
+        self.file, self.fast = file, None
         if ranks:
             import tiktoken
 
@@ -68,6 +67,12 @@ class Encoder:
                 self.size[rank] = len(word)
         self._forget()
 
+    @cached_property
+    def whole(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.file)
+
     def _forget(self) -> None:
         self.known, self.count, self.start, self.pool = np.empty(0, U), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
 
@@ -78,26 +83,25 @@ class Encoder:
         return self.fast.encode_ordinary(text) if self.plain(text) else self.whole.encode(text, add_special_tokens=False).ids
 
     def _learn(self, raw: np.ndarray, h: np.ndarray, s: np.ndarray, e: np.ndarray, joins: np.ndarray) -> None:
-        """Encodes new pieces; those that can follow each other (a space before, none at the end) in one text, which is cut again by the tokens' sizes."""
+        """Encodes new pieces; those that can follow each other (a space before, none at the end) some thousands in one text, which is cut again by the tokens' sizes."""
         size, counts, out = e - s, np.zeros(len(h), np.int64), []
-        many, rest = np.flatnonzero(joins), np.flatnonzero(~joins)
-        done = np.zeros(0, np.int64)
-        if len(many):
-            ends = np.cumsum(size[many])
-            at = np.repeat(s[many] - np.concatenate(([0], ends[:-1])), size[many]) + np.arange(ends[-1])
-            ids = np.array(self.fast.encode_ordinary(raw[at].tobytes().decode()), np.uint32)
-            told = np.cumsum(self.size[ids])
+        many, rest, done = np.flatnonzero(joins), np.flatnonzero(~joins), []
+        for own in np.split(many, range(JOINED, len(many), JOINED)):
+            ends = np.cumsum(size[own])
+            ids = np.array(self.fast.encode_ordinary(b"".join(raw[a:b].tobytes() for a, b in zip(s[own].tolist(), e[own].tolist(), strict=True)).decode()), np.uint32) if len(own) else np.empty(0, np.uint32)
+            told = np.cumsum(self.size[ids]) if len(own) else ends
             cut = np.minimum(np.searchsorted(told, ends), len(told) - 1)
             if (told[cut] == ends).all():
-                counts[many] = np.diff(np.concatenate(([-1], cut)))
-                out, done = [ids], many
+                counts[own] = np.diff(np.concatenate(([-1], cut)))
+                out.append(ids)
+                done.append(own)
             else:
-                rest = np.arange(len(h))
+                rest = np.concatenate((rest, own))
         for k in rest.tolist():
             ids = np.array(self.piece(raw[s[k] : e[k]].tobytes().decode()), np.uint32)
             counts[k] = len(ids)
             out.append(ids)
-        order = np.concatenate((done, rest))
+        order = np.concatenate((*done, rest))
         starts = np.empty(len(h), np.int64)
         starts[order] = len(self.pool) + np.concatenate(([0], np.cumsum(counts[order])[:-1]))
         known = np.concatenate((self.known, h))
