@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import tempfile
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ._text import U, mix, thrifty
+
 
 MAX_FILES = 50_000
+SIEVE_BITS = 27
 
 
 def shared(spark: SparkSession) -> None:
@@ -53,6 +58,52 @@ def placed(docs: DataFrame, name: str) -> DataFrame:
     return docs.withColumn(name, F.monotonically_increasing_id()).checkpoint()
 
 
+class Sieve:
+    """A broadcast table of bits that tells most values that are not among the keys; it lets all pass beyond 16 million keys.
+
+    keys: one stored long column, distinct."""
+
+    def __init__(self, keys: DataFrame):
+        self.log, self.table = max(16, (8 * keys.count()).bit_length()), None
+        if self.log > SIEVE_BITS:
+            return
+        log, bits = self.log, np.zeros(1 << (self.log - 3), np.uint8)
+
+        def place(batches):
+            for batch in batches:
+                at = mix(np.array(batch.column(0)).astype(U)) >> U(64 - log)
+                yield pa.RecordBatch.from_arrays([pa.array((at >> U(16)).astype(np.int64)), pa.array((at & U(65535)).astype(np.int64))], ["chunk", "place"])
+
+        def packed(rows: pa.Table) -> pa.Table:
+            flags = np.zeros(1 << 16, bool)
+            flags[rows["place"].to_numpy()] = True
+            return pa.table({"chunk": rows["chunk"].slice(0, 1), "bits": pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())})
+
+        for r in keys.mapInArrow(thrifty(place), "chunk long, place long").groupBy("chunk").applyInArrow(thrifty(packed), "chunk long, bits binary").toLocalIterator():
+            bits[r["chunk"] << 13 : (r["chunk"] + 1) << 13] = np.frombuffer(r["bits"], np.uint8)
+        self.table = keys.sparkSession.sparkContext.broadcast(bits)
+
+    def passes(self, values: np.ndarray) -> np.ndarray:
+        """Which values may be keys."""
+        if self.table is None:
+            return np.ones(len(values), bool)
+        at = mix(values.astype(U)) >> U(64 - self.log)
+        return (self.table.value[(at >> U(3)).astype(np.int64)] >> (at & U(7)).astype(np.uint8)) & 1 == 1
+
+
+def within(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """df without most rows whose long column is not among the keys (one stored column, distinct), before a join on it."""
+    sieve = Sieve(keys)
+    if sieve.table is None:
+        return df
+
+    def look(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(sieve.passes(np.array(batch.column(column)))))
+
+    return df.mapInArrow(thrifty(look), df.schema)
+
+
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(node, root): the smallest node that each node reaches over the links (a, b).
 

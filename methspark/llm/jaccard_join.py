@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._spark import components, shared
+from ._spark import Sieve, components, shared
 from ._text import SPACED, U, chunks, mix, table, thrifty
 
 SHINGLE = 4
@@ -256,13 +256,7 @@ def index_units(own: DataFrame, plan, size: int, buckets: int) -> DataFrame:
 
 def texts_of(own: DataFrame, needed: DataFrame, size: int) -> DataFrame:
     """(node, text) of the nodes in `needed`, which is stored and distinct."""
-    n = needed.count()
-    bits = 1 << max(16, min(26, (8 * n).bit_length()))
-    flags = np.zeros(bits // 64, np.int64)
-    if n < bits // 8:  # else no filter, and all texts are looked up
-        for r in needed.select((F.col("node") % bits).alias("k")).groupBy((F.col("k") / 64).cast("int").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(k % 64 as int)))").alias("set")).toLocalIterator():
-            flags[r["word"]] = r["set"]
-    maybe = own.sparkSession.sparkContext.broadcast(flags if n < bits // 8 else None)
+    sieve = Sieve(needed)
 
     def texts(batches):
         for batch in batches:
@@ -270,8 +264,7 @@ def texts_of(own: DataFrame, needed: DataFrame, size: int) -> DataFrame:
                 _, node = set_hash(*shingles(words, size), j - i)
                 _, first = np.unique(node, return_index=True)
                 first = first[node[first] > 0]
-                k = node[first] % bits
-                keep = first if maybe.value is None else first[(maybe.value[k // 64] >> (k % 64)) & 1 == 1]
+                keep = first[sieve.passes(node[first])]
                 yield pa.RecordBatch.from_arrays([pa.array(node[keep]), batch.column("text").slice(i, j - i).take(pa.array(keep))], ["node", "text"])
 
     return own.select("text").mapInArrow(thrifty(texts), "node long, text string").groupBy("node").agg(F.first("text").alias("text")).join(needed, "node", "left_semi")

@@ -6,12 +6,13 @@ n-gram's own is put into the bucket's segment of a Bloom filter. The segments ar
 is read back by probing levels 1, 2, ... until one is missing. Word counts are also kept exactly, for
 the add-one baseline: broadcast up to ``MAX_VOCAB`` words, joined in buckets beyond.
 
-The model: P(w) = (low(w)+1) / (N+V+1); P(w|h) = (low(hw) + MU*P(w)) / (high(h)+MU), with counts
+The model: P(w) = (low(w)+1) / (N+V+1); P(w|h) = (low(hw) + T(h)*P(w)) / (high(h)+T(h)), with counts
 rounded down on top and up below, so the probabilities of all words sum to at most one but for false
-positives. A text's probability is the mean of what the baseline and the n-gram model give it.
+positives. T(h) estimates how many different words follow h: high(h)**beta, with beta such that the sum
+over all words is the number of different pairs in training.
 
-When the filter would exceed ``MAX_FILTER_BYTES``, its n-gram segments are broadcast in groups, one
-pass each, and the partial sums of a text are added; no n-gram is left out.
+When the filter would exceed ``MAX_FILTER_BYTES``, its segments are broadcast in groups, one pass over the
+texts each, which notes the levels found beside the text; no n-gram is left out, whatever the order.
 
 Defined results: null and empty texts hold the end token alone; an empty training set gives N = 0 and
 V = 0; repeated rows are scored (and counted) each; extra columns are ignored.
@@ -19,21 +20,18 @@ V = 0; repeated rows are scored (and counted) each; extra columns are ignored.
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import shared
+from ._spark import placed, shared
 from ._text import SPACED, U, chunks, mix, table, thrifty
 
 ORDER = 2
 BITS_PER_ENTRY = 8
 PROBES = 5
 GROWTH = 1.2
-MU = 8.0
 MAX_FILTER_BYTES = 256 << 20
 MAX_VOCAB = 8_000_000
 FLUSH = 1_000_000
@@ -134,10 +132,10 @@ def segment(rows: pa.Table, per_entry: float) -> pa.Table:
         for k in range(PROBES):
             flags[_places(own, np.full(len(own), j), k, U(bits)).astype(np.int64)] = 1
     words = kind == 1
-    return pa.table({"kind": pa.array([kind], pa.int32()), "bucket": pa.array([bucket], pa.int32()), "filter": pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary()), "n": pa.array([len(h)], pa.int64()), "total": pa.array([int(c.sum())], pa.int64()), "hashes": pa.array([h.tobytes() if words else None], pa.binary()), "counts": pa.array([c.tobytes() if words else None], pa.binary())})
+    return pa.table({"kind": pa.array([kind], pa.int32()), "bucket": pa.array([bucket], pa.int32()), "filter": pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary()), "n": pa.array([len(h)], pa.int64()), "total": pa.array([int(c.sum())], pa.int64()), "levels": pa.array([np.bincount(level, minlength=len(LEVELS) + 1).astype(np.int64).tobytes()], pa.binary()), "hashes": pa.array([h.tobytes() if words else None], pa.binary()), "counts": pa.array([c.tobytes() if words else None], pa.binary())})
 
 
-SEGMENT = "kind int, bucket int, filter binary, n long, total long, hashes binary, counts binary"
+SEGMENT = "kind int, bucket int, filter binary, n long, total long, levels binary, hashes binary, counts binary"
 
 
 class Filter:
@@ -173,12 +171,11 @@ class Filter:
             j += 1
         return out
 
-    def range(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Lower and upper end of each count."""
-        u, back = np.unique(h, return_inverse=True)
-        level = self.level(u)
-        low = np.where(level > 0, LEVELS[np.maximum(level, 1) - 1], 0)
-        return low[back], np.where(level > 0, LEVELS[np.minimum(level, len(LEVELS) - 1)] - 1, 0)[back]
+
+def bounds(level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper end of the counts of these levels."""
+    low = np.where(level > 0, LEVELS[np.maximum(level, 1) - 1], 0)
+    return low, np.where(level > 0, LEVELS[np.minimum(level, len(LEVELS) - 1)] - 1, 0)
 
 
 def _sum(values: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
@@ -186,24 +183,41 @@ def _sum(values: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
 
 
 class Model:
-    def __init__(self, buckets: int, per_entry: float, order: int, mu: float, n_tokens: int, n_words: int, sizes: list[tuple[int, int]]):
-        self.buckets, self.per_entry, self.order, self.mu, self.n_tokens, self.n_words, self.sizes = buckets, per_entry, order, mu, n_tokens, n_words, sizes
+    """Sizes of the training set, the exponent of T(h), the level of the end token and the segments' sizes by (kind, bucket)."""
+
+    def __init__(self, buckets: int, order: int, n_tokens: int, n_words: int, beta: float, end_level: int, sizes: list[tuple[tuple[int, int], int]]):
+        self.buckets, self.order, self.n_tokens, self.n_words, self.beta, self.end_level, self.sizes = buckets, order, n_tokens, n_words, beta, end_level, sizes
 
 
-def fit(train: DataFrame, text_col: str = "text", order: int = ORDER, mu: float = MU, per_entry: float = BITS_PER_ENTRY, buckets: int | None = None):
+def exponent(words: np.ndarray, pairs: float) -> float:
+    """beta with the sum of count**beta over words (numbers of words by level) equal to the number of different pairs."""
+    count = LEVELS.astype(float)
+    low, high = 0.0, 1.0
+    for _ in range(50):
+        mid = (low + high) / 2
+        low, high = (mid, high) if (words[1:] * count**mid).sum() < pairs else (low, mid)
+    return low
+
+
+def fit(train: DataFrame, text_col: str = "text", order: int = ORDER, per_entry: float = BITS_PER_ENTRY, buckets: int | None = None):
     """Counts the n-grams and builds the filter; returns (model, stored segments).
 
     The segments are kept in the shared checkpoint folder, so that a lost executor costs nothing."""
     shared(train.sparkSession)
     buckets = buckets or 16 << max(0, (train.rdd.getNumPartitions() // 8).bit_length())
     merged = count_ngrams(train, text_col, order, buckets).groupBy("kind", "bucket").applyInArrow(thrifty(lambda t: segment(t, per_entry)), SEGMENT).checkpoint()
-    facts = merged.select("kind", "bucket", "n", "total", F.length("filter").alias("size")).collect()
+    facts = merged.select("kind", "bucket", "n", "total", "levels", F.length("filter").alias("size")).collect()
     word = [r for r in facts if r["kind"] == 1]
-    return Model(buckets, per_entry, order, mu, sum(r["total"] for r in word), sum(r["n"] for r in word), [(r["bucket"], r["size"]) for r in facts if r["kind"] == 2]), merged
+    by_level = sum((np.frombuffer(r["levels"], np.int64) for r in word), np.zeros(len(LEVELS) + 1, np.int64))
+    grams = sum(r["n"] for r in facts if r["kind"] == 2) / max(1, order - 1)
+    end = np.array([END])
+    own = int(Filter(buckets, {}).bucket(end)[0])
+    end_level = int(_load(merged, [(1, own)], buckets)[0].level(end)[0])
+    return Model(buckets, order, sum(r["total"] for r in word), sum(r["n"] for r in word), exponent(by_level, grams), end_level, [((r["kind"], r["bucket"]), r["size"]) for r in facts]), merged
 
 
-def passes(model: Model, most: int) -> list[list[int]]:
-    """Buckets of the n-gram segments, in groups that fit the broadcast."""
+def passes(model: Model, most: int) -> list[list[tuple[int, int]]]:
+    """(kind, bucket) of the segments, in groups that fit the broadcast."""
     out, size = [[]], 0
     for b, n in sorted(model.sizes):
         if out[-1] and size + n > most:
@@ -214,81 +228,97 @@ def passes(model: Model, most: int) -> list[list[int]]:
     return out
 
 
-def _load(merged: DataFrame, kind: int, own: list[int] | None, buckets: int) -> Filter:
-    rows = merged.where(F.col("kind") == kind)
-    rows = rows if own is None else rows.where(F.col("bucket").isin(own))
-    return Filter(buckets, {r["bucket"]: bytes(r["filter"]) for r in rows.select("bucket", "filter").toLocalIterator()})
+def _load(merged: DataFrame, own: list[tuple[int, int]], buckets: int) -> tuple[Filter, Filter]:
+    """The filters of words and of longer n-grams, with these segments."""
+    chosen = [F.col("bucket").isin([b for k, b in own if k == kind]) & (F.col("kind") == kind) for kind in (1, 2)]
+    held: dict[int, dict[int, bytes]] = {1: {}, 2: {}}
+    for r in merged.where(chosen[0] | chosen[1]).select("kind", "bucket", "filter").toLocalIterator():
+        held[r["kind"]][r["bucket"]] = bytes(r["filter"])
+    return Filter(buckets, held[1]), Filter(buckets, held[2])
+
+
+def probe(filters: tuple[Filter, Filter], hashes: list[np.ndarray]) -> np.ndarray:
+    """The level of each n-gram, one row for each order; 0 where its segment is not there."""
+    out = np.zeros((len(hashes), len(hashes[0])), np.uint8)
+    for k, h in enumerate(hashes):
+        u, back = np.unique(h, return_inverse=True)
+        out[k] = filters[min(k, 1)].level(u)[back]
+    return out
+
+
+def log_probabilities(model: Model, levels: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """log10 P of each token by the interpolated model, from the levels of the n-grams that end at it."""
+    first = np.concatenate(([True], doc[1:] != doc[:-1])) if len(doc) else np.empty(0, bool)
+    low, high = bounds(levels[0].astype(np.int64))
+    p = (low + 1) / (model.n_tokens + model.n_words + 1)
+    at_start = bounds(np.array([model.end_level]))[1][0]  # a text's first token follows an end
+    for k in range(1, model.order):
+        above = np.where(first, at_start if k == 1 else 0, np.concatenate(([0], high[:-1])))
+        low, high = bounds(levels[k].astype(np.int64))
+        kinds = np.maximum(above, 1.0) ** model.beta
+        p = (np.minimum(low, above) + kinds * p) / (above + kinds)
+    return np.log10(p)
 
 
-FIELDS = "n_tokens long, n_known long, base_score double, ngram_score double"
+FIELDS = "n_tokens long, n_known long, base_score double, score double"
 
 
 def score(docs: DataFrame, model: Model, merged: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_filter: int = MAX_FILTER_BYTES, max_vocab: int = MAX_VOCAB) -> DataFrame:
     """id, n_tokens, n_known, base_score, score (log10), one row for each document."""
-    spark, n_all, v, mu, order = docs.sparkSession, model.n_tokens, model.n_words, model.mu, model.order
+    spark, n_all, v, order = docs.sparkSession, model.n_tokens, model.n_words, model.order
     kind = docs.schema[id_col].dataType.simpleString()
-    words_filter = spark.sparkContext.broadcast(_load(merged, 1, None, model.buckets))
     exact = None
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.lit(None).cast("binary").alias("levels"))
     if v <= max_vocab:
         rows = merged.where("kind = 1").orderBy("bucket").select("hashes", "counts").toLocalIterator()
         pieces = [(np.frombuffer(r[0], U), np.frombuffer(r[1], np.int64)) for r in rows] or [(np.empty(0, U), np.empty(0, np.int64))]
         exact = spark.sparkContext.broadcast(tuple(np.concatenate(x) for x in zip(*pieces, strict=True)))
-    own = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"))
-    groups, parts = passes(model, max_filter), []
-    if order > 2 and len(groups) > 1:
-        raise ValueError("several passes are for words and pairs only")
+        own = own.withColumn("row", F.lit(0).cast("long"))
+    else:
+        own = placed(own, "row")
+    groups = passes(model, max_filter)
     for number, group in enumerate(groups):
-        ngram_filter = spark.sparkContext.broadcast(_load(merged, 2, group, model.buckets))
-        lo, hi = (0 if number == 0 else group[0]), (model.buckets if number == len(groups) - 1 else groups[number + 1][0])
+        filters, last = spark.sparkContext.broadcast(_load(merged, group, model.buckets)), number == len(groups) - 1
 
-        def run(batches, ngram_filter=ngram_filter, number=number, lo=lo, hi=hi):
-            grams, wordly = ngram_filter.value, words_filter.value
+        def run(batches, filters=filters, last=last):
             for batch in batches:
+                noted = batch.column("levels").to_pylist()
                 for i, j, words in chunks(batch.column("text"), SPACED):
                     n = j - i
                     h, doc = tokens(words, n)
-                    hashes = ngrams(h, doc, order)
-                    u, back = np.unique(h, return_inverse=True)
-                    low, high = (x[back] for x in wordly.range(u))
-                    p = (low + 1) / (n_all + v + 1)
-                    here = np.ones(len(h), bool)
-                    if order > 1:
-                        above = np.where(np.concatenate(([True], doc[1:] != doc[:-1])), 0, np.concatenate(([0], high[:-1])))
-                        ends = wordly.range(np.array([END]))[1][0]
-                        above = np.where(np.concatenate(([True], doc[1:] != doc[:-1])), ends, above)
-                        bucket = grams.bucket(hashes[1])
-                        here = (bucket >= lo) & (bucket < hi)
-                        for k in range(2, order + 1):
-                            below, over = grams.range(hashes[k - 1])
-                            below = np.minimum(below, above)
-                            p = (below + mu * p) / (above + mu)
-                            above = np.concatenate(([0], over[:-1]))
-                            above[np.concatenate(([True], doc[1:] != doc[:-1]))] = 0
-                    first = number == 0
+                    levels = probe(filters.value, ngrams(h, doc, order))
+                    cut = np.concatenate(([0], np.cumsum(words.count + 1)))
+                    if noted[i] is not None:
+                        for k in range(n):
+                            at = slice(cut[k], cut[k + 1])
+                            levels[:, at] = np.maximum(levels[:, at], np.frombuffer(noted[i + k], np.uint8).reshape(order, -1))
+                    ids, places = batch.column("id").slice(i, n), batch.column("row").slice(i, n)
+                    if not last:
+                        blobs = [levels[:, a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+                        yield pa.RecordBatch.from_arrays([ids, places, batch.column("text").slice(i, n), pa.array(blobs, pa.binary())], ["id", "row", "text", "levels"])
+                        continue
                     known, base = np.zeros(n), np.zeros(n)
-                    if exact is not None and first:
+                    if exact is not None:
+                        u, back = np.unique(h, return_inverse=True)
                         at = np.searchsorted(exact.value[0], u)
                         at[at == len(exact.value[0])] = 0
                         c = np.where(exact.value[0][at] == u, exact.value[1][at], 0)[back] if len(exact.value[0]) else np.zeros(len(h), np.int64)
                         known, base = _sum((c > 0).astype(float), doc, n), _sum(np.log10((c + 1) / (n_all + v + 1)), doc, n)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column("id").slice(i, n), batch.column("row").slice(i, n), pa.array((words.count + 1) * first, pa.int64()), pa.array(known.astype(np.int64)), pa.array(base), pa.array(_sum(np.where(here, np.log10(p), 0), doc, n))],
-                        ["id", "row", "n_tokens", "n_known", "base_score", "ngram_score"],
-                    )
-
-        parts.append(own.mapInArrow(thrifty(run), f"id {kind}, row long, {FIELDS}"))
+                    scores = _sum(log_probabilities(model, levels, doc), doc, n)
+                    yield pa.RecordBatch.from_arrays([ids, places, pa.array(words.count + 1, pa.int64()), pa.array(known.astype(np.int64)), pa.array(base), pa.array(scores)], ["id", "row", "n_tokens", "n_known", "base_score", "score"])
+
+        source = own.select("id", "row", "text", "levels")
+        if last:
+            out = source.mapInArrow(thrifty(run), f"id {kind}, row long, {FIELDS}")
+        else:  # stored, so that no task holds the filters of two passes
+            own = source.mapInArrow(thrifty(run), f"id {kind}, row long, text string, levels binary").checkpoint()
     if exact is None:
-        parts.append(_base_by_join(own, merged, kind, model))
-    out = parts[0]
-    if len(parts) > 1:
-        fields = [x.split()[0] for x in FIELDS.split(", ")]
-        out = reduce(DataFrame.unionAll, parts).groupBy("row").agg(F.max("id").alias("id"), *[F.sum(c).alias(c) for c in fields])
-    high, low = F.greatest("base_score", "ngram_score"), F.least("base_score", "ngram_score")
-    blended = high + F.log10((F.pow(F.lit(10.0), low - high) + 1) / 2)
-    return out.select(F.col("id").alias(id_col), "n_tokens", "n_known", "base_score", blended.alias("score"))
+        sums = _base_by_join(own.select("row", "text"), merged, model)
+        out = out.drop("n_known", "base_score").join(sums, "row", "left").na.fill({"n_known": 0, "base_score": 0.0})
+    return out.select(F.col("id").alias(id_col), "n_tokens", "n_known", "base_score", "score")
 
 
-def _base_by_join(own: DataFrame, merged: DataFrame, kind: str, model: Model) -> DataFrame:
+def _base_by_join(own: DataFrame, merged: DataFrame, model: Model) -> DataFrame:
     """The baseline's sums where the vocabulary is too large to broadcast: the distinct words of each
     few megabytes of text meet the exact counts of their bucket, and the sums go back to the texts."""
     buckets, total = model.buckets, model.n_tokens + model.n_words + 1
@@ -324,8 +354,7 @@ def _base_by_join(own: DataFrame, merged: DataFrame, kind: str, model: Model) ->
     asked = own.select("text", "row").mapInArrow(thrifty(ask), "bucket int, hashes binary, rows binary, times binary")
     known = merged.where("kind = 1").select("bucket", "hashes", "counts")
     sums = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(answer, "row long, n_known long, base_score double")
-    zero = F.lit(0).cast("long")
-    return sums.groupBy("row").agg(F.sum("n_known").alias("n_known"), F.sum("base_score").alias("base_score")).select(F.lit(None).cast(kind).alias("id"), "row", zero.alias("n_tokens"), "n_known", "base_score", F.lit(0.0).alias("ngram_score"))
+    return sums.groupBy("row").agg(F.sum("n_known").alias("n_known"), F.sum("base_score").alias("base_score"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -14,6 +14,8 @@ gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+from math import ceil
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -192,7 +194,7 @@ def learn_words(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     """Keywords and stems that stand in toxic documents and in next to no other, from a bounded sample of labelled rows."""
     n = labels.count()
     labels = labels.select(F.col(id_col).alias("id"), "toxic").where("id is not null and toxic is not null")
-    labels = labels.where(F.expr(f"pmod(xxhash64(id, 3), 1000000) < {int(1e6 * min(1.0, rows / max(n, 1)))}")).dropDuplicates(["id"])
+    labels = labels.where(F.expr(f"pmod(xxhash64(id, 3), 1000000) < {ceil(1e6 * min(1.0, rows / max(n, 1)))}")).dropDuplicates(["id"])
 
     def count(batches):
         for batch in batches:

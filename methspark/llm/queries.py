@@ -32,6 +32,14 @@ ORACLE = {
         found as (select doc_id, count(distinct item_id) as n_items, string_agg(id, ',' order by id) as ids from (select distinct doc_id, item_id, cast(item_id as varchar) as id from hits) group by doc_id)
         select w.doc_id, cast(len(w.w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit, cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
         from w left join words using (doc_id) left join found using (doc_id)""",
+    "op9_jaccard_join": f"""
+        with recursive w as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') as w from documents),
+        s as (select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')] else [array_to_string(w[i : i + 3], ' ') for i in range(1, len(w) - 2)] end) as g from w),
+        n as (select w.doc_id, count(g) as n from w left join s using (doc_id) group by w.doc_id),
+        shared as (select a.doc_id as a, b.doc_id as b, count(*) as common from s a join s b using (g) where a.doc_id <> b.doc_id group by 1, 2),
+        links as materialized (select a, b from shared join n x on x.doc_id = a join n y on y.doc_id = b where 100 * common >= 85 * (x.n + y.n - common)),
+        reach as (select doc_id as a, doc_id as b from n union select r.a, l.b from reach r join links l on r.b = l.a)
+        select doc_id, n as n_shingles, lowest as component_id from n join (select a as doc_id, min(b) as lowest from reach group by a) using (doc_id)""",
     "op10_url_filter": f"""
         with p as (select page_id, case when url like '%://%' then substr(url, position('://' in url) + 3) else '' end as rest from pages),
         h as (select page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') as host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from p),
