@@ -33,7 +33,7 @@ ORACLE = {
         select w.doc_id, cast(len(w.w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit, cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
         from w left join words using (doc_id) left join found using (doc_id)""",
     "op9_jaccard_join": f"""
-        with recursive w as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') as w from documents),
+        with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') as w from documents),
         s as (select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')] else [array_to_string(w[i : i + 3], ' ') for i in range(1, len(w) - 2)] end) as g from w),
         n as (select w.doc_id, count(g) as n from w left join s using (doc_id) group by w.doc_id),
         shared as (select a.doc_id as a, b.doc_id as b, count(*) as common from s a join s b using (g) where a.doc_id <> b.doc_id group by 1, 2),
