@@ -149,6 +149,26 @@ def dense(flags: np.ndarray, least: int, share: float) -> list[tuple[int, int]]:
     return [*dense(flags[:s], least, share), (s, e), *((x + e, y + e) for x, y in dense(flags[e:], least, share))]
 
 
+def straight(flags: np.ndarray) -> tuple[int, int, int, int]:
+    """(score, matches, start, end) of the best local alignment on one diagonal, where flags tell which words match: as local() finds it."""
+    total = np.concatenate(([0], np.cumsum(np.where(flags, 1, -1))))
+    low = np.minimum.accumulate(total)
+    e = int((total - low).argmax())
+    s = int(np.flatnonzero(total[: e + 1] == low[e])[-1])
+    return int(total[e] - low[e]), int(flags[s:e].sum()), s, e
+
+
+def along_diagonal(flags: np.ndarray, least: int, share: float) -> list[tuple[int, int, int]]:
+    """As passages(), for a band of one diagonal."""
+    if len(flags) < least:
+        return []
+    score, matched, s, e = straight(flags)
+    if score <= 0 or score < (3 * share - 2) * least:
+        return []
+    own = [(s, e, matched)] if e - s >= least and matched >= share * (e - s) else [(s + x, s + y, int(flags[s + x : s + y].sum())) for x, y in dense(flags[s:e], least, share)]
+    return [*along_diagonal(flags[:s], least, share), *own, *((x + e, y + e, n) for x, y, n in along_diagonal(flags[e:], least, share))]
+
+
 def passages(pairs: list[tuple[np.ndarray, np.ndarray, int, int]], least: int, share: float) -> list[list[tuple[int, int, int]]]:
     """(start, end, matches) in each pair's a, in order: disjoint passages of at least `least` words, `share` of which match b on the band.
 
@@ -162,6 +182,11 @@ def passages(pairs: list[tuple[np.ndarray, np.ndarray, int, int]], least: int, s
                 continue
             if len(a) == len(b) and lo <= 0 <= hi and (a == b).all():
                 out[k].append((at, at + len(a), len(a)))
+            elif lo == hi:
+                flags, i, j = np.zeros(len(a), bool), max(0, -lo), min(len(a), len(b) - lo)
+                if j > i:
+                    flags[i:j] = a[i:j] == b[i + lo : j + lo]
+                out[k] += along_diagonal(flags, least, share)
             else:
                 ready.append((k, at, a, b, lo, hi))
         todo, part = [], []

@@ -150,6 +150,21 @@ def test_passages_inside_a_failed_alignment():
         assert got
 
 
+def test_one_diagonal_is_the_band_of_one():
+    """Sums along a diagonal find what the banded alignment finds on it."""
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        a = rng.integers(0, 3, rng.integers(1, 60)).astype(np.uint32)
+        b = rng.integers(0, 3, rng.integers(1, 60)).astype(np.uint32)
+        d = int(rng.integers(-10, 10))
+        flags, i, j = np.zeros(len(a), bool), max(0, -d), min(len(a), len(b) - d)
+        if j > i:
+            flags[i:j] = a[i:j] == b[i + d : j + d]
+        score, matched, s, e, _, _ = align.local([(a, b, d, d)])[0]
+        got = align.straight(flags)
+        assert got[0] == score and (not score or got[1:] == (matched, s, e) or got[1] >= score)
+
+
 def test_small_languages_are_judged(spark):
     """A language of few words gets verdicts: junk goes, clean text stays, also that of a language with one document."""
     common = {"en": ["the", "of", "and", "to", "in", "is"], "de": ["der", "die", "und", "von", "ist", "das"], "xx": ["la", "el", "que", "de", "los", "por"]}
