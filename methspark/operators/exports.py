@@ -38,7 +38,9 @@ def export_site_class_freq(classes: DataFrame, columns=("p_5c", "p_5mc")) -> Dat
 
 
 def export_bedgraph(sites: DataFrame, signal: str = "freq", min_cov: int = 1) -> DataFrame:
-    return sites.where(F.col("cov") >= min_cov).select("Chr", (F.col("Pos") - 1).alias("start"), F.col("Pos").alias("stop"), F.col(signal).alias("signal")).distinct()
+    """Distinct signal rows in natural order."""
+    out = sites.where(F.col("cov") >= min_cov).select("Chr", (F.col("Pos") - 1).alias("start"), F.col("Pos").alias("stop"), F.col(signal).alias("signal")).distinct()
+    return out.orderBy(chromosome_rank(F.col("Chr")), "Chr", "start", "signal")
 
 
 def export_methylkit(sites: DataFrame) -> DataFrame:
@@ -46,8 +48,30 @@ def export_methylkit(sites: DataFrame) -> DataFrame:
     return sites.where("cov > 0").select(F.concat_ws(".", "Chr", F.col("Pos").cast("string")).alias("chrBase"), "Chr", F.col("Pos").alias("base"), strand.alias("strand"), F.col("cov").alias("coverage"), (100 * F.col("freq")).alias("freqC"), (100 - 100 * F.col("freq")).alias("freqT"))
 
 
-def export_ucsc_bed(sites: DataFrame, scale: int = 100) -> DataFrame:
-    return sites.select("Chr", (F.col("Pos") - 1).alias("start"), F.col("Pos").alias("stop"), F.lit(".").alias("name"), F.floor(F.col("freq") * scale + 1e-9).cast("bigint").alias("score"), "Strand")
+def export_ucsc_bed(sites: DataFrame, scale: int = 100, score_type: str = "int") -> DataFrame:
+    """BED6 with the scaled frequency as a whole number, or as a text of three decimals."""
+    value = F.col("freq") * scale
+    score = F.floor(value + 1e-9).cast("bigint") if score_type == "int" else fixed(value)
+    return sites.select("Chr", (F.col("Pos") - 1).alias("start"), F.col("Pos").alias("stop"), F.lit(".").alias("name"), score.alias("score"), "Strand")
+
+
+def export_methylkit_from_freq(freq: DataFrame) -> DataFrame:
+    """As export_methylkit, from a phased frequency table; the base is its end."""
+    return export_methylkit(freq.select("Chr", F.col("stop").alias("Pos"), "Strand", F.col("n_all").alias("cov"), "freq"))
+
+
+def export_tss_5hmc_bed(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Chosen columns, with 1-based start and stop moved one base back."""
+    back = {"start": F.col("start") - 1, "stop": F.col("stop") - 1}
+    return df.select(*[back[c].alias(c) if c in back else F.col(c) for c in columns])
+
+
+def export_curve_points(rows: DataFrame, path: str | None = None) -> DataFrame:
+    """y_true, y_pred and y_score by tool and tag; stored in folders of both if a path is given."""
+    out = rows.select("tool", "tag", "y_true", "y_pred", "y_score")
+    if path:
+        out.write.mode("overwrite").partitionBy("tool", "tag").parquet(path)
+    return out
 
 
 def export_keyset(sites: DataFrame) -> DataFrame:

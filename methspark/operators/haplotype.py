@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import SITE
+from .joins import SITE, best_call_per_position
 
 
 def tag_reads_with_snvs(read_base: DataFrame, snv: DataFrame, min_mapq: int = 0) -> DataFrame:
-    """Bases at phased SNVs with the haplotype they speak for: 1|0 puts the alternative base on haplotype 1."""
-    own = read_base.where(F.col("mapq") >= min_mapq).join(snv.select("Chr", "pos0", "ref", "alt", "gt"), ["Chr", "pos0"])
+    """Bases at phased SNVs with the haplotype they speak for: 1|0 puts the alternative base on haplotype 1; other genotypes than 1|0 and 0|1 say nothing."""
+    own = read_base.where(F.col("mapq") >= min_mapq).join(snv.where(F.col("gt").isin("1|0", "0|1")).select("Chr", "pos0", "ref", "alt", "gt"), ["Chr", "pos0"])
     first = F.when(F.col("gt") == "1|0", F.col("alt")).otherwise(F.col("ref"))
     hp = F.when(F.col("base") == first, 1).when((F.col("base") == F.col("ref")) | (F.col("base") == F.col("alt")), 2)
     return own.withColumn("hp", hp).where("hp is not null").select("ID", "Chr", "pos0", "base", "qual", "mapq", "hp")
@@ -35,9 +35,17 @@ def assign_haplotype(tagged: DataFrame, min_base_qual: int = 7, avg_base_qual: i
 
 
 def phased_calls(calls: DataFrame, assigned: DataFrame, alignments: DataFrame) -> DataFrame:
-    """Calls of assigned reads that lie inside the read's alignment."""
-    span = alignments.select("ID", "Chr", "start0", "end0")
-    return calls.join(assigned.where("hp is not null"), "ID").join(span, ["ID", "Chr"]).where("Pos - 1 >= start0 and Pos - 1 < end0").drop("start0", "end0")
+    """Calls of assigned reads inside the read's alignment (both ends count) on its strand; of several on one position the largest |score|."""
+    best = best_call_per_position(calls)
+    span = alignments.select("ID", "Chr", "Strand", "start0", "end0")
+    return best.join(assigned.where("hp is not null"), "ID").join(span, ["ID", "Chr", "Strand"]).where("Pos - 1 >= start0 and Pos - 1 <= end0").select("tool", "ID", *SITE, "Score", "hp")
+
+
+def phased_frequency(phased: DataFrame) -> DataFrame:
+    """All and methylated calls by haplotype and site: Chr, start (0-based; one base on for the - strand), stop, Strand, n_all, n_mod, freq."""
+    start = F.col("start") + F.when(F.col("Strand") == "-", 1).otherwise(0)
+    out = phased.groupBy("hp", "Chr", start.alias("start"), "Strand").agg(F.count("*").alias("n_all"), F.count_if(F.col("Score") > 0).alias("n_mod"))
+    return out.withColumns({"stop": F.col("start") + 1, "freq": F.col("n_mod") / F.col("n_all")})
 
 
 def hp_site_freq(calls: DataFrame, by: str = "haplotype") -> DataFrame:

@@ -143,13 +143,15 @@ def union_replicate_runs(runs: DataFrame, cap: int = 1000) -> DataFrame:
 
 
 def chromosome_rank(name: Column) -> Column:
-    """Natural order: chr2 before chr10, then X, Y, M."""
-    n = F.regexp_extract(name, "([0-9]+)$", 1)
-    return F.when(n != "", F.expr("0")).otherwise(1) * 1000 + F.when(n != "", n.cast("int")).otherwise(F.when(name.endswith("X"), 1).when(name.endswith("Y"), 2).otherwise(3))
+    """Natural order: chr1 to chr22 by number, then X, Y, M, then all other names."""
+    n = F.regexp_extract(name, "^(?:chr)?([0-9]+)$", 1)
+    other = F.when(name.rlike("^(chr)?X$"), 1).when(name.rlike("^(chr)?Y$"), 2).when(name.rlike("^(chr)?MT?$"), 3).otherwise(4)
+    return F.when(n != "", F.nullif(n, F.lit("")).cast("bigint")).otherwise(1_000_000 + other)
 
 
 def sort_sites_natural(df: DataFrame) -> DataFrame:
-    return df.orderBy(chromosome_rank(F.col("Chr")), "Pos", "Strand")
+    rest = [c for c in df.columns if c not in SITE]
+    return df.orderBy(chromosome_rank(F.col("Chr")), "Chr", "Pos", "Strand", *rest)
 
 
 def downsample_reads(calls: DataFrame, k: int, seed: int = 53) -> DataFrame:

@@ -32,11 +32,29 @@ def confusion_matrix(rows: DataFrame, by=("tool",)) -> DataFrame:
     return rows.groupBy(*by, "y_true", "y_pred").agg(F.count("*").alias("n"))
 
 
+RANGES = [k / 64 for k in range(1, 64)]
+
+
+def running_totals(t: DataFrame, by: list[str], order: Column, totals: dict[str, Column], down: bool = False) -> DataFrame:
+    """t with the sums of columns over all rows of the group up to each row in the order.
+
+    Rows are cut into ranges by approximate quantiles; sums run inside each and start from the ranges before,
+    of which there is one row each, so no task holds a group. Rows of one order share their sums."""
+    t = t.withColumn("_at", -order if down else order)
+    cuts = t.groupBy(*by).agg(F.percentile_approx("_at", RANGES).alias("_cuts"))
+    t = t.join(F.broadcast(cuts), by).withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col("_at")))).drop("_cuts")
+    sums = t.groupBy(*by, "_range").agg(*[F.sum(x).alias(f"_{c}") for c, x in totals.items()])
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    start = sums.select(*by, "_range", *[F.coalesce(F.sum(f"_{c}").over(before), F.lit(0)).alias(f"_{c}") for c in totals])
+    inside = Window.partitionBy(*by, "_range").orderBy("_at")
+    out = t.join(F.broadcast(start), [*by, "_range"])
+    return out.withColumns({c: F.sum(x).over(inside) + F.col(f"_{c}") for c, x in totals.items()}).drop("_at", "_range", *[f"_{c}" for c in totals])
+
+
 def thresholds(rows: DataFrame, by: list[str]) -> DataFrame:
     """Positives and negatives at and above each distinct score."""
     t = rows.groupBy(*by, "y_score").agg(F.count_if(F.col("y_true") == 1).alias("pos"), F.count_if(F.col("y_true") == 0).alias("neg"))
-    down = Window.partitionBy(*by).orderBy(F.desc("y_score"))
-    return t.withColumns({"tp": F.sum("pos").over(down), "fp": F.sum("neg").over(down)})
+    return running_totals(t, by, F.col("y_score"), {"tp": F.col("pos"), "fp": F.col("neg")}, down=True)
 
 
 def roc_auc(rows: DataFrame, by=("tool",)) -> DataFrame:

@@ -35,7 +35,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         16 * (o_orderkey % 2) + case when o_orderkey % 17 = 0 then 256 else 0 end + case when o_orderkey % 19 = 0 then 2048 else 0 end as flag from orders"""),
     "haplotag": ((), "select cast(o_orderkey as string) as ID, case o_orderkey % 3 when 0 then 'H1' when 1 then 'H2' else 'none' end as haplotype from orders"),
     "snv": ((), """select s_suppkey, concat('chr', cast(1 + s_suppkey % 3 as string)) as Chr, 1000 + s_suppkey * 11 as pos0, substr('ACGT', cast(1 + s_suppkey % 4 as int), 1) as ref,
-        substr('ACGT', cast(1 + (s_suppkey + 1) % 4 as int), 1) as alt, case when s_suppkey % 2 = 0 then '1|0' else '0|1' end as gt from supplier"""),
+        substr('ACGT', cast(1 + (s_suppkey + 1) % 4 as int), 1) as alt, case when s_suppkey % 10 = 7 then '1|1' when s_suppkey % 10 = 3 then '0/1' when s_suppkey % 2 = 0 then '1|0' else '0|1' end as gt from supplier"""),
     "read_base": (("snv",), """select cast(l_orderkey as string) as ID, Chr, pos0, case when ((l_orderkey % 3 = 0) = (gt = '1|0')) <> (l_partkey % 10 = 0) then alt else ref end as base,
         l_partkey % 41 as qual, l_orderkey % 61 as mapq from lineitem join snv on l_suppkey = s_suppkey"""),
     "kmer": (("cpg_site",), "select Chr, pos_c as Pos, '+' as Strand, translate(substr(md5(cast(p_partkey as string)), 1, 17), '0123456789abcdef', 'ACGTACGTACGTACGT') as k_mer from cpg_site"),

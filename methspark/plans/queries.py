@@ -592,9 +592,9 @@ def genome_coverage(spark, sf):
     return P.genome_coverage(view(spark, sf, "alignment"), tile=2000)
 
 
-@query("select ID, Chr, Strand, start0, cast(sum(case when start0 - prev < 300 then 0 else 1 end) over (partition by ID, Chr, Strand order by start0) as bigint) as session from (select *, lag(start0) over (partition by ID, Chr, Strand order by start0) as prev from (select distinct cast(cast(substr(ID, 1, 1) as int) as string) as ID, Chr, Strand, start0 from alignment))", "alignment")
+@query("select ID, Chr, Strand, start0, cast(sum(case when start0 - prev < 300 then 0 else 1 end) over (partition by ID, Chr, Strand order by start0) as bigint) as session from (select *, lag(start0) over (partition by ID, Chr, Strand order by start0) as prev from (select distinct ID, Chr, Strand, Pos - 1 as start0 from read_call))", "read_call")
 def read_sessions(spark, sf):
-    df = view(spark, sf, "alignment").select(F.substring("ID", 1, 1).alias("ID"), "Chr", "Strand", "start0").distinct()
+    df = calls(spark, sf).select("ID", "Chr", "Strand", (F.col("Pos") - 1).alias("start0")).distinct()
     return P.read_sessions(df, 300)
 
 
@@ -611,7 +611,7 @@ def cluster_neighbor_features(spark, sf):
 
 # --- haplotypes ----------------------------------------------------------------------------------
 
-TAGGED = "tagged as (select ID, b.Chr, b.pos0, base, qual, mapq, case when base = case when gt = '1|0' then alt else ref end then 1 else 2 end as hp from read_base b join snv s on b.Chr = s.Chr and b.pos0 = s.pos0 where mapq >= 10 and base in (ref, alt))"
+TAGGED = "tagged as (select ID, b.Chr, b.pos0, base, qual, mapq, case when base = case when gt = '1|0' then alt else ref end then 1 else 2 end as hp from read_base b join snv s on b.Chr = s.Chr and b.pos0 = s.pos0 where mapq >= 10 and base in (ref, alt) and gt in ('1|0', '0|1'))"
 
 
 @query(f", {TAGGED} select * from tagged", "read_base", "snv")
@@ -632,7 +632,7 @@ def assign_haplotype(spark, sf):
     return H.assign_haplotype(H.tag_reads_with_snvs(view(spark, sf, "read_base"), view(spark, sf, "snv"), 10))
 
 
-@query(f", {HP} select r.tool, r.ID, r.Chr, r.Pos, r.Strand, r.Score, a.hp from read_call r join assigned a on r.ID = a.ID join alignment x on r.ID = x.ID and r.Chr = x.Chr where hp is not null and Pos - 1 >= start0 and Pos - 1 < end0", "read_base", "snv", "read_call", "alignment")
+@query(f", {HP}, best as (select tool, ID, {SITES}, Score from (select *, row_number() over (partition by tool, ID, {SITES} order by abs(Score) desc, Score desc) as k from read_call) where k = 1) select r.tool, r.ID, r.Chr, r.Pos, r.Strand, r.Score, a.hp from best r join assigned a on r.ID = a.ID join alignment x on r.ID = x.ID and r.Chr = x.Chr and r.Strand = x.Strand where hp is not null and Pos - 1 >= start0 and Pos - 1 <= end0", "read_base", "snv", "read_call", "alignment")
 def phased_calls(spark, sf):
     assigned = H.assign_haplotype(H.tag_reads_with_snvs(view(spark, sf, "read_base"), view(spark, sf, "snv"), 10))
     return H.phased_calls(calls(spark, sf), assigned, view(spark, sf, "alignment"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .plans import more  # noqa: F401  registers its queries
 from .plans.queries import ORACLE, QUERIES
 
 ENTRY = "read_level_metrics"

@@ -179,37 +179,3 @@ def scan_custom_tool(lines: DataFrame, tool: CustomTool, chrs=None) -> tuple[Dat
     calls = reads(df, F.col("ID"), F.col("Chr"), number("pos") + (1 - tool.base), F.col("Strand"), score, (score > 0).cast("int"), chrs)
     by_site = calls.groupBy("Chr", "Pos", "Strand").agg(F.avg("label").alias("freq"), F.count("*").alias("cov"), F.sum("label").alias("meth"))
     return calls, by_site
-
-
-READ_SCANS = {
-    "Nanopolish": scan_nanopolish,
-    "DeepSignal": scan_deepsignal,
-    "Tombo": scan_tombo,
-    "Megalodon": scan_megalodon,
-    "Guppy.gcf52ref": scan_gcf52ref,
-    "NANOME": scan_consensus_reads,
-    "UNIREAD": scan_uniread,
-    "UNISITE": scan_unisite,
-    "DeepMod.C": scan_deepmod,
-    "Guppy": scan_guppy_sites_raw,
-}
-TRUTH_SCANS = {"encode": scan_bs_encode, "bismark": scan_bs_bismark, "5hmc": scan_bs_5hmc, "UNISITE": scan_unisite}
-
-
-def read_calls_by_encode(spark, spec: str, chrs=None) -> DataFrame:
-    """`tool:encode:path` to calls."""
-    tool, encode, path = spec.split(":", 2)
-    return READ_SCANS[encode](spark.read.text(path), chrs).withColumn("tool", F.lit(tool))
-
-
-def read_truth_by_encode(spark, spec: str, chrs=None, min_cov: int = 1) -> DataFrame:
-    """`encode:path[;path]` to one table with the replicate's number."""
-    encode, _, paths = spec.partition(":")
-    found = paths.split(";")
-    if len(found) > 2:
-        raise ValueError("at most two replicates")
-    out = None
-    for k, p in enumerate(found, 1):
-        own = TRUTH_SCANS[encode](spark.read.text(p), chrs, min_cov).withColumn("rep", F.lit(k))
-        out = own if out is None else out.unionByName(own)
-    return out
