@@ -25,21 +25,30 @@ class Block:
             if e > s:
                 self.b[k, s:e] = b[s + lo : e + lo]
                 self.there[k, s:e] = True
-        self.inside = np.arange(w) < self.width[:, None]
-        self.steps = np.arange(w) * ONE
-        self.column = np.broadcast_to(np.arange(w), (len(pairs), w))
+        self.inside, self.shortest = np.arange(w) < self.width[:, None], int(self.length.min())
+        # half as wide numbers where scores and matches fit
+        self.kind, self.one = (np.int32, 1 << 16) if n + w < 32_000 else (np.int64, ONE)
+        self.steps = np.arange(w, dtype=self.kind) * self.kind(self.one)
+        self.least = self.kind(-(1 << (30 if self.kind is np.int32 else 60)))
+        self.column = np.broadcast_to(np.arange(w, dtype=np.int32), (len(pairs), w))
 
     def row(self, i: int) -> tuple[np.ndarray, np.ndarray]:
         """Which cells of row i exist, and which of them match."""
         w = self.inside.shape[1]
-        cells = self.there[:, i : i + w] & self.inside & (i < self.length)[:, None]
+        cells = self.there[:, i : i + w] & self.inside
+        if i >= self.shortest:
+            cells &= (i < self.length)[:, None]
         return cells, cells & (self.b[:, i : i + w] == self.a[:, i : i + 1])
 
+    def gain(self, equal: np.ndarray) -> np.ndarray:
+        """What a match or a mismatch adds."""
+        return equal.astype(self.kind) * self.kind(2 * self.one + 1) - self.kind(self.one)
+
     def along(self, score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Best scores with gap words of b before them, and the column each comes from."""
         lifted = score + self.steps
         top = np.maximum.accumulate(lifted, axis=1)
-        return top - self.steps, np.maximum.accumulate(np.where(lifted == top, self.column, 0), axis=1)
+        return top - self.steps, np.maximum.accumulate((lifted == top) * self.column, axis=1)
 
 
 def blocks(pairs: list[tuple], cells: int, area: int | None = None):
@@ -66,53 +75,56 @@ def local(pairs: list[tuple[np.ndarray, np.ndarray, int, int]]) -> list[tuple[in
     for own in blocks(pairs, CELLS):
         block = Block([pairs[k] for k in own])
         n, w = len(own), block.inside.shape[1]
-        score, start = np.zeros((n, w + 1), np.int64), np.zeros((n, w + 1), np.int64)
+        one, score = block.one, np.zeros((n, w + 1), block.kind)
+        start = np.zeros((n, w + 1), np.int32 if block.a.shape[1] * w < 1 << 31 else np.int64)
+        fresh_at, corner = np.arange(w, dtype=start.dtype), np.arange(n)[:, None] * w
         best, begin, end = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
-        at = np.arange(n)
         for i in range(block.a.shape[1]):
             cells, equal = block.row(i)
+            gone = ~cells
             d = score[:, :w]
-            fresh = d < ONE
-            s = np.where(fresh, i * w + block.column, start[:, :w])
-            d = np.where(fresh, 0, d) + np.where(equal, ONE + 1, -ONE)
-            up = score[:, 1:] - ONE
+            fresh = d < one
+            s = np.where(fresh, fresh_at, start[:, :w])
+            fresh_at += w
+            d = np.where(fresh, block.kind(0), d)
+            d += block.gain(equal)
+            up = score[:, 1:] - block.kind(one)
             take = up > d
-            d, s = np.where(take, up, d), np.where(take, start[:, 1:], s)
-            d[~cells] = -(1 << 60)
+            np.copyto(d, up, where=take)
+            np.copyto(s, start[:, 1:], where=take)
+            d[gone] = block.least
             d, source = block.along(d)
-            s = np.take_along_axis(s, source, 1)
-            d[~cells] = 0
+            s = s.ravel().take(source + corner)
+            d[gone] = 0
             np.maximum(d, 0, out=d)
-            k = d.argmax(1)
-            top = d[at, k]
-            better = top > best
-            if better.any():
-                best = np.where(better, top, best)
-                begin = np.where(better, s[at, k], begin)
-                end = np.where(better, i * w + k, end)
+            top = d.max(1)
+            better = np.flatnonzero(top > best)
+            if len(better):
+                k = d[better].argmax(1)
+                best[better], begin[better], end[better] = top[better], s[better, k], i * w + k
             score[:, :w], start[:, :w] = d, s
         for x, k in enumerate(own):
             if best[x]:
                 lo, (i, c), (j, e) = pairs[k][2], divmod(int(begin[x]), w), divmod(int(end[x]), w)
-                out[k] = (int(best[x]) >> 32, int(best[x]) & (ONE - 1), i, j + 1, i + lo + c, j + lo + e + 1)
+                out[k] = (int(best[x]) // one, int(best[x]) % one, i, j + 1, i + lo + c, j + lo + e + 1)
     return out
 
 
 def matched_words(pairs: list[tuple[np.ndarray, np.ndarray, int, int]]) -> list[np.ndarray]:
     """Which words of each a match in a best alignment of all of a with all of b on the pair's diagonals."""
     out: list = [None] * len(pairs)
-    least = -(1 << 60)
     for own in blocks(pairs, CELLS, MOVES):
         block = Block([pairs[k] for k in own])
         n, w = len(own), block.inside.shape[1]
         origin = np.array([-pairs[k][2] for k in own])
-        score = np.full((n, w + 1), least, np.int64)
+        least = block.least
+        score = np.full((n, w + 1), least, block.kind)
         fits = (origin >= 0) & (origin < block.width)
         score[np.flatnonzero(fits), origin[fits]] = 0  # before both: no word of a, none of b
         moves, sources = [], []
         for i in range(block.a.shape[1]):
             cells, equal = block.row(i)
-            d, up = score[:, :w] + np.where(equal, ONE + 1, -ONE), score[:, 1:] - ONE
+            d, up = score[:, :w] + block.gain(equal), score[:, 1:] - block.kind(block.one)
             moves.append(np.where(up > d, 2, equal).astype(np.int8))  # 0 a mismatch, 1 a match, 2 a word of a alone
             d = np.where(cells, np.maximum(d, up), least)
             d, source = block.along(d)
