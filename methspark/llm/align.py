@@ -110,8 +110,10 @@ def local(pairs: list[tuple[np.ndarray, np.ndarray, int, int]]) -> list[tuple[in
     return out
 
 
-def matched_words(pairs: list[tuple[np.ndarray, np.ndarray, int, int]]) -> list[np.ndarray]:
-    """Which words of each a match in a best alignment of all of a with all of b on the pair's diagonals."""
+def matched_places(pairs: list[tuple[np.ndarray, np.ndarray, int, int]], free: bool = False) -> list[np.ndarray]:
+    """The place in b of each word of a that matches, else -1, in a best alignment of all of a with all of b on the pair's diagonals.
+
+    free: with any part of b, the first of equals."""
     out: list = [None] * len(pairs)
     for own in blocks(pairs, CELLS, MOVES):
         block = Block([pairs[k] for k in own])
@@ -120,7 +122,10 @@ def matched_words(pairs: list[tuple[np.ndarray, np.ndarray, int, int]]) -> list[
         least = block.least
         score = np.full((n, w + 1), least, block.kind)
         fits = (origin >= 0) & (origin < block.width)
+        if free:
+            score[:, :w] = 0
         score[np.flatnonzero(fits), origin[fits]] = 0  # before both: no word of a, none of b
+        c = np.array([len(pairs[k][1]) - len(pairs[k][0]) - pairs[k][2] for k in own])
         moves, sources = [], []
         for i in range(block.a.shape[1]):
             cells, equal = block.row(i)
@@ -130,17 +135,19 @@ def matched_words(pairs: list[tuple[np.ndarray, np.ndarray, int, int]]) -> list[
             d, source = block.along(d)
             sources.append(source.astype(np.int16 if w < 1 << 15 else np.int32))
             score[:, :w] = np.where(cells, np.maximum(d, least), least)
-        flags = np.zeros(block.a.shape, bool)
-        c = np.array([len(pairs[k][1]) - len(pairs[k][0]) - pairs[k][2] for k in own])
+            done = np.flatnonzero(block.length == i + 1)
+            if free and len(done):
+                c[done] = score[done, :w].argmax(1)
+        places = np.full(block.a.shape, -1)
         for i in range(block.a.shape[1] - 1, -1, -1):
             on = np.flatnonzero((i < block.length) & (c >= 0) & (c < block.width))
             if len(on):
                 from_ = sources[i][on, c[on]].astype(np.int64)
                 move = moves[i][on, from_]
-                flags[on, i] = move == 1
+                places[on, i] = np.where(move == 1, i - origin[on] + from_, -1)
                 c[on] = from_ + (move == 2)
         for x, k in enumerate(own):
-            out[k] = flags[x, : block.length[x]]
+            out[k] = places[x, : block.length[x]]
     return out
 
 
@@ -211,6 +218,7 @@ def passages(pairs: list[tuple[np.ndarray, np.ndarray, int, int]], least: int, s
             elif e - s >= least:
                 part.append((k, at + s, a[s:e], b[c:d], lo + s - c, hi + s - c))
             todo += [(k, at, a[:s], b[:c], lo, hi), (k, at + e, a[e:], b[d:], lo + e - d, hi + e - d)]
-        for (k, at, *_), flags in zip(part, matched_words([x[2:] for x in part]), strict=True):
+        for (k, at, *_), places in zip(part, matched_places([x[2:] for x in part]), strict=True):
+            flags = places >= 0
             out[k] += [(at + x, at + y, int(flags[x:y].sum())) for x, y in dense(flags, least, share)]
     return [sorted(x) for x in out]

@@ -1,12 +1,15 @@
 """License scan: winnowed template fingerprints pick candidates, banded alignment reports coverage and spans.
 
 Templates are winnowed (the least of every ``WINNOW`` consecutive hashes of ``GRAM`` words) into an
-inverted index, which is broadcast: at most ``MAX_TEMPLATE_WORDS`` words in all, checked. Each text's
-hashes are looked up; hits of one template on nearby diagonals make a candidate region, in which the
-template is aligned on a band. Matches with at least ``COVERAGE`` of the template are reported.
+inverted index, which is broadcast: at most ``MAX_TEMPLATE_WORDS`` words in all, checked. Templates of at
+most ``ALL_GRAMS`` words keep all hashes, of fewer words each where ``COVERAGE`` allows changes that leave no
+run of ``GRAM``. Each text's hashes are looked up; each place where a hit lets the template begin is a
+candidate, and the template is aligned on a band around it, in the words that no earlier match of the
+template takes, many candidates at a time. Matches with at least ``COVERAGE`` of the template, in a span of
+which they are as large a share, are reported.
 
 Defined results: null and empty texts have no match; a template that occurs several times is reported
-each time; of overlapping matches each template keeps its own; repeated rows are scanned alike; no
+each time, back to back too; matches of different templates may overlap; repeated rows are scanned alike; no
 templates or rows work; extra columns are ignored.
 """
 
@@ -18,9 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._text import ALNUM, chunks, table, thrifty, words_of
-from .align import local
+from .align import matched_places
 
 GRAM, WINNOW = 3, 4
+ALL_GRAMS = 64
 COVERAGE = 0.8
 BAND = 8
 MAX_TEMPLATE_WORDS = 500_000
@@ -48,16 +52,35 @@ def winnow(h: np.ndarray, window: int) -> np.ndarray:
     return np.unique(len(h) - 1 - (np.arange(len(view)) + view.argmin(1)))
 
 
+def gram_of(n: int, gram: int, coverage: float) -> int:
+    """Words that n words surely keep in one run if all but `coverage` of them are changed; `gram` at most, one at least."""
+    changed = int((1 - coverage) * n + 1e-9)
+    return max(1, min(gram, -(-(n - changed) // (changed + 1))))
+
+
+def tight(places: np.ndarray, share: float) -> tuple[int, int, int]:
+    """(places held, start, end) of the span with the most places, which are at least `share` of it; the first of equals."""
+    best = (0, 0, 0)
+    for i in range(len(places)):
+        if len(places) - i <= best[0]:
+            break
+        fits = np.flatnonzero(np.arange(1, len(places) - i + 1) >= share * (places[i:] - places[i] + 1) - 1e-9)
+        if fits[-1] + 1 > best[0]:
+            best = (int(fits[-1]) + 1, int(places[i]), int(places[i + fits[-1]]) + 1)
+    return best
+
+
 class TemplateIndex:
-    def __init__(self, templates: dict[str, str], gram: int = GRAM, window: int = WINNOW):
-        self.gram, self.names, self.words, index = gram, [], [], {}
+    def __init__(self, templates: dict[str, str], gram: int = GRAM, window: int = WINNOW, coverage: float = COVERAGE):
+        self.names, self.words, index = [], [], {}
         for name, text in sorted(templates.items()):
             w = words_of(text, ALNUM)
-            n = min(gram, len(w.hash))
-            if not n:
+            if not len(w.hash):
                 continue
+            short = len(w.hash) <= ALL_GRAMS
+            n = gram_of(len(w.hash), gram, coverage) if short else gram
             at, h = w.windows(n)
-            for k in winnow(h, window).tolist():
+            for k in range(len(h)) if short else winnow(h, window).tolist():
                 index.setdefault((n, int(h[k])), []).append((len(self.names), int(at[k])))
             self.names.append(name)
             self.words.append(w.hash)
@@ -80,18 +103,29 @@ class TemplateIndex:
     def scan(self, words, coverage: float, band: int) -> list[list[tuple[str, float, int, int]]]:
         """(name, coverage, start, end) of each text's matches, in words."""
         out: list[list] = [[] for _ in range(len(words.count))]
-        for (doc, t), begins in sorted(self.candidates(words).items()):
-            text, own = words.hash[words.first[doc] : words.first[doc + 1]], self.words[t]
-            last = None
-            for begin in sorted(set(begins)):
-                if last is not None and begin <= last + band:
-                    continue
-                last = begin
-                lo, hi = max(0, begin - band), min(len(text), begin + len(own) + 2 * band)
-                _, n, _, _, s, e = local(own, text[lo:hi], -band, 3 * band)
-                match = (self.names[t], n / len(own), lo + s, lo + e)
-                if match[1] >= coverage and match not in out[doc]:
-                    out[doc].append(match)
+        # of each text and template: the places left to try, the last one first, and the matches so far
+        todo = [(doc, t, sorted(set(begins), reverse=True), []) for (doc, t), begins in sorted(self.candidates(words).items())]
+        while todo:
+            asked = []
+            for doc, t, begins, taken in todo:
+                text, own = words.hash[words.first[doc] : words.first[doc + 1]], self.words[t]
+                while begins:
+                    at = max(0, begins[-1])
+                    lo = max([0, begins[-1] - band, *(e for _, e in taken if e <= at)])
+                    hi = min([len(text), begins[-1] + len(own) + 2 * band, *(s for s, _ in taken if s > at)])
+                    if not any(s <= at < e for s, e in taken) and hi - lo >= coverage * len(own) - 1e-9:
+                        around = np.zeros(2 * band, own.dtype)  # words that match nothing, where a template's ends are missing
+                        asked.append((doc, t, begins, taken, lo - 2 * band, (own, np.concatenate((around, text[lo:hi], around)), begins[-1] - lo, begins[-1] - lo + 4 * band)))
+                        break
+                    begins.pop()
+            for (doc, t, begins, taken, lo, _), places in zip(asked, matched_places([x[-1] for x in asked], free=True), strict=True):
+                n, s, e = tight(places[places >= 0], coverage)
+                if n >= coverage * len(self.words[t]) - 1e-9:  # a match beside the place leaves it to be tried again
+                    taken.append((lo + s, lo + e))
+                    out[doc].append((self.names[t], n / len(self.words[t]), lo + s, lo + e))
+                else:
+                    begins.pop()
+            todo = [x[:4] for x in asked]
         return [sorted(x, key=lambda m: (m[2], m[3], m[0])) for x in out]
 
 
@@ -104,7 +138,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, cove
     templates = TEMPLATES if templates is None else templates
     if sum(len(words_of(t, ALNUM).hash) for t in templates.values()) > MAX_TEMPLATE_WORDS:
         raise ValueError(f"at most {MAX_TEMPLATE_WORDS} template words can be broadcast")
-    index = docs.sparkSession.sparkContext.broadcast(TemplateIndex(templates))
+    index = docs.sparkSession.sparkContext.broadcast(TemplateIndex(templates, coverage=coverage))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):

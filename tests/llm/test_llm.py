@@ -240,6 +240,24 @@ def test_licenses(spark, docs, empty):
     assert [x[0] for x in got[900]] == ["MIT"] and license_scan.scan_licenses(empty).count() == 0
 
 
+def test_license_repeats_and_changes():
+    """Back to back repeats are all reported, and so is every text with as many changed words as the coverage allows."""
+    index = license_scan.TemplateIndex(license_scan.TEMPLATES)
+    scan = lambda text: [(m[0], m[2], m[3]) for m in index.scan(words_of(text, ALNUM), license_scan.COVERAGE, license_scan.BAND)[0]]
+    assert scan((license_scan.TEMPLATES["Apache-2.0"] + " ") * 5) == [("Apache-2.0", 8 * k, 8 * k + 8) for k in range(5)]
+    assert scan("All rights reserved. " * 3) == [("all-rights-reserved", 3 * k, 3 * k + 3) for k in range(3)]
+    rng = np.random.default_rng(8)
+    for name, template in license_scan.TEMPLATES.items():
+        plain = re.findall("[0-9A-Za-z]+", template)
+        most = int((1 - license_scan.COVERAGE) * len(plain) + 1e-9)
+        for _ in range(12):
+            w = list(plain)
+            for at in rng.choice(len(w), most, replace=False):
+                w[at] = f"x{rng.integers(1e6)}"
+            own = [(s, e) for n, s, e in scan(prose(1, 30) + " " + " ".join(w) + " " + prose(2, 30)) if n == name]
+            assert own and own[0][0] >= 30 and own[0][1] <= 30 + len(w), (name, w)
+
+
 @pytest.mark.parametrize("percent,size", [(85, 4), (80, 5), (50, 1)])
 def test_jaccard(spark, docs, empty, percent, size):
     rng = np.random.default_rng(percent)
