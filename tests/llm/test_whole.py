@@ -246,3 +246,29 @@ def test_large_groups_of_near_copies(spark, monkeypatch):
         monkeypatch.setattr(jaccard_join, "HOT_ROWS", hot)
         got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(table.repartition(3), unit_shingles=unit).collect()}
         assert [got[k] for k in range(len(rows))] == [(len(g), c) for g, c in zip(grams, want, strict=True)]
+
+
+def test_pieces_of_a_wandering_chain():
+    """Pieces hold every fragment, overlap, and are narrow; a chain on few diagonals stays whole."""
+    path, a, b = [], 0, 0
+    for _ in range(200):
+        path.append((a, b, 20))
+        a, b = a + 24, b + 32
+    own = substring_dedup.pieces(path, 50)
+    assert len(own) > 5 and own[0][0] == 0 and own[-1][1] == path[-1][0] + 20
+    assert all(x[1] - y[0] >= 100 for x, y in zip(own, own[1:], strict=False))
+    assert all(abs((d - b) - (c - a)) + x <= 200 for a, b, c, d, x in ((lo, hi, p, q, x) for lo, hi, p, q, x in own))
+    assert substring_dedup.pieces([(0, 0, 900), (905, 925, 900)], 50) == [(0, 1805, 0, 1825, 0)]
+    rng = np.random.default_rng(3)
+    first, other, places = [], [], []
+    for k in range(120):  # fifteen common words, then words of the second text alone
+        first += (common := rng.integers(1, 1 << 30, 15).tolist())
+        places += range(len(first) - 15, len(first))
+        other += common + rng.integers(1 << 30, 1 << 31, 3 * (k % 2)).tolist()
+    path = [(15 * k, 15 * k + 3 * (k // 2), 15) for k in range(120)]
+    found = np.zeros(len(first), bool)
+    for lo, hi, p, q, off in substring_dedup.pieces(path, 50):
+        down, up = sorted((0, (q - p) - (hi - lo)))
+        for s, e, _ in align.passages([(np.array(first[lo:hi], np.uint32), np.array(other[p:q], np.uint32), down - off - 8, up + off + 8)], 50, 0.8)[0]:
+            found[lo + s : lo + e] = True
+    assert found.all()
