@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
@@ -127,10 +128,12 @@ def scan_sequencing_summary(spark, sf):
 
 @query("select Chr, chunk_start, seq from genome_chunk", "genome_chunk")
 def scan_fasta_chunks(spark, sf):
+    """The genome as one FASTA text over several files: a header and lines of 60 bases, in order."""
     df = view(spark, sf, "genome_chunk")
-    ordered = F.transform(F.sort_array(F.collect_list(F.struct("chunk_start", "seq"))), lambda x: F.lower(x["seq"]))
-    text_ = df.groupBy("Chr").agg(ordered.alias("s")).select(F.concat(F.lit(">"), F.col("Chr"), F.lit(" made\n"), F.array_join("s", "\n")).alias("value"))
-    return T.scan_fasta_chunks(spark, stored(text_, folder(spark)))
+    first = F.col("chunk_start") == F.min("chunk_start").over(Window.partitionBy("Chr"))
+    lines_ = F.array_compact(F.array(F.when(first, F.concat(F.lit(">"), F.col("Chr"), F.lit(" made"))), F.lower(F.substring("seq", 1, 60)), F.lower(F.substring("seq", 61, 4))))
+    text_ = df.withColumn("lines", lines_).orderBy("Chr", "chunk_start").select(F.explode("lines").alias("value"))
+    return T.scan_fasta_chunks(spark, stored(text_, folder(spark)), continued=True)
 
 
 TRACE = "trace as (select o_orderkey as task_id, case o_orderkey % 3 when 0 then 'Guppy' when 1 then 'Nanopolish' else 'Megalodon' end as tool, case when o_custkey % 2 = 0 then 'MB' else 'HL' end as dataset, 1 + o_orderkey % 9 as k, o_orderkey % 5 as h, o_orderkey % 60 as m, o_custkey % 60 as s, 1 + o_custkey % 900 as mem from orders)"

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import duration_seconds, finite, size_gb
@@ -111,14 +111,48 @@ def scan_sequencing_summary(lines: DataFrame) -> DataFrame:
     return columns(lines, "dataset read_id sequence_length").withColumn("sequence_length", number("sequence_length")).where("sequence_length is not null")
 
 
-def scan_fasta_chunks(spark: SparkSession, path: str, width: int = 64) -> DataFrame:
-    """Chr, chunk_start and seq (upper case) of FASTA files, one contig split by Spark at its header, so a contig's lines are one record; they are cut to chunks in its row."""
-    text = spark.read.option("lineSep", ">").text(path).where("value <> ''")
-    name = F.regexp_extract(F.substring_index("value", "\n", 1), r"^(\S+)", 1)
-    seq = F.upper(F.regexp_replace(F.expr("substring(value, locate('\n', value) + 1)"), r"\s", ""))
-    df = text.select(name.alias("Chr"), seq.alias("s")).where("s <> ''")
-    at = F.explode(F.sequence(F.lit(0), F.floor((F.length("s") - 1) / width).cast("int")))
-    return df.withColumn("k", at).select("Chr", (F.col("k") * width).cast("bigint").alias("chunk_start"), F.substr("s", F.col("k") * width + 1, F.lit(width)).alias("seq"))
+def _splits(spark: SparkSession, path, continued: bool) -> tuple[DataFrame, DataFrame]:
+    """The lines of FASTA text with their place in the split, and for each split what it takes over from those before.
+
+    A split is a file's part that one task reads. Its lines carry the number and the name of the last header in it
+    and how many bases follow that header up to the line. The second table has one row for each split."""
+    text = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    header = F.col("value").startswith(">")
+    bases = F.when(header, "").otherwise(F.upper(F.regexp_replace("value", r"\s", "")))
+    text = text.select("file", "block", "line", F.when(header, F.regexp_extract("value", r"^>\s*(\S*)", 1)).alias("name"), bases.alias("seq"))
+    w = Window.partitionBy("file", "block").orderBy("line")
+    text = text.withColumns({"part": F.count("name").over(w), "own": F.last("name", ignorenulls=True).over(w), "upto": F.sum(F.length("seq")).over(w)})
+    text = text.withColumn("at", F.col("upto") - F.length("seq") - F.coalesce(F.max(F.when(F.col("name").isNotNull(), F.col("upto"))).over(w), F.lit(0)))
+    ends = text.groupBy("file", "block").agg(F.max("part").alias("parts"), F.max_by("own", "line").alias("last"), F.max_by(F.col("at") + F.length("seq"), "line").alias("tail"))
+    # parts of one text in their order: a file's splits, or all files of a folder by the number in their names
+    number_ = F.nullif(F.regexp_extract(F.element_at(F.split("file", "/"), -1), r"([0-9]+)", 1), F.lit("")).cast("bigint")
+    order = Window.partitionBy(*([] if continued else ["file"])).orderBy(*([number_, "file"] if continued else []), "block")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumn("group", F.coalesce(F.count(F.when(F.col("parts") > 0, 1)).over(before), F.lit(0)))
+    inside = Window.partitionBy(*([] if continued else ["file"]), "group").orderBy(*([number_, "file"] if continued else []), "block").rowsBetween(Window.unboundedPreceding, -1)
+    opened = F.last(F.when(F.col("parts") > 0, F.struct("file", "block", "parts", "last", "tail")), ignorenulls=True).over(before)
+    ends = ends.withColumns({"opened": opened, "between": F.coalesce(F.sum("tail").over(inside), F.lit(0))})
+    carry = F.when(F.col("opened").isNotNull(), F.col("opened.tail")).otherwise(0) + F.col("between")
+    contig = F.when(F.col("opened").isNotNull(), F.struct(F.col("opened.file").alias("file"), F.col("opened.block").alias("block"), F.col("opened.parts").alias("part")))
+    return text, ends.select("file", "block", F.col("opened.last").alias("carried"), carry.alias("carry"), contig.alias("contig"))
+
+
+def scan_fasta_chunks(spark: SparkSession, path, width: int = 64, continued: bool = False) -> DataFrame:
+    """Chr, chunk_start and seq (upper case, white space left out) of FASTA files; the last chunk of a contig may be shorter.
+
+    A record is a line, so a contig may be of any length: a split's first lines go on with the last header before the
+    split, at the base where the splits before ended. continued: the files of the folder are one text, in the order of
+    the numbers in their names. Lines before any header are left out; contigs of one name stay apart by their place."""
+    lines, ends = _splits(spark, path, continued)
+    df = lines.where("seq <> ''").join(ends, ["file", "block"])
+    first = F.col("part") == 0
+    own = F.struct("file", "block", "part")
+    df = df.select(F.when(first, F.col("carried")).otherwise(F.col("own")).alias("Chr"), F.when(first, F.col("contig")).otherwise(own).alias("contig"), (F.col("at") + F.when(first, F.col("carry")).otherwise(0)).alias("at"), "seq").where("Chr is not null")
+    df = df.withColumn("k", F.explode(F.expr(f"sequence(at div {width}, (at + length(seq) - 1) div {width})")))
+    skip = F.greatest(F.col("k") * width - F.col("at"), F.lit(0))
+    piece = F.struct(F.greatest("at", F.col("k") * width).alias("at"), F.substr("seq", (skip + 1).cast("int"), ((F.col("k") + 1) * width - F.greatest("at", F.col("k") * width)).cast("int")).alias("seq"))
+    chunks = df.groupBy("Chr", "contig", "k").agg(F.sort_array(F.collect_list(piece)).alias("x"))
+    return chunks.select("Chr", (F.col("k") * width).alias("chunk_start"), F.array_join(F.transform("x", lambda y: y["seq"]), "").alias("seq"))
 
 
 def scan_trace_log(lines: DataFrame) -> DataFrame:

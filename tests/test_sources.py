@@ -58,3 +58,50 @@ def test_streams(spark, tmp_path):
         T.stream_site_counts(spark, src, counts, str(tmp_path / "c2")).awaitTermination()
     assert sorted((r.ID, r.Score) for r in spark.read.parquet(out).collect()) == [("r1", 0.5), ("r2", -1.0)]
     assert [(r.cov, r.meth) for r in T.site_counts(spark, counts).collect()] == [(6, 4)]
+
+
+def fasta(rng, contigs):
+    """Text of contigs in lines of many widths, and its chunks."""
+    text, want = ["; no header yet ACGT"], []
+    for name, size in contigs:
+        seq = "".join(rng.choices("ACGTN", k=size))
+        text.append(f">{name} length={size}")
+        at = 0
+        while at < size:
+            step = rng.choice([1, 7, 60, 61, 64, 200])
+            text.append(seq[at : at + step].lower() + rng.choice(["", " ", "\r"]))
+            at += step
+            if rng.random() < 0.1:
+                text.append("")
+        want += [(name, k, seq[k : k + 64]) for k in range(0, size, 64)]
+    return text, sorted(want)
+
+
+def test_fasta_contigs_go_on_over_splits_and_files(spark, tmp_path):
+    """The same chunks from one split, from splits of some hundred bytes, and from a text cut into files anywhere."""
+    import random
+
+    from methspark.sources.tables import scan_fasta_chunks
+
+    text, want = fasta(random.Random(4), [("chr1", 5000), ("empty", 0), ("chr2", 63), ("chr3", 64), ("chr10", 12345)])
+    one = tmp_path / "one"
+    one.mkdir()
+    (one / "genome.fa").write_text("\n".join(text) + "\n")
+    parts = tmp_path / "parts"
+    parts.mkdir()
+    for k in range(0, len(text), 37):
+        (parts / f"part-{k // 37}.txt").write_text("\n".join(text[k : k + 37]) + "\n")
+    conf = {"spark.sql.files.maxPartitionBytes": "512", "spark.sql.files.openCostInBytes": "64"}
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(scan_fasta_chunks(spark, str(one))) == want
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert spark.read.text(str(one)).rdd.getNumPartitions() > 10
+        assert rows(scan_fasta_chunks(spark, str(one))) == want
+        assert rows(scan_fasta_chunks(spark, str(parts), continued=True)) == want
+        apart = scan_fasta_chunks(spark, str(parts)).collect()  # files on their own begin with lines of no header
+        assert sum(len(r.seq) for r in apart) < sum(len(s) for _, _, s in want)
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
