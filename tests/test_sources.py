@@ -105,3 +105,58 @@ def test_fasta_contigs_go_on_over_splits_and_files(spark, tmp_path):
     finally:
         for k in conf:
             spark.conf.unset(k)
+
+
+def arriving(spark, k: int):
+    """Call file k: 40 reads, some of which an earlier file held in part."""
+    r, s = F.col("id") % 40 + 25 * k, F.floor(F.col("id") / 40)
+    return spark.range(320).select(F.lit("a").alias("tool"), F.concat(F.lit("r"), r).alias("ID"), F.lit("chr1").alias("Chr"), (10 * s + r % 3).alias("Pos"), F.lit("+").alias("Strand"), ((F.col("id") * 7 + k) % 11 - 5.0).alias("Score"))
+
+
+def progress(query) -> list:
+    """The batches of a finished query that had rows."""
+    query.awaitTermination()
+    assert query.exception() is None
+    return [p for p in query.recentProgress if p.numInputRows > 0]
+
+
+def test_unified_stream_reads_new_rows_only(spark, tmp_path):
+    """Ten batches: each reads its own rows alone, touches its own reads' state alone, and none of the output; a batch run again adds nothing."""
+    src, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    seen, batches = {}, []
+    for k in range(10):
+        arriving(spark, k).coalesce(1).write.mode("append").parquet(src)
+        batches += progress(T.stream_unify_batches(spark, src, out, state))
+        for r in sorted(arriving(spark, k).collect(), key=lambda r: r.Score):
+            seen.setdefault((r.ID, r.Pos), (k, r.Score))
+    assert [p.numInputRows for p in batches] == [320] * 10
+    assert all(p.stateOperators[0].numRowsUpdated <= 40 for p in batches) and batches[-1].stateOperators[0].numRowsTotal == 40 + 9 * 25
+    rows = lambda: sorted((r.ID, r.Pos, r.Score) for r in spark.read.parquet(out).collect())
+    want = sorted((i, p, s) for (i, p), (_, s) in seen.items())
+    assert rows() == want
+    for mark in (tmp_path / "state" / "commits").glob("*9*"):  # the last batch counts as not finished
+        mark.unlink()
+    T.stream_unify_batches(spark, src, out, state).awaitTermination()
+    assert rows() == want
+
+
+def test_site_store_has_one_row_for_each_site(spark, tmp_path):
+    """After any number of batches, merged or not; changes of merged batches go; a batch put again changes nothing."""
+    src, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    want: dict = {}
+    for k in range(7):
+        arriving(spark, k).coalesce(1).write.mode("append").parquet(src)
+        assert len(progress(T.stream_site_counts(spark, src, out, state, every=3))) == 1
+        for r in arriving(spark, k).collect():
+            c = want.setdefault(r.Pos, [0, 0])
+            c[0], c[1] = c[0] + 1, c[1] + (r.Score > 1e-5)
+        got = T.site_counts(spark, out).collect()
+        assert {r.Pos: [r.cov, r.meth] for r in got} == want and len(got) == len(want)
+    store = T.SiteStore(spark, out)
+    assert [n for n, _ in store.parts()] == [5, 6] and store._numbers("merged") == [2, 5] and store._numbers("changes") == [3, 4, 5, 6]
+    assert spark.read.parquet(store.parts()[0][1]).count() == len(want)
+    for mark in (tmp_path / "state" / "commits").glob("*6*"):
+        mark.unlink()
+    T.stream_site_counts(spark, src, out, state, every=3).awaitTermination()
+    assert {r.Pos: [r.cov, r.meth] for r in T.site_counts(spark, out).collect()} == want
+    assert T.site_counts(spark, str(tmp_path / "none")).count() == 0
