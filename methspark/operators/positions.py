@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 TILE = 1_000_000
 
 
-def _haloed(df: DataFrame, pos: str, halo: int, tile: int) -> DataFrame:
+def haloed(df: DataFrame, pos: str, halo: int, tile: int) -> DataFrame:
     """Each row in its own tile (mine) and in any other whose edge is within halo."""
     tiles = F.array_distinct(F.transform(F.array(F.lit(0), F.lit(-halo), F.lit(halo)), lambda d: F.floor((F.col(pos) + d) / tile)))
     out = df.withColumn("_tile", F.explode(tiles))
@@ -47,21 +47,6 @@ def singleton_islands(cpg: DataFrame, kbp: int = 10, tile: int = TILE) -> DataFr
     return out.select("Chr", "start", "stop", "cpgs", (F.col("cpgs") == 1).alias("singleton"))
 
 
-def concordance_classes(certain: DataFrame, cpg: DataFrame, kbp: int = 10, tile: int = TILE) -> DataFrame:
-    """Certain sites of non-singleton islands, on the C's position, with whether all labels within reach agree."""
-    unique = cpg.select("Chr", "pos_c").distinct()
-    runs = running_id(unique, ["pos_c"], lambda prev: F.col("pos_c") - (prev["pos_c"] + 2) >= kbp, F.floor(F.col("pos_c") / tile), ["Chr"])
-    sizes = runs.groupBy("Chr", "run").agg(F.count("*").alias("n")).where("n > 1")
-    islands = runs.join(sizes, ["Chr", "run"])
-    rows = certain.select("Chr", F.when(F.col("Strand") == "-", F.col("Pos") - 1).otherwise(F.col("Pos")).alias("pos_c"), "Strand", F.when(F.col("freq") < 0.5, 0).otherwise(1).alias("label"), "cov")
-    rows = rows.join(islands, ["Chr", "pos_c"])
-    reach = kbp + 1
-    both = _haloed(rows, "pos_c", reach, tile)
-    near = Window.partitionBy("Chr", "_tile", "run").orderBy("pos_c").rangeBetween(-reach, reach)
-    both = both.withColumn("concordant", F.min("label").over(near) == F.max("label").over(near)).where("_mine")
-    return both.select("Chr", "pos_c", "Strand", "label", "cov", "concordant")
-
-
 def merge_intervals(intervals: DataFrame, tile: int = TILE) -> DataFrame:
     """Overlapping or touching intervals of one strand merged (closed coordinates).
 
@@ -121,7 +106,7 @@ def ref_context_at_site(sites: DataFrame, chunks: DataFrame, n: int = 5, width:
 
 def cluster_neighbor_features(sites: DataFrame, nb: int = 25, tile: int = TILE) -> DataFrame:
     """Sites (Chr, pos_c, freq) with how many other sites lie within nb bases, and their mean frequency."""
-    both = _haloed(sites, "pos_c", nb, tile)
+    both = haloed(sites, "pos_c", nb, tile)
     near = Window.partitionBy("Chr", "_tile").orderBy("pos_c").rangeBetween(-nb, nb)
     n, total = F.count("*").over(near) - 1, F.sum("freq").over(near) - F.col("freq")
     out = both.withColumns({"neighbors": n, "_total": total}).where("_mine")

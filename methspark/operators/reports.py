@@ -36,12 +36,6 @@ def sort_report_categorical(report: DataFrame, orders: dict[str, list[str]], met
     return report.withColumn("place", F.row_number().over(w)).orderBy("place")
 
 
-def region_distribution(tagged: DataFrame) -> DataFrame:
-    """By tag: all sites and those in the four classes. tagged: tag, singleton and concordant (null: not known)."""
-    one, same = F.col("singleton"), F.col("concordant")
-    return tagged.groupBy("tag").agg(F.count("*").alias("total"), F.count_if(one).alias("singletons"), F.count_if(~one).alias("non_singletons"), F.count_if(same).alias("concordant"), F.count_if(~same).alias("discordant"))
-
-
 def wilcoxon_signed_rank(pairs: DataFrame, a: str, b: str) -> DataFrame:
     """n (pairs that differ), w_plus, w_minus (rank sums, ties sharing their mean rank) and z by the normal approximation with ties."""
     d = F.round(F.col(a) - F.col(b), 9)

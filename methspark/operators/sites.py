@@ -68,15 +68,6 @@ def sites_report(site_calls: DataFrame, truth: DataFrame) -> DataFrame:
     return hit.join(F.broadcast(n)).select("tool", "sites", "bs_sites", "joined")
 
 
-def region_class_table(tagged_truth: DataFrame) -> DataFrame:
-    """Unmethylated, methylated and all certain sites by tag."""
-    return tagged_truth.groupBy("tag").agg(F.count_if(F.col("freq") < 1e-5).alias("n_5c"), F.count_if(F.col("freq") > 1 - 1e-5).alias("n_5mc"), F.count("*").alias("n_all"))
-
-
-def coverage_summary(tagged_sites: DataFrame) -> DataFrame:
-    return tagged_sites.groupBy("tool", "tag").agg(F.count("*").alias("sites"), F.sum("cov").alias("calls"))
-
-
 def raw_coverage_by_region(tagged_sites: DataFrame, cutoffs=(3,)) -> DataFrame:
     return tagged_sites.groupBy("tag").agg(*[F.count_if(F.col("cov") >= c).alias(f"cov_ge_{c}") for c in cutoffs], F.count("*").alias("total"))
 

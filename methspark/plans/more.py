@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from ..models import consensus as C
+from ..operators import classes as K
 from ..operators import exports as X
 from ..operators import genome as G
 from ..operators import haplotype as H
@@ -22,7 +23,7 @@ from ..sources import dispatch as D
 from ..sources import tables as T
 from ..streaming import stream
 from .fixtures import view
-from .queries import CERTAIN, CUMULATED, DASH, EVAL, F1, INNER, ISLANDS, LABEL, PAIRS, POS0, SITE, SITE_CALLS, SITES, TAGS, TOOLS, UNION, WIDE, calls, lines, matrix, query, r6, site_calls, tagged, text, truth, union_truth
+from .queries import CERTAIN, CUMULATED, DASH, EVAL, F1, INNER, ISLANDS, LABEL, PAIRS, POS0, SITE, SITE_CALLS, SITES, TAG_NAMES, TAGS, TOOLS, UNION, WIDE, calls, certain_sites, lines, masked, matrix, query, r6, site_calls, tagged, text, truth, union_truth
 
 
 def folder(spark) -> str:
@@ -358,14 +359,7 @@ def pr_curve_points(spark, sf):
 
 @query(f", {UNION}, {CERTAIN}, {TAGS}, {ISLANDS}, big as (select *, count(*) over (partition by Chr, run) as n from isl), k as (select c.Chr, c.Pos, c.Strand, big.pos_c, run, n, y_true as label from certain c left join big on c.Chr = big.Chr and case when c.Strand = '-' then c.Pos - 1 else c.Pos end = big.pos_c), j as (select {SITES}, min(label) over w = max(label) over w as same from k where n > 1 window w as (partition by Chr, run order by pos_c range between 11 preceding and 11 following)) select tag, count(*) as total, count(case when n = 1 then 1 end) as singletons, count(case when n > 1 then 1 end) as non_singletons, count(case when same then 1 end) as concordant, count(case when not same then 1 end) as discordant from tags join k using ({SITES}) left join j using ({SITES}) group by tag", "bs_truth", "region_view", "cpg_site")
 def region_distribution(spark, sf):
-    certain, cpg = A.filter_certain_sites(union_truth(spark, sf, 5)), view(spark, sf, "cpg_site")
-    tags = J.annotate_regions_multi(certain.select(*SITE), view(spark, sf, "region_view"))
-    c = F.when(F.col("Strand") == "-", F.col("Pos") - 1).otherwise(F.col("Pos"))
-    runs = P.running_id(cpg.select("Chr", "pos_c").distinct(), ["pos_c"], lambda prev: F.col("pos_c") - (prev["pos_c"] + 2) >= 10, F.floor(F.col("pos_c") / 2000), ["Chr"])
-    alone = runs.join(runs.groupBy("Chr", "run").agg((F.count("*") == 1).alias("singleton")), ["Chr", "run"]).select("Chr", "pos_c", "singleton")
-    same = P.concordance_classes(certain, cpg, tile=2000).select("Chr", "pos_c", "Strand", "concordant")
-    rows = tags.withColumn("pos_c", c).join(alone, ["Chr", "pos_c"], "left").join(same, ["Chr", "pos_c", "Strand"], "left")
-    return B.region_distribution(rows)
+    return K.region_distribution(masked(spark, sf, certain_sites(spark, sf)), TAG_NAMES)
 
 
 @query(f", {SITE_CALLS}, {UNION}, d as (select round(s.freq - u.freq, 9) as d from site_calls s join union_truth u using ({SITES}) where tool = 'megalodon'), g as (select abs(d) as a, count(*) as n, count(case when d > 0 then 1 end) as up from d where d <> 0 group by 1), r as (select *, sum(n) over (order by a) - (n - 1) / 2.0e0 as rk from g), w as (select cast(sum(n) as double) as n, sum(up * rk) as p, sum((n - up) * rk) as m, sum(pow(n, 3) - n) as ties from r) select cast(n as bigint) as n, round(p, 3) as w_plus, round(m, 3) as w_minus, round((p - n * (n + 1) / 4) / sqrt(n * (n + 1) * (2 * n + 1) / 24 - ties / 48), 6) as z from w", "read_call", "bs_truth")

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
+from ..operators import classes as K
 from ..operators import exports as X
 from ..operators import haplotype as H
 from ..operators import joins as J
@@ -508,17 +509,63 @@ def sites_report(spark, sf):
     return A.sites_report(site_calls(spark, sf), union_truth(spark, sf))
 
 
-@query(f", {UNION}, {CERTAIN}, {TAGS} select tag, count(case when freq < 0.5 then 1 end) as n_5c, count(case when freq > 0.5 then 1 end) as n_5mc, count(*) as n_all from tags join certain using ({SITES}) group by tag", "bs_truth", "region_view")
+RTAGS = f"(select distinct s.Chr, s.Pos, s.Strand, tag from site_strand s join region_view r on s.Chr = r.Chr and s.Pos between r.start and r.stop and (tag <> 'rep_SINE' or s.Strand = r.Strand) union all select {SITES}, 'Genome-wide' from site_strand)"
+TAG_NAMES = ["Promoters", "Exons", "Introns", "CpG islands", "rep_SINE"]
+ISLANDS = "isl as (select *, sum(case when pos_c - (prev + 2) < 10 then 0 else 1 end) over (partition by Chr order by pos_c) as run from (select *, lag(pos_c) over (partition by Chr order by pos_c) as prev from (select distinct Chr, pos_c from cpg_site)))"
+C_POS = "case when Strand = '-' then Pos - 1 else Pos end"
+CLASSES = (
+    f"{ISLANDS}, big as (select *, count(*) over (partition by Chr, run) as size from isl), lab as (select Chr, {C_POS} as pos_c, y_true from certain), cj as (select big.*, y_true from big join lab using (Chr, pos_c) where size > 1), "
+    "cc as (select distinct Chr, pos_c, min(y_true) over w = max(y_true) over w as same from cj window w as (partition by Chr, run order by pos_c range between 11 preceding and 11 following)), "
+    "ctag as (select Chr, pos_c, case when size = 1 then 'Singletons' else 'Non-singletons' end as tag from big union all select Chr, pos_c, case when same then 'Concordant' else 'Discordant' end from cc)"
+)
+
+
+def certain_sites(spark, sf):
+    return A.filter_certain_sites(union_truth(spark, sf, 5))
+
+
+def cpg_classes(spark, sf):
+    return K.cpg_classes(view(spark, sf, "cpg_site"), certain_sites(spark, sf), tile=2000)
+
+
+def masked(spark, sf, sites):
+    return K.site_masks(sites, cpg_classes(spark, sf), view(spark, sf, "region_view"), TAG_NAMES)
+
+
+@query(f", {UNION}, {CERTAIN}, {TAGS}, {CLASSES} select tag, count(case when freq < 0.5 then 1 end) as n_5c, count(case when freq > 0.5 then 1 end) as n_5mc, count(*) as n_all from (select * from tags union all select {SITES}, tag from certain join ctag on certain.Chr = ctag.Chr and {C_POS} = pos_c) t join certain using ({SITES}) group by tag".replace(f"select {SITES}, tag from certain join ctag", "select certain.Chr, certain.Pos, certain.Strand, tag from certain join ctag"), "bs_truth", "region_view", "cpg_site")
 def region_class_table(spark, sf):
-    return A.region_class_table(J.annotate_regions_multi(A.filter_certain_sites(union_truth(spark, sf, 5)), view(spark, sf, "region_view")))
+    return K.region_class_table(masked(spark, sf, certain_sites(spark, sf)), TAG_NAMES)
 
 
-RTAGS = f"(select distinct s.Chr, s.Pos, s.Strand, tag from site_strand s join region_view r on s.Chr = r.Chr and s.Pos between r.start and r.stop and (tag <> 'rep_SINE' or s.Strand = r.Strand) union all select {SITES}, 'Genome-wide' from site_strand)"
+CALLED = f"enough as (select * from site_calls where cov >= 3), called as (select distinct {SITES}, {C_POS} as pos_c from read_call), every as (select distinct s.Chr, s.Pos, s.Strand, tag from called s join region_view r on s.Chr = r.Chr and s.Pos between r.start and r.stop and (tag <> 'rep_SINE' or s.Strand = r.Strand) union all select s.Chr, s.Pos, s.Strand, tag from called s join ctag on s.Chr = ctag.Chr and s.pos_c = ctag.pos_c where tag <> 'Non-singletons')"
+TOOL_LIST = ", ".join(f"'{t}'" for t in TOOLS)
+NAMES = ", ".join(f"'{n}'" for n in (*K.CLASSES, *TAG_NAMES))
+
+
+def _joint(name: str, first: int) -> str:
+    """The rows of sites that all and any of the first tools have."""
+    tools = ", ".join(f"'{t}'" for t in TOOLS[:first])
+    return f"select '{name}Joined' as report, 'Total cov' as item, count(case when m = {first} then 1 end) as n from (select count(*) as m from enough where tool in ({tools}) group by {SITES}) union all select '{name}Union', 'Total cov', count(*) from (select distinct {SITES} from enough where tool in ({tools}))"
 
 
-@query(f", {SITE_CALLS} select tool, tag, count(*) as sites, cast(sum(cov) as bigint) as calls from site_calls join {RTAGS} using ({SITES}) group by tool, tag", "read_call", "site_strand", "region_view")
+@query(
+    f", {SITE_CALLS}, {UNION}, {CERTAIN}, {CLASSES}, {CALLED}, t as (select unnest([{TOOL_LIST}]) as report), parts as (select tool as report, tag as item, count(*) as n from enough join every using ({SITES}) group by tool, tag), "
+    "totals as (select tool, count(*) as n from enough group by tool) "
+    "select report, 'BG-Truth' as item, (select count(*) from union_truth where cov >= 5) as n from t "
+    "union all select tool, 'Total', count(*) from site_calls group by tool union all select tool, 'Total cov', n from totals union all select tool, 'Calls', count(*) from read_call group by tool "
+    f"union all select tool, 'Joined', count(*) from enough join union_truth u using ({SITES}) where u.cov >= 5 group by tool "
+    f"union all select t.report, i.item, case when i.item = 'Non-singletons' then totals.n - coalesce(s.n, 0) else coalesce(p.n, 0) end from t cross join (select unnest([{NAMES}]) as item) i join totals on totals.tool = t.report left join parts p on p.report = t.report and p.item = i.item left join parts s on s.report = t.report and s.item = 'Singletons' "
+    f"union all {_joint('', 3)} union all {_joint('TOP2 ', 2)} union all {_joint('TOP3 ', 3)}",
+    "read_call", "bs_truth", "region_view", "cpg_site",
+)
 def coverage_summary(spark, sf):
-    return A.coverage_summary(J.annotate_regions_multi(site_calls(spark, sf), view(spark, sf, "region_view")))
+    sites = K.tool_sites(calls(spark, sf), union_truth(spark, sf), TOOLS)
+    return K.coverage_summary(masked(spark, sf, sites), TOOLS, TAG_NAMES, (2, 3))
+
+
+@query(f", {UNION}, {CERTAIN}, {CLASSES} select tag as class, count(case when y_true = 0 then 1 end) as n_5c, count(case when y_true = 1 then 1 end) as n_5mc from certain join ctag on certain.Chr = ctag.Chr and {C_POS} = pos_c where tag in ('Concordant', 'Discordant') group by tag", "bs_truth", "cpg_site")
+def concordance_class_counts(spark, sf):
+    return K.concordance_counts(certain_sites(spark, sf), cpg_classes(spark, sf))
 
 
 @query(f", {UNION} select tag, count(case when cov >= 3 then 1 end) as cov_ge_3, count(case when cov >= 10 then 1 end) as cov_ge_10, count(*) as total from union_truth join {RTAGS} using ({SITES}) group by tag", "bs_truth", "site_strand", "region_view")
@@ -569,8 +616,6 @@ def region_sample_weights(spark, sf):
 
 # --- positions -----------------------------------------------------------------------------------
 
-ISLANDS = "isl as (select *, sum(case when pos_c - (prev + 2) < 10 then 0 else 1 end) over (partition by Chr order by pos_c) as run from (select *, lag(pos_c) over (partition by Chr order by pos_c) as prev from (select distinct Chr, pos_c from cpg_site)))"
-
 
 @query(f", {ISLANDS} select Chr, min(pos_c) as start, max(pos_c) + 1 as stop, count(*) as cpgs, count(*) = 1 as singleton from isl group by Chr, run", "cpg_site")
 def singleton_islands(spark, sf):
@@ -579,7 +624,7 @@ def singleton_islands(spark, sf):
 
 @query(f", {UNION}, {CERTAIN}, {ISLANDS}, big as (select *, count(*) over (partition by Chr, run) as n from isl), c as (select Chr, case when Strand = '-' then Pos - 1 else Pos end as pos_c, Strand, y_true as label, cov from certain), j as (select c.*, run from c join big on c.Chr = big.Chr and c.pos_c = big.pos_c where n > 1) select Chr, pos_c, Strand, label, cov, min(label) over w = max(label) over w as concordant from j window w as (partition by Chr, run order by pos_c range between 11 preceding and 11 following)", "bs_truth", "cpg_site")
 def concordance_classes(spark, sf):
-    return P.concordance_classes(A.filter_certain_sites(union_truth(spark, sf, 5)), view(spark, sf, "cpg_site"), tile=2000)
+    return K.concordance_classes(certain_sites(spark, sf), cpg_classes(spark, sf))
 
 
 @query("select Chr, Strand, min(start) as start, max(stop) as stop from (select *, sum(case when start <= reach then 0 else 1 end) over (partition by Chr, Strand order by start, stop rows unbounded preceding) as run from (select *, max(stop) over (partition by Chr, Strand order by start, stop rows between unbounded preceding and 1 preceding) as reach from region_view)) group by Chr, Strand, run", "region_view")

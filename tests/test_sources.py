@@ -160,3 +160,34 @@ def test_site_store_has_one_row_for_each_site(spark, tmp_path):
     T.stream_site_counts(spark, src, out, state, every=3).awaitTermination()
     assert {r.Pos: [r.cov, r.meth] for r in T.site_counts(spark, out).collect()} == want
     assert T.site_counts(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_classes_are_those_of_islands(spark):
+    """Random CpGs and certain sites: singletons by chained gaps, concordance by all labels of the island in reach; tiles do not matter."""
+    import random
+
+    from methspark.operators import classes as K
+
+    rng = random.Random(9)
+    cpg, at = [], 100
+    for _ in range(400):
+        at += rng.choice([2, 3, 9, 11, 12, 13, 30])
+        cpg.append(at)
+    certain = [(c + (s == "-"), s, float(rng.random() < 0.5 if rng.random() < 0.3 else c % 200 < 100)) for c in cpg for s in "+-" if rng.random() < 0.6] + [(5000, "+", 1.0)]
+    island, runs = {}, [[cpg[0]]]
+    for a, b in zip(cpg, cpg[1:], strict=False):
+        runs.append([b]) if b - (a + 2) >= 10 else runs[-1].append(b)
+    for r in runs:
+        island |= {c: r for c in r}
+    label: dict = {}
+    for p, s, f in certain:
+        label.setdefault(p - (s == "-"), set()).add(f)
+    want = {}
+    for c in cpg:
+        near = set().union(*[label.get(o, set()) for o in island[c] if abs(o - c) - 2 < 10])
+        want[c] = 1 if len(island[c]) == 1 else 2 | (0 if c not in label else 4 if len(near) == 1 else 8)
+    sites = spark.createDataFrame([("chr1", *x) for x in certain], "Chr string, Pos long, Strand string, freq double")
+    genome = spark.createDataFrame([("chr1", c) for c in cpg] + [("chr1", cpg[0])], "Chr string, pos_c long")
+    for tile in (40, 1000, 10**6):
+        got = K.cpg_classes(genome, sites, tile=tile).collect()
+        assert {r.pos_c: r.mask for r in got} == want and len(got) == len(want)
