@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.distributions import pearson_pvalue
 from ..functions.scalar import safe_corr
 
 
@@ -78,10 +79,11 @@ def curve_points(rows: DataFrame, by=("tool",)) -> DataFrame:
 
 
 def site_correlation(matrix_long: DataFrame, by=("tool",)) -> DataFrame:
-    """Pearson's r, mean squared error and n of pairs (freq, bs_freq)."""
+    """Pearson's r, its two-sided p, mean squared error and n of pairs (freq, bs_freq)."""
     x, y = F.col("freq"), F.col("bs_freq")
     own = matrix_long.where(x.isNotNull() & y.isNotNull())
-    return own.groupBy(*by).agg(safe_corr(x, y).alias("r"), F.avg((x - y) * (x - y)).alias("mse"), F.count("*").alias("n"))
+    out = own.groupBy(*by).agg(safe_corr(x, y).alias("r"), F.avg((x - y) * (x - y)).alias("mse"), F.count("*").alias("n"))
+    return out.withColumn("p", pearson_pvalue(F.col("r"), F.col("n")))
 
 
 def correlation_matrix(matrix: DataFrame, cols: list[str]) -> DataFrame:

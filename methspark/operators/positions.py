@@ -105,9 +105,19 @@ def ref_context_at_site(sites: DataFrame, chunks: DataFrame, n: int = 5, width:
 
 
 def cluster_neighbor_features(sites: DataFrame, nb: int = 25, tile: int = TILE) -> DataFrame:
-    """Sites (Chr, pos_c, freq) with how many other sites lie within nb bases, and their mean frequency."""
-    both = haloed(sites, "pos_c", nb, tile)
-    near = Window.partitionBy("Chr", "_tile").orderBy("pos_c").rangeBetween(-nb, nb)
-    n, total = F.count("*").over(near) - 1, F.sum("freq").over(near) - F.col("freq")
-    out = both.withColumns({"neighbors": n, "_total": total}).where("_mine")
-    return out.select("Chr", "pos_c", "freq", "neighbors", F.try_divide("_total", "neighbors").alias("neighbor_freq"))
+    """Sites (SITE, freq) with the features of the cluster model: partner_freq (the CpG's other strand, 0 if absent),
+    neighbors (other positions within nb bases, the partner's left out) and h0 to h10, the share of neighbours whose
+    frequency is nearest to 0, 0.1, ... 1, to three places. A position with sites on both strands counts as its + site."""
+    strand = lambda s: F.min(F.when(F.col("Strand") == s, F.col("freq")))
+    one = haloed(sites, "Pos", nb, tile).repartition("Chr", "_tile").groupBy("Chr", "_tile", "Pos", "_mine").agg(strand("+").alias("plus"), strand("-").alias("minus"))
+    one = one.withColumn("bin", F.floor(F.coalesce("plus", "minus") / 0.1 + 0.5))
+    w = Window.partitionBy("Chr", "_tile").orderBy("Pos")
+    near, ahead, behind = w.rangeBetween(-nb, nb), w.rangeBetween(1, 1), w.rangeBetween(-1, -1)
+    hits = {f"h{k}": F.count_if(F.col("bin") == k).over(near) for k in range(11)}
+    one = one.withColumns({**hits, "all": F.count("*").over(near), "other_minus": F.max("minus").over(ahead), "other_plus": F.max("plus").over(behind), "bin_ahead": F.max("bin").over(ahead), "bin_behind": F.max("bin").over(behind)})
+    own = [F.struct(F.lit("+").alias("Strand"), F.col("plus").alias("freq"), F.col("other_minus").alias("partner"), F.col("bin_ahead").alias("gone")), F.struct(F.lit("-").alias("Strand"), F.col("minus").alias("freq"), F.col("other_plus").alias("partner"), F.col("bin_behind").alias("gone"))]
+    rows = one.where("_mine").withColumn("s", F.explode(F.array(*own))).where("s.freq is not null")
+    n = F.col("all") - 1 - F.when(F.col("s.gone").isNull(), 0).otherwise(1)
+    count = lambda k: F.col(f"h{k}") - F.when(F.col("bin") == k, 1).otherwise(0) - F.when(F.col("s.gone") == k, 1).otherwise(0)
+    share = lambda k: F.bround(F.coalesce(F.try_divide(count(k), n), F.lit(0.0)), 3)
+    return rows.select("Chr", "Pos", "s.Strand", "s.freq", F.coalesce("s.partner", F.lit(0.0)).alias("partner_freq"), n.alias("neighbors"), *[share(k).alias(f"h{k}") for k in range(11)])

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.distributions import normal_two_sided
 from .joins import SITE
 from .metrics import running_totals, site_correlation
 
@@ -36,22 +36,53 @@ def sort_report_categorical(report: DataFrame, orders: dict[str, list[str]], met
     return report.withColumn("place", F.row_number().over(w)).orderBy("place")
 
 
-def wilcoxon_signed_rank(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    """n (pairs that differ), w_plus, w_minus (rank sums, ties sharing their mean rank) and z by the normal approximation with ties."""
+def wilcoxon_signed_rank(pairs: DataFrame, a: str, b: str, by=()) -> DataFrame:
+    """By group: n (pairs that differ), w_plus, w_minus (rank sums, ties sharing their mean rank), z by the normal approximation with ties, and its two-sided p."""
+    by = list(by) or ["all"]
     d = F.round(F.col(a) - F.col(b), 9)
-    t = pairs.select(d.alias("d")).where("d <> 0").groupBy(F.lit(0).alias("all"), F.abs("d").alias("size")).agg(F.count("*").alias("n"), F.count_if(F.col("d") > 0).alias("up"))
-    t = running_totals(t, ["all"], F.col("size"), {"upto": F.col("n")})
+    t = pairs.withColumn("all", F.lit(0)).select(*by, d.alias("d")).where("d <> 0").groupBy(*by, F.abs("d").alias("size")).agg(F.count("*").alias("n"), F.count_if(F.col("d") > 0).alias("up"))
+    t = running_totals(t, by, F.col("size"), {"upto": F.col("n")})
     mean = F.col("upto") - (F.col("n") - 1) / 2
     ties = F.sum(F.pow(F.col("n").cast("double"), 3) - F.col("n"))
-    out = t.agg(F.sum("n").alias("n"), F.sum(F.col("up") * mean).alias("w_plus"), F.sum((F.col("n") - F.col("up")) * mean).alias("w_minus"), ties.alias("ties")).where("n is not null")
+    out = t.groupBy(*by).agg(F.sum("n").alias("n"), F.sum(F.col("up") * mean).alias("w_plus"), F.sum((F.col("n") - F.col("up")) * mean).alias("w_minus"), ties.alias("ties"))
     n = F.col("n").cast("double")
-    return out.select("n", "w_plus", "w_minus", F.try_divide(F.col("w_plus") - n * (n + 1) / 4, F.sqrt(n * (n + 1) * (2 * n + 1) / 24 - F.col("ties") / 48)).alias("z"))
+    out = out.withColumn("z", F.try_divide(F.col("w_plus") - n * (n + 1) / 4, F.sqrt(n * (n + 1) * (2 * n + 1) / 24 - F.col("ties") / 48)))
+    return out.select(*[c for c in by if c != "all"], "n", "w_plus", "w_minus", "z", normal_two_sided(F.col("z")).alias("p"))
 
 
-def density_grid(pairs: DataFrame, a: str, b: str, bins: int = 20) -> DataFrame:
-    """Counts on a grid of two frequencies."""
+def _smoothed(rows: DataFrame, by: list[str], cell: str, keep: list[str], bins: int) -> DataFrame:
+    """Weights spread over cells of one axis by a Gaussian of the rows' bandwidth (null: none), cut at four bandwidths and at the grid's ends."""
+    h = F.col(f"h_{cell}")
+    reach = F.when(h.isNull(), 0).otherwise(F.least(F.ceil(4 * h * bins), F.lit(bins - 1)).cast("int"))
+    rows = rows.withColumn("_d", F.explode(F.sequence(-reach, reach)))
+    weight = F.when(h.isNull(), 1.0).otherwise(F.exp(-F.pow(F.col("_d") / bins / h, 2) / 2) / (h * math.sqrt(2 * math.pi)))
+    rows = rows.withColumns({cell: F.col(cell) + F.col("_d"), "w": F.col("w") * weight}).where(h.isNull() | F.col(cell).between(0, bins - 1))
+    return rows.groupBy(*by, *keep, "x", "y").agg(F.sum("w").alias("w"))
+
+
+def density_grid(pairs: DataFrame, a: str, b: str, by=("tool",), bins: int = 50) -> DataFrame:
+    """Kernel densities of two frequencies in 0 to 1, at the middles of cells: of both (kind xy) and of each (x and y).
+
+    Counts by cell are smoothed one axis after the other by a Gaussian; its width is the deviation times
+    n^(-1/6) for both and n^(-1/5) for one, half a cell at least. After the counts all tables are bounded by the grid."""
+    by = list(by)
     cell = lambda c: F.least(F.floor(F.col(c) * bins + 1e-9), F.lit(bins - 1)).cast("int")
-    return pairs.groupBy(cell(a).alias("x"), cell(b).alias("y")).agg(F.count("*").alias("n"))
+    own = pairs.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    moments = {f"{m}_{c}": F.sum(F.col(c) if m == "s" else F.col(c) * F.col(c)) for c in (a, b) for m in ("s", "q")}
+    cells = own.groupBy(*by, cell(a).alias("x"), cell(b).alias("y")).agg(F.count("*").alias("n"), *[v.alias(k) for k, v in moments.items()])
+    group = Window.partitionBy(*by)  # of one row for each cell at most
+    cells = cells.withColumns({"total": F.sum("n").over(group), **{k: F.sum(k).over(group) for k in moments}})
+    n = F.col("total").cast("double")
+    spread = lambda c: F.sqrt(F.greatest(F.coalesce(F.try_divide(F.col(f"q_{c}") - F.col(f"s_{c}") * F.col(f"s_{c}") / n, n - 1), F.lit(0.0)), F.lit(0.0)))
+    width = lambda c, d: F.greatest(spread(c) * F.pow(n, F.lit(-1 / (d + 4))), F.lit(0.5 / bins))
+    none = F.lit(None).cast("double")
+    kinds = [("xy", F.col("x"), F.col("y"), width(a, 2), width(b, 2)), ("x", F.col("x"), F.lit(-1), width(a, 1), none), ("y", F.lit(-1), F.col("y"), none, width(b, 1))]
+    kind = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), x.alias("x"), y.alias("y"), hx.alias("h_x"), hy.alias("h_y")) for k, x, y, hx, hy in kinds])).alias("k")
+    rows = cells.select(*by, (F.col("n") / n).alias("w"), kind).select(*by, "w", "k.*")
+    rows = _smoothed(rows, by, "x", ["kind", "h_y"], bins)
+    rows = _smoothed(rows, by, "y", ["kind"], bins)
+    at = lambda c: F.when(F.col(c) >= 0, F.col(c))
+    return rows.select(*by, "kind", at("x").alias("x"), at("y").alias("y"), F.col("w").alias("density"))
 
 
 def resource_rollup(trace: DataFrame, basecaller: str = "Guppy", dependents: tuple[str, ...] = ("Nanopolish", "Megalodon")) -> DataFrame:
@@ -79,45 +110,3 @@ def performance_wide(reports: list[DataFrame], names: dict[str, str], tags: list
     rows = reduce(DataFrame.unionByName, reports)
     tool = F.coalesce(*[F.when(F.col("tool") == k, v) for k, v in names.items()], F.col("tool"))
     return rows.groupBy("dataset", tool.alias("tool")).agg(*[F.max(F.when(F.col("tag") == t, F.col(metric))).alias(t) for t in tags])
-
-
-def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """The continued fraction of the incomplete beta function (modified Lentz)."""
-    tiny = 1e-300
-    c, d = np.ones_like(x), 1 - (a + b) * x / (a + 1)
-    d = 1 / np.where(np.abs(d) < tiny, tiny, d)
-    out = d.copy()
-    for m in range(1, 300):
-        for top in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
-            d = 1 + top * d
-            d = 1 / np.where(np.abs(d) < tiny, tiny, d)
-            c = 1 + top / c
-            c = np.where(np.abs(c) < tiny, tiny, c)
-            out = out * d * c
-    return out
-
-
-def incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """The regularised incomplete beta function I_x(a, b)."""
-    from math import lgamma
-
-    log = np.vectorize(lgamma)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        front = np.exp(log(a + b) - log(a) - log(b) + a * np.log(x) + b * np.log1p(-x))
-        low = x < (a + 1) / (a + b + 2)
-        value = np.where(low, front * _beta_fraction(a, b, np.where(low, x, 0.0)) / a, 1 - front * _beta_fraction(b, a, np.where(low, 0.0, 1 - x)) / b)
-    return np.clip(np.where(x <= 0, 0.0, np.where(x >= 1, 1.0, value)), 0.0, 1.0)
-
-
-def pearson_pvalue(r: Column, n: Column) -> Column:
-    """Two-sided p of Pearson's r over n pairs (Student's t with n - 2 degrees); null for n < 3 or no r. For aggregated rows."""
-
-    @F.pandas_udf("double")
-    def p(r: pd.Series, n: pd.Series) -> pd.Series:
-        x, m = r.to_numpy(float), n.to_numpy(float)
-        good = np.isfinite(x) & (m > 2)
-        df = np.where(good, m - 2, 1.0)
-        t2 = np.where(good, x * x * df / np.maximum(1 - x * x, 1e-300), 0.0)
-        return pd.Series(np.where(good, incomplete_beta(df / 2, np.full(len(x), 0.5), df / (df + t2)), np.nan)).astype("Float64").where(good)
-
-    return p(r, n)

@@ -23,7 +23,7 @@ from ..sources import dispatch as D
 from ..sources import tables as T
 from ..streaming import stream
 from .fixtures import view
-from .queries import CERTAIN, CUMULATED, DASH, EVAL, F1, INNER, ISLANDS, LABEL, PAIRS, POS0, SITE, SITE_CALLS, SITES, TAG_NAMES, TAGS, TOOLS, UNION, WIDE, calls, certain_sites, lines, masked, matrix, query, r6, site_calls, tagged, text, truth, union_truth
+from .queries import CERTAIN, CUMULATED, DASH, EVAL, F1, INNER, ISLANDS, LABEL, PAIRS, POS0, SITE, SITE_CALLS, SITES, TAG_NAMES, TAGS, TOOLS, UNION, WIDE, calls, certain_sites, lines, masked, matrix, pairs, query, r6, site_calls, student, tagged, text, truth, union_truth
 
 
 def folder(spark) -> str:
@@ -362,22 +362,41 @@ def region_distribution(spark, sf):
     return K.region_distribution(masked(spark, sf, certain_sites(spark, sf)), TAG_NAMES)
 
 
-@query(f", {SITE_CALLS}, {UNION}, d as (select round(s.freq - u.freq, 9) as d from site_calls s join union_truth u using ({SITES}) where tool = 'megalodon'), g as (select abs(d) as a, count(*) as n, count(case when d > 0 then 1 end) as up from d where d <> 0 group by 1), r as (select *, sum(n) over (order by a) - (n - 1) / 2.0e0 as rk from g), w as (select cast(sum(n) as double) as n, sum(up * rk) as p, sum((n - up) * rk) as m, sum(pow(n, 3) - n) as ties from r) select cast(n as bigint) as n, round(p, 3) as w_plus, round(m, 3) as w_minus, round((p - n * (n + 1) / 4) / sqrt(n * (n + 1) * (2 * n + 1) / 24 - ties / 48), 6) as z from w", "read_call", "bs_truth")
+def tail(z: str) -> str:
+    """The two-sided normal tail in SQL, by Simpson's rule over 12 deviations beyond z."""
+    return f"2 / sqrt(2 * pi()) * list_sum([(case when i in (0, 2000) then 1 when i % 2 = 1 then 4 else 2 end) * exp(-pow(abs({z}) + i * 0.006, 2) / 2) for i in range(2001)]) * 0.006 / 3"
+
+
+@query(f", {SITE_CALLS}, {UNION}, d as (select tool, round(s.freq - u.freq, 9) as d from site_calls s join union_truth u using ({SITES})), g as (select tool, abs(d) as a, count(*) as n, count(case when d > 0 then 1 end) as up from d where d <> 0 group by 1, 2), r as (select *, sum(n) over (partition by tool order by a) - (n - 1) / 2.0e0 as rk from g), w as (select tool, cast(sum(n) as double) as n, sum(up * rk) as p, sum((n - up) * rk) as m, sum(pow(n, 3) - n) as ties from r group by tool), z as (select *, (p - n * (n + 1) / 4) / sqrt(n * (n + 1) * (2 * n + 1) / 24 - ties / 48) as z from w) select tool, cast(n as bigint) as n, round(p, 3) as w_plus, round(m, 3) as w_minus, round(z, 6) as z, round({tail('z')}, 9) as p from z", "read_call", "bs_truth")
 def wilcoxon_signed_rank(spark, sf):
-    pairs = J.join_truth(site_calls(spark, sf).where("tool = 'megalodon'").select(*SITE, "freq"), union_truth(spark, sf).select(*SITE, F.col("freq").alias("bs_freq")))
-    return B.wilcoxon_signed_rank(pairs, "freq", "bs_freq").select("n", F.round("w_plus", 3).alias("w_plus"), F.round("w_minus", 3).alias("w_minus"), F.round("z", 6).alias("z"))
+    out = B.wilcoxon_signed_rank(pairs(spark, sf), "freq", "bs_freq", ["tool"])
+    return out.select("tool", "n", *[F.round(c, k).alias(c) for c, k in (("w_plus", 3), ("w_minus", 3), ("z", 6), ("p", 9))])
+
+
+def spread(c: str, k: int) -> str:
+    return f"greatest(sqrt(var_samp({c}) over (partition by tool)) * pow(count(*) over (partition by tool), {-1 / (k + 4)!r}), 0.01)"
+
+
+KERNEL = "exp(-pow(({0} - {1}) / 50.0e0 / {2}, 2) / 2) / ({2} * sqrt(2 * pi()))"
 
 
-@query(f", {SITE_CALLS}, {UNION} select cast(least(floor(s.freq * 20 + 0.000000001), 19) as int) as x, cast(least(floor(u.freq * 20 + 0.000000001), 19) as int) as y, count(*) as n from site_calls s join union_truth u using ({SITES}) where tool = 'megalodon' group by 1, 2", "read_call", "bs_truth")
+@query(
+    f", {SITE_CALLS}, {UNION}, p as (select tool, s.freq as a, u.freq as b from site_calls s join union_truth u using ({SITES})), "
+    f"h as (select tool, cast(least(floor(a * 50 + 0.000000001), 49) as int) as x, cast(least(floor(b * 50 + 0.000000001), 49) as int) as y, {spread('a', 2)} as ha, {spread('b', 2)} as hb, {spread('a', 1)} as h1, {spread('b', 1)} as h2, 1.0e0 / count(*) over (partition by tool) as w from p), "
+    "c as (select tool, x, y, min(ha) as ha, min(hb) as hb, min(h1) as h1, min(h2) as h2, sum(w) as w from h group by tool, x, y), g as (select unnest(range(50)) as g) "
+    f"select tool, 'xy' as kind, gx.g as x, gy.g as y, round(sum(w * {KERNEL.format('gx.g', 'x', 'ha')} * {KERNEL.format('gy.g', 'y', 'hb')}), 6) as density from c, g gx, g gy where abs(gx.g - x) <= ceil(4 * ha * 50) and abs(gy.g - y) <= ceil(4 * hb * 50) group by all "
+    f"union all select tool, 'x', g, null, round(sum(w * {KERNEL.format('g', 'x', 'h1')}), 6) from c, g where abs(g - x) <= ceil(4 * h1 * 50) group by all "
+    f"union all select tool, 'y', null, g, round(sum(w * {KERNEL.format('g', 'y', 'h2')}), 6) from c, g where abs(g - y) <= ceil(4 * h2 * 50) group by all",
+    "read_call", "bs_truth",
+)
 def density_grid(spark, sf):
-    pairs = J.join_truth(site_calls(spark, sf).where("tool = 'megalodon'").select(*SITE, "freq"), union_truth(spark, sf).select(*SITE, F.col("freq").alias("bs_freq")))
-    return B.density_grid(pairs, "freq", "bs_freq")
+    return B.density_grid(pairs(spark, sf), "freq", "bs_freq").withColumns(r6("density"))
 
 
 @query(f", {SITE_CALLS}, {UNION}, p as (select tool, s.freq, u.freq as bs_freq, s.cov, unnest([1, 3, 5]) as cutoff from site_calls s join union_truth u using ({SITES})) select tool, cutoff, round(corr(freq, bs_freq), 6) as r, round(avg((freq - bs_freq) * (freq - bs_freq)), 6) as mse, count(*) as n from p where cov >= cutoff group by tool, cutoff", "read_call", "bs_truth")
 def coverage_vs_accuracy(spark, sf):
     pairs = J.join_truth(site_calls(spark, sf).select("tool", *SITE, "freq", "cov"), union_truth(spark, sf).select(*SITE, F.col("freq").alias("bs_freq")))
-    return B.coverage_vs_accuracy(pairs, [1, 3, 5]).withColumns(r6("r", "mse"))
+    return B.coverage_vs_accuracy(pairs, [1, 3, 5]).drop("p").withColumns(r6("r", "mse"))
 
 
 @query(f"{EVAL} select 'one' as dataset, case tool when 'deepsignal' then 'DeepSignal' else tool end as tool, max(case when tag = 'Exons' then round(f1_5mc, 6) end) as \"Exons\", max(case when tag = 'Introns' then round(f1_5mc, 6) end) as \"Introns\" from ({F1}) group by tool", "read_call", "bs_truth", "region_view")
@@ -407,11 +426,13 @@ def split_multi_cpg_calls(spark, sf):
     return T.split_multi_cpg_calls(df)
 
 
-@query(f", {SITE_CALLS}, {UNION}, {PAIRS} select tool, round(corr(freq, bs_freq), 6) as r, count(*) as n, true as small from pairs group by tool", "read_call", "bs_truth")
+@query(f", {SITE_CALLS}, {UNION}, p as (select tool, Pos % 11 as pick, s.freq, u.freq as bs_freq, s.cov, u.cov as bs_cov from site_calls s join union_truth u using ({SITES})), g as (select tool, pick, 'freq' as what, corr(freq, bs_freq) as r, count(*) as n from p group by all union all select tool, pick, 'cov', corr(cov, bs_cov), count(*) from p group by all) select tool, pick, what, round(r, 6) as r, n, round({student('r', 'n')}, 6) as p from g", "read_call", "bs_truth")
 def pearson_pvalue_udf(spark, sf):
-    pairs = J.join_truth(site_calls(spark, sf).select("tool", *SITE, "freq"), union_truth(spark, sf).select(*SITE, F.col("freq").alias("bs_freq")))
-    out = M.site_correlation(pairs)
-    return out.select("tool", F.round("r", 6).alias("r"), "n", (B.pearson_pvalue(F.col("r"), F.col("n")) < 0.05).alias("small"))
+    """Correlations of frequency and of coverage with truth in eleven parts of the sites, with p from small to near 1."""
+    both = J.join_truth(site_calls(spark, sf).select("tool", *SITE, "freq", "cov"), union_truth(spark, sf).select(*SITE, F.col("freq").alias("bs_freq"), F.col("cov").alias("bs_cov")))
+    what = F.explode(F.array(F.struct(F.lit("freq").alias("what"), F.col("freq").alias("a"), F.col("bs_freq").alias("b")), F.struct(F.lit("cov").alias("what"), F.col("cov").cast("double").alias("a"), F.col("bs_cov").cast("double").alias("b")))).alias("x")
+    long = both.select("tool", (F.col("Pos") % 11).alias("pick"), what).select("tool", "pick", "x.what", F.col("x.a").alias("freq"), F.col("x.b").alias("bs_freq"))
+    return M.site_correlation(long, ("tool", "pick", "what")).select("tool", "pick", "what", F.round("r", 6).alias("r"), "n", F.round("p", 6).alias("p"))
 
 
 # --- models --------------------------------------------------------------------------------------

@@ -480,9 +480,19 @@ def pairs(spark, sf):
     return J.join_truth(site_calls(spark, sf).select("tool", *SITE, "freq"), union_truth(spark, sf).select(*SITE, F.col("freq").alias("bs_freq")))
 
 
-@query(f", {SITE_CALLS}, {UNION}, {PAIRS} select tool, {CORR} as r, round(avg((freq - bs_freq) * (freq - bs_freq)), 6) as mse, count(*) as n from pairs group by tool", "read_call", "bs_truth")
+RTAGS = f"(select distinct s.Chr, s.Pos, s.Strand, tag from site_strand s join region_view r on s.Chr = r.Chr and s.Pos between r.start and r.stop and (tag <> 'rep_SINE' or s.Strand = r.Strand) union all select {SITES}, 'Genome-wide' from site_strand)"
+
+
+def student(r: str, n: str) -> str:
+    """Two-sided p of r in SQL: the null density of asin(r), cos^(n - 3) over its whole integral, by Simpson's rule beyond asin |r|."""
+    at = f"asin(least(abs({r}), 1))"
+    return f"case when {n} > 2 then 2 * exp(lgamma(({n} - 1) / 2.0e0) - lgamma(({n} - 2) / 2.0e0)) / sqrt(pi()) * list_sum([(case when i in (0, 2000) then 1 when i % 2 = 1 then 4 else 2 end) * pow(cos({at} + i * (pi() / 2 - {at}) / 2000), {n} - 3) for i in range(2001)]) * (pi() / 2 - {at}) / 6000 end"
+
+
+@query(f", {SITE_CALLS}, {UNION}, p as (select tool, Chr, Pos, Strand, s.freq, u.freq as bs_freq from site_calls s join union_truth u using ({SITES})), g as (select tool, tag, {CORR.replace('round(corr(freq, bs_freq), 6)', 'corr(freq, bs_freq)')} as r, avg((freq - bs_freq) * (freq - bs_freq)) as mse, count(*) as n from p join {RTAGS} using ({SITES}) group by tool, tag) select tool, tag, round(r, 6) as r, round(mse, 6) as mse, n, round({student('r', 'n')}, 6) as p from g", "read_call", "bs_truth", "site_strand", "region_view")
 def site_correlation(spark, sf):
-    return M.site_correlation(pairs(spark, sf)).withColumns(r6("r", "mse"))
+    both = J.join_truth(site_calls(spark, sf).select("tool", *SITE, "freq"), union_truth(spark, sf).select(*SITE, F.col("freq").alias("bs_freq")))
+    return M.site_correlation(J.annotate_regions_multi(both, view(spark, sf, "region_view")), ("tool", "tag")).withColumns(r6("r", "mse", "p"))
 
 
 @query(f", {SITE_CALLS}, {UNION}, {PAIRS} select tool, r, cast(rank() over (order by r desc) as int) as rank from (select tool, {CORR} as r from pairs group by tool)", "read_call", "bs_truth")
@@ -509,7 +519,6 @@ def sites_report(spark, sf):
     return A.sites_report(site_calls(spark, sf), union_truth(spark, sf))
 
 
-RTAGS = f"(select distinct s.Chr, s.Pos, s.Strand, tag from site_strand s join region_view r on s.Chr = r.Chr and s.Pos between r.start and r.stop and (tag <> 'rep_SINE' or s.Strand = r.Strand) union all select {SITES}, 'Genome-wide' from site_strand)"
 TAG_NAMES = ["Promoters", "Exons", "Introns", "CpG islands", "rep_SINE"]
 ISLANDS = "isl as (select *, sum(case when pos_c - (prev + 2) < 10 then 0 else 1 end) over (partition by Chr order by pos_c) as run from (select *, lag(pos_c) over (partition by Chr order by pos_c) as prev from (select distinct Chr, pos_c from cpg_site)))"
 C_POS = "case when Strand = '-' then Pos - 1 else Pos end"
@@ -648,10 +657,13 @@ def cpg_scan_genome(spark, sf):
     return P.cpg_scan_genome(view(spark, sf, "genome_chunk"))
 
 
-@query(f", {UNION}, c as (select Chr, Pos as pos_c, freq from union_truth where Strand = '+') select Chr, pos_c, round(freq, 6) as freq, n - 1 as neighbors, case when n > 1 then round((t - freq) / (n - 1), 6) end as neighbor_freq from (select *, count(*) over w as n, sum(freq) over w as t from c window w as (partition by Chr order by pos_c range between 25 preceding and 25 following))", "bs_truth")
+BINS = ", ".join(f"case when m > 0 then round_even(cast(h{k} as double) / m, 3) else 0.0e0 end as h{k}" for k in range(11))
+HITS = ", ".join(f"count(case when o.bin = {k} then 1 end) as h{k}" for k in range(11))
+
+
+@query(f", {UNION}, one as (select Chr, Pos, cast(floor(coalesce(min(case when Strand = '+' then freq end), min(freq)) / 0.1 + 0.5) as int) as bin from union_truth group by Chr, Pos), n as (select u.Chr, u.Pos, u.Strand, count(o.Pos) as m, {HITS} from union_truth u left join one o on u.Chr = o.Chr and o.Pos between u.Pos - 25 and u.Pos + 25 and o.Pos <> u.Pos and o.Pos <> u.Pos + case when u.Strand = '+' then 1 else -1 end group by u.Chr, u.Pos, u.Strand) select u.Chr, u.Pos, u.Strand, round(u.freq, 6) as freq, round(coalesce(p.freq, 0), 6) as partner_freq, m as neighbors, {BINS} from union_truth u join n using (Chr, Pos, Strand) left join union_truth p on p.Chr = u.Chr and p.Strand <> u.Strand and p.Pos = u.Pos + case when u.Strand = '+' then 1 else -1 end", "bs_truth")
 def cluster_neighbor_features(spark, sf):
-    df = union_truth(spark, sf).where("Strand = '+'").select("Chr", F.col("Pos").alias("pos_c"), "freq")
-    return P.cluster_neighbor_features(df, tile=2000).withColumns(r6("freq", "neighbor_freq"))
+    return P.cluster_neighbor_features(union_truth(spark, sf).select(*SITE, "freq"), tile=2000).withColumns(r6("freq", "partner_freq"))
 
 
 # --- haplotypes ----------------------------------------------------------------------------------

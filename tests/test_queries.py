@@ -51,7 +51,7 @@ def test_natural_order(spark):
 def test_pvalues(spark):
     from pyspark.sql import functions as F
 
-    from methspark.operators.reports import pearson_pvalue
+    from methspark.functions.distributions import pearson_pvalue
 
     df = spark.createDataFrame([(0.5, 10), (0.9, 5), (0.0, 8), (-0.3, 100), (0.7, 2), (None, 9)], "r double, n long")
     got = [r[0] for r in df.select(pearson_pvalue(F.col("r"), F.col("n"))).collect()]
