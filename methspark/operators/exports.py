@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .joins import SITE, chromosome_rank
@@ -75,7 +75,8 @@ def export_curve_points(rows: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def export_keyset(sites: DataFrame) -> DataFrame:
-    return sites.select(F.concat_ws("_", "Chr", F.col("Pos").cast("string"), "Strand").alias("key")).distinct()
+    """Distinct keys; write_text sorts them."""
+    return sites.select(F.concat_ws("_", "Chr", F.col("Pos").cast("string"), "Strand").alias(KEY)).distinct()
 
 
 def export_read_grouped_bed(calls: DataFrame, cutoff: float = 1.5) -> DataFrame:
@@ -104,11 +105,41 @@ def export_corr_table(matrix: DataFrame, tools: list[str]) -> DataFrame:
     return matrix.select(*SITE, *cols)
 
 
-def write_text(df: DataFrame, path: str, sort: bool = False, header: bool = True) -> None:
-    """Tab-separated, gzip; sorted in natural chromosome order if asked."""
-    out = df.orderBy(chromosome_rank(F.col("Chr")), *[c for c in ("Pos", "start") if c in df.columns]) if sort else df
+KEY = "key"
+
+
+def natural_order(columns: list[str]) -> list[Column]:
+    """Chromosomes in natural order, then place, strand and the other columns; a key like chr1_5_+ as its parts."""
+    if KEY in columns:
+        name = F.regexp_extract(KEY, r"^(.*)_([0-9]+)_([+-])$", 1)
+        return [chromosome_rank(name), name, F.regexp_extract(KEY, r"_([0-9]+)_[+-]$", 1).cast("bigint"), F.col(KEY)]
+    first = [c for c in ("Pos", "start", "Strand") if c in columns]
+    return [chromosome_rank(F.col("Chr")), *[F.col(c) for c in ("Chr", *first, *[c for c in columns if c not in ("Chr", *first)])]]
+
+
+def write_text(df: DataFrame, path: str, sort: bool = False, header: bool = False) -> None:
+    """Tab-separated, gzip. sort: rows are cut into ranges in natural order, so the files in the order of their names, put one after the other, are one sorted file."""
+    out = df.orderBy(*natural_order(df.columns)) if sort else df
     out.write.mode("overwrite").csv(path, sep="\t", compression="gzip", header=header)
 
 
+def order_breaks(df: DataFrame) -> int:
+    """How many neighbours of stored text rows are out of natural order, inside files and from file to file. df: as spark.read gives it."""
+    keys = natural_order(df.columns)
+    rows = df.select(F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]).alias("k"), F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line"))
+    inside = rows.withColumn("before", F.lag("k").over(Window.partitionBy("file").orderBy("line")))
+    files = inside.groupBy("file").agg(F.min_by("k", "line").alias("first"), F.max_by("k", "line").alias("last"), F.count_if(F.col("before") > F.col("k")).alias("n"))
+    files = files.withColumn("before", F.lag("last").over(Window.orderBy("file")))  # one row for each file
+    return files.agg(F.coalesce(F.sum(F.col("n") + F.when(F.col("before") > F.col("first"), 1).otherwise(0)), F.lit(0))).first()[0]
+
+
+def read_sorted(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows that write_text sorted; text out of order is an error."""
+    df = spark.read.schema(schema).csv(path, sep="\t")
+    if broken := order_breaks(df):
+        raise ValueError(f"{broken} rows of {path} are out of order")
+    return df
+
+
 def write_joined_by_chr(df: DataFrame, path: str) -> None:
     df.repartition("Chr", F.floor(F.col("Pos") / 1_000_000)).sortWithinPartitions("Chr", "Pos").write.mode("overwrite").partitionBy("Chr").parquet(path)

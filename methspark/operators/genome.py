@@ -83,3 +83,32 @@ def mock_bisulfite_read(seq: Column, methylated: Column, unmethylated: Column, s
         return F.when(F.array_contains(unmethylated, at), F.when(strand == "-", "A").otherwise("T")).when((at >= 0) & site & ~F.array_contains(methylated, at), "N").otherwise(c)
 
     return F.array_join(F.transform(F.split(seq, ""), base), "")
+
+
+def reference_spans(reads: DataFrame, chunks: DataFrame, width: int = 64) -> DataFrame:
+    """reads (ID, Chr, Strand, start0, end0; half open) with seq, the genome's bases of their span; reads that leave the chunks are left out.
+
+    A read meets the chunks it covers by their number, so any length is a few rows of one key."""
+    keys = ["ID", "Chr", "Strand", "start0", "end0"]
+    near = reads.select(*keys).where("end0 > start0").withColumn("_at", F.explode(F.sequence(F.floor(F.col("start0") / width), F.floor((F.col("end0") - 1) / width))))
+    parts = near.join(chunks.select("Chr", F.floor(F.col("chunk_start") / width).alias("_at"), F.col("seq").alias("_seq")), ["Chr", "_at"])
+    whole = parts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_at", "_seq"))).alias("x"))
+    text = F.array_join(F.transform("x", lambda y: y["_seq"]), "")
+    size, skip = F.col("end0") - F.col("start0"), F.col("start0") - F.get("x", F.lit(0))["_at"] * width
+    out = whole.withColumn("seq", F.substr(text, (skip + 1).cast("int"), size.cast("int")))
+    return out.where((F.length("seq") == size) & (F.get("x", F.lit(0))["_at"] == F.floor(F.col("start0") / width))).select(*keys, "seq")
+
+
+def call_places(calls: DataFrame, cutoff: float = 2.0) -> DataFrame:
+    """For each read, chromosome and strand with confident calls: methylated and unmethylated, the 0-based starts of their CGs."""
+    at = F.col("Pos") - F.when(F.col("Strand") == "-", 2).otherwise(1)
+    side = lambda c: F.sort_array(F.collect_set(F.when(c, at)))
+    return calls.where(F.abs("Score") >= cutoff).groupBy("ID", "Chr", "Strand").agg(side(F.col("Score") > 0).alias("methylated"), side(F.col("Score") <= 0).alias("unmethylated"))
+
+
+def mock_bisulfite_reads(reads: DataFrame, calls: DataFrame, chunks: DataFrame, cutoff: float = 2.0, width: int = 64) -> DataFrame:
+    """Reads with confident calls as bisulfite reads: ID, Chr, Strand, start0, end0, seq."""
+    rows = reference_spans(reads, chunks, width).join(call_places(calls, cutoff), ["ID", "Chr", "Strand"])
+    inside = lambda c: F.transform(F.filter(c, lambda p: (p >= F.col("start0")) & (p < F.col("end0"))), lambda p: p - F.col("start0"))
+    rows = rows.withColumns({"methylated": inside("methylated"), "unmethylated": inside("unmethylated")})
+    return rows.select("ID", "Chr", "Strand", "start0", "end0", mock_bisulfite_read(F.col("seq"), F.col("methylated"), F.col("unmethylated"), F.col("Strand")).alias("seq"))

@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .joins import SITE, best_call_per_position
 
 
-def tag_reads_with_snvs(read_base: DataFrame, snv: DataFrame, min_mapq: int = 0) -> DataFrame:
-    """Bases at phased SNVs with the haplotype they speak for: 1|0 puts the alternative base on haplotype 1; other genotypes than 1|0 and 0|1 say nothing."""
-    own = read_base.where(F.col("mapq") >= min_mapq).join(snv.where(F.col("gt").isin("1|0", "0|1")).select("Chr", "pos0", "ref", "alt", "gt"), ["Chr", "pos0"])
+UNMAPPED, SECONDARY, FAILED, DUPLICATE, SUPPLEMENTARY = 0x4, 0x100, 0x200, 0x400, 0x800
+
+
+def passing(min_mapq: int, supplementary: bool = False) -> Column:
+    """Alignments (flag, mapq) that count: mapped, primary, not failed, not duplicate, and supplementary only if asked."""
+    bad = UNMAPPED | SECONDARY | FAILED | DUPLICATE | (0 if supplementary else SUPPLEMENTARY)
+    return (F.col("flag").bitwiseAND(F.lit(bad)) == 0) & (F.col("mapq") >= min_mapq)
+
+
+def tag_reads_with_snvs(read_base: DataFrame, snv: DataFrame, min_mapq: int = 0, supplementary: bool = False) -> DataFrame:
+    """Bases (with their read's flag) at phased SNVs with the haplotype they speak for: 1|0 puts the alternative base on haplotype 1;
+    other genotypes than 1|0 and 0|1 say nothing. Bases of supplementary alignments count only if asked."""
+    counts = F.lit(True) if supplementary else F.col("flag").bitwiseAND(F.lit(SUPPLEMENTARY)) == 0
+    own = read_base.where((F.col("mapq") >= min_mapq) & counts).join(snv.where(F.col("gt").isin("1|0", "0|1")).select("Chr", "pos0", "ref", "alt", "gt"), ["Chr", "pos0"])
     first = F.when(F.col("gt") == "1|0", F.col("alt")).otherwise(F.col("ref"))
     hp = F.when(F.col("base") == first, 1).when((F.col("base") == F.col("ref")) | (F.col("base") == F.col("alt")), 2)
     return own.withColumn("hp", hp).where("hp is not null").select("ID", "Chr", "pos0", "base", "qual", "mapq", "hp")
@@ -36,9 +47,22 @@ def assign_haplotype(tagged: DataFrame, min_base_qual: int = 7, avg_base_qual: i
 
 def phased_calls(calls: DataFrame, assigned: DataFrame, alignments: DataFrame) -> DataFrame:
     """Calls of assigned reads inside the read's alignment (both ends count) on its strand; of several on one position the largest |score|."""
-    best = best_call_per_position(calls)
+    known = assigned.where("hp is not null")
+    best = best_call_per_position(calls.join(known.select("ID"), "ID", "left_semi"))
+    return _inside(best, alignments).join(known, "ID").select("tool", "ID", *SITE, "Score", "hp")
+
+
+def _inside(calls: DataFrame, alignments: DataFrame) -> DataFrame:
+    """Calls inside an alignment of their read on its strand; both ends count."""
     span = alignments.select("ID", "Chr", "Strand", "start0", "end0")
-    return best.join(assigned.where("hp is not null"), "ID").join(span, ["ID", "Chr", "Strand"]).where("Pos - 1 >= start0 and Pos - 1 <= end0").select("tool", "ID", *SITE, "Score", "hp")
+    return calls.join(span, ["ID", "Chr", "Strand"]).where("Pos - 1 >= start0 and Pos - 1 <= end0")
+
+
+def unphased_calls(calls: DataFrame, alignments: DataFrame, min_mapq: int = 20, supplementary: bool = False) -> DataFrame:
+    """The same for every read that passes the alignment filter, whatever its haplotype: tool, READ, Score."""
+    own = alignments.where(passing(min_mapq, supplementary))
+    best = best_call_per_position(calls.join(own.select("ID"), "ID", "left_semi"))
+    return _inside(best, own).select("tool", "ID", *SITE, "Score")
 
 
 def phased_frequency(phased: DataFrame) -> DataFrame:
@@ -59,7 +83,6 @@ def hp_allele_diff(freq: DataFrame, by: str = "haplotype", names=("H1", "H2")) -
 
 
 def alignment_filter_counts(alignments: DataFrame, haplotags: DataFrame, min_mapq: int = 20) -> DataFrame:
-    bad = F.col("flag").bitwiseAND(F.lit(0x4 | 0x100 | 0x200 | 0x400 | 0x800)) != 0
-    df = alignments.withColumn("ok", ~bad & (F.col("mapq") >= min_mapq)).join(haplotags, "ID", "left")
+    df = alignments.withColumn("ok", passing(min_mapq)).join(haplotags, "ID", "left")
     tagged = F.col("haplotype").isin("H1", "H2")
     return df.agg(F.count("*").alias("total"), F.count_if("ok").alias("passing"), F.count_if(F.col("ok") & tagged).alias("tagged"), *[F.count_if(F.col("ok") & (F.col("haplotype") == h)).alias(h.lower()) for h in ("H1", "H2")])

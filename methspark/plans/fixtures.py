@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("part", "lineitem", "orders", "supplier", "customer", "documents", "events", "nation", "region")
@@ -37,7 +40,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "snv": ((), """select s_suppkey, concat('chr', cast(1 + s_suppkey % 3 as string)) as Chr, 1000 + s_suppkey * 11 as pos0, substr('ACGT', cast(1 + s_suppkey % 4 as int), 1) as ref,
         substr('ACGT', cast(1 + (s_suppkey + 1) % 4 as int), 1) as alt, case when s_suppkey % 10 = 7 then '1|1' when s_suppkey % 10 = 3 then '0/1' when s_suppkey % 2 = 0 then '1|0' else '0|1' end as gt from supplier"""),
     "read_base": (("snv",), """select cast(l_orderkey as string) as ID, Chr, pos0, case when ((l_orderkey % 3 = 0) = (gt = '1|0')) <> (l_partkey % 10 = 0) then alt else ref end as base,
-        l_partkey % 41 as qual, l_orderkey % 61 as mapq from lineitem join snv on l_suppkey = s_suppkey"""),
+        l_partkey % 41 as qual, l_orderkey % 61 as mapq, case when l_orderkey % 19 = 0 then 2048 else 0 end as flag from lineitem join snv on l_suppkey = s_suppkey"""),
     "kmer": (("cpg_site",), "select Chr, pos_c as Pos, '+' as Strand, translate(substr(md5(cast(p_partkey as string)), 1, 17), '0123456789abcdef', 'ACGTACGTACGTACGT') as k_mer from cpg_site"),
     "genome_chunk": ((), """select concat('chr', cast(1 + p_partkey % 3 as string)) as Chr, cast(floor(p_partkey / 3) as bigint) * 64 as chunk_start,
         translate(concat(md5(cast(p_partkey as string)), md5(cast(p_partkey + 1000003 as string))), '0123456789abcdef', 'ACGTACGTACGTACGT') as seq from part"""),
@@ -66,3 +69,11 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         if f" {t}" in sql:
             spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
     return spark.sql(sql)
+
+
+def folder(spark: SparkSession) -> str:
+    """A new folder that all executors share (in local mode, a temporary one)."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None and not spark.sparkContext.isLocal:
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{base or tempfile.mkdtemp(prefix='methspark-')}/{uuid4()}"

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-from uuid import uuid4
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -22,18 +19,10 @@ from ..operators import sites as A
 from ..sources import dispatch as D
 from ..sources import tables as T
 from ..streaming import stream
-from .fixtures import view
+from .fixtures import folder, view
 from .queries import CERTAIN, CUMULATED, DASH, EVAL, F1, INNER, ISLANDS, LABEL, PAIRS, POS0, SITE, SITE_CALLS, SITES, TAG_NAMES, TAGS, TOOLS, UNION, WIDE, calls, certain_sites, lines, masked, matrix, pairs, query, r6, site_calls, student, tagged, text, truth, union_truth
 
 
-def folder(spark) -> str:
-    """A new folder that all executors share (in local mode, a temporary one)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    return f"{base or tempfile.mkdtemp(prefix='methspark-')}/{uuid4()}"
-
-
 def stored(df, path: str) -> str:
     df.write.text(path)
     return path
@@ -338,6 +327,14 @@ def filter_genomic_window(spark, sf):
     return G.filter_genomic_window(view(spark, sf, "alignment"), "1:2000-5000")
 
 
+SPANS = "g as (select Chr, string_agg(seq, '' order by chunk_start) as s from genome_chunk group by Chr), r as (select ID, Chr, Strand, start0, end0, substr(s, start0 + 1, end0 - start0) as seq, case when Strand = '-' then 1 else 0 end as shift from alignment join g using (Chr) where end0 <= length(s)), c as (select ID, Chr, Strand, list(Pos - case when Strand = '-' then 2 else 1 end) filter (Score > 0) as m, list(Pos - case when Strand = '-' then 2 else 1 end) filter (Score <= 0) as u from read_call where abs(Score) >= 2 group by ID, Chr, Strand)"
+
+
+@query(f", {SPANS} select ID, Chr, Strand, start0, end0, array_to_string([case when list_contains(coalesce(u, []), start0 + i - 1 - shift) then case when Strand = '-' then 'A' else 'T' end when substr(seq, i - shift, 2) = 'CG' and i > shift and not list_contains(coalesce(m, []), start0 + i - 1 - shift) then 'N' else substr(seq, i, 1) end for i in range(1, length(seq) + 1)], '') as seq from r join c using (ID, Chr, Strand)", "alignment", "genome_chunk", "read_call")
+def mock_bisulfite_read(spark, sf):
+    return G.mock_bisulfite_reads(view(spark, sf, "alignment"), calls(spark, sf), view(spark, sf, "genome_chunk"))
+
+
 # --- reports -------------------------------------------------------------------------------------
 
 

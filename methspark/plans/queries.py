@@ -14,7 +14,7 @@ from ..operators import metrics as M
 from ..operators import positions as P
 from ..operators import sites as A
 from ..sources import scans as R
-from .fixtures import ctes, view
+from .fixtures import ctes, folder, view
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -668,7 +668,7 @@ def cluster_neighbor_features(spark, sf):
 
 # --- haplotypes ----------------------------------------------------------------------------------
 
-TAGGED = "tagged as (select ID, b.Chr, b.pos0, base, qual, mapq, case when base = case when gt = '1|0' then alt else ref end then 1 else 2 end as hp from read_base b join snv s on b.Chr = s.Chr and b.pos0 = s.pos0 where mapq >= 10 and base in (ref, alt) and gt in ('1|0', '0|1'))"
+TAGGED = "tagged as (select ID, b.Chr, b.pos0, base, qual, mapq, case when base = case when gt = '1|0' then alt else ref end then 1 else 2 end as hp from read_base b join snv s on b.Chr = s.Chr and b.pos0 = s.pos0 where mapq >= 10 and (flag & 2048) = 0 and base in (ref, alt) and gt in ('1|0', '0|1'))"
 
 
 @query(f", {TAGGED} select * from tagged", "read_base", "snv")
@@ -695,6 +695,11 @@ def phased_calls(spark, sf):
     return H.phased_calls(calls(spark, sf), assigned, view(spark, sf, "alignment"))
 
 
+@query(f"select r.tool, r.ID, r.Chr, r.Pos, r.Strand, r.Score from (select *, row_number() over (partition by tool, ID, {SITES} order by abs(Score) desc, Score desc) as k from read_call) r join alignment x on r.ID = x.ID and r.Chr = x.Chr and r.Strand = x.Strand where k = 1 and (flag & 3844) = 0 and mapq >= 20 and Pos - 1 >= start0 and Pos - 1 <= end0", "read_call", "alignment")
+def unphased_calls(spark, sf):
+    return H.unphased_calls(calls(spark, sf), view(spark, sf, "alignment"))
+
+
 HPSITE = f"hps as (select haplotype, {SITES}, avg(cast({LABEL} as double)) as freq, count(*) as cov, sum({LABEL}) as meth from read_call r join haplotag h on r.ID = h.ID where haplotype <> 'none' and tool = 'megalodon' group by haplotype, {SITES})"
 
 
@@ -720,19 +725,29 @@ def alignment_filter_counts(spark, sf):
 # --- exports -------------------------------------------------------------------------------------
 
 
+BED8 = "Chr string, start bigint, stop bigint, name string, score string, Strand string, freq double, cov bigint"
+
+
+def sorted_file(spark, df, schema: str):
+    """df through a sorted, compressed text and back."""
+    path = folder(spark)
+    X.write_text(df, path, sort=True)
+    return X.read_sorted(spark, path, schema)
+
+
 @query(f"select distinct ID, {SITES}, Score from read_call where tool = 'nanopolish'", "read_call")
 def export_read_unified(spark, sf):
-    return X.export_read_unified(calls(spark, sf).where("tool = 'nanopolish'"))
+    return sorted_file(spark, X.export_read_unified(calls(spark, sf).where("tool = 'nanopolish'")), "ID string, Chr string, Pos bigint, Strand string, Score double")
 
 
 @query(f", {UNION} select Chr, Pos - 1 as start, Pos as stop, '.' as name, '.' as score, Strand, round(freq, 6) as freq, cov from union_truth", "bs_truth")
 def export_truth_unified(spark, sf):
-    return X.export_site_unified(union_truth(spark, sf)).withColumns(r6("freq"))
+    return sorted_file(spark, X.export_site_unified(union_truth(spark, sf)), BED8).withColumns(r6("freq"))
 
 
 @query(f", {SITE_CALLS} select Chr, Pos - 1 as start, Pos as stop, '.' as name, '.' as score, Strand, round(freq, 6) as freq, cov from site_calls where tool = 'megalodon'", "read_call")
 def export_site_unified(spark, sf):
-    return X.export_site_unified(site_calls(spark, sf).where("tool = 'megalodon'")).withColumns(r6("freq"))
+    return sorted_file(spark, X.export_site_unified(site_calls(spark, sf).where("tool = 'megalodon'")), BED8).withColumns(r6("freq"))
 
 
 @query("select Chr, Pos - 1 as start, Pos as stop, '.' as name, '.' as score, Strand from site_strand", "site_strand")
@@ -762,7 +777,7 @@ def export_ucsc_bed(spark, sf):
 
 @query("select distinct concat(Chr, '_', cast(Pos as string), '_', Strand) as key from read_call", "read_call")
 def export_keyset(spark, sf):
-    return X.export_keyset(calls(spark, sf))
+    return sorted_file(spark, X.export_keyset(calls(spark, sf)), "key string")
 
 
 @query("select Chr, Pos as pos, cov as N, meth as X from bs_truth where rep = 1 and cov >= 2", "bs_truth")

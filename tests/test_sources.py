@@ -191,3 +191,98 @@ def test_classes_are_those_of_islands(spark):
     for tile in (40, 1000, 10**6):
         got = K.cpg_classes(genome, sites, tile=tile).collect()
         assert {r.pos_c: r.mask for r in got} == want and len(got) == len(want)
+
+
+def test_sorted_text_is_one_sorted_file(spark, tmp_path):
+    """The files one after the other are in natural order; a text that is not is refused."""
+    import gzip
+
+    import pytest
+
+    from methspark.operators import exports as X
+
+    names = ["chr10", "chr2", "chr1", "chrX", "chrM", "chr22"]
+    rows = [(n, (7919 * k) % 5003, "+-"[k % 2], k % 11 / 10, k) for n in names for k in range(500)]
+    df = spark.createDataFrame(rows, "Chr string, Pos long, Strand string, freq double, cov long").repartition(7)
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        X.write_text(df, str(tmp_path / "a"), sort=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    files = sorted((tmp_path / "a").glob("part-*.gz"))
+    text = [tuple(x.split("\t")) for f in files for x in gzip.open(f, "rt").read().split("\n") if x]
+    order = {n: k for k, n in enumerate(["chr1", "chr2", "chr10", "chr22", "chrX", "chrM"])}
+    assert len(files) > 3 and len(text) == len(rows)
+    assert [t[:3] for t in text] == [(r[0], str(r[1]), r[2]) for r in sorted(rows, key=lambda r: (order[r[0]], r[1], r[2]))]
+    schema = "Chr string, Pos long, Strand string, freq double, cov long"
+    assert sorted(map(tuple, X.read_sorted(spark, str(tmp_path / "a"), schema).collect())) == sorted(rows)
+    X.write_text(df, str(tmp_path / "b"))
+    with pytest.raises(ValueError, match="out of order"):
+        X.read_sorted(spark, str(tmp_path / "b"), schema)
+    keys = X.export_keyset(df)
+    X.write_text(keys, str(tmp_path / "c"), sort=True)
+    got = [r.key for r in X.read_sorted(spark, str(tmp_path / "c"), "key string").collect()]
+    assert len(got) == len({(r[0], r[1], r[2]) for r in rows}) and [int(k.split("_")[1]) for k in got if k.startswith("chr2_")] == sorted(r[1] for r in rows if r[0] == "chr2")
+
+
+def test_tails_and_densities(spark):
+    """Normal and Student tails against erfc and known quantiles; a grid's densities against a plain sum over all points."""
+    import math
+
+    import numpy as np
+
+    from methspark.functions import distributions as D
+    from methspark.operators.reports import density_grid
+
+    zs = [0.0, 0.1, 1.0, 1.96, -2.5, 3.5, 3.6, 5.0, 10.0, 30.0]
+    got = [r[0] for r in spark.createDataFrame([(z,) for z in zs], "z double").select(D.normal_two_sided(F.col("z"))).collect()]
+    assert all(math.isclose(g, math.erfc(abs(z) / math.sqrt(2)), rel_tol=1e-9) for g, z in zip(got, zs, strict=True))
+    # fixed values: two-sided 5 % and 1 % points of Student's t for 1, 5, 10, 30 and 120 degrees of freedom
+    points = {1: (12.7062047364, 63.6567411629), 5: (2.57058183661, 4.03214298356), 10: (2.22813885196, 3.16927267262), 30: (2.04227245630, 2.74999565357), 120: (1.97993040508, 2.61742114477)}
+    rows = [(t * t, float(df), p) for df, ts in points.items() for t, p in zip(ts, (0.05, 0.01), strict=True)] + [(0.0, 7.0, 1.0), (1e9, 40.0, 0.0)]
+    out = spark.createDataFrame(rows, "t2 double, df double, p double").select(D.student_two_sided(F.col("t2"), F.col("df")), "p").collect()
+    assert all(abs(a - b) < 1e-9 for a, b in out)
+    rng = np.random.default_rng(2)
+    a, b, bins = rng.beta(0.5, 0.5, 300), rng.beta(2, 3, 300), 30
+    df = spark.createDataFrame([("t", float(x), float(y)) for x, y in zip(a, b, strict=True)] + [("one", 0.5, 0.5), ("t", None, 0.5)], "tool string, a double, b double")
+    grid = {(r.kind, r.x, r.y): r.density for r in density_grid(df, "a", "b", bins=bins).where("tool = 't'").collect()}
+    cell = lambda v: np.minimum(np.floor(v * bins + 1e-9), bins - 1).astype(int)
+    counts = np.zeros((bins, bins))
+    np.add.at(counts, (cell(a), cell(b)), 1 / 300)
+
+    def kernel(v, d):
+        h, at = v.std(ddof=1) * 300 ** (-1 / (d + 4)), np.arange(-bins + 1, bins)
+        return np.where(abs(at) <= math.ceil(4 * h * bins), np.exp(-((at / bins / h) ** 2) / 2) / (h * math.sqrt(2 * math.pi)), 0)
+
+    smooth = lambda v, k: np.convolve(v, k)[bins - 1 : 2 * bins - 1]
+    both = np.apply_along_axis(smooth, 1, np.apply_along_axis(smooth, 0, counts, kernel(a, 2)), kernel(b, 2))
+    ones = {"x": smooth(counts.sum(1), kernel(a, 1)), "y": smooth(counts.sum(0), kernel(b, 1))}
+    for x in range(bins):
+        assert abs(grid.get(("x", x, None), 0) - ones["x"][x]) < 1e-9 and abs(grid.get(("y", None, x), 0) - ones["y"][x]) < 1e-9
+        assert all(abs(grid.get(("xy", x, y), 0) - both[x, y]) < 1e-9 for y in range(bins))
+
+
+def test_mock_bisulfite_reads(spark):
+    """Spans over several chunks, both strands, calls outside the span, a read beyond the genome."""
+    import re
+
+    from methspark.operators import genome as G
+
+    seq = "ACGTTCGACGCATTCGGCGA" * 20
+    chunks = spark.createDataFrame([("chr1", k, seq[k : k + 64]) for k in range(0, len(seq), 64)], "Chr string, chunk_start long, seq string").repartition(3)
+    reads = [("a", "+", 60, 130), ("b", "-", 3, 67), ("c", "+", 350, 401), ("d", "-", 64, 128), ("e", "+", 0, 10)]
+    at = [m.start() for m in re.finditer("CG", seq)]
+    calls = [(i, s, p + (2 if s == "-" else 1), v) for i, s, _, _ in reads[:4] for k, p in enumerate(at) for v in [(-3.0, 3.0, 0.5)[k % 3]]]
+    got = G.mock_bisulfite_reads(spark.createDataFrame([(i, "chr1", s, a, b) for i, s, a, b in reads], "ID string, Chr string, Strand string, start0 long, end0 long"), spark.createDataFrame([("t", i, "chr1", p, s, v) for i, s, p, v in calls], "tool string, ID string, Chr string, Pos long, Strand string, Score double"), chunks).collect()
+    want = {}
+    for i, s, a, b in (reads[0], reads[1], reads[3]):
+        text, shift = list(seq[a:b]), 1 if s == "-" else 0
+        sites = [m.start() for m in re.finditer("CG", seq[a:b])]
+        for c in sites:
+            if (at.index(c + a)) % 3 != 1 and c + shift < len(text):
+                text[c + shift] = "N"
+        for k, p in enumerate(at):
+            if k % 3 == 0 and a <= p < b and p - a + shift < len(text):
+                text[p - a + shift] = "A" if s == "-" else "T"
+        want[i] = "".join(text)
+    assert {r.ID: r.seq for r in got} == want
