@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import itertools
 import random
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -14,13 +15,13 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import prob_to_llr2
 from ..operators.genome import kmer_onehot
 from ..operators.joins import SITE
-from ..operators.metrics import read_level_metrics_binary, site_correlation
+from ..operators.metrics import site_correlation, weighted_metrics
 
 GBT_GRID = {"maxDepth": [3, 5], "stepSize": [0.1, 0.3], "maxIter": [5, 10]}
 RF_GRID = {"maxDepth": [4, 8], "numTrees": [10, 20]}
@@ -36,9 +37,19 @@ def features(df: DataFrame, tools: list[str], kmer: bool = False) -> tuple[DataF
     return out, names
 
 
-def folds(df: DataFrame, cv: int, seed: int) -> DataFrame:
-    """A fold number by a hash of the row, dealt within each label, so folds are stratified in expectation."""
-    return df.withColumn("fold", F.pmod(F.xxhash64("ID", *SITE, "label", F.lit(seed)), F.lit(cv)).cast("int"))
+def folds(df: DataFrame, cv: int, seed: int, ranges: int = 256) -> DataFrame:
+    """A fold number for each row; within each label the folds' sizes differ by one at most.
+
+    Rows of a label are ranked in a seeded order by hash and dealt in turn. Ranks are counted inside ranges of the
+    hash and start from the ranges before, of which there is one row each, so no task holds a label."""
+    h = F.xxhash64(F.lit(seed), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("ID", *SITE)])
+    rows = df.withColumn("_h", h).withColumn("_range", F.pmod(F.shiftrightunsigned("_h", 32), F.lit(ranges)))
+    counts = rows.groupBy("label", "_range").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("label").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    start = counts.select(F.col("label").alias("_label"), F.col("_range").alias("_own"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy("label", "_range").orderBy("_h", "ID", *SITE))
+    out = rows.withColumn("_in", inside).join(F.broadcast(start), F.col("label").eqNullSafe(F.col("_label")) & (F.col("_range") == F.col("_own")))
+    return out.withColumn("fold", F.pmod(F.col("_start") + F.col("_in") - 1, F.lit(cv)).cast("int")).select(*df.columns, "fold")
 
 
 def sampled_grid(estimator, grid: dict[str, list], niter: int, seed: int) -> list[dict]:
@@ -55,8 +66,11 @@ def _search(estimator, grid: dict[str, list], train: DataFrame, names: list[str]
     points = sampled_grid(estimator, grid, niter, seed)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="features"), estimator])
     search = CrossValidator(estimator=pipe, estimatorParamMaps=points, evaluator=MulticlassClassificationEvaluator(metricName=scoring), numFolds=cv, foldCol="fold", seed=seed)
-    rows = folds(train.withColumn("label", F.col("label").cast("double")), cv, seed)
-    found = search.fit(rows)
+    rows = folds(train.withColumn("label", F.col("label").cast("double")), cv, seed).select(*names, "label", "fold", *(["weight"] if weighted else [])).persist()
+    try:
+        found = search.fit(rows)
+    finally:
+        rows.unpersist()
     table = [(k, ",".join(f"{p.name}={v}" for p, v in sorted(x.items(), key=lambda y: y[0].name)), float(s)) for k, (x, s) in enumerate(zip(points, found.avgMetrics, strict=True))]
     return found.bestModel, train.sparkSession.createDataFrame(table, "candidate int, params string, mean_score double")
 
@@ -88,27 +102,52 @@ def predict_rf_scaled(train: DataFrame, wide: DataFrame, tools: list[str], seed:
     return out.select("ID", *SITE, F.col("prediction").cast("int").alias("Prediction"), F.col("p")[1].alias("Prob_methylation"))
 
 
-def with_models(wide: DataFrame, models: dict[str, PipelineModel], tools: list[str]) -> DataFrame:
+def with_models(wide: DataFrame, models: dict[str, PipelineModel], tools: list[str], kmer: bool = False) -> DataFrame:
     """The rows with one score column (log2 ratio) more for each model."""
     out = wide
     for name, model in models.items():
-        own = predict_consensus(model, wide, tools).select("ID", *SITE, prob_to_llr2(F.col("Prob_methylation")).alias(name))
+        own = predict_consensus(model, wide, tools, kmer).select("ID", *SITE, prob_to_llr2(F.col("Prob_methylation")).alias(name))
         out = out.join(own, ["ID", *SITE], "left")
     return out
 
 
-def eval_models_by_region(scored: DataFrame, columns: list[str], tags: DataFrame) -> DataFrame:
-    """Accuracy, precision, recall and F1 of tools and models by region. scored: READ, label (truth) and score columns; tags: SITE, tag."""
-    long = scored.select(*SITE, "label", F.explode(F.array(*[F.struct(F.lit(c).alias("tool"), F.col(c).alias("score")) for c in columns])).alias("x")).where("x.score is not null")
-    rows = long.join(tags, SITE).select(F.col("x.tool").alias("tool"), "tag", F.col("label").alias("y_true"), (F.col("x.score") > 0).cast("int").alias("y_pred"))
-    return read_level_metrics_binary(rows, ("tool", "tag"))
+def long_scores(scored: DataFrame, columns: list[str]) -> DataFrame:
+    """One row for each tool or model that scored a row: the row's other columns, tool, score."""
+    rest = [c for c in scored.columns if c not in columns]
+    pairs = F.array(*[F.struct(F.lit(c).alias("tool"), F.col(c).alias("score")) for c in columns])
+    return scored.select(*rest, F.explode(pairs).alias("x")).select(*rest, "x.*").where("score is not null")
+
+
+def eval_models_by_region(scored: DataFrame, columns: list[str], tags: DataFrame, tests: str = "test") -> DataFrame:
+    """Tools and models by test set and region, each test set alone and all of them pooled (test set `pooled`).
+
+    scored: READ, label (truth), the test set's column and score columns; tags: SITE, tag. Calls are counted by
+    score before regions and test sets are told apart, so pooling and every region share one count; from it come F1,
+    ROC_AUC, average precision, accuracy, precision, recall and the numbers of predictions by class."""
+    counts = long_scores(scored.select(*SITE, "label", tests, *columns), columns).groupBy(*SITE, "tool", "score", F.col("label").cast("int").alias("y_true"), F.col(tests).alias("test")).agg(F.count("*").alias("n"))
+    rows = counts.join(tags, SITE).groupBy("tool", "tag", "test", "y_true", F.col("score").alias("y_score")).agg(F.sum("n").alias("n"))
+    pooled = rows.withColumn("test", F.explode(F.array("test", F.lit("pooled"))))
+    return weighted_metrics(pooled.withColumn("y_pred", (F.col("y_score") > 0).cast("int")), ["test", "tool", "tag"])
 
 
 def consensus_site_eval(scored: DataFrame, columns: list[str], truth: DataFrame, min_reads: int = 3) -> DataFrame:
-    """Pearson's r and mean squared error with truth of the site means of score >= 0. truth: SITE, bs_freq."""
+    """Pearson's r with p and mean squared error with truth of the site means of score >= 0. truth: SITE, bs_freq."""
+    return agg_site_tables([site_means(scored, columns, truth, min_reads)], columns)
+
+
+def site_means(scored: DataFrame, columns: list[str], truth: DataFrame, min_reads: int = 3) -> DataFrame:
+    """SITE, bs_freq, reads and for each tool or model the share of its reads with score >= 0; the table that is stored and aggregated again."""
     means = scored.groupBy(*SITE).agg(*[F.avg((F.col(c) >= 0).cast("int")).alias(c) for c in columns], F.count("*").alias("reads")).where(F.col("reads") >= min_reads)
-    pairs = means.join(truth, SITE).select("bs_freq", F.explode(F.array(*[F.struct(F.lit(c).alias("tool"), F.col(c).alias("freq")) for c in columns])).alias("x"))
-    return site_correlation(pairs.select(F.col("x.tool").alias("tool"), F.col("x.freq").alias("freq"), "bs_freq"))
+    return means.join(truth, SITE)
+
+
+def agg_site_tables(tables: list[DataFrame], columns: list[str], tags: DataFrame | None = None) -> DataFrame:
+    """Stored site tables under each other: r, p, error and n by tool, and by region if tags (SITE, tag) are given."""
+    rows = reduce(DataFrame.unionByName, tables)
+    if tags is not None:
+        rows = rows.join(tags, SITE)
+    by = ["tool"] if tags is None else ["tool", "tag"]
+    return site_correlation(long_scores(rows.select(*(["tag"] if tags is not None else []), "bs_freq", *columns), columns).withColumnRenamed("score", "freq"), by)
 
 
 def stratified_split_by_chr(df: DataFrame, train: list[str], test: list[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from ..functions.distributions import pearson_pvalue
 from ..functions.scalar import safe_corr
@@ -39,42 +40,59 @@ RANGES = [k / 64 for k in range(1, 64)]
 def running_totals(t: DataFrame, by: list[str], order: Column, totals: dict[str, Column], down: bool = False) -> DataFrame:
     """t with the sums of columns over all rows of the group up to each row in the order.
 
-    Rows are cut into ranges by approximate quantiles; sums run inside each and start from the ranges before,
-    of which there is one row each, so no task holds a group. Rows of one order share their sums."""
-    t = t.withColumn("_at", -order if down else order)
+    t is computed once and kept on disk by the executors (it is computed again if one is lost). Its rows are cut into
+    ranges by approximate quantiles; sums run inside each and start from the ranges before, of which there is one row
+    each, so no task holds a group. Rows of one order share their sums."""
+    t = t.withColumn("_at", -order if down else order).persist(StorageLevel.DISK_ONLY)
     cuts = t.groupBy(*by).agg(F.percentile_approx("_at", RANGES).alias("_cuts"))
-    t = t.join(F.broadcast(cuts), by).withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col("_at")))).drop("_cuts")
-    sums = t.groupBy(*by, "_range").agg(*[F.sum(x).alias(f"_{c}") for c, x in totals.items()])
+    rows = t.join(cuts, by).withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col("_at")))).drop("_cuts")
+    sums = rows.groupBy(*by, "_range").agg(*[F.sum(x).alias(f"_{c}") for c, x in totals.items()])
     before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     start = sums.select(*by, "_range", *[F.coalesce(F.sum(f"_{c}").over(before), F.lit(0)).alias(f"_{c}") for c in totals])
     inside = Window.partitionBy(*by, "_range").orderBy("_at")
-    out = t.join(F.broadcast(start), [*by, "_range"])
+    out = rows.join(start, [*by, "_range"])
     return out.withColumns({c: F.sum(x).over(inside) + F.col(f"_{c}") for c, x in totals.items()}).drop("_at", "_range", *[f"_{c}" for c in totals])
 
 
-def thresholds(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Positives and negatives at and above each distinct score."""
-    t = rows.groupBy(*by, "y_score").agg(F.count_if(F.col("y_true") == 1).alias("pos"), F.count_if(F.col("y_true") == 0).alias("neg"))
+def thresholds(rows: DataFrame, by: list[str], n: Column | None = None) -> DataFrame:
+    """Positives and negatives at and above each distinct score; n: how many calls a row stands for."""
+    count = lambda y: F.sum(F.when(F.col("y_true") == y, F.lit(1) if n is None else n).otherwise(0))
+    t = rows.groupBy(*by, "y_score").agg(count(1).alias("pos"), count(0).alias("neg"))
     return running_totals(t, by, F.col("y_score"), {"tp": F.col("pos"), "fp": F.col("neg")}, down=True)
 
 
+def areas() -> dict[str, Column]:
+    """Aggregates of thresholds: the area under the ROC curve, ties counting half (null with one class), and average precision."""
+    area = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2))
+    return {"roc_auc": F.try_divide(area, (F.sum("pos") * F.sum("neg")).cast("double")), "average_precision": F.try_divide(F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))), F.sum("pos").cast("double"))}
+
+
+def weighted_metrics(rows: DataFrame, by: list[str]) -> DataFrame:
+    """All metrics of counted calls (by..., y_true, y_pred, y_score, n), the prediction being one of the score's sign."""
+    t = thresholds(rows.where("n > 0"), by, F.col("n"))
+    part = lambda c, sign: F.sum(F.when(sign, F.col(c)).otherwise(0))
+    up = F.col("y_score") > 0
+    out = t.groupBy(*by).agg(part("pos", up).alias("tp"), part("neg", up).alias("fp"), part("pos", ~up).alias("fn"), part("neg", ~up).alias("tn"), *[v.alias(k) for k, v in areas().items()])
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    out = out.withColumns({"preds": tp + fp + fn + tn, "preds_5c": fp + tn, "preds_5mc": tp + fn, "accuracy": ratio(tp + tn, tp + fp + fn + tn), "precision": ratio(tp, tp + fp), "recall": ratio(tp, tp + fn)})
+    f1 = ratio(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))
+    return out.select(*by, f1.alias("f1"), "roc_auc", "average_precision", "accuracy", "precision", "recall", "preds", "preds_5c", "preds_5mc")
+
+
 def roc_auc(rows: DataFrame, by=("tool",)) -> DataFrame:
     """Area under the ROC curve, ties counting half; null with one class."""
-    t = thresholds(rows, list(by))
-    area = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2))
-    return t.groupBy(*by).agg(F.try_divide(area, (F.sum("pos") * F.sum("neg")).cast("double")).alias("roc_auc"))
+    return thresholds(rows, list(by)).groupBy(*by).agg(areas()["roc_auc"].alias("roc_auc"))
 
 
 def average_precision(rows: DataFrame, by=("tool",)) -> DataFrame:
-    t = thresholds(rows, list(by))
-    return t.groupBy(*by).agg(F.try_divide(F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))), F.sum("pos").cast("double")).alias("average_precision"))
+    return thresholds(rows, list(by)).groupBy(*by).agg(areas()["average_precision"].alias("average_precision"))
 
 
 def curve_points(rows: DataFrame, by=("tool",)) -> DataFrame:
     """fpr, tpr (= recall) and precision at each distinct score."""
     t = thresholds(rows, list(by))
     total = t.groupBy(*by).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    out = t.join(F.broadcast(total), list(by))
+    out = t.join(total, list(by))
     return out.select(*by, "y_score", ratio(F.col("fp"), F.col("_n")).alias("fpr"), ratio(F.col("tp"), F.col("_p")).alias("tpr"), ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"))
 
 

@@ -74,6 +74,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def folder(spark: SparkSession) -> str:
     """A new folder that all executors share (in local mode, a temporary one)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None and not spark.sparkContext.isLocal:
+    master = spark.sparkContext.master
+    if base is None and master != "local" and not master.startswith("local["):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return f"{base or tempfile.mkdtemp(prefix='methspark-')}/{uuid4()}"

@@ -20,7 +20,7 @@ from ..sources import dispatch as D
 from ..sources import tables as T
 from ..streaming import stream
 from .fixtures import folder, view
-from .queries import CERTAIN, CUMULATED, DASH, EVAL, F1, INNER, ISLANDS, LABEL, PAIRS, POS0, SITE, SITE_CALLS, SITES, TAG_NAMES, TAGS, TOOLS, UNION, WIDE, calls, certain_sites, lines, masked, matrix, pairs, query, r6, site_calls, student, tagged, text, truth, union_truth
+from .queries import CERTAIN, CUMULATED, DASH, EVAL, F1, INNER, ISLANDS, LABEL, PAIRS, POS0, SITE, SITE_CALLS, SITES, TAG_NAMES, TAGS, TOOLS, UNION, WIDE, calls, certain_sites, counted, lines, masked, matrix, pairs, query, r6, site_calls, student, tagged, text, truth, union_truth
 
 
 def stored(df, path: str) -> str:
@@ -446,13 +446,32 @@ def stratified_split_by_chr(spark, sf):
     return C.stratified_split_by_chr(training(spark, sf), ["chr2"], ["chr1"]).select("ID", *SITE, "label", "part")
 
 
-SMALL = {"maxDepth": [2, 3], "maxIter": [3]}
+GRID = {"maxDepth": [2, 4], "maxIter": [5, 10], "stepSize": [0.1, 0.3]}
+TRAIN, TESTS = ["chr2"], {"chr1": "one", "chr3": "two"}
+_fitted: dict = {}
+
+
+def training_rows(spark, sf):
+    """Training rows with the sites' k-mers, and their weights by region."""
+    rows = training(spark, sf).where(F.col("Chr").isin(TRAIN)).join(view(spark, sf, "kmer"), SITE, "left")
+    first = B.annotation_precedence(J.annotate_regions_multi(rows.select(*SITE).distinct(), view(spark, sf, "region_view")))
+    rows = rows.join(first, SITE)
+    return rows.join(A.region_sample_weights(rows, "location"), "location")
 
 
 def boosted(spark, sf):
-    rows = C.stratified_split_by_chr(training(spark, sf), ["chr2", "chr3"], ["chr1"]).cache()
-    model, table = C.train_consensus_gbt(rows.where("part = 'train'"), TOOLS, cv=2, grid=SMALL)
-    return model, table, rows.where("part = 'test'")
+    """The boosted model and its search's table, trained once for a session and its tables."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _fitted:
+        _fitted[key] = C.train_consensus_gbt(training_rows(spark, sf), TOOLS, kmer=True, weighted=True, niter=3, cv=2, grid=GRID)
+    return _fitted[key]
+
+
+def test_rows(spark, sf):
+    """The rows of the test chromosomes, each a test set, with k-mers and the model's score."""
+    rows = training(spark, sf).where(F.col("Chr").isin(list(TESTS))).join(view(spark, sf, "kmer"), SITE, "left")
+    scored = C.with_models(rows, {"boosted": boosted(spark, sf)[0]}, TOOLS, kmer=True)
+    return scored.withColumn("test", F.when(F.col("Chr") == "chr1", TESTS["chr1"]).otherwise(TESTS["chr3"]))
 
 
 @query()
@@ -462,34 +481,48 @@ def train_consensus_gbt(spark, sf):
 
 @query()
 def train_consensus_rf(spark, sf):
-    rows = C.stratified_split_by_chr(training(spark, sf), ["chr2", "chr3"], ["chr1"])
-    return C.train_consensus_rf(rows.where("part = 'train'"), TOOLS, cv=2, grid={"maxDepth": [3, 4], "numTrees": [5]})[1]
+    return C.train_consensus_rf(training(spark, sf).where(F.col("Chr").isin(TRAIN)), TOOLS, niter=2, cv=2, grid={"maxDepth": [3, 6], "numTrees": [10]})[1]
 
 
 @query()
 def predict_consensus(spark, sf):
-    model, _, test = boosted(spark, sf)
-    return C.predict_consensus(model, test, TOOLS)
+    rows = training(spark, sf).where(F.col("Chr").isin(list(TESTS))).join(view(spark, sf, "kmer"), SITE, "left")
+    return C.predict_consensus(boosted(spark, sf)[0], rows, TOOLS, kmer=True)
 
 
 @query()
 def predict_rf_scaled(spark, sf):
-    rows = C.stratified_split_by_chr(training(spark, sf), ["chr2", "chr3"], ["chr1"])
-    return C.predict_rf_scaled(rows.where("part = 'train'"), rows.where("part = 'test'"), TOOLS)
+    rows = training(spark, sf)
+    return C.predict_rf_scaled(rows.where(F.col("Chr").isin(TRAIN)), rows.where(F.col("Chr").isin(list(TESTS))), TOOLS)
 
 
 @query()
 def eval_models_by_region(spark, sf):
-    model, _, test = boosted(spark, sf)
+    test = test_rows(spark, sf)
     tags = J.annotate_regions_multi(test.select(*SITE).distinct(), view(spark, sf, "region_view"))
-    return C.eval_models_by_region(C.with_models(test, {"boosted": model}, TOOLS), [*TOOLS, "boosted"], tags)
+    return C.eval_models_by_region(test, [*TOOLS, "boosted"], tags)
+
+
+def site_tables(spark, sf):
+    """Site means of each test chromosome, stored and read again."""
+    path, test = folder(spark), test_rows(spark, sf)
+    C.site_means(test, [*TOOLS, "boosted"], union_truth(spark, sf).select(*SITE, F.col("freq").alias("bs_freq"))).write.partitionBy("Chr").parquet(path)
+    stored_ = spark.read.parquet(path).withColumn("Chr", F.col("Chr").cast("string"))
+    return [stored_.where(F.col("Chr") == c) for c in TESTS]
 
 
 @query()
 def consensus_site_eval(spark, sf):
-    model, _, _ = boosted(spark, sf)
-    wide = J.join_tools(calls(spark, sf), TOOLS).where("Chr = 'chr1'")
-    return C.consensus_site_eval(C.with_models(wide, {"boosted": model}, TOOLS), [*TOOLS, "boosted"], union_truth(spark, sf).select(*SITE, F.col("freq").alias("bs_freq")))
+    tables = site_tables(spark, sf)
+    tags = J.annotate_regions_multi(tables[0].unionByName(tables[1]).select(*SITE), view(spark, sf, "region_view"))
+    return C.agg_site_tables(tables, [*TOOLS, "boosted"], tags)
+
+
+@query(f"{EVAL}, {CUMULATED}, a as (select tool, tag, sum(neg * (tp - cast(pos as double) / 2)) / nullif(sum(pos) * sum(neg), 0) as roc_auc, sum(pos * cast(tp as double) / (tp + fp)) / nullif(sum(pos), 0) as ap, sum(neg) as n0, sum(pos) as n1 from t group by tool, tag) select tool, tag, round(f1_5mc, 6) as f1, round(roc_auc, 6) as roc_auc, round(ap, 6) as average_precision, round(accuracy, 6) as accuracy, round(p_5mc, 6) as precision, round(r_5mc, 6) as recall, calls as preds, cast(n0 as bigint) as preds_5c, cast(n1 as bigint) as preds_5mc from ({F1}) join a using (tool, tag)", "read_call", "bs_truth", "region_view")
+def weighted_metrics(spark, sf):
+    """All metrics of the tools from counted calls."""
+    rows = counted(spark, sf).groupBy("tool", "tag", "y_true", "y_pred", "y_score").agg(F.sum("n").alias("n"))
+    return M.weighted_metrics(rows, ["tool", "tag"]).withColumns(r6("f1", "roc_auc", "average_precision", "accuracy", "precision", "recall"))
 
 
 # --- streams -------------------------------------------------------------------------------------

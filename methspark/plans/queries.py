@@ -68,6 +68,13 @@ def tagged(spark, sf):
     return rows.join(tags, SITE).select("tool", "tag", "y_true", F.col("label").alias("y_pred"), F.col("Score").alias("y_score"))
 
 
+def counted(spark, sf):
+    """The same with equal calls of a site as one row and their number, before regions are told apart."""
+    certain = A.filter_certain_sites(union_truth(spark, sf, 5)).select(*SITE, S.freq_to_label(F.col("freq")).alias("y_true"))
+    rows = J.join_truth(labelled(spark, sf), certain).groupBy(*SITE, "tool", "y_true", F.col("label").alias("y_pred"), F.col("Score").alias("y_score")).agg(F.count("*").alias("n"))
+    return rows.join(J.annotate_regions_multi(certain.select(*SITE), view(spark, sf, "region_view")), SITE)
+
+
 LABEL = "case when Score > 0.00001 then 1 else 0 end"
 SITE_CALLS = f"site_calls as (select tool, {SITES}, avg(cast({LABEL} as double)) as freq, count(*) as cov, sum({LABEL}) as meth from read_call group by tool, {SITES})"
 UNION = f"union_truth as (select {SITES}, cast(meth as double) / cov as freq, cov, meth from (select {SITES}, sum(meth) as meth, sum(cov) as cov from bs_truth group by {SITES}))"
