@@ -49,6 +49,12 @@ def truth_consensus_replicates(one: DataFrame, two: DataFrame, freq_cut: float =
     return a.join(b, SITE).select(*SITE, freq.alias("freq"), F.least("c1", "c2").alias("cov")).where("freq is not null")
 
 
+def truth_consensus_counts(one: DataFrame, two: DataFrame, freq_cut: float = 0.9, min_cov: int = 1) -> DataFrame:
+    """How many sites of both replicates the consensus takes as methylated and as unmethylated, and how many it leaves out."""
+    both = one.select(*SITE).join(two.select(*SITE), SITE).join(truth_consensus_replicates(one, two, freq_cut, min_cov).select(*SITE, "freq"), SITE, "left")
+    return both.agg(F.count_if(F.col("freq") == 1).alias("meth"), F.count_if(F.col("freq") == 0).alias("unmeth"), F.count_if(F.col("freq").isNull()).alias("unused"))
+
+
 def site_matrix(site_calls: DataFrame, truth: DataFrame, tools: list[str], joined: bool = True) -> DataFrame:
     """Truth sites with frequency and coverage of each tool; joined: only sites that all tools have."""
     wide = site_calls.groupBy(*SITE).agg(*[F.min(F.when(F.col("tool") == t, F.col(c))).alias(f"{t}_{c}") for t in tools for c in ("freq", "cov")])
@@ -154,10 +160,12 @@ def sort_sites_natural(df: DataFrame) -> DataFrame:
     return df.orderBy(chromosome_rank(F.col("Chr")), "Chr", "Pos", "Strand", *rest)
 
 
-def downsample_reads(calls: DataFrame, k: int, seed: int = 53) -> DataFrame:
-    """k reads of each site in a seeded order by hash."""
-    order = Window.partitionBy("tool", *SITE).orderBy(F.md5(F.concat(F.lit(f"{seed}:"), "ID")), "ID")
-    return calls.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= k).drop("_k")
+def downsample_reads(calls: DataFrame, least: int, step: int = 5, first: int = 5, seed: int = 53) -> DataFrame:
+    """Sites with `least` reads or more of a tool, with k of their reads in a seeded order by hash, for k = first, first + step, ... up to least: each k's rows with k."""
+    site = Window.partitionBy("tool", *SITE)
+    rows = calls.withColumns({"_rank": F.row_number().over(site.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), "ID")), "ID")), "_all": F.count("*").over(site)})
+    steps = F.filter(F.array(*[F.lit(k) for k in range(first, least + 1, step)]), lambda k: k >= F.col("_rank"))
+    return rows.where(F.col("_all") >= least).withColumn("k", F.explode(steps)).drop("_rank", "_all")
 
 
 def best_call_per_position(calls: DataFrame) -> DataFrame:

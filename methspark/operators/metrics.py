@@ -6,10 +6,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from ..functions.distributions import pearson_pvalue
 from ..functions.scalar import safe_corr
+from ..storage import stored
+from .joins import SITE
 
 
 def ratio(a, b) -> Column:
@@ -17,17 +18,29 @@ def ratio(a, b) -> Column:
     return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
 
-def read_level_metrics(rows: DataFrame, by=("tool", "tag")) -> DataFrame:
-    hit = lambda t, p: F.count_if((F.col("y_true") == t) & (F.col("y_pred") == p))
-    out = rows.groupBy(*by).agg(hit(1, 1).alias("tp"), hit(0, 1).alias("fp"), hit(1, 0).alias("fn"), hit(0, 0).alias("tn"), F.count("*").alias("calls"))
-    tp, fp, fn, tn, n = (F.col(c) for c in ("tp", "fp", "fn", "tn", "calls"))
-    out = out.withColumns({"accuracy": ratio(tp + tn, n), "p_5mc": ratio(tp, tp + fp), "r_5mc": ratio(tp, tp + fn), "p_5c": ratio(tn, tn + fn), "r_5c": ratio(tn, tn + fp)})
+def call_counts(rows: DataFrame, by=("tool",)) -> DataFrame:
+    """Calls with truth (SITE, by..., y_true, y_pred) as one row for each site: up and down, its calls predicted 1 and 0.
+
+    Regions are joined to these rows, not to the calls."""
+    hit = lambda p: F.count_if(F.col("y_pred") == p)
+    return rows.groupBy(*SITE, *by, "y_true").agg(hit(1).alias("up"), hit(0).alias("down"))
+
+
+def read_level_metrics(counts: DataFrame, by=("tool", "tag")) -> DataFrame:
+    """Both classes' precision, recall and F1, their means, accuracy, and the numbers of sites and of calls by true class. counts: call_counts with by."""
+    of = lambda c, y: F.sum(F.when(F.col("y_true") == y, F.col(c)).otherwise(0))
+    out = counts.groupBy(*by).agg(of("up", 1).alias("tp"), of("up", 0).alias("fp"), of("down", 1).alias("fn"), of("down", 0).alias("tn"), F.count_if(F.col("y_true") == 0).alias("sites_5c"), F.count_if(F.col("y_true") == 1).alias("sites_5mc"))
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    out = out.withColumns({"sites": F.col("sites_5c") + F.col("sites_5mc"), "calls_5c": fp + tn, "calls_5mc": tp + fn, "calls": tp + fp + fn + tn})
+    out = out.withColumns({"accuracy": ratio(tp + tn, F.col("calls")), "p_5mc": ratio(tp, tp + fp), "r_5mc": ratio(tp, tp + fn), "p_5c": ratio(tn, tn + fn), "r_5c": ratio(tn, tn + fp)})
     out = out.withColumns({"f1_5mc": ratio(2 * F.col("p_5mc") * F.col("r_5mc"), F.col("p_5mc") + F.col("r_5mc")), "f1_5c": ratio(2 * F.col("p_5c") * F.col("r_5c"), F.col("p_5c") + F.col("r_5c"))})
     return out.withColumns({"macro_p": (F.col("p_5mc") + F.col("p_5c")) / 2, "macro_r": (F.col("r_5mc") + F.col("r_5c")) / 2, "macro_f1": (F.col("f1_5mc") + F.col("f1_5c")) / 2, "micro_f1": F.col("accuracy")})
 
 
-def read_level_metrics_binary(rows: DataFrame, by=("tool",)) -> DataFrame:
-    return read_level_metrics(rows, by).select(*by, "accuracy", F.col("p_5mc").alias("precision"), F.col("r_5mc").alias("recall"), F.col("f1_5mc").alias("f1"), "calls")
+def read_level_metrics_binary(counts: DataFrame, by=("tool",)) -> DataFrame:
+    """Accuracy, precision, recall and F1 of the methylated class, numbers of sites and of predictions, in all and by class."""
+    names = {"accuracy": "accuracy", "p_5mc": "precision", "r_5mc": "recall", "f1_5mc": "f1", "sites": "bases", "calls": "preds", "calls_5c": "preds_5c", "calls_5mc": "preds_5mc"}
+    return read_level_metrics(counts, by).select(*by, *[F.col(a).alias(b) for a, b in names.items()])
 
 
 def confusion_matrix(rows: DataFrame, by=("tool",)) -> DataFrame:
@@ -40,10 +53,10 @@ RANGES = [k / 64 for k in range(1, 64)]
 def running_totals(t: DataFrame, by: list[str], order: Column, totals: dict[str, Column], down: bool = False) -> DataFrame:
     """t with the sums of columns over all rows of the group up to each row in the order.
 
-    t is computed once and kept on disk by the executors (it is computed again if one is lost). Its rows are cut into
+    t is computed once and stored. Its rows are cut into
     ranges by approximate quantiles; sums run inside each and start from the ranges before, of which there is one row
     each, so no task holds a group. Rows of one order share their sums."""
-    t = t.withColumn("_at", -order if down else order).persist(StorageLevel.DISK_ONLY)
+    t = stored(t.withColumn("_at", -order if down else order))
     cuts = t.groupBy(*by).agg(F.percentile_approx("_at", RANGES).alias("_cuts"))
     rows = t.join(cuts, by).withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col("_at")))).drop("_cuts")
     sums = rows.groupBy(*by, "_range").agg(*[F.sum(x).alias(f"_{c}") for c, x in totals.items()])
@@ -79,18 +92,18 @@ def weighted_metrics(rows: DataFrame, by: list[str]) -> DataFrame:
     return out.select(*by, f1.alias("f1"), "roc_auc", "average_precision", "accuracy", "precision", "recall", "preds", "preds_5c", "preds_5mc")
 
 
-def roc_auc(rows: DataFrame, by=("tool",)) -> DataFrame:
-    """Area under the ROC curve, ties counting half; null with one class."""
-    return thresholds(rows, list(by)).groupBy(*by).agg(areas()["roc_auc"].alias("roc_auc"))
+def roc_auc(rows: DataFrame, by=("tool",), n: Column | None = None) -> DataFrame:
+    """Area under the ROC curve, ties counting half; null with one class. n: how many calls a row stands for."""
+    return thresholds(rows, list(by), n).groupBy(*by).agg(areas()["roc_auc"].alias("roc_auc"))
 
 
-def average_precision(rows: DataFrame, by=("tool",)) -> DataFrame:
-    return thresholds(rows, list(by)).groupBy(*by).agg(areas()["average_precision"].alias("average_precision"))
+def average_precision(rows: DataFrame, by=("tool",), n: Column | None = None) -> DataFrame:
+    return thresholds(rows, list(by), n).groupBy(*by).agg(areas()["average_precision"].alias("average_precision"))
 
 
-def curve_points(rows: DataFrame, by=("tool",)) -> DataFrame:
+def curve_points(rows: DataFrame, by=("tool",), n: Column | None = None) -> DataFrame:
     """fpr, tpr (= recall) and precision at each distinct score."""
-    t = thresholds(rows, list(by))
+    t = thresholds(rows, list(by), n)
     total = t.groupBy(*by).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
     out = t.join(total, list(by))
     return out.select(*by, "y_score", ratio(F.col("fp"), F.col("_n")).alias("fpr"), ratio(F.col("tp"), F.col("_p")).alias("tpr"), ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"))

@@ -85,18 +85,33 @@ def density_grid(pairs: DataFrame, a: str, b: str, by=("tool",), bins: int = 50)
     return rows.select(*by, "kind", at("x").alias("x"), at("y").alias("y"), F.col("w").alias("density"))
 
 
-def resource_rollup(trace: DataFrame, basecaller: str = "Guppy", dependents: tuple[str, ...] = ("Nanopolish", "Megalodon")) -> DataFrame:
-    """By dataset and tool: CPU seconds in all, longest time and largest memory; the basecaller's seconds are added to the tools that need it."""
-    out = trace.groupBy("dataset", "tool").agg(F.sum("seconds").alias("seconds"), F.max("seconds").alias("longest"), F.max("gb").alias("gb"))
-    base = out.where(F.col("tool") == basecaller).select("dataset", F.col("seconds").alias("base"))
-    need = F.when(F.col("tool").isin(*dependents), F.coalesce("base", F.lit(0.0))).otherwise(0.0)
-    return out.join(base, "dataset", "left").withColumn("with_basecall", F.col("seconds") + need).drop("base")
+#: The steps that tools need, and which tools.
+STEPS = {"basecall": ("DeepSignal", "Tombo", "DeepMod", "Nanopolish"), "resquiggle": ("DeepSignal", "Tombo")}
 
 
-def region_share_influence(metrics: DataFrame, shares: DataFrame) -> DataFrame:
-    """r of the metric with a region's share, by tool. metrics: tool, tag, value; shares: tag, share."""
-    pairs = metrics.join(shares, "tag").select("tool", F.col("value").alias("freq"), F.col("share").alias("bs_freq"))
-    return site_correlation(pairs).select("tool", "r", "n")
+def resource_rollup(jobs: DataFrame, steps: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """By dataset and tool: CPU seconds in all, longest wall time and largest memory; the steps that a tool needs are added to its times and their memory counts too.
+
+    jobs: dataset, tool (or step), cpu_seconds, wall_seconds, gb."""
+    steps = STEPS if steps is None else steps
+    out = jobs.groupBy("dataset", "tool").agg(F.sum("cpu_seconds").alias("cpu"), F.max("wall_seconds").alias("wall"), F.max("gb").alias("gb"))
+    own = out.where(~F.col("tool").isin(list(steps)))
+    for step, tools in steps.items():
+        base = out.where(F.col("tool") == step).select("dataset", *[F.col(c).alias(f"_{c}") for c in ("cpu", "wall", "gb")])
+        need = F.col("tool").isin(list(tools))
+        added = {c: F.col(c) + F.when(need, F.coalesce(f"_{c}", F.lit(0))).otherwise(0) for c in ("cpu", "wall")}
+        own = own.join(base, "dataset", "left").withColumns({**added, "gb": F.when(need, F.greatest("gb", "_gb")).otherwise(F.col("gb"))}).select("dataset", "tool", "cpu", "wall", "gb")
+    return own
+
+
+def region_share_influence(metrics: DataFrame, distribution: DataFrame) -> DataFrame:
+    """r, with p, of Macro-F1 over data sets and regions with the shares of non-singletons and of discordant sites, by tool.
+
+    metrics: dataset, tool, tag, macro_f1; distribution: dataset, tag and the counts of the four classes."""
+    share = lambda a, b: F.try_divide(F.col(a).cast("double"), F.col(a) + F.col(b))
+    shares = distribution.select("dataset", "tag", F.explode(F.array(F.struct(F.lit("non_singletons").alias("measure"), share("non_singletons", "singletons").alias("share")), F.struct(F.lit("discordant").alias("measure"), share("discordant", "concordant").alias("share")))).alias("x"))
+    pairs = metrics.join(shares, ["dataset", "tag"]).select("tool", "x.measure", F.col("macro_f1").alias("freq"), F.col("x.share").alias("bs_freq"))
+    return site_correlation(pairs, ("tool", "measure")).select("tool", "measure", "r", "p", "n")
 
 
 def coverage_vs_accuracy(pairs: DataFrame, cutoffs: list[int]) -> DataFrame:
@@ -105,8 +120,9 @@ def coverage_vs_accuracy(pairs: DataFrame, cutoffs: list[int]) -> DataFrame:
     return site_correlation(own, ("tool", "cutoff"))
 
 
-def performance_wide(reports: list[DataFrame], names: dict[str, str], tags: list[str], metric: str) -> DataFrame:
-    """Run reports (dataset, tool, tag, metric) under each other, tools renamed, one column for each tag."""
-    rows = reduce(DataFrame.unionByName, reports)
+def performance_wide(reports: list[DataFrame], names: dict[str, str], tags: list[str], metric: str, datasets: list[str] | None = None, tools: list[str] | None = None) -> DataFrame:
+    """Run reports (dataset, tool, tag, metric) under each other, tools renamed, one column for each tag, in the data sets' and tools' order with its place."""
+    rows = reduce(DataFrame.unionByName, reports).where(F.col("tag").isin(tags))
     tool = F.coalesce(*[F.when(F.col("tool") == k, v) for k, v in names.items()], F.col("tool"))
-    return rows.groupBy("dataset", tool.alias("tool")).agg(*[F.max(F.when(F.col("tag") == t, F.col(metric))).alias(t) for t in tags])
+    wide = rows.groupBy("dataset", tool.alias("tool")).agg(*[F.max(F.when(F.col("tag") == t, F.col(metric))).alias(t) for t in tags])
+    return sort_report_categorical(wide, {"dataset": datasets or [], "tool": tools or []}, tags[0])

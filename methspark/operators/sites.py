@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import finite, score_to_label
 from .joins import SITE
+from .metrics import site_correlation
 
 
 def filter_certain_sites(truth: DataFrame, cut: float = 1.0, eps: float = 1e-5) -> DataFrame:
@@ -44,9 +45,10 @@ def agg_read_to_site(calls: DataFrame, min_cov: int = 1, by=("tool",)) -> DataFr
     return out.where(F.col("cov") >= min_cov)
 
 
-def agg_read_to_site_multitool(wide: DataFrame, tools: list[str], min_reads: int = 3, inclusive: bool = False) -> DataFrame:
+def agg_read_to_site_multitool(wide: DataFrame, tools: list[str], min_reads: int = 3, inclusive: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Each tool's share of methylated calls by site, number of reads, and columns that the site's rows share (truth, coverage, region)."""
     label = lambda t: F.col(t) >= 0 if inclusive else F.col(t) > 0
-    out = wide.groupBy(*SITE).agg(*[F.avg(F.when(F.col(t).isNotNull(), label(t).cast("int"))).alias(t) for t in tools], F.count("*").alias("reads"))
+    out = wide.groupBy(*SITE).agg(*[F.avg(F.when(F.col(t).isNotNull(), label(t).cast("int"))).alias(t) for t in tools], *[F.min(c).alias(c) for c in keep], F.count("*").alias("reads"))
     return out.where(F.col("reads") >= min_reads)
 
 
@@ -68,8 +70,8 @@ def sites_report(site_calls: DataFrame, truth: DataFrame) -> DataFrame:
     return hit.join(F.broadcast(n)).select("tool", "sites", "bs_sites", "joined")
 
 
-def raw_coverage_by_region(tagged_sites: DataFrame, cutoffs=(3,)) -> DataFrame:
-    return tagged_sites.groupBy("tag").agg(*[F.count_if(F.col("cov") >= c).alias(f"cov_ge_{c}") for c in cutoffs], F.count("*").alias("total"))
+def raw_coverage_by_region(tagged_sites: DataFrame, cutoffs=(3,), by=("dataset", "tag")) -> DataFrame:
+    return tagged_sites.groupBy(*by).agg(*[F.count_if(F.col("cov") >= c).alias(f"cov_ge_{c}") for c in cutoffs], F.count("*").alias("total"))
 
 
 def positive_control_eval(site_calls: DataFrame, threshold: float = 0.2) -> DataFrame:
@@ -79,22 +81,33 @@ def positive_control_eval(site_calls: DataFrame, threshold: float = 0.2) -> Data
     return out.withColumns({"negative": F.col("calls") - F.col("positive"), "ratio": F.col("positive") / F.col("calls"), "recall": F.col("called") / F.col("bases"), "precision": F.when(F.col("called") > 0, 1.0).otherwise(0.0)})
 
 
-def agreement_partitions(matrix: DataFrame, tool: str) -> DataFrame:
-    """Sites by how far the tool is from truth; the classes overlap."""
-    d = F.abs(F.col(f"{tool}_freq") - F.col("bs_freq"))
+def agreement_partitions(pairs: DataFrame) -> DataFrame:
+    """Sites by how far a tool (tool, freq) is from truth (bs_freq), with r, p and error in each part; the parts overlap."""
+    d = F.abs(F.col("freq") - F.col("bs_freq"))
     names = F.array(*[F.when(c, F.lit(n)) for n, c in (("lt_0.05", d < 0.05), ("lt_0.10", d < 0.10), ("gt_0.2", d > 0.2), ("gt_0.4", d > 0.4))])
-    return matrix.select(F.explode(F.array_compact(names)).alias("part")).groupBy("part").agg(F.count("*").alias("n"))
+    return site_correlation(pairs.select("tool", "freq", "bs_freq", F.explode(F.array_compact(names)).alias("part")), ("tool", "part"))
 
 
-def histogram_freq(site_calls: DataFrame, bins: int = 10) -> DataFrame:
-    b = F.least(F.floor(F.col("freq") * bins), F.lit(bins - 1)).cast("int")
-    return site_calls.groupBy("tool", b.alias("bin")).agg(F.count("*").alias("n"))
+def histogram_freq_cov(site_calls: DataFrame, bins: int = 10) -> DataFrame:
+    """(tool, kind, bin, n): histograms of frequency in 0 to 1 and of coverage in 0 to the largest of all tools plus 1, and each tool's sites (kind sites, no bin).
 
+    Sites are counted by bin and coverage first; all else reads that table."""
+    b = F.least(F.floor(F.col("freq") * bins + 1e-9), F.lit(bins - 1)).cast("int")
+    counted = site_calls.groupBy("tool", b.alias("freq_bin"), "cov").agg(F.count("*").alias("n"))
+    counted = counted.withColumn("top", F.max("cov").over(Window.partitionBy(F.lit(0))) + 1)
+    cov_bin = F.least(F.floor(F.col("cov") * bins / F.col("top")), F.lit(bins - 1)).cast("int")
+    kinds = [("freq", F.col("freq_bin")), ("cov", cov_bin), ("sites", F.lit(None).cast("int"))]
+    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("bin")) for k, v in kinds])).alias("x")
+    return counted.select("tool", "n", rows).groupBy("tool", "x.kind", "x.bin").agg(F.sum("n").alias("n"))
 
-def class_balance(df: DataFrame, column: str) -> DataFrame:
-    out = df.groupBy(column).agg(F.count("*").alias("n"), F.count_distinct(*SITE).alias("sites"))
-    total = df.select(F.count("*").alias("total"))
-    return out.join(F.broadcast(total)).select(column, "n", "sites", (F.col("n") / F.col("total")).alias("share"))
+
+def class_balance(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(facet, value, n, sites, share, site_share) of each value of the columns, and of all rows (facet total): rows, distinct sites, and their shares of all."""
+    facets = F.array(*[F.struct(F.lit(c).alias("facet"), F.col(c).cast("string").alias("value")) for c in columns], F.struct(F.lit("total").alias("facet"), F.lit("all").alias("value")))
+    by_site = df.select(*SITE, F.explode(facets).alias("x")).groupBy(*SITE, "x.facet", "x.value").agg(F.count("*").alias("n"))
+    out = by_site.groupBy("facet", "value").agg(F.sum("n").alias("n"), F.count("*").alias("sites"))
+    all_ = lambda c: F.max(F.when(F.col("facet") == "total", F.col(c))).over(Window.partitionBy(F.lit(0)))  # noqa: E731  of one row for each value
+    return out.withColumns({"share": F.col("n") / all_("n"), "site_share": F.col("sites") / all_("sites")})
 
 
 def long_read_portion(summary: DataFrame, cutoff: int = 10_000) -> DataFrame:

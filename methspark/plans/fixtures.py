@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-from uuid import uuid4
-
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("part", "lineitem", "orders", "supplier", "customer", "documents", "events", "nation", "region")
@@ -69,12 +66,3 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         if f" {t}" in sql:
             spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
     return spark.sql(sql)
-
-
-def folder(spark: SparkSession) -> str:
-    """A new folder that all executors share (in local mode, a temporary one)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    master = spark.sparkContext.master
-    if base is None and master != "local" and not master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    return f"{base or tempfile.mkdtemp(prefix='methspark-')}/{uuid4()}"

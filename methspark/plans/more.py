@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -17,10 +19,12 @@ from ..operators import positions as P
 from ..operators import reports as B
 from ..operators import sites as A
 from ..sources import dispatch as D
+from ..sources import scans as R
 from ..sources import tables as T
+from ..storage import folder
 from ..streaming import stream
-from .fixtures import folder, view
-from .queries import CERTAIN, CUMULATED, DASH, EVAL, F1, INNER, ISLANDS, LABEL, PAIRS, POS0, SITE, SITE_CALLS, SITES, TAG_NAMES, TAGS, TOOLS, UNION, WIDE, calls, certain_sites, counted, lines, masked, matrix, pairs, query, r6, site_calls, student, tagged, text, truth, union_truth
+from .fixtures import view
+from .queries import C_POS, CERTAIN, CLASSES, CUMULATED, DASH, EVAL, F1, INNER, ISLANDS, LABEL, PAIRS, POS0, SITE, SITE_CALLS, SITES, TAG_NAMES, TAGS, TOOLS, UNION, WIDE, calls, certain_sites, cpg_classes, lines, masked, matrix, pairs, query, r6, scored, site_calls, site_counts, student, tagged, text, truth, union_truth
 
 
 def stored(df, path: str) -> str:
@@ -148,11 +152,6 @@ def parse_duration_size(spark, sf):
     return df.select("task_id", S.duration_seconds(F.col("d")).alias("seconds"), F.round(S.size_gb(F.col("a")), 6).alias("gb"), F.round(S.size_gb(F.col("b")), 9).alias("kb_gb"))
 
 
-@query(f"with {PARSED}, g as (select dataset, tool, sum(seconds) as seconds, max(seconds) as longest, max(gb) as gb from parsed group by dataset, tool) select g.dataset, g.tool, g.seconds, longest, round(gb, 6) as gb, g.seconds + case when g.tool = 'Guppy' then 0 else coalesce(b.seconds, 0) end as with_basecall from g left join (select dataset, seconds from g where tool = 'Guppy') b on g.dataset = b.dataset")
-def resource_rollup(spark, sf):
-    return B.resource_rollup(trace(spark, sf)).withColumns(r6("gb"))
-
-
 @query("select o_orderkey as job_id, cast(o_orderkey % 24 * 3600 + o_orderkey % 60 * 60 + o_custkey % 60 as bigint) as cpu_seconds, cast(o_orderkey % 3 * 86400 + o_custkey % 24 * 3600 + 5 * 60 + 9 as bigint) as wall_seconds, round(case when o_orderkey % 2 = 0 then cast(1 + o_custkey % 900 as double) / 1000 else 1 + o_custkey % 900 end, 6) as gb from orders")
 def scan_job_log(spark, sf):
     df = spark.read.parquet(f"{sf}/orders.parquet")
@@ -160,6 +159,39 @@ def scan_job_log(spark, sf):
     return T.scan_job_log(df.select(block.alias("value"))).withColumns(r6("gb"))
 
 
+JOBS = "jobs as (select o_orderkey as job_id, case when o_custkey % 2 = 0 then 'MB' else 'HL' end as dataset, case o_orderkey % 7 when 0 then 'basecall' when 1 then 'resquiggle' when 2 then 'DeepSignal' when 3 then 'Tombo' when 4 then 'DeepMod' when 5 then 'Nanopolish' else 'Megalodon' end as tool, cast(o_orderkey % 24 * 3600 + o_orderkey % 60 * 60 + o_custkey % 60 as bigint) as cpu, cast(o_orderkey % 3 * 86400 + o_custkey % 24 * 3600 + 309 as bigint) as wall, case when o_orderkey % 2 = 0 then cast(1 + o_custkey % 900 as double) / 1000 else 1 + o_custkey % 900 end as gb from orders)"
+_STEP = "left join (select dataset, cpu as cpu{0}, wall as wall{0}, gb as gb{0} from g where tool = '{1}') {0} using (dataset)"
+
+
+@query(f"with {JOBS}, g as (select dataset, tool, sum(cpu) as cpu, max(wall) as wall, max(gb) as gb from jobs group by dataset, tool), n as (select *, tool in ('DeepSignal', 'Tombo', 'DeepMod', 'Nanopolish') as b, tool in ('DeepSignal', 'Tombo') as q from g where tool not in ('basecall', 'resquiggle')) select dataset, tool, cast(cpu + case when b then cpu1 else 0 end + case when q then cpu2 else 0 end as bigint) as cpu, cast(wall + case when b then wall1 else 0 end + case when q then wall2 else 0 end as bigint) as wall, round(greatest(gb, case when b then gb1 else 0 end, case when q then gb2 else 0 end), 6) as gb from n {_STEP.format('1', 'basecall')} {_STEP.format('2', 'resquiggle')}".replace(") 1 using", ") s1 using").replace(") 2 using", ") s2 using"))
+def resource_rollup(spark, sf):
+    spark.read.parquet(f"{sf}/orders.parquet").createOrReplaceTempView("orders")
+    jobs = spark.sql(f"with {JOBS} select job_id, dataset, tool from jobs").join(scan_job_log(spark, sf), "job_id")
+    return B.resource_rollup(jobs).withColumns(r6("gb"))
+
+
+SITE_DB = f", {SITE_CALLS}, {UNION}, {CERTAIN}, {CLASSES}, w as (select {SITES}, min(case when tool = 'nanopolish' then freq end) as nf, min(case when tool = 'nanopolish' then cov end) as nc, min(case when tool = 'megalodon' then freq end) as mf, min(case when tool = 'megalodon' then cov end) as mc from site_calls group by {SITES}), one as (select Chr, pos_c, min(case when tag in ('Singletons', 'Non-singletons') then tag end) as single from ctag group by Chr, pos_c)"
+
+
+@query(f"{SITE_DB} select u.Chr as Chrom, u.Pos - 1 as Start, u.Pos as \"End\", u.Strand, 'MB' as Dataset, round(u.freq, 6) as BSseq_freq, u.cov as BSseq_cov, round(nf, 6) as Nanopolish_freq, nc as Nanopolish_cov, round(mf, 6) as Megalodon_freq, mc as Megalodon_cov, " + ", ".join(f"cast(null as {'double' if c == 'freq' else 'bigint'}) as {t}_{c}" for t in ("DeepSignal", "Guppy", "Tombo", "DeepMod", "METEORE") for c in ("freq", "cov")) + " , single as Singleton, cast(null as string) as Genomic_location, 'x' as CpG_location, cast(null as string) as CG_density, cast(null as string) as Repetitive_regions from union_truth u left join w on u.Chr = w.Chr and u.Pos = w.Pos and u.Strand = w.Strand left join one on one.Chr = u.Chr and one.pos_c = case when u.Strand = '-' then u.Pos - 1 else u.Pos end", "read_call", "bs_truth", "cpg_site")
+def scan_site_db(spark, sf):
+    """The site matrix with classes as the database's text, empty or NA where nothing is known, read again."""
+    known = K.site_masks(matrix(spark, sf, joined=False), cpg_classes(spark, sf), view(spark, sf, "region_view"), TAG_NAMES)
+    cell = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if isinstance(c, str) else c
+    single = F.when(K.has(F.col("mask"), 0), K.CLASSES[0]).otherwise(K.CLASSES[1])
+    cols = ["Chr", POS0(), "Pos", "Strand", F.lit("MB"), "bs_freq", "bs_cov", "nanopolish_freq", "nanopolish_cov", "megalodon_freq", "megalodon_cov", *[F.lit(x) for x in ("", "NA") * 5], single, F.lit("NA"), F.lit("x"), F.lit(""), F.lit("NA")]
+    out = T.scan_site_db(known.select(F.concat_ws("\t", *map(cell, cols)).alias("value")))
+    return out.withColumns(r6("BSseq_freq", "Nanopolish_freq", "Megalodon_freq"))
+
+
+@query(f"select 'mine' as tool, ID, {SITES}, Score, {LABEL} as label from read_call where tool = 'megalodon'", "read_call")
+def register_custom_tool(spark, sf):
+    """A declared tool read by its name."""
+    D.register_custom_tool(R.CustomTool("declared", id=0, chr=1, pos=2, strand=3, scores=(4,), base=1))
+    path = stored(lines(calls(spark, sf).where("tool = 'megalodon'"), *UNIREAD), folder(spark))
+    return D.read_calls_by_encode(spark, f"mine:declared:{path}")
+
+
 UNIREAD = ("ID", "Chr", "Pos", "Strand", "Score")
 
 
@@ -302,19 +334,19 @@ def region_cov_to_cpg_sites(spark, sf):
     return G.region_cov_to_cpg_sites(view(spark, sf, "alignment").where("mapq < 9").withColumnRenamed("mapq", "cov"), view(spark, sf, "cpg_site"))
 
 
-CLASSES = "classes as (select Chr, start, stop, case start % 6 when 0 then 'SINE/Alu' when 1 then 'LINE/L1' when 2 then 'LTR' when 3 then 'DNA/hAT' when 4 then 'Simple_repeat' else 'SINEx' end as repeat_class, start % 101 as density from region_view)"
+REPEATS = "classes as (select Chr, start, stop, case start % 6 when 0 then 'SINE/Alu' when 1 then 'LINE/L1' when 2 then 'LTR' when 3 then 'DNA/hAT' when 4 then 'Simple_repeat' else 'SINEx' end as repeat_class, start % 101 as density from region_view)"
 
 
-@query(f", {CLASSES} select *, case when repeat_class = 'SINE/Alu' then 'SINE' when repeat_class = 'LINE/L1' then 'LINE' when repeat_class = 'LTR' then 'LTR' when repeat_class = 'DNA/hAT' then 'DNA' else 'Others' end as part from classes", "region_view")
+@query(f", {REPEATS} select *, case when repeat_class = 'SINE/Alu' then 'SINE' when repeat_class = 'LINE/L1' then 'LINE' when repeat_class = 'LTR' then 'LTR' when repeat_class = 'DNA/hAT' then 'DNA' else 'Others' end as part from classes", "region_view")
 def split_region_class(spark, sf):
     view(spark, sf, "region_view").createOrReplaceTempView("region_view_own")
-    return G.split_region_class(spark.sql(f"with {CLASSES.replace('from region_view', 'from region_view_own')} select * from classes"))
+    return G.split_region_class(spark.sql(f"with {REPEATS.replace('from region_view', 'from region_view_own')} select * from classes"))
 
 
-@query(f", {CLASSES} select *, cast(floor(density / 20.0e0) as int) as bin from classes", "region_view")
+@query(f", {REPEATS} select *, cast(floor(density / 20.0e0) as int) as bin from classes", "region_view")
 def bin_gc_density(spark, sf):
     view(spark, sf, "region_view").createOrReplaceTempView("region_view_own")
-    return G.bin_gc_density(spark.sql(f"with {CLASSES.replace('from region_view', 'from region_view_own')} select * from classes"), "density")
+    return G.bin_gc_density(spark.sql(f"with {REPEATS.replace('from region_view', 'from region_view_own')} select * from classes"), "density")
 
 
 @query(f"select tool, ID, {SITES}, Score from read_call order by ID, {SITES}, tool, Score limit 100", "read_call")
@@ -351,7 +383,7 @@ def sort_report_categorical(spark, sf):
 
 @query(f"{EVAL}, {CUMULATED} select tool, tag, y_score, round(coalesce(cast(tp as double) / nullif(sum(pos) over (partition by tool, tag), 0), 0), 6) as recall, round(cast(tp as double) / (tp + fp), 6) as precision from t", "read_call", "bs_truth", "region_view")
 def pr_curve_points(spark, sf):
-    return M.curve_points(tagged(spark, sf), ("tool", "tag")).select("tool", "tag", "y_score", F.round("tpr", 6).alias("recall"), F.round("precision", 6).alias("precision"))
+    return M.curve_points(scored(spark, sf), ("tool", "tag"), F.col("n")).select("tool", "tag", "y_score", F.round("tpr", 6).alias("recall"), F.round("precision", 6).alias("precision"))
 
 
 @query(f", {UNION}, {CERTAIN}, {TAGS}, {ISLANDS}, big as (select *, count(*) over (partition by Chr, run) as n from isl), k as (select c.Chr, c.Pos, c.Strand, big.pos_c, run, n, y_true as label from certain c left join big on c.Chr = big.Chr and case when c.Strand = '-' then c.Pos - 1 else c.Pos end = big.pos_c), j as (select {SITES}, min(label) over w = max(label) over w as same from k where n > 1 window w as (partition by Chr, run order by pos_c range between 11 preceding and 11 following)) select tag, count(*) as total, count(case when n = 1 then 1 end) as singletons, count(case when n > 1 then 1 end) as non_singletons, count(case when same then 1 end) as concordant, count(case when not same then 1 end) as discordant from tags join k using ({SITES}) left join j using ({SITES}) group by tag", "bs_truth", "region_view", "cpg_site")
@@ -396,19 +428,33 @@ def coverage_vs_accuracy(spark, sf):
     return B.coverage_vs_accuracy(pairs, [1, 3, 5]).drop("p").withColumns(r6("r", "mse"))
 
 
-@query(f"{EVAL} select 'one' as dataset, case tool when 'deepsignal' then 'DeepSignal' else tool end as tool, max(case when tag = 'Exons' then round(f1_5mc, 6) end) as \"Exons\", max(case when tag = 'Introns' then round(f1_5mc, 6) end) as \"Introns\" from ({F1}) group by tool", "read_call", "bs_truth", "region_view")
+def alone(sql: str) -> str:
+    """Common tables of the truth's first replicate alone, under names of their own."""
+    names = "union_truth|certain|tags|rws|lab|cj|cc|ctag|isl|big"
+    return re.sub(rf"\b({names})\b", r"\g<1>1", sql.replace("from bs_truth group by", "from bs_truth where rep = 1 group by"))
+
+
+BOTH = EVAL + alone(EVAL)
+RUNS = {"both": None, "rep1": 1}
+
+
+@query(f"{BOTH}, m as (select 'both' as dataset, * from ({F1}) union all select 'rep1', * from ({alone(F1)})), w as (select dataset, case tool when 'deepsignal' then 'DeepSignal' when 'megalodon' then 'Megalodon' else tool end as tool, max(case when tag = 'Exons' then round(f1_5mc, 6) end) as \"Exons\", max(case when tag = 'Introns' then round(f1_5mc, 6) end) as \"Introns\" from m group by 1, 2) select *, cast(row_number() over (order by case dataset when 'rep1' then 0 else 1 end, case tool when 'Megalodon' then 0 when 'nanopolish' then 1 else 2 end) as int) as place from w", "read_call", "bs_truth", "region_view")
 def performance_wide(spark, sf):
-    report = M.read_level_metrics_binary(tagged(spark, sf), ("tool", "tag")).select(F.lit("one").alias("dataset"), "tool", "tag", F.round("f1", 6).alias("f1"))
-    return B.performance_wide([report], {"deepsignal": "DeepSignal"}, ["Exons", "Introns"], "f1")
+    """Two runs: truth of both replicates, and of the first."""
+    reports = [M.read_level_metrics_binary(site_counts(spark, sf, rep), ("tool", "tag")).select(F.lit(name).alias("dataset"), "tool", "tag", F.round("f1", 6).alias("f1")) for name, rep in RUNS.items()]
+    return B.performance_wide(reports, {"deepsignal": "DeepSignal", "megalodon": "Megalodon"}, ["Exons", "Introns"], "f1", ["rep1", "both"], ["Megalodon", "nanopolish"])
+
+
+DIST = f"select tag, count(case when c.tag2 = 'Singletons' then 1 end) as s, count(case when c.tag2 = 'Non-singletons' then 1 end) as ns, count(case when c.tag2 = 'Concordant' then 1 end) as con, count(case when c.tag2 = 'Discordant' then 1 end) as dis from (select *, {C_POS} as pos_c from tags) t join (select Chr, pos_c, tag as tag2 from ctag) c on t.Chr = c.Chr and t.pos_c = c.pos_c where tag <> 'Genome-wide' group by tag"
 
 
-@query(f"{EVAL}, m as (select tool, tag, f1_5mc as v from ({F1})), s as (select tag, avg(cast(y_true as double)) as share from tags join certain using ({SITES}) group by tag) select tool, round(corr(v, share), 6) as r, count(*) as n from m join s using (tag) group by tool", "read_call", "bs_truth", "region_view")
+@query(f"{BOTH}, {CLASSES}, {alone(CLASSES)}, m as (select 'both' as dataset, tool, tag, (f1_5mc + f1_5c) / 2 as v from ({F1}) union all select 'rep1', tool, tag, (f1_5mc + f1_5c) / 2 from ({alone(F1)})), d as (select 'both' as dataset, * from ({DIST}) union all select 'rep1', * from ({alone(DIST)})), p as (select tool, v, cast(ns as double) / nullif(ns + s, 0) as a, cast(dis as double) / nullif(dis + con, 0) as b from m join d using (dataset, tag)), g as (select tool, 'non_singletons' as measure, corr(v, a) as r, count(a) as n from p group by tool union all select tool, 'discordant', corr(v, b), count(b) from p group by tool) select tool, measure, round(case when isnan(r) then null else r end, 6) as r, round(case when isnan(r) then null else {student('r', 'n')} end, 6) as p, n from g", "read_call", "bs_truth", "region_view", "cpg_site")
 def region_share_influence(spark, sf):
-    certain = A.filter_certain_sites(union_truth(spark, sf, 5))
-    tags = J.annotate_regions_multi(certain.select(*SITE, "freq"), view(spark, sf, "region_view"))
-    shares = tags.groupBy("tag").agg(F.avg(F.when(F.col("freq") < 0.5, 0.0).otherwise(1.0)).alias("share"))
-    value = M.read_level_metrics_binary(tagged(spark, sf), ("tool", "tag")).select("tool", "tag", F.col("f1").alias("value"))
-    return B.region_share_influence(value, shares).withColumns(r6("r"))
+    """Two data sets: truth of both replicates, and of the first."""
+    named = lambda df, name: df.select(F.lit(name).alias("dataset"), "*")
+    metrics = [named(M.read_level_metrics(site_counts(spark, sf, rep)), name) for name, rep in RUNS.items()]
+    parts = [named(K.region_distribution(masked(spark, sf, certain_sites(spark, sf, rep), rep), TAG_NAMES), name).where("tag <> 'Genome-wide'") for name, rep in RUNS.items()]
+    return B.region_share_influence(metrics[0].unionByName(metrics[1]), parts[0].unionByName(parts[1])).withColumns(r6("r", "p"))
 
 
 @query(f", {UNION}, {CERTAIN}, {TAGS} select {SITES}, case min(case tag when 'Promoters' then 0 when 'Exons' then 1 when 'Introns' then 2 else 3 end) when 0 then 'Promoters' when 1 then 'Exons' when 2 then 'Introns' else 'intergenic' end as location from tags group by {SITES}", "bs_truth", "region_view")
@@ -521,8 +567,7 @@ def consensus_site_eval(spark, sf):
 @query(f"{EVAL}, {CUMULATED}, a as (select tool, tag, sum(neg * (tp - cast(pos as double) / 2)) / nullif(sum(pos) * sum(neg), 0) as roc_auc, sum(pos * cast(tp as double) / (tp + fp)) / nullif(sum(pos), 0) as ap, sum(neg) as n0, sum(pos) as n1 from t group by tool, tag) select tool, tag, round(f1_5mc, 6) as f1, round(roc_auc, 6) as roc_auc, round(ap, 6) as average_precision, round(accuracy, 6) as accuracy, round(p_5mc, 6) as precision, round(r_5mc, 6) as recall, calls as preds, cast(n0 as bigint) as preds_5c, cast(n1 as bigint) as preds_5mc from ({F1}) join a using (tool, tag)", "read_call", "bs_truth", "region_view")
 def weighted_metrics(spark, sf):
     """All metrics of the tools from counted calls."""
-    rows = counted(spark, sf).groupBy("tool", "tag", "y_true", "y_pred", "y_score").agg(F.sum("n").alias("n"))
-    return M.weighted_metrics(rows, ["tool", "tag"]).withColumns(r6("f1", "roc_auc", "average_precision", "accuracy", "precision", "recall"))
+    return M.weighted_metrics(scored(spark, sf), ["tool", "tag"]).withColumns(r6("f1", "roc_auc", "average_precision", "accuracy", "precision", "recall"))
 
 
 # --- streams -------------------------------------------------------------------------------------

@@ -14,7 +14,8 @@ from ..operators import metrics as M
 from ..operators import positions as P
 from ..operators import sites as A
 from ..sources import scans as R
-from .fixtures import ctes, folder, view
+from ..storage import folder
+from .fixtures import ctes, view
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -60,19 +61,36 @@ def union_truth(spark, sf, min_cov=1):
     return J.truth_union_replicates(truth(spark, sf), min_cov)
 
 
+def certain_sites(spark, sf, rep=None):
+    """Sites of certain truth, of both replicates together or of one."""
+    t = truth(spark, sf, rep)
+    return A.filter_certain_sites(J.truth_union_replicates(t, 5))
+
+
+def known_calls(spark, sf, rep=None):
+    """Calls on certain sites with truth: tool, SITE, y_true, y_pred, y_score; and the sites with their regions."""
+    certain = certain_sites(spark, sf, rep).select(*SITE, S.freq_to_label(F.col("freq")).alias("y_true"))
+    rows = J.join_truth(labelled(spark, sf), certain).select("tool", *SITE, "y_true", F.col("label").alias("y_pred"), F.col("Score").alias("y_score"))
+    return rows, J.annotate_regions_multi(certain.select(*SITE), view(spark, sf, "region_view").where("tag is not null"))
+
+
 def tagged(spark, sf):
     """Calls on certain sites with truth, by region."""
-    certain = A.filter_certain_sites(union_truth(spark, sf, 5)).select(*SITE, S.freq_to_label(F.col("freq")).alias("y_true"))
-    rows = J.join_truth(labelled(spark, sf), certain)
-    tags = J.annotate_regions_multi(certain.select(*SITE), view(spark, sf, "region_view").where("tag is not null"))
-    return rows.join(tags, SITE).select("tool", "tag", "y_true", F.col("label").alias("y_pred"), F.col("Score").alias("y_score"))
+    rows, tags = known_calls(spark, sf)
+    return rows.join(tags, SITE).select("tool", "tag", "y_true", "y_pred", "y_score")
+
 
+def site_counts(spark, sf, rep=None):
+    """The same as call counts by site."""
+    rows, tags = known_calls(spark, sf, rep)
+    return M.call_counts(rows).join(tags, SITE)
 
-def counted(spark, sf):
-    """The same with equal calls of a site as one row and their number, before regions are told apart."""
-    certain = A.filter_certain_sites(union_truth(spark, sf, 5)).select(*SITE, S.freq_to_label(F.col("freq")).alias("y_true"))
-    rows = J.join_truth(labelled(spark, sf), certain).groupBy(*SITE, "tool", "y_true", F.col("label").alias("y_pred"), F.col("Score").alias("y_score")).agg(F.count("*").alias("n"))
-    return rows.join(J.annotate_regions_multi(certain.select(*SITE), view(spark, sf, "region_view")), SITE)
+
+def scored(spark, sf):
+    """The same as numbers of equal scores, counted by site before regions are told apart."""
+    rows, tags = known_calls(spark, sf)
+    counts = rows.groupBy("tool", *SITE, "y_true", "y_score").agg(F.count("*").alias("n")).join(tags, SITE)
+    return counts.groupBy("tool", "tag", "y_true", "y_score").agg(F.sum("n").alias("n"))
 
 
 LABEL = "case when Score > 0.00001 then 1 else 0 end"
@@ -80,7 +98,7 @@ SITE_CALLS = f"site_calls as (select tool, {SITES}, avg(cast({LABEL} as double))
 UNION = f"union_truth as (select {SITES}, cast(meth as double) / cov as freq, cov, meth from (select {SITES}, sum(meth) as meth, sum(cov) as cov from bs_truth group by {SITES}))"
 CERTAIN = f"certain as (select {SITES}, case when freq < 0.5 then 0 else 1 end as y_true, freq, cov from union_truth where cov >= 5 and (freq < 0.00001 or freq > 0.99999))"
 TAGS = f"tags as (select distinct {SITES}, tag from certain c join (select tag, Chr as rc, start, stop, Strand as rs from region_view) on Chr = rc and Pos between start and stop and (tag <> 'rep_SINE' or Strand = rs) union all select {SITES}, 'Genome-wide' from certain)"
-ROWS = f"rws as (select tool, tag, y_true, {LABEL} as y_pred, Score as y_score from read_call join certain using ({SITES}) join tags using ({SITES}))"
+ROWS = f"rws as (select tool, tag, y_true, {LABEL} as y_pred, Score as y_score, {SITES} from read_call join certain using ({SITES}) join tags using ({SITES}))"
 EVAL = f", {UNION}, {CERTAIN}, {TAGS}, {ROWS}"
 
 
@@ -324,6 +342,11 @@ def truth_consensus_replicates(spark, sf):
     return J.truth_consensus_replicates(truth(spark, sf, 1), truth(spark, sf, 2))
 
 
+@query(f", b as (select a.freq as f1, b.freq as f2 from (select * from bs_truth where rep = 1) a join (select * from bs_truth where rep = 2) b using ({SITES})) select count(case when f1 >= 0.9 and f2 >= 0.9 then 1 end) as meth, count(case when f1 < 0.00001 and f2 < 0.00001 then 1 end) as unmeth, count(case when not ((f1 >= 0.9 and f2 >= 0.9) or (f1 < 0.00001 and f2 < 0.00001)) then 1 end) as unused from b", "bs_truth")
+def truth_consensus_counts(spark, sf):
+    return J.truth_consensus_counts(truth(spark, sf, 1), truth(spark, sf, 2))
+
+
 @query(f"select tool, ID, {SITES}, Score from read_call where ({SITES}) in (select {SITES} from bs_truth)", "read_call", "bs_truth")
 def semi_join_truth(spark, sf):
     return J.semi_join_truth(calls(spark, sf), truth(spark, sf)).select("tool", "ID", *SITE, "Score")
@@ -417,9 +440,9 @@ def union_replicate_runs(spark, sf):
     return J.union_replicate_runs(truth(spark, sf))
 
 
-@query(f"select tool, ID, {SITES}, Score from (select *, row_number() over (partition by tool, {SITES} order by md5(concat('53:', ID)), ID, Score) as k from (select tool, ID, {SITES}, min(Score) as Score from read_call group by tool, ID, {SITES})) where k <= 5", "read_call")
+@query(f"select tool, ID, {SITES}, Score, k from (select *, row_number() over (partition by tool, {SITES} order by md5(concat('53:', ID)), ID, Score) as place, count(*) over (partition by tool, {SITES}) as n from (select tool, ID, {SITES}, min(Score) as Score from read_call group by tool, ID, {SITES})) join (select unnest([5, 10, 15]) as k) on place <= k where n >= 15", "read_call")
 def downsample_reads(spark, sf):
-    return J.downsample_reads(J.dedup_read_calls(calls(spark, sf)), 5)
+    return J.downsample_reads(J.dedup_read_calls(calls(spark, sf)), 15)
 
 
 @query(f"select tool, ID, {SITES}, Score from (select *, row_number() over (partition by tool, ID, {SITES} order by abs(Score) desc, Score desc) as k from read_call) where k = 1", "read_call")
@@ -435,25 +458,28 @@ def agg_read_to_site(spark, sf):
     return A.agg_read_to_site(labelled(spark, sf), 3).withColumns(r6("freq"))
 
 
-@query(f", {WIDE} select {SITES}, " + ", ".join(f"round(avg(case when {t} > 0 then 1.0e0 when {t} is not null then 0.0e0 end), 6) as {t}" for t in TOOLS) + f", count(*) as reads from wide where {INNER} group by {SITES} having count(*) >= 3", "read_call")
+@query(f", {WIDE}, {UNION} select {SITES}, " + ", ".join(f"round(avg(case when {t} > 0 then 1.0e0 when {t} is not null then 0.0e0 end), 6) as {t}" for t in TOOLS) + f", round(min(freq), 6) as freq, min(cov) as cov, min(case when exists (select 1 from region_view r where r.tag = 'Promoters' and r.Chr = wide.Chr and wide.Pos between r.start and r.stop) then 'Promoters' else 'other' end) as region, count(*) as reads from wide join union_truth using ({SITES}) where {INNER} group by {SITES} having count(*) >= 3", "read_call", "bs_truth", "region_view")
 def agg_read_to_site_multitool(spark, sf):
-    return A.agg_read_to_site_multitool(J.join_tools(calls(spark, sf), TOOLS), TOOLS).withColumns(r6(*TOOLS))
+    rows = J.join_truth(J.join_tools(calls(spark, sf), TOOLS), union_truth(spark, sf).drop("meth"))
+    inside = J.interval_semi_join(rows.select(*SITE).distinct(), view(spark, sf, "region_view").where("tag = 'Promoters'")).withColumn("region", F.lit("Promoters"))
+    rows = rows.join(inside, SITE, "left").na.fill("other", ["region"])
+    return A.agg_read_to_site_multitool(rows, TOOLS, keep=("freq", "cov", "region")).withColumns(r6(*TOOLS, "freq"))
 
 
-COUNTS = "select tool, tag, count(case when y_true = 1 and y_pred = 1 then 1 end) as tp, count(case when y_true = 0 and y_pred = 1 then 1 end) as fp, count(case when y_true = 1 and y_pred = 0 then 1 end) as fn, count(case when y_true = 0 and y_pred = 0 then 1 end) as tn, count(*) as calls from rws group by tool, tag"
+COUNTS = "select tool, tag, count(case when y_true = 1 and y_pred = 1 then 1 end) as tp, count(case when y_true = 0 and y_pred = 1 then 1 end) as fp, count(case when y_true = 1 and y_pred = 0 then 1 end) as fn, count(case when y_true = 0 and y_pred = 0 then 1 end) as tn, count(*) as calls, count(distinct case when y_true = 0 then concat_ws(' ', Chr, Pos, Strand) end) as sites_5c, count(distinct case when y_true = 1 then concat_ws(' ', Chr, Pos, Strand) end) as sites_5mc from rws group by tool, tag"
 RATIOS = f"select *, cast(tp + tn as double) / calls as accuracy, coalesce(cast(tp as double) / nullif(tp + fp, 0), 0) as p_5mc, coalesce(cast(tp as double) / nullif(tp + fn, 0), 0) as r_5mc, coalesce(cast(tn as double) / nullif(tn + fn, 0), 0) as p_5c, coalesce(cast(tn as double) / nullif(tn + fp, 0), 0) as r_5c from ({COUNTS})"
 F1 = f"select *, coalesce(2 * p_5mc * r_5mc / nullif(p_5mc + r_5mc, 0), 0) as f1_5mc, coalesce(2 * p_5c * r_5c / nullif(p_5c + r_5c, 0), 0) as f1_5c from ({RATIOS})"
 METRICS = ["accuracy", "p_5mc", "r_5mc", "p_5c", "r_5c", "f1_5mc", "f1_5c"]
 
 
-@query(f"{EVAL} select tool, tag, tp, fp, fn, tn, calls, " + ", ".join(f"round({m}, 6) as {m}" for m in METRICS) + f", round((p_5mc + p_5c) / 2, 6) as macro_p, round((r_5mc + r_5c) / 2, 6) as macro_r, round((f1_5mc + f1_5c) / 2, 6) as macro_f1, round(accuracy, 6) as micro_f1 from ({F1})", "read_call", "bs_truth", "region_view")
+@query(f"{EVAL} select tool, tag, tp, fp, fn, tn, sites_5c, sites_5mc, sites_5c + sites_5mc as sites, fp + tn as calls_5c, tp + fn as calls_5mc, calls, " + ", ".join(f"round({m}, 6) as {m}" for m in METRICS) + f", round((p_5mc + p_5c) / 2, 6) as macro_p, round((r_5mc + r_5c) / 2, 6) as macro_r, round((f1_5mc + f1_5c) / 2, 6) as macro_f1, round(accuracy, 6) as micro_f1 from ({F1})", "read_call", "bs_truth", "region_view")
 def read_level_metrics(spark, sf):
-    return M.read_level_metrics(tagged(spark, sf)).withColumns(r6(*METRICS, "macro_p", "macro_r", "macro_f1", "micro_f1"))
+    return M.read_level_metrics(site_counts(spark, sf)).withColumns(r6(*METRICS, "macro_p", "macro_r", "macro_f1", "micro_f1"))
 
 
-@query(f"{EVAL} select tool, tag, round(accuracy, 6) as accuracy, round(p_5mc, 6) as precision, round(r_5mc, 6) as recall, round(f1_5mc, 6) as f1, calls from ({F1})", "read_call", "bs_truth", "region_view")
+@query(f"{EVAL} select tool, tag, round(accuracy, 6) as accuracy, round(p_5mc, 6) as precision, round(r_5mc, 6) as recall, round(f1_5mc, 6) as f1, sites_5c + sites_5mc as bases, calls as preds, fp + tn as preds_5c, tp + fn as preds_5mc from ({F1})", "read_call", "bs_truth", "region_view")
 def read_level_metrics_binary(spark, sf):
-    return M.read_level_metrics_binary(tagged(spark, sf), ("tool", "tag")).withColumns(r6("accuracy", "precision", "recall", "f1"))
+    return M.read_level_metrics_binary(site_counts(spark, sf), ("tool", "tag")).withColumns(r6("accuracy", "precision", "recall", "f1"))
 
 
 @query(f"{EVAL} select tool, y_true, y_pred, count(*) as n from rws where tag = 'Genome-wide' group by tool, y_true, y_pred", "read_call", "bs_truth", "region_view")
@@ -466,17 +492,17 @@ CUMULATED = "t as (select *, sum(pos) over (partition by tool, tag order by y_sc
 
 @query(f"{EVAL}, {CUMULATED} select tool, tag, round(sum(neg * (tp - cast(pos as double) / 2)) / nullif(sum(pos) * sum(neg), 0), 6) as roc_auc from t group by tool, tag", "read_call", "bs_truth", "region_view")
 def roc_auc(spark, sf):
-    return M.roc_auc(tagged(spark, sf), ("tool", "tag")).withColumns(r6("roc_auc"))
+    return M.roc_auc(scored(spark, sf), ("tool", "tag"), F.col("n")).withColumns(r6("roc_auc"))
 
 
 @query(f"{EVAL}, {CUMULATED} select tool, tag, round(sum(pos * cast(tp as double) / (tp + fp)) / nullif(sum(pos), 0), 6) as average_precision from t group by tool, tag", "read_call", "bs_truth", "region_view")
 def average_precision(spark, sf):
-    return M.average_precision(tagged(spark, sf), ("tool", "tag")).withColumns(r6("average_precision"))
+    return M.average_precision(scored(spark, sf), ("tool", "tag"), F.col("n")).withColumns(r6("average_precision"))
 
 
 @query(f"{EVAL}, {CUMULATED} select tool, tag, y_score, round(coalesce(cast(fp as double) / nullif(sum(neg) over (partition by tool, tag), 0), 0), 6) as fpr, round(coalesce(cast(tp as double) / nullif(sum(pos) over (partition by tool, tag), 0), 0), 6) as tpr, round(cast(tp as double) / (tp + fp), 6) as precision from t", "read_call", "bs_truth", "region_view")
 def roc_curve_points(spark, sf):
-    return M.curve_points(tagged(spark, sf), ("tool", "tag")).withColumns(r6("fpr", "tpr", "precision"))
+    return M.curve_points(scored(spark, sf), ("tool", "tag"), F.col("n")).withColumns(r6("fpr", "tpr", "precision"))
 
 
 PAIRS = f"pairs as (select tool, s.freq, u.freq as bs_freq from site_calls s join union_truth u using ({SITES}))"
@@ -536,16 +562,12 @@ CLASSES = (
 )
 
 
-def certain_sites(spark, sf):
-    return A.filter_certain_sites(union_truth(spark, sf, 5))
-
-
-def cpg_classes(spark, sf):
-    return K.cpg_classes(view(spark, sf, "cpg_site"), certain_sites(spark, sf), tile=2000)
+def cpg_classes(spark, sf, rep=None):
+    return K.cpg_classes(view(spark, sf, "cpg_site"), certain_sites(spark, sf, rep), tile=2000)
 
 
-def masked(spark, sf, sites):
-    return K.site_masks(sites, cpg_classes(spark, sf), view(spark, sf, "region_view"), TAG_NAMES)
+def masked(spark, sf, sites, rep=None):
+    return K.site_masks(sites, cpg_classes(spark, sf, rep), view(spark, sf, "region_view"), TAG_NAMES)
 
 
 @query(f", {UNION}, {CERTAIN}, {TAGS}, {CLASSES} select tag, count(case when freq < 0.5 then 1 end) as n_5c, count(case when freq > 0.5 then 1 end) as n_5mc, count(*) as n_all from (select * from tags union all select {SITES}, tag from certain join ctag on certain.Chr = ctag.Chr and {C_POS} = pos_c) t join certain using ({SITES}) group by tag".replace(f"select {SITES}, tag from certain join ctag", "select certain.Chr, certain.Pos, certain.Strand, tag from certain join ctag"), "bs_truth", "region_view", "cpg_site")
@@ -584,9 +606,10 @@ def concordance_class_counts(spark, sf):
     return K.concordance_counts(certain_sites(spark, sf), cpg_classes(spark, sf))
 
 
-@query(f", {UNION} select tag, count(case when cov >= 3 then 1 end) as cov_ge_3, count(case when cov >= 10 then 1 end) as cov_ge_10, count(*) as total from union_truth join {RTAGS} using ({SITES}) group by tag", "bs_truth", "site_strand", "region_view")
+@query(f"select concat('rep', cast(rep as string)) as dataset, tag, count(case when cov >= 3 then 1 end) as cov_ge_3, count(case when cov >= 10 then 1 end) as cov_ge_10, count(*) as total from bs_truth join {RTAGS} using ({SITES}) group by rep, tag", "bs_truth", "site_strand", "region_view")
 def raw_coverage_by_region(spark, sf):
-    return A.raw_coverage_by_region(J.annotate_regions_multi(union_truth(spark, sf), view(spark, sf, "region_view")), (3, 10))
+    rows = truth(spark, sf).select(*SITE, "cov", F.concat(F.lit("rep"), F.col("rep").cast("string")).alias("dataset"))
+    return A.raw_coverage_by_region(J.annotate_regions_multi(rows, view(spark, sf, "region_view")), (3, 10))
 
 
 @query(f", {SITE_CALLS} select tool, bases, calls, positive, called, calls - positive as negative, round(positive / calls, 6) as ratio, round(called / bases, 6) as recall, case when called > 0 then 1.0e0 else 0.0e0 end as precision from (select tool, count(*) as bases, cast(sum(cov) as bigint) as calls, cast(sum(meth) as bigint) as positive, count(case when freq >= 0.2 then 1 end) as called from site_calls group by tool)", "read_call")
@@ -600,14 +623,14 @@ def agg_three_class_site(spark, sf):
     return A.agg_three_class_site(three).withColumns(r6("p_5c", "p_5mc", "p_5hmc"))
 
 
-@query(f", {SITE_CALLS}, {UNION}, d as (select abs(s.freq - u.freq) as d from site_calls s join union_truth u using ({SITES}) where tool = 'megalodon') select part, count(*) as n from (select 'lt_0.05' as part, d < 0.05 as t from d union all select 'lt_0.10', d < 0.10 from d union all select 'gt_0.2', d > 0.2 from d union all select 'gt_0.4', d > 0.4 from d) where t group by part", "read_call", "bs_truth")
+@query(f", {SITE_CALLS}, {UNION}, {PAIRS}, x as (select *, unnest(['lt_0.05', 'lt_0.10', 'gt_0.2', 'gt_0.4']) as part from pairs), g as (select tool, part, corr(freq, bs_freq) as r, avg(pow(freq - bs_freq, 2)) as mse, count(*) as n from x where case part when 'lt_0.05' then abs(freq - bs_freq) < 0.05 when 'lt_0.10' then abs(freq - bs_freq) < 0.10 when 'gt_0.2' then abs(freq - bs_freq) > 0.2 else abs(freq - bs_freq) > 0.4 end group by tool, part) select tool, part, round(case when isnan(r) then null else r end, 6) as r, round(mse, 6) as mse, n, round(case when isnan(r) then null else {student('r', 'n')} end, 6) as p from g", "read_call", "bs_truth")
 def agreement_partitions(spark, sf):
-    return A.agreement_partitions(matrix(spark, sf, joined=False), "megalodon")
+    return A.agreement_partitions(pairs(spark, sf)).withColumns(r6("r", "mse", "p"))
 
 
-@query(f", {SITE_CALLS} select tool, cast(least(floor(freq * 10), 9) as int) as bin, count(*) as n from site_calls group by 1, 2", "read_call")
+@query(f", {SITE_CALLS}, m as (select max(cov) + 1 as top from site_calls) select tool, 'freq' as kind, cast(least(floor(freq * 10 + 0.000000001), 9) as int) as bin, count(*) as n from site_calls group by 1, 3 union all select tool, 'cov', cast(least(floor(cov * 10.0e0 / top), 9) as int), count(*) from site_calls, m group by 1, 3 union all select tool, 'sites', null, count(*) from site_calls group by 1", "read_call")
 def histogram_freq_cov(spark, sf):
-    return A.histogram_freq(site_calls(spark, sf))
+    return A.histogram_freq_cov(site_calls(spark, sf))
 
 
 @query("select dataset, count(*) as reads, count(case when sequence_length > 2000 then 1 end) as long_reads, round(count(case when sequence_length > 2000 then 1 end) / count(*), 6) as ratio from seq_summary group by dataset", "seq_summary")
@@ -615,9 +638,9 @@ def long_read_portion(spark, sf):
     return A.long_read_portion(view(spark, sf, "seq_summary"), 2000).withColumns(r6("ratio"))
 
 
-@query(f"select label, count(*) as n, count(distinct concat(Chr, ':', cast(Pos as string), Strand)) as sites, round(count(*) / sum(count(*)) over (), 6) as share from (select *, {LABEL} as label from read_call) group by label", "read_call")
+@query(f", a as (select *, concat(Chr, ':', cast(Pos as string), Strand) as site from (select *, {LABEL} as label from read_call)), f as (select 'label' as facet, cast(label as string) as value, site from a union all select 'tool', tool, site from a union all select 'total', 'all', site from a) select facet, value, count(*) as n, count(distinct site) as sites, round(count(*) / (select count(*) from a), 6) as share, round(count(distinct site) / (select count(distinct site) from a), 6) as site_share from f group by facet, value", "read_call")
 def class_balance(spark, sf):
-    return A.class_balance(labelled(spark, sf), "label").withColumns(r6("share"))
+    return A.class_balance(labelled(spark, sf), ["label", "tool"]).withColumns(r6("share", "site_share"))
 
 
 @query("select facet, value, count(*) as n from (select 'tag' as facet, tag as value from region_view union all select 'Chr', Chr from region_view union all select 'Strand', Strand from region_view) group by facet, value", "region_view")

@@ -31,9 +31,19 @@ SITE_SCANS = {
     "guppy.zw": T.scan_guppy_sites_pre,
     "unisite": R.scan_unisite,
 }
+#: Tools that users declared, by name.
+CUSTOM_TOOLS: dict[str, R.CustomTool] = {}
 TRUTH_SCANS = {"encode": R.scan_bs_encode, "bismark": R.scan_bs_bismark, "5hmc": R.scan_bs_5hmc, "unisite": R.scan_unisite}
 
 
+def register_custom_tool(tool: R.CustomTool) -> None:
+    """From now on the tool's name is a format that read_calls_by_encode reads; a name that is a format already is an error."""
+    name = tool.name.lower()
+    if name in READ_SCANS or name in SITE_SCANS:
+        raise ValueError(f"{tool.name} is a format of its own")
+    CUSTOM_TOOLS[name] = tool
+
+
 def read_calls_by_encode(spark: SparkSession, spec: str, chrs=None, site_level: bool = False) -> DataFrame:
     """`tool:encode:path[:c0[:c1]]` to calls with the tool's name; site formats become pseudo reads with score 1 or 0, or stay sites if asked."""
     parts = spec.split(":")
@@ -47,6 +57,9 @@ def read_calls_by_encode(spark: SparkSession, spec: str, chrs=None, site_level:
         if site_level:
             return sites.withColumn("tool", F.lit(tool))
         return expand_site_to_reads(sites).withColumns({"Score": F.col("label").cast("double"), "tool": F.lit(tool)})
+    if encode in CUSTOM_TOOLS:
+        calls, sites = R.scan_custom_tool(lines, CUSTOM_TOOLS[encode], chrs)
+        return (sites if site_level else calls).withColumn("tool", F.lit(tool))
     scan, names = READ_SCANS[encode]
     if names == ("cutoff", "cutoff"):
         given = {"cutoff": tuple(cutoffs)} if cutoffs else {}

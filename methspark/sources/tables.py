@@ -195,3 +195,17 @@ def split_multi_cpg_calls(calls: DataFrame, cutoff: float = 2.0, chrs=None) -> D
     offsets = F.when((F.col("motifs") > 1) & (F.size(at) > 0), F.transform(at, lambda i: i - F.get(at, F.lit(0)))).otherwise(F.array(F.lit(0)))
     out = own.withColumn("offset", F.explode(offsets))
     return chosen(out.select("ID", "Chr", "Strand", (F.col("start") + F.col("offset")).alias("start"), (F.col("llr") / F.greatest("motifs", F.lit(1))).alias("llr")), chrs)
+
+
+SITE_DB_TOOLS = ["BSseq", "Nanopolish", "Megalodon", "DeepSignal", "Guppy", "Tombo", "DeepMod", "METEORE"]
+SITE_DB_CLASSES = ["Singleton", "Genomic_location", "CpG_location", "CG_density", "Repetitive_regions"]
+
+
+def scan_site_db(lines: DataFrame) -> DataFrame:
+    """The site database: place, strand, data set, frequency and coverage of truth and of seven tools, five classes of the site; empty and NA are null."""
+    pairs = [f"{t}_{c}" for t in SITE_DB_TOOLS for c in ("freq", "cov")]
+    names = ["Chrom", "Start", "End", "Strand", "Dataset", *pairs, *SITE_DB_CLASSES]
+    df = columns(lines, " ".join(names))
+    known = lambda c: F.when(~F.col(c).isin("", "NA"), F.col(c))
+    types = {"Start": "bigint", "End": "bigint"} | {c: "double" if c.endswith("freq") else "bigint" for c in pairs}
+    return df.select(*[F.expr(f"try_cast(`{c}` as {types[c]})").alias(c) if c in types else known(c).alias(c) for c in names]).where("Start is not null and End is not null")
