@@ -31,7 +31,9 @@ MIN_LENGTH, MIN_COUNT, RATIO = 7, 2, 10
 #: Numbers of symbols to choose from; the least is taken at which words share a reduced word with CROWD others at most on average.
 SYMBOLS, CROWD = (4, 8, 16, 32, 64), 1.0
 BASE, LENGTH = 0xD6E8FEB86659FD93, U(0x9E3779B97F4A7C15)
-CELLS = 1 << 21
+CELLS = 1 << 18
+#: Reduced words whose neighbourhoods one task generates.
+WORDS = 1 << 15
 
 
 def runs(docs: DataFrame, key: str = "doc_id", text: str = "text", shortest: int = MIN_LENGTH) -> DataFrame:
@@ -118,7 +120,10 @@ def near(vocab: DataFrame) -> DataFrame:
         words, met = classes.agg(F.coalesce(F.sum("k"), F.lit(0)), F.coalesce(F.sum(F.col("k") * (F.col("k") - 1)), F.lit(0))).first()
         if met <= CROWD * words:
             break
-    held, sieve = held.checkpoint(), Sieve(classes.select("reduced"))
+    held = held.checkpoint()
+    # two tables of bits: the second by the hash with its halves exchanged
+    turned = F.shiftleft("reduced", 32).bitwiseOR(F.shiftrightunsigned("reduced", 32))
+    sieve, other_sieve = Sieve(classes.select("reduced")), Sieve(classes.select(turned))
 
     def meet(batches):
         for batch in batches:
@@ -126,10 +131,13 @@ def near(vocab: DataFrame) -> DataFrame:
             for own, rows in _by_length(words, symbols, 2 * symbols + 1):
                 around = neighbourhood(rows, symbols)
                 a, b = np.nonzero(sieve.passes(around.ravel()).reshape(around.shape))
+                left = around[a, b]
+                passed = other_sieve.passes(left << U(32) | left >> U(32))
+                a, b = a[passed], b[passed]
                 found = np.unique(np.rec.fromarrays((own[a], around[a, b].astype(np.int64))))
                 yield pa.RecordBatch.from_arrays([pa.array(own_hash[found["f0"]]), pa.array(found["f1"])], ["reduced", "to"])
 
-    links = classes.select("reduced", "word").mapInArrow(thrifty(meet), "reduced long, to long")
+    links = classes.select("reduced", "word").repartition(1 + words // WORDS).mapInArrow(thrifty(meet), "reduced long, to long")
     other = held.select(F.col("word").alias("other"), F.col("n").alias("other_n"), F.col("reduced").alias("to"))
     pairs = links.join(other, "to").join(held, "reduced")
     return pairs.where(F.levenshtein("word", "other", 1) == 1).select("word", "n", "other", "other_n")
