@@ -1,9 +1,11 @@
 """License scan: winnowed template fingerprints pick candidates, banded alignment reports coverage and spans.
 
-Templates are winnowed (the least of every ``WINNOW`` consecutive hashes of ``GRAM`` words) into an
-inverted index, which is broadcast: at most ``MAX_TEMPLATE_WORDS`` words in all, checked. Templates of at
-most ``ALL_GRAMS`` words keep all hashes, of fewer words each where ``COVERAGE`` allows changes that leave no
-run of ``GRAM``. Each text's hashes are looked up; each place where a hit lets the template begin is a
+Templates are winnowed (the least hash of every few consecutive grams of words) into an inverted index,
+which is broadcast: at most ``MAX_TEMPLATE_WORDS`` words in all, checked. A run of words that the changes
+allowed by ``COVERAGE`` surely leave whole must hold a kept gram, so it holds as many grams as the window
+has: a run of four words, which templates of eight words and more have at 0.8, gives grams of three words
+and a window of two; shorter ones have smaller grams, and only those of two or five words keep all grams,
+as a run of two words leaves no room for a window. Each text's hashes are looked up; each place where a hit lets the template begin is a
 candidate, and the template is aligned on a band around it, in the words that no earlier match of the
 template takes, many candidates at a time. Matches with at least ``COVERAGE`` of the template, in a span of
 which they are as large a share, are reported.
@@ -15,6 +17,8 @@ templates or rows work; extra columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_right, insort
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,12 +27,11 @@ from pyspark.sql import functions as F
 from ._text import ALNUM, chunks, table, thrifty, words_of
 from .align import matched_places
 
-GRAM, WINNOW = 3, 4
-ALL_GRAMS = 64
+GRAM = 3
 COVERAGE = 0.8
 BAND = 8
 MAX_TEMPLATE_WORDS = 500_000
-#: Short license notices and the openings of common licenses.
+#: Short license notices, the openings of common licenses, and whole short licenses.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "MIT-notice": "Released under the MIT License.",
@@ -39,6 +42,9 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
     "all-rights-reserved": "All rights reserved.",
+    "MIT-whole": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "ISC-whole": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "BSD-2-Clause-whole": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
 }
 
 
@@ -52,10 +58,12 @@ def winnow(h: np.ndarray, window: int) -> np.ndarray:
     return np.unique(len(h) - 1 - (np.arange(len(view)) + view.argmin(1)))
 
 
-def gram_of(n: int, gram: int, coverage: float) -> int:
-    """Words that n words surely keep in one run if all but `coverage` of them are changed; `gram` at most, one at least."""
+def sizes_of(n: int, gram: int, coverage: float) -> tuple[int, int]:
+    """(words of a gram, grams of a window) such that n words with all but `coverage` of them changed keep a winnowed gram: one of a run that the changes leave whole."""
     changed = int((1 - coverage) * n + 1e-9)
-    return max(1, min(gram, -(-(n - changed) // (changed + 1))))
+    run = max(1, -(-(n - changed) // (changed + 1)))
+    size = min(gram, run - 1) if run > 2 else run
+    return size, run - size + 1
 
 
 def tight(places: np.ndarray, share: float) -> tuple[int, int, int]:
@@ -71,16 +79,15 @@ def tight(places: np.ndarray, share: float) -> tuple[int, int, int]:
 
 
 class TemplateIndex:
-    def __init__(self, templates: dict[str, str], gram: int = GRAM, window: int = WINNOW, coverage: float = COVERAGE):
+    def __init__(self, templates: dict[str, str], gram: int = GRAM, coverage: float = COVERAGE):
         self.names, self.words, index = [], [], {}
         for name, text in sorted(templates.items()):
             w = words_of(text, ALNUM)
             if not len(w.hash):
                 continue
-            short = len(w.hash) <= ALL_GRAMS
-            n = gram_of(len(w.hash), gram, coverage) if short else gram
+            n, window = sizes_of(len(w.hash), gram, coverage)
             at, h = w.windows(n)
-            for k in range(len(h)) if short else winnow(h, window).tolist():
+            for k in winnow(h, window).tolist():
                 index.setdefault((n, int(h[k])), []).append((len(self.names), int(at[k])))
             self.names.append(name)
             self.words.append(w.hash)
@@ -111,9 +118,10 @@ class TemplateIndex:
                 text, own = words.hash[words.first[doc] : words.first[doc + 1]], self.words[t]
                 while begins:
                     at = max(0, begins[-1])
-                    lo = max([0, begins[-1] - band, *(e for _, e in taken if e <= at)])
-                    hi = min([len(text), begins[-1] + len(own) + 2 * band, *(s for s, _ in taken if s > at)])
-                    if not any(s <= at < e for s, e in taken) and hi - lo >= coverage * len(own) - 1e-9:
+                    k = bisect_right(taken, (at, len(text)))  # matches are apart and in order: those before the place and after it
+                    before, after = taken[k - 1][1] if k else 0, taken[k][0] if k < len(taken) else len(text)
+                    lo, hi = max(before, begins[-1] - band), min(after, begins[-1] + len(own) + 2 * band)
+                    if before <= at and hi - lo >= coverage * len(own) - 1e-9:
                         around = np.zeros(2 * band, own.dtype)  # words that match nothing, where a template's ends are missing
                         asked.append((doc, t, begins, taken, lo - 2 * band, (own, np.concatenate((around, text[lo:hi], around)), begins[-1] - lo, begins[-1] - lo + 4 * band)))
                         break
@@ -121,7 +129,7 @@ class TemplateIndex:
             for (doc, t, begins, taken, lo, _), places in zip(asked, matched_places([x[-1] for x in asked], free=True), strict=True):
                 n, s, e = tight(places[places >= 0], coverage)
                 if n >= coverage * len(self.words[t]) - 1e-9:  # a match beside the place leaves it to be tried again
-                    taken.append((lo + s, lo + e))
+                    insort(taken, (lo + s, lo + e))
                     out[doc].append((self.names[t], n / len(self.words[t]), lo + s, lo + e))
                 else:
                     begins.pop()

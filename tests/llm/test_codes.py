@@ -186,3 +186,97 @@ def test_no_vectors(spark):
     assert vector_codes.encode(df, books, "embedding").count() == 0 and books.text() == ""
     one = spark.createDataFrame([(1, [0.5] * 4, 2)], "vec_id long, embedding array<float>, label int")
     assert vector_codes.encode(one, vector_codes.fit(one, "vec_id", "embedding"), "embedding").first().error == 0
+
+
+def test_items_without_ids_in_many_blocks(spark):
+    """Null and repeated item ids; twenty blocks: the same results as one, one word set in a plan's Python node at a time."""
+    from methspark.llm import decontaminate
+
+    rng = np.random.default_rng(12)
+    words = [f"w{k}" for k in range(900)]
+    items = [(None if k % 9 == 0 else f"i{k % 40}", " ".join(rng.choice(words, rng.integers(1, 25)))) for k in range(120)] + [(None, "one two three"), ("a", "one two three"), ("b", None)]
+    texts = [(k, None if k % 17 == 0 else " ".join([*rng.choice(words, 30), *items[int(rng.integers(120))][1].split(), *rng.choice(words, 5), "one two three"]), "x") for k in range(90)]
+    docs = spark.createDataFrame([*texts, texts[1]], "doc_id long, text string, n_words string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    size = sum(len(t or "") for _, t in items)
+    one, many = (decontaminate.contamination(docs, bench, max_windows=n) for n in (10**6, size // 38))
+    assert len(decontaminate.window_blocks(bench, 10, "item_id", "text", size // 38)) >= 19
+    rows = lambda df: sorted((r.doc_id, r.n_words, [(h.start, h.end) for h in r.hits], r["items"]) for r in df.collect())
+    got = rows(one)
+    assert got == rows(many) and len(got) == 91 and any("" in x[3] and "a" in x[3] for x in got)
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") <= 2 * 2
+    clean = [sorted(map(str, decontaminate.remove_contamination(docs, bench, max_windows=n).collect())) for n in (10**6, size // 38)]
+    assert clean[0] == clean[1] and not any("one two three" in r for r in clean[0])
+
+
+def test_winnowed_candidates_are_enough(monkeypatch):
+    """Texts with changed, cut and mixed templates: the same licenses at the same places as when every place of a text is tried."""
+    import re
+
+    from methspark.llm import license_scan as L
+    from methspark.llm._text import ALNUM, words_of
+
+    class Everywhere(L.TemplateIndex):
+        def candidates(self, words):
+            return {(d, t): list(range(-len(self.words[t]), int(words.count[d]))) for d in range(len(words.count)) for t in range(len(self.names))}
+
+    rng = np.random.default_rng(3)
+    known, every = L.TemplateIndex(L.TEMPLATES), Everywhere(L.TEMPLATES)
+    kept = {}
+    for (_, _), places in known.index.items():
+        for t, _ in places:
+            kept[t] = kept.get(t, 0) + 1
+    assert any(len(w) > 150 and kept[t] < 0.75 * len(w) for t, w in enumerate(known.words))  # winnowed
+    for trial in range(40):
+        text = []
+        for _ in range(3):
+            text += [f"x{rng.integers(30)}" for _ in range(rng.integers(0, 15))]
+            own = re.findall("[0-9A-Za-z]+", L.TEMPLATES[str(rng.choice(list(L.TEMPLATES)))])
+            for at in rng.choice(len(own), int(rng.uniform(0, 0.3) * len(own)), replace=False):
+                own[at] = f"y{rng.integers(1000)}" if trial % 2 else ""
+            text += [w for w in own if w]
+        words = words_of(" ".join(text), ALNUM)
+        a, b = (x.scan(words, L.COVERAGE, L.BAND)[0] for x in (known, every))
+        assert [m[0] for m in a] == [m[0] for m in b] and all(min(x[3], y[3]) > max(x[2], y[2]) for x, y in zip(a, b, strict=True))
+
+
+def test_many_notices_in_one_text():
+    """Time grows with the notices, not with their square."""
+    import time
+
+    from methspark.llm import license_scan as L
+    from methspark.llm._text import ALNUM, words_of
+
+    index, took = L.TemplateIndex(L.TEMPLATES), {}
+    for n in (500, 2000):
+        words, began = words_of("All rights reserved. and some text. " * n, ALNUM), time.perf_counter()
+        found = index.scan(words, L.COVERAGE, L.BAND)[0]
+        took[n] = time.perf_counter() - began
+        assert len(found) == n
+    assert took[2000] < 8 * took[500]
+
+
+def test_scores_do_not_depend_on_the_layout(spark):
+    """Trained and asked on one partition and on many: equal scores."""
+    from methspark.llm import lm_score
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    got = []
+    for n in (1, 37):
+        own = docs.repartition(n)
+        model, merged = lm_score.fit(own.where("doc_id % 7 <> 2"))
+        got.append((model.buckets, model.n_tokens, model.n_words, model.beta, model.end_level, sorted(model.sizes), sorted((r.kind, r.bucket, bytes(r.filter)) for r in merged.select("kind", "bucket", "filter").collect())))
+    assert got[0] == got[1]
+
+
+def test_places_of_many_files(spark, tmp_path, monkeypatch):
+    """Ranks of files from a list and from a table are the same."""
+    from methspark.llm import _spark
+
+    spark.range(500).repartition(9).write.parquet(str(tmp_path / "t"))
+    rows = []
+    for most in (_spark.MAX_FILES, 4):
+        monkeypatch.setattr(_spark, "MAX_FILES", most)
+        rows.append(sorted(map(tuple, _spark.placed(spark.read.parquet(str(tmp_path / "t")), "place").collect())))
+    assert rows[0] == rows[1] and len({p for _, p in rows[0]}) == 500
