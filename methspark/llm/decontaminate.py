@@ -4,20 +4,26 @@ Test items are lower-cased (A-Z), cut into words of digits, a-z and non-ASCII ch
 windows of ``window`` words (a shorter item is one window). The windows' hashes are broadcast, in
 blocks whose size is checked; training texts are scanned once per block, every hash hit is verified
 against the words themselves, and hit words are removed as spans or with their whole document.
-Nothing is shuffled. A block holds up to ``MAX_WINDOWS`` words, but for a single item that has more.
+A block holds up to ``MAX_WINDOWS`` words, but for a single item that has more. One block marks the texts
+on their way and shuffles nothing. Of several, each is a job of its own, so a worker holds one at a time;
+it stores the marks of the texts that it hits by their place, and these are joined to the texts.
 
-Defined results: null or empty text has no words and no hit; null or empty items have no window;
-repeated items each count; repeated documents each keep their row; other columns are untouched.
+Defined results: null or empty text has no words and no hit; null or empty items have no window; a null
+item id counts as the empty text; repeated items each count; repeated documents each keep their row; other
+columns are untouched.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from functools import partial, reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import free
+from ._spark import free, placed
 from ._text import ALNUM, chunks, runs, table, thrifty, words_of
 
 WINDOW = 10
@@ -63,42 +69,77 @@ class WindowSet:
         return hit, items
 
 
-def window_blocks(items: DataFrame, window: int, item_col: str, text_col: str, max_windows: int):
-    """Broadcast window sets, each from items of at most about ``max_windows`` words together."""
+def window_blocks(items: DataFrame, window: int, item_col: str, text_col: str, max_windows: int) -> list[Callable]:
+    """What makes each broadcast window set, each from items of at most about ``max_windows`` words together."""
     spark = items.sparkSession
-    items = items.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text"))
+    items = items.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(text_col).alias("text"))
     size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
     n_blocks = 1 + size // (2 * max_windows)  # a word has two characters at least, its separator included
-    for k in range(n_blocks):
+
+    def block(k: int):
         own = items if n_blocks == 1 else items.where(F.expr(f"pmod(xxhash64(item, text), {n_blocks}) = {k}"))
-        yield spark.sparkContext.broadcast(WindowSet([(r["item"], r["text"]) for r in own.toLocalIterator()], window))
+        return spark.sparkContext.broadcast(WindowSet([(r["item"], r["text"]) for r in own.toLocalIterator()], window))
 
+    return [partial(block, k) for k in range(n_blocks)]
 
-REPORT = "n_words long, hits array<struct<start:int,end:int>>, items array<string>"
+
+def _found(batches, text: int, held) -> Iterator[tuple[pa.RecordBatch, np.ndarray, list, list]]:
+    """Each batch with its texts' numbers of words, hit words and items."""
+    for batch in batches:
+        hits, known, n_words = [[] for _ in range(batch.num_rows)], [[] for _ in range(batch.num_rows)], np.zeros(batch.num_rows, np.int64)
+        for i, j, words in chunks(batch.column(text), ALNUM):
+            hit, found = held.value.scan(words)
+            n_words[i:j] = words.count
+            for k in (k for k, x in enumerate(found) if x):
+                hits[i + k] = np.flatnonzero(hit[words.first[k] : words.first[k + 1]]).astype(np.int32)
+                known[i + k] = sorted(found[k])
+        yield batch, n_words, hits, known
 
 
 def _marked(docs: DataFrame, items: DataFrame, window: int, text_col: str, item_col: str, item_text_col: str, max_windows: int) -> tuple[DataFrame, str, str, str]:
-    """docs with three columns, whose names are free: the hit words of each text, the items found and the number of words. Each block of items adds to them, by one pass that shuffles nothing."""
+    """docs with three columns, whose names are free: the hit words of each text, the items found and the number of words."""
     marks, names, sizes = free(docs.columns, "hit_words", "found_items", "n_words")
-    marked = docs.select("*", F.expr("cast(array() as array<int>)").alias(marks), F.expr("cast(array() as array<string>)").alias(names), F.lit(0).cast("long").alias(sizes))
-    for held in window_blocks(items, window, item_col, item_text_col, max_windows):
-
-        def mark(batches, held=held):
-            for batch in batches:
-                at, to, count = (batch.schema.get_field_index(c) for c in (marks, names, sizes))
-                hits, known, n_words = batch.column(at).to_pylist(), batch.column(to).to_pylist(), np.zeros(batch.num_rows, np.int64)
-                for i, j, words in chunks(batch.column(batch.schema.get_field_index(text_col)), ALNUM):
-                    hit, found = held.value.scan(words)
-                    n_words[i:j] = words.count
-                    for k in (k for k, x in enumerate(found) if x):
-                        hits[i + k] = np.union1d(hits[i + k], np.flatnonzero(hit[words.first[k] : words.first[k + 1]])).astype(np.int32)
-                        known[i + k] = sorted(found[k].union(known[i + k]))
-                batch = batch.set_column(at, batch.schema.field(at), pa.array(hits, batch.schema.field(at).type))
-                batch = batch.set_column(to, batch.schema.field(to), pa.array(known, batch.schema.field(to).type))
-                yield batch.set_column(count, batch.schema.field(count), pa.array(n_words))
-
-        marked = marked.mapInArrow(thrifty(mark), marked.schema)
-    return marked, marks, names, sizes
+    added = f"`{marks}` array<int>, `{names}` array<string>"
+    blocks = window_blocks(items, window, item_col, item_text_col, max_windows)
+    columns, at = docs.columns, docs.columns.index(text_col)
+    if len(blocks) == 1:
+        held = blocks[0]()
+
+        def mark(batches):
+            for batch, n_words, hits, known in _found(batches, at, held):
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hits, pa.list_(pa.int32())), pa.array(known, pa.list_(pa.string())), pa.array(n_words)], [*columns, marks, names, sizes])
+
+        return docs.mapInArrow(thrifty(mark), f"{_ddl(docs)}{added}, `{sizes}` long"), marks, names, sizes
+    (place,) = free([*docs.columns, marks, names, sizes], "place")
+    docs = placed(docs, place)
+    parts = []
+    for block in blocks:
+        held = block()
+
+        def look(batches, held=held):
+            for batch, _, hits, known in _found(batches, 1, held):
+                own = [k for k, x in enumerate(known) if x]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own, pa.int64())), pa.array([hits[k] for k in own], pa.list_(pa.int32())), pa.array([known[k] for k in own], pa.list_(pa.string()))], [place, marks, names])
+
+        parts.append(docs.select(place, text_col).mapInArrow(thrifty(look), f"`{place}` long, {added}").checkpoint())
+        held.unpersist()
+    every = lambda c, kind: F.coalesce(F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))), F.expr(f"cast(array() as array<{kind}>)")).alias(c)
+    found = reduce(DataFrame.unionAll, parts).groupBy(place).agg(every(marks, "int"), every(names, "string"))
+
+    def count(batches):
+        for batch in batches:
+            n_words = np.zeros(batch.num_rows, np.int64)
+            for i, j, words in chunks(batch.column(at), ALNUM):
+                n_words[i:j] = words.count
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n_words)], [*columns, place, sizes])
+
+    sized = docs.mapInArrow(thrifty(count), f"{_ddl(docs)}`{sizes}` long").join(found, place, "left").drop(place)
+    none = {c: F.coalesce(F.col(c), F.expr(f"cast(array() as array<{kind}>)")) for c, kind in ((marks, "int"), (names, "string"))}
+    return sized.withColumns(none).select(*[F.col(f"`{c}`") for c in (*columns, marks, names, sizes)]), marks, names, sizes
+
+
+def _ddl(df: DataFrame) -> str:
+    return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema)
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", max_windows: int = MAX_WINDOWS) -> DataFrame:
