@@ -35,6 +35,8 @@ GROWTH = 1.2
 MAX_FILTER_BYTES = 256 << 20
 MAX_VOCAB = 8_000_000
 FLUSH = 1_000_000
+#: The number of segments doubles with each doubling of the texts beyond so many bytes.
+BUCKET_BYTES = 64 << 20
 END = mix(np.array([0x656E64], U))[0]
 LEVELS = np.unique(np.floor(GROWTH ** np.arange(0, 200)).astype(np.int64))  # 1, 2, 3, 5, 7, ...
 MULTIPLIER = U(0xC2B2AE3D27D4EB4F)
@@ -204,7 +206,9 @@ def fit(train: DataFrame, text_col: str = "text", order: int = ORDER, per_entry:
 
     The segments are kept in the shared checkpoint folder, so that a lost executor costs nothing."""
     shared(train.sparkSession)
-    buckets = buckets or 16 << max(0, (train.rdd.getNumPartitions() // 8).bit_length())
+    if buckets is None:  # by the texts' size, so that segments, and what they tell wrongly, do not depend on how the rows are dealt
+        size = train.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
+        buckets = 16 << (size // BUCKET_BYTES).bit_length()
     merged = count_ngrams(train, text_col, order, buckets).groupBy("kind", "bucket").applyInArrow(thrifty(lambda t: segment(t, per_entry)), SEGMENT).checkpoint()
     facts = merged.select("kind", "bucket", "n", "total", "levels", F.length("filter").alias("size")).collect()
     word = [r for r in facts if r["kind"] == 1]
