@@ -6,12 +6,13 @@ import tempfile
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._text import U, mix, thrifty
 
 
+#: Files whose ranks are broadcast.
 MAX_FILES = 50_000
 SIEVE_BITS = 27
 
@@ -19,8 +20,8 @@ SIEVE_BITS = 27
 def shared(spark: SparkSession) -> None:
     """Makes sure that checkpoint() has a folder: the session's spark.checkpoint.dir, else (local mode only) a new one."""
     if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not spark.sparkContext.master.startswith("local"):
+        folder, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
+        if folder is None and master != "local" and not master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
 
@@ -50,11 +51,14 @@ def placed(docs: DataFrame, name: str) -> DataFrame:
     scan = nodes[-1] == "LogicalRelation" and set(nodes[:-1]) <= {"Project", "Filter", "SubqueryAlias"} and "parquet" in plan.toString().lower() and docs._jdf.queryExecution().analyzed().deterministic()
     path, number, rank = free([*docs.columns, name], "path", "number", "rank")
     if scan and "_metadata" not in docs.columns:
-        files = [r[0] for r in docs.select("_metadata.file_path").distinct().limit(MAX_FILES + 1).collect()]
-        if len(files) <= MAX_FILES:
-            ranks = docs.sparkSession.createDataFrame([(f, k) for k, f in enumerate(sorted(files))], f"`{path}` string, `{rank}` long")
-            own = docs.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(number)).join(F.broadcast(ranks), path)
-            return own.select(*[F.col(f"`{c}`") for c in docs.columns], (F.shiftleft(rank, 40) + F.col(number)).alias(name))
+        files = docs.select(F.col("_metadata.file_path").alias(path)).distinct()
+        some = [r[0] for r in files.limit(MAX_FILES + 1).collect()]
+        if len(some) <= MAX_FILES:
+            ranks = F.broadcast(docs.sparkSession.createDataFrame([(f, k) for k, f in enumerate(sorted(some))], f"`{path}` string, `{rank}` long"))
+        else:  # the same ranks as a table, which has one row for each file
+            ranks = files.withColumn(rank, F.row_number().over(Window.orderBy(path)).cast("long") - 1).checkpoint()
+        own = docs.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(number)).join(ranks, path)
+        return own.select(*[F.col(f"`{c}`") for c in docs.columns], (F.shiftleft(rank, 40) + F.col(number)).alias(name))
     return docs.withColumn(name, F.monotonically_increasing_id()).checkpoint()
 
 
