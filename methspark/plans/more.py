@@ -268,10 +268,10 @@ def export_corr_table(spark, sf):
     return X.export_corr_table(matrix(spark, sf, joined=False), TOOLS)
 
 
-@query(f"{EVAL} select tool, tag, y_true, y_pred, y_score from rws where tag <> 'Genome-wide'", "read_call", "bs_truth", "region_view")
+@query(f"{EVAL} select tool, tag, y_true, y_pred, y_score from rws", "read_call", "bs_truth", "region_view")
 def export_curve_points(spark, sf):
     path = folder(spark)
-    X.export_curve_points(tagged(spark, sf).where("tag <> 'Genome-wide'"), path)
+    X.export_curve_points(tagged(spark, sf), path)
     return spark.read.parquet(path).select(F.col("tool").cast("string").alias("tool"), F.col("tag").cast("string").alias("tag"), "y_true", "y_pred", "y_score")
 
 
@@ -306,14 +306,14 @@ def kmer_onehot(spark, sf):
     return G.kmer_onehot(kmers(spark, sf))[0].drop("k_mer")
 
 
-CG = "chars as (select Chr, chunk_start + i - 1 as p, substr(seq, cast(i as int), 1) as b from (select *, unnest(range(1, 65)) as i from genome_chunk)), near as (select Chr, p, lag(b, 2) over w as b1, lag(b) over w as b2, b as b3, lead(b) over w as b4, lead(b, 2) over w as b5, lag(p, 2) over w as p1, lead(p, 2) over w as p5 from chars window w as (partition by Chr order by p)), whole as (select Chr, p + 1 as Pos, concat(b1, b2, b3, b4, b5) as context from near where p1 = p - 2 and p5 = p + 2 and p % 7 = 3)"
+CG = "chars as (select Chr, chunk_start + i - 1 as p, substr(seq, cast(i as int), 1) as b from (select *, unnest(range(1, 65)) as i from genome_chunk)), near as (select Chr, p, lag(b, 2) over w as b1, lag(b) over w as b2, b as b3, lead(b) over w as b4, lead(b, 2) over w as b5, lag(p, 2) over w as p1, lead(p, 2) over w as p5 from chars window w as (partition by Chr order by p)), whole as (select Chr, p + 1 as Pos, concat(b1, b2, b3, b4, b5) as context from near where p1 = p - 2 and p5 = p + 2)"
 
 
 def inner_sites(spark, sf):
-    """Every seventh position with two bases of the genome on both sides."""
+    """Every position with two bases of the genome on both sides."""
     chunks = view(spark, sf, "genome_chunk")
     ends = chunks.groupBy("Chr").agg(F.min("chunk_start").alias("a"), (F.max("chunk_start") + 64).alias("b"))
-    return ends.select("Chr", F.explode(F.expr("sequence(a + 2, b - 3)")).alias("p")).where("p % 7 = 3").select("Chr", (F.col("p") + 1).alias("Pos")), chunks
+    return ends.select("Chr", F.explode(F.expr("sequence(a + 2, b - 3)")).alias("p")).select("Chr", (F.col("p") + 1).alias("Pos")), chunks
 
 
 @query(f", {CG} select Chr, Pos, context from whole", "genome_chunk")
@@ -329,9 +329,9 @@ def infer_strand_from_ref(spark, sf):
     return G.infer_strand_from_ref(known, chunks)
 
 
-@query("select a.Chr, pos_c + case when Strand = '-' then 1 else 0 end as Pos, Strand, mapq as cov from (select * from alignment where mapq < 9) a join (select distinct Chr, pos_c from cpg_site) c on a.Chr = c.Chr and pos_c - 1 >= start0 and pos_c - 1 < end0", "alignment", "cpg_site")
+@query("select a.Chr, pos_c + case when Strand = '-' then 1 else 0 end as Pos, Strand, mapq as cov from alignment a join (select distinct Chr, pos_c from cpg_site) c on a.Chr = c.Chr and pos_c - 1 >= start0 and pos_c - 1 < end0", "alignment", "cpg_site")
 def region_cov_to_cpg_sites(spark, sf):
-    return G.region_cov_to_cpg_sites(view(spark, sf, "alignment").where("mapq < 9").withColumnRenamed("mapq", "cov"), view(spark, sf, "cpg_site"))
+    return G.region_cov_to_cpg_sites(view(spark, sf, "alignment").withColumnRenamed("mapq", "cov"), view(spark, sf, "cpg_site"))
 
 
 REPEATS = "classes as (select Chr, start, stop, case start % 6 when 0 then 'SINE/Alu' when 1 then 'LINE/L1' when 2 then 'LTR' when 3 then 'DNA/hAT' when 4 then 'Simple_repeat' else 'SINEx' end as repeat_class, start % 101 as density from region_view)"

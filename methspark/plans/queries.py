@@ -126,10 +126,11 @@ def DASH():
     return F.lit("x")
 
 
-@query(f"select ID, Chr, Pos, Strand, Score, {LABEL} as label from read_call where tool = 'nanopolish' and abs(Score) >= 2", "read_call")
+@query(f"select ID, Chr, Pos + o as Pos, Strand, Score, {LABEL} as label from (select *, unnest(case when Pos % 2 = 1 then [0, 4] else [0] end) as o from read_call where tool = 'nanopolish') where abs(Score) >= 2 * (1 + Pos % 2)", "read_call")
 def scan_nanopolish(spark, sf):
-    df = calls(spark, sf).where("tool = 'nanopolish'")
-    return R.scan_nanopolish(lines(df, "Chr", "Strand", START, DASH, "ID", "Score", DASH, DASH, DASH, F.lit("1"), F.lit("AAAAACGAAAA")))
+    """Calls of one motif and of two, four bases apart."""
+    df, two = calls(spark, sf).where("tool = 'nanopolish'"), F.col("Pos") % 2 == 1
+    return R.scan_nanopolish(lines(df, "Chr", "Strand", START, DASH, "ID", "Score", DASH, DASH, DASH, F.when(two, "2").otherwise("1"), F.when(two, "AAAAACGTTCGAAAAA").otherwise("AAAAACGAAAA")))
 
 
 @query(f"select ID, Chr, Pos, Strand, round(log2((p + 0.00001) / (1 - p + 0.00001)), 6) as Score, {LABEL} as label from (select *, 0.5 + Score / 16 as p from read_call where tool = 'deepsignal')", "read_call")
