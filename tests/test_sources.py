@@ -239,7 +239,16 @@ def test_tails_and_densities(spark):
     assert all(math.isclose(g, math.erfc(abs(z) / math.sqrt(2)), rel_tol=1e-9) for g, z in zip(got, zs, strict=True))
     # fixed values: two-sided 5 % and 1 % points of Student's t for 1, 5, 10, 30 and 120 degrees of freedom
     points = {1: (12.7062047364, 63.6567411629), 5: (2.57058183661, 4.03214298356), 10: (2.22813885196, 3.16927267262), 30: (2.04227245630, 2.74999565357), 120: (1.97993040508, 2.61742114477)}
-    rows = [(t * t, float(df), p) for df, ts in points.items() for t, p in zip(ts, (0.05, 0.01), strict=True)] + [(0.0, 7.0, 1.0), (1e9, 40.0, 0.0)]
+    steps = np.linspace(0, 1, 200_001)
+
+    def beyond(t, df):  # Simpson's rule over the density's angle
+        at = math.atan(t / math.sqrt(df))
+        y = np.cos(at + steps * (math.pi / 2 - at)) ** (df - 1)
+        scale = 2 * math.exp(math.lgamma((df + 1) / 2) - math.lgamma(df / 2)) / math.sqrt(math.pi)
+        return float(scale) * (math.pi / 2 - at) * float(y[0] + y[-1] + 4 * y[1:-1:2].sum() + 2 * y[2:-1:2].sum()) / 600_000
+
+    many = [(t * t, float(df), beyond(t, df)) for df in (15_000, 20_000, 20_001, 10**6) for t in (0.3, 1.5, 3.0, 5.0)]
+    rows = many + [(t * t, float(df), p) for df, ts in points.items() for t, p in zip(ts, (0.05, 0.01), strict=True)] + [(0.0, 7.0, 1.0), (1e9, 40.0, 0.0)]
     out = spark.createDataFrame(rows, "t2 double, df double, p double").select(D.student_two_sided(F.col("t2"), F.col("df")), "p").collect()
     assert all(abs(a - b) < 1e-9 for a, b in out)
     rng = np.random.default_rng(2)
