@@ -6,7 +6,8 @@ blocks whose size is checked; training texts are scanned once per block, every h
 against the words themselves, and hit words are removed as spans or with their whole document.
 A block holds up to ``MAX_WINDOWS`` words, but for a single item that has more. One block marks the texts
 on their way and shuffles nothing. Of several, each is a job of its own, so a worker holds one at a time;
-it stores the marks of the texts that it hits by their place, and these are joined to the texts.
+it stores the marks of the texts that it hits by their place, and these, broadcast if they are few, are joined to
+the texts.
 
 Defined results: null or empty text has no words and no hit; null or empty items have no window; a null
 item id counts as the empty text; repeated items each count; repeated documents each keep their row; other
@@ -29,6 +30,8 @@ from ._text import ALNUM, chunks, runs, table, thrifty, words_of
 WINDOW = 10
 MAX_WINDOWS = 1_000_000
 BITS = 20
+#: Marks of several blocks that are sent to every executor; more are joined by place.
+BROADCAST_BYTES = 32 << 20
 
 
 class WindowSet:
@@ -124,7 +127,10 @@ def _marked(docs: DataFrame, items: DataFrame, window: int, text_col: str, item_
         parts.append(docs.select(place, text_col).mapInArrow(thrifty(look), f"`{place}` long, {added}").checkpoint())
         held.unpersist()
     every = lambda c, kind: F.coalesce(F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))), F.expr(f"cast(array() as array<{kind}>)")).alias(c)
-    found = reduce(DataFrame.unionAll, parts).groupBy(place).agg(every(marks, "int"), every(names, "string"))
+    found = reduce(DataFrame.unionAll, parts).groupBy(place).agg(every(marks, "int"), every(names, "string")).checkpoint()
+    size = found.agg(F.coalesce(F.sum(16 + 4 * F.size(marks) + 64 * F.size(names)), F.lit(0))).first()[0]
+    if size <= BROADCAST_BYTES:
+        found = F.broadcast(found)
 
     def count(batches):
         for batch in batches:
