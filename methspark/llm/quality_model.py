@@ -8,8 +8,9 @@ Two such models are fitted, one for well-formedness and one for toxicity. The ke
 of two toxicity labellers come from at most ``LABELLED_ROWS`` rows of a table of labels.
 
 Defined results: null and empty texts get abstentions alone, so the prior decides, nearly
-alone where words are few; repeated rows are judged alike; without labels the learned lists are empty; an empty table
-gives an empty result; extra columns are ignored.
+alone where words are few; repeated rows are judged alike; without labels the learned lists are empty; a model whose
+labellers vote for one side alone is not fitted, and takes them as first thought; a document whose labels disagree counts
+as toxic; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -146,6 +147,8 @@ class LabelModel:
     def fit(self, patterns: np.ndarray, counts: np.ndarray, rounds: int = 50) -> LabelModel:
         patterns, counts = np.asarray(patterns, np.int64), np.asarray(counts, float)
         votes = unpack(patterns, self.m)
+        if not ((votes == GOOD).any() and (votes == BAD).any()):
+            return self  # votes for one side alone tell nothing of accuracies or of the share: labellers stay as first taken
         for _ in range(rounds if counts.sum() else 0):
             r = self.posterior(patterns)
             self.bad = float(np.clip(((r * counts).sum() + PRIOR_DOCS * self.prior_bad) / (counts.sum() + PRIOR_DOCS), 1e-3, 0.5))
@@ -194,7 +197,7 @@ def learn_words(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     """Keywords and stems that stand in toxic documents and in next to no other, from a bounded sample of labelled rows."""
     n = labels.count()
     labels = labels.select(F.col(id_col).alias("id"), "toxic").where("id is not null and toxic is not null")
-    labels = labels.where(F.expr(f"pmod(xxhash64(id, 3), 1000000) < {ceil(1e6 * min(1.0, rows / max(n, 1)))}")).dropDuplicates(["id"])
+    labels = labels.where(F.expr(f"pmod(xxhash64(id, 3), 1000000) < {ceil(1e6 * min(1.0, rows / max(n, 1)))}")).groupBy("id").agg(F.max("toxic").alias("toxic"))
 
     def count(batches):
         for batch in batches:

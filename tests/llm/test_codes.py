@@ -280,3 +280,19 @@ def test_places_of_many_files(spark, tmp_path, monkeypatch):
         monkeypatch.setattr(_spark, "MAX_FILES", most)
         rows.append(sorted(map(tuple, _spark.placed(spark.read.parquet(str(tmp_path / "t")), "place").collect())))
     assert rows[0] == rows[1] and len({p for _, p in rows[0]}) == 500
+
+
+def test_classifier_without_labels(spark):
+    """Clean documents stay where no label tells what is toxic; labels that disagree count as toxic."""
+    from pyspark.sql import functions as F
+
+    from methspark.llm import quality_model
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    kept = {r.doc_id: r.kept for r in quality_model.classify(docs).select("doc_id", "kept").collect()}
+    clean = [r.doc_id for r in labels.where("quality = 1 and toxic = 0").collect()]
+    assert len(kept) == docs.count() and sum(kept[k] for k in clean if k in kept) >= 0.97 * len(clean)
+    twice = labels.unionByName(labels.withColumn("toxic", F.lit(0).cast(labels.schema["toxic"].dataType)))
+    lists = [[x.tolist() for x in quality_model.learn_words(docs, x, "doc_id", "text", 10**6)] for x in (labels, twice, twice.repartition(5))]
+    assert lists[0] == lists[1] == lists[2]
