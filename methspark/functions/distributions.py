@@ -17,6 +17,12 @@ TINY = 1e-300
 LANCZOS = [0.99999999999980993, 676.5203681218851, -1259.1392167224028, 771.32342877765313, -176.61502916214059, 12.507343278686905, -0.13857109526572012, 9.9843695780195716e-6, 1.5056327351493116e-7]
 
 
+def bound(of, **values: Column) -> Column:
+    """of(values), the values being fields of one struct: each is computed once, however often it is used."""
+    row = F.struct(*[v.alias(k) for k, v in values.items()])
+    return F.get(F.transform(F.array(row), lambda s: of(*[s[k] for k in values])), F.lit(0))
+
+
 def log_gamma(z: Column) -> Column:
     """ln of the gamma function for z of 1/2 or more."""
     x = z - 1
@@ -48,17 +54,24 @@ def _fraction(a: Column, b: Column, x: Column) -> Column:
 
 def incomplete_beta(a: Column, b: Column, x: Column) -> Column:
     """The regularised incomplete beta function I_x(a, b) for a and b of 1/2 or more."""
-    x = F.greatest(F.least(x, F.lit(1.0)), F.lit(0.0))
+    return bound(_incomplete_beta, a=a, b=b, x=F.greatest(F.least(x, F.lit(1.0)), F.lit(0.0)))
+
+
+def _incomplete_beta(a: Column, b: Column, x: Column) -> Column:
     front = F.exp(log_gamma(a + b) - log_gamma(a) - log_gamma(b) + a * F.ln(F.greatest(x, F.lit(TINY))) + b * F.ln(F.greatest(1 - x, F.lit(TINY))))
     low = x < (a + 1) / (a + b + 2)
     own, other = F.when(low, a).otherwise(b), F.when(low, b).otherwise(a)
-    part = front * _fraction(own, other, F.when(low, x).otherwise(1 - x)) / own
-    return F.when(x <= 0, 0.0).when(x >= 1, 1.0).otherwise(F.greatest(F.least(F.when(low, part).otherwise(1 - part), F.lit(1.0)), F.lit(0.0)))
+    part = bound(lambda f, p, q, y: f * _fraction(p, q, y) / p, f=front, p=own, q=other, y=F.when(low, x).otherwise(1 - x))
+    value = bound(lambda p, at: F.when(at, p).otherwise(1 - p), p=part, at=low)
+    return F.when(x <= 0, 0.0).when(x >= 1, 1.0).otherwise(F.greatest(F.least(value, F.lit(1.0)), F.lit(0.0)))
 
 
 def normal_two_sided(z: Column) -> Column:
     """P(|Z| >= |z|) of the standard normal distribution, by the series near 0 and by the fraction beyond."""
-    x = F.abs(z) / math.sqrt(2)
+    return bound(_normal_two_sided, x=F.abs(z) / math.sqrt(2))
+
+
+def _normal_two_sided(x: Column) -> Column:
     near = F.aggregate(F.sequence(F.lit(1), F.lit(80)), F.struct(x.alias("term"), x.alias("sum")), lambda s, k: F.struct((s["term"] * 2 * x * x / (2 * k + 1)).alias("term"), (s["sum"] + s["term"] * 2 * x * x / (2 * k + 1)).alias("sum")), lambda s: s["sum"])
     far = F.aggregate(F.sequence(F.lit(DEPTH), F.lit(1), F.lit(-1)), x, lambda t, k: x + k / 2 / t)
     return F.when(x < 2.5, 1 - 2 / math.sqrt(math.pi) * F.exp(-x * x) * near).otherwise(F.exp(-x * x) / math.sqrt(math.pi) / far)
@@ -72,6 +85,10 @@ def student_two_sided(t2: Column, df: Column) -> Column:
 
 def pearson_pvalue(r: Column, n: Column) -> Column:
     """Two-sided p of Pearson's r over n pairs (Student's t with n - 2 degrees); null for n < 3 or no r. For aggregated rows."""
+    return bound(_pearson_pvalue, r=r, n=n)
+
+
+def _pearson_pvalue(r: Column, n: Column) -> Column:
     known = r.isNotNull() & ~F.isnan(r) & (n > 2)
     df, r2 = F.when(known, n - 2).otherwise(1).cast("double"), F.when(known, F.least(r * r, F.lit(1.0))).otherwise(0.0)
     return F.when(known & (r2 >= 1), 0.0).when(known, student_two_sided(r2 * df / F.greatest(1 - r2, F.lit(TINY)), df))
