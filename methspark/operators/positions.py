@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TILE = 1_000_000
+#: Stands for a base that no chunk has.
+GAP = "\0"
 
 
 def haloed(df: DataFrame, pos: str, halo: int, tile: int) -> DataFrame:
@@ -94,14 +96,19 @@ def cpg_scan_genome(chunks: DataFrame, width: int = 64) -> DataFrame:
 
 
 def ref_context_at_site(sites: DataFrame, chunks: DataFrame, n: int = 5, width: int = 64) -> DataFrame:
-    """The n bases on both sides of each position (1-based); null where the genome is not there."""
+    """The n bases on both sides of each position (1-based) that lies in a chunk; null where the genome is not there.
+
+    Each chunk gets n bases of its neighbours first, so a site meets one row and sites are neither sorted nor grouped."""
+    reach = -(-n // width)
+    own = F.floor(F.col("chunk_start") / width)
+    near = chunks.select("Chr", own.alias("_own"), F.rpad("seq", width, GAP).alias("_seq"), F.explode(F.sequence(own - reach, own + reach)).alias("_at"))
+    parts = [F.max(F.when(F.col("_own") == F.col("_at") + k, F.col("_seq"))) for k in range(-reach, reach + 1)]
+    text = F.concat(*[F.coalesce(x, F.lit(GAP * width)) for x in parts])
+    around = near.groupBy("Chr", "_at").agg(parts[reach].alias("_mid"), F.substring(text, reach * width - n + 1, width + 2 * n).alias("_text")).where("_mid is not null").drop("_mid")
     p = F.col("Pos") - 1
-    near = sites.withColumn("_at", F.explode(F.sequence(F.floor((p - n) / width), F.floor((p + n) / width))))
-    c = chunks.select(F.col("Chr"), F.floor(F.col("chunk_start") / width).alias("_at"), "seq")
-    parts = near.join(c, ["Chr", "_at"]).groupBy(*sites.columns).agg(F.sort_array(F.collect_list(F.struct("_at", "seq"))).alias("x"))
-    text = F.array_join(F.transform("x", lambda y: y["seq"]), "")
-    start = p - n - F.get("x", F.lit(0))["_at"] * width
-    return parts.select(*sites.columns, F.substr(text, (start + 1).cast("int"), F.lit(2 * n + 1)).alias("context"))
+    rows = sites.withColumn("_at", F.floor(p / width)).join(around.hint("shuffle_hash"), ["Chr", "_at"])
+    context = F.substr("_text", (p - F.col("_at") * width + 1).cast("int"), F.lit(2 * n + 1))
+    return rows.select(*sites.columns, F.when(~F.contains(context, F.lit(GAP)), context).alias("context"))
 
 
 def cluster_neighbor_features(sites: DataFrame, nb: int = 25, tile: int = TILE) -> DataFrame:
