@@ -16,11 +16,16 @@ from pyspark.sql import functions as F
 from ..functions.scalar import EPS, prob_to_llr2
 
 
+def fields(lines: DataFrame, sep: str = "\t", value: str | Column = "value") -> DataFrame:
+    """Each line's fields as one array, p. Filters go below a projection and would split the line again for each
+    condition; they stop at an explode, here of one array, so a line is split once."""
+    return lines.select(F.explode(F.array(F.split(value, sep))).alias("p"))
+
+
 def columns(lines: DataFrame, names: str, sep: str = "\t", least: int | None = None) -> DataFrame:
     """Splits each line into string columns; `_` skips one."""
     wanted = names.split()
-    parts = F.split("value", sep)
-    rows = lines.select(parts.alias("p")).where(F.size("p") >= (least or len(wanted)))
+    rows = fields(lines, sep).where(F.size("p") >= (least or len(wanted)))
     return rows.select(*[F.get("p", F.lit(i)).alias(n) for i, n in enumerate(wanted) if n != "_"])
 
 
@@ -85,10 +90,10 @@ def scan_gcf52ref(lines: DataFrame, chrs=None, low: float = 0.25, high: float =
 
 def scan_consensus_reads(lines: DataFrame, chrs=None, forest: bool = False) -> DataFrame:
     """Consensus output: ID, Chr, Pos, Strand, ..., label, probability; the forest form has the strand last."""
-    p = F.split("value", "\t")
+    p = F.col("p")
     n = F.size(p)
     strand, label, prob = (n - 1, n - 3, n - 2) if forest else (F.lit(3), n - 2, n - 1)
-    df = lines.where(n >= 6).select(p[0].alias("ID"), p[1].alias("Chr"), p[2].alias("pos"), F.get(p, strand).alias("Strand"), F.get(p, label).alias("called"), F.get(p, prob).alias("prob"))
+    df = fields(lines).where(n >= 6).select(p[0].alias("ID"), p[1].alias("Chr"), p[2].alias("pos"), F.get(p, strand).alias("Strand"), F.get(p, label).alias("called"), F.get(p, prob).alias("prob"))
     return reads(df, F.col("ID"), F.col("Chr"), number("pos"), F.col("Strand"), prob_to_llr2(number("prob", "double")), number("called", "int"), chrs)
 
 
@@ -168,9 +173,9 @@ class CustomTool:
 
 def scan_custom_tool(lines: DataFrame, tool: CustomTool, chrs=None) -> tuple[DataFrame, DataFrame]:
     """READ_CALL and SITE_CALL of a declared tool; a score above 0 is methylated."""
-    p = F.split("value", tool.sep)
+    p = F.col("p")
     names = {"ID": tool.id, "Chr": tool.chr, "pos": tool.pos, "Strand": tool.strand} | {f"s{k}": c for k, c in enumerate(tool.scores)}
-    df = lines.select(*[F.get(p, F.lit(c)).alias(n) for n, c in names.items()])
+    df = fields(lines, tool.sep).select(*[F.get(p, F.lit(c)).alias(n) for n, c in names.items()])
     s = [number(f"s{k}", "double") for k in range(len(tool.scores))]
     if len(s) == 2:
         score = s[0] - s[1] if tool.log_score else F.ln((s[0] + EPS) / (s[1] + EPS))

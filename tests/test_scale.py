@@ -29,3 +29,11 @@ def test_genome_sites_are_read_off_their_chunks(spark):
 
     sites, chunks = genome_sites(spark, "/root/testdata/sf0.001")
     assert "Aggregate" not in plan(sites) and sites.count() == chunks.count() * 64
+
+
+def test_lines_are_split_once(spark):
+    """Whatever a scan filters, its plan splits a line once."""
+    from methspark.registry import QUERIES
+
+    for name in ("scan_nanopolish", "scan_megalodon", "scan_tombo", "scan_gcf52ref", "scan_uniread", "scan_uniread_abs_cutoff", "scan_rf_consensus_reads", "scan_custom_tool"):
+        assert plan(QUERIES[name](spark, "/root/testdata/sf0.001")).split("== Initial Plan ==")[0].count("split(") == 1, name
