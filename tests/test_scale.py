@@ -37,3 +37,46 @@ def test_lines_are_split_once(spark):
 
     for name in ("scan_nanopolish", "scan_megalodon", "scan_tombo", "scan_gcf52ref", "scan_uniread", "scan_uniread_abs_cutoff", "scan_rf_consensus_reads", "scan_custom_tool"):
         assert plan(QUERIES[name](spark, "/root/testdata/sf0.001")).split("== Initial Plan ==")[0].count("split(") == 1, name
+
+
+def test_calls_are_streamed_not_sorted(spark):
+    """Joins of calls with sites, truth and alignments hold the smaller side by partition; best and lowest calls are hashed."""
+    from methspark.registry import QUERIES
+
+    for name in ("filter_min_read_cov", "semi_join_truth", "unphased_calls"):
+        text = plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
+        assert "SortMergeJoin" not in text and "SortAggregate" not in text and "ShuffledHashJoin" in text, name
+    assert "SortAggregate" not in plan(QUERIES["downsample_reads"](spark, "/root/testdata/sf0.001"))
+
+
+def test_lowest_and_best_calls_of_odd_scores(spark):
+    """A missing score is the lowest; of equal sizes the larger score is the best; NaN is the largest."""
+    from methspark.operators.joins import best_call_per_position, dedup_read_calls
+
+    nan = float("nan")
+    scores = {"a": [1.0, None], "b": [-2.0, 2.0], "c": [-3.0, 2.0], "d": [nan, 5.0], "e": [None], "f": [-1.0, None]}
+    df = spark.createDataFrame([("t", i, "chr1", 1, "+", s) for i, x in scores.items() for s in x], "tool string, ID string, Chr string, Pos long, Strand string, Score double")
+    got = lambda out: {r.ID: str(r.Score) for r in out.collect()}
+    assert got(dedup_read_calls(df)) == {"a": "None", "b": "-2.0", "c": "-3.0", "d": "5.0", "e": "None", "f": "None"}
+    assert got(best_call_per_position(df)) == {"a": "1.0", "b": "2.0", "c": "-3.0", "d": "nan", "e": "None", "f": "-1.0"}
+
+
+def test_distinct_sorted_rows_are_dealt_once(spark):
+    from methspark.operators.joins import sort_distinct_natural
+
+    df = spark.createDataFrame([(c, p, "+", k % 2) for c in ("chr10", "chr2", "chrX") for p in (5, 3) for k in range(4)], "Chr string, Pos long, Strand string, v int").repartition(5)
+    out = sort_distinct_natural(df)
+    assert [(r.Chr, r.Pos, r.v) for r in out.collect()] == [(c, p, v) for c in ("chr2", "chr10", "chrX") for p in (3, 5) for v in (0, 1)]
+    assert "rangepartitioning" in plan(out) and "hashpartitioning" not in plan(out)
+
+
+def test_kmer_bits_are_the_columns(spark):
+    """One vector in the order of the one-hot columns; scores of a model are added without a join."""
+    from methspark.models.consensus import features
+    from methspark.operators.genome import kmer_onehot
+
+    df = spark.createDataFrame([("ACGTN" * 3 + "AC", 1.0), ("T" * 17, None), (None, 2.0)], "k_mer string, t double")
+    wide, names = kmer_onehot(df)
+    rows, cols = features(df, ["t"], kmer=True)
+    assert cols == ["t", "t_missing", "kmer_bits"]
+    assert [list(r[0]) for r in rows.select("kmer_bits").collect()] == [[float(x) for x in r] for r in wide.select(*names).collect()]
