@@ -48,21 +48,22 @@ def assign_haplotype(tagged: DataFrame, min_base_qual: int = 7, avg_base_qual: i
 def phased_calls(calls: DataFrame, assigned: DataFrame, alignments: DataFrame) -> DataFrame:
     """Calls of assigned reads inside the read's alignment (both ends count) on its strand; of several on one position the largest |score|."""
     known = assigned.where("hp is not null")
-    best = best_call_per_position(calls.join(known.select("ID"), "ID", "left_semi"))
-    return _inside(best, alignments).join(known, "ID").select("tool", "ID", *SITE, "Score", "hp")
+    return _best_inside(calls, alignments.join(known, "ID"), "hp")
 
 
-def _inside(calls: DataFrame, alignments: DataFrame) -> DataFrame:
-    """Calls inside an alignment of their read on its strand; both ends count."""
-    span = alignments.select("ID", "Chr", "Strand", "start0", "end0")
-    return calls.join(span, ["ID", "Chr", "Strand"]).where("Pos - 1 >= start0 and Pos - 1 <= end0")
+def _best_inside(calls: DataFrame, alignments: DataFrame, *more: str) -> DataFrame:
+    """The best call of each read and position inside an alignment of the read on its strand; both ends count: tool, READ, Score and more columns of the alignment.
+
+    Being inside is a matter of a call's place, so calls outside go before the best is chosen; they are streamed past the alignments."""
+    span = alignments.select("ID", "Chr", "Strand", "start0", "end0", *more).hint("shuffle_hash")
+    here = [calls[c] == span[c] for c in ("ID", "Chr", "Strand")] + [calls["Pos"] - 1 >= span["start0"], calls["Pos"] - 1 <= span["end0"]]
+    best = best_call_per_position(calls.join(span, here, "left_semi"))
+    return best.join(span, ["ID", "Chr", "Strand"]).where("Pos - 1 >= start0 and Pos - 1 <= end0").select("tool", "ID", *SITE, "Score", *more)
 
 
 def unphased_calls(calls: DataFrame, alignments: DataFrame, min_mapq: int = 20, supplementary: bool = False) -> DataFrame:
     """The same for every read that passes the alignment filter, whatever its haplotype: tool, READ, Score."""
-    own = alignments.where(passing(min_mapq, supplementary))
-    best = best_call_per_position(calls.join(own.select("ID"), "ID", "left_semi"))
-    return _inside(best, own).select("tool", "ID", *SITE, "Score")
+    return _best_inside(calls, alignments.where(passing(min_mapq, supplementary)))
 
 
 def phased_frequency(phased: DataFrame) -> DataFrame:
