@@ -80,3 +80,22 @@ def test_kmer_bits_are_the_columns(spark):
     rows, cols = features(df, ["t"], kmer=True)
     assert cols == ["t", "t_missing", "kmer_bits"]
     assert [list(r[0]) for r in rows.select("kmer_bits").collect()] == [[float(x) for x in r] for r in wide.select(*names).collect()]
+
+
+def test_stream_state_is_asked_by_groups_of_reads(spark, tmp_path):
+    """Reads dealt into two groups keep their own places: one call of the state's function for each group, one row of state for each read."""
+    from methspark.streaming import stream as T
+
+    src, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    batches = [
+        [("a", "r1", "chr1", 5, "+", 1.0), ("a", "r1", "chr1", 5, "+", 0.5), ("b", "r1", "chr1", 5, "+", 3.0), ("a", "r2", "chr1", 5, "+", None)],
+        [("a", "r1", "chr1", 5, "+", -9.0), ("a", "r1", "chr1", 5, "-", 2.0), ("a", "r2", "chr1", 5, "+", 4.0), ("a", "r3", "chr2", 5, "+", 7.0)],
+    ]
+    for rows in batches:
+        spark.createDataFrame(rows, T.CALLS).coalesce(1).write.mode("append").parquet(src)
+        query = T.stream_unify_batches(spark, src, out, state, groups=2)
+        query.awaitTermination()
+        last = [p for p in query.recentProgress if p.numInputRows > 0][-1].stateOperators[0]
+    assert "transformWithState" in last.operatorName and last.numRowsTotal == 4
+    got = sorted((r.tool, r.ID, r.Strand, str(r.Score)) for r in spark.read.parquet(out).collect())
+    assert got == [("a", "r1", "+", "0.5"), ("a", "r1", "-", "2.0"), ("a", "r2", "+", "None"), ("a", "r3", "+", "7.0"), ("b", "r1", "+", "3.0")]
