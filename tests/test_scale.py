@@ -99,3 +99,18 @@ def test_stream_state_is_asked_by_groups_of_reads(spark, tmp_path):
     assert "transformWithState" in last.operatorName and last.numRowsTotal == 4
     got = sorted((r.tool, r.ID, r.Strand, str(r.Score)) for r in spark.read.parquet(out).collect())
     assert got == [("a", "r1", "+", "0.5"), ("a", "r1", "-", "2.0"), ("a", "r2", "+", "None"), ("a", "r3", "+", "7.0"), ("b", "r1", "+", "3.0")]
+
+
+def test_class_balance_counts_before_facets(spark):
+    """A row becomes one for each facet after rows were counted; values that are equal as text, and missing ones, are one."""
+    from methspark.operators.sites import class_balance
+
+    rows = [("chr1", 1, "+", "a", 1), ("chr1", 1, "+", "a", 1), ("chr1", 1, "+", "b", None), ("chr2", 1, "+", "b", 0), ("chr2", 1, "+", None, 0)]
+    out = class_balance(spark.createDataFrame(rows, "Chr string, Pos long, Strand string, tool string, label int"), ["label", "tool"])
+    got = {(r.facet, r.value): (r.n, r.sites, r.share, r.site_share) for r in out.collect()}
+    assert got == {
+        ("label", "1"): (2, 1, 0.4, 0.5), ("label", "0"): (2, 1, 0.4, 0.5), ("label", None): (1, 1, 0.2, 0.5),
+        ("tool", "a"): (2, 1, 0.4, 0.5), ("tool", "b"): (2, 2, 0.4, 1.0), ("tool", None): (1, 1, 0.2, 0.5), ("total", "all"): (5, 2, 1.0, 1.0),
+    }
+    text = plan(out).split("== Initial Plan ==")[0]
+    assert "HashAggregate" in text[text.index("Generate") :]
