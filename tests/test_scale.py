@@ -114,3 +114,16 @@ def test_class_balance_counts_before_facets(spark):
     }
     text = plan(out).split("== Initial Plan ==")[0]
     assert "HashAggregate" in text[text.index("Generate") :]
+
+
+def call_scans(df) -> int:
+    """How many scans of the calls' table a plan has; a view of all callers has three."""
+    return sum("Scan parquet" in line and "l_quantity" in line for line in plan(df).split("== Initial Plan ==")[0].splitlines())
+
+
+def test_reads_become_sites_before_joins(spark):
+    """Calls are read once, and no join with truth or regions carries a read."""
+    from methspark.registry import QUERIES
+
+    out = QUERIES["agg_read_to_site_multitool"](spark, "/root/testdata/sf0.001")
+    assert call_scans(out) == 3
