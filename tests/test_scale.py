@@ -127,3 +127,28 @@ def test_reads_become_sites_before_joins(spark):
 
     out = QUERIES["agg_read_to_site_multitool"](spark, "/root/testdata/sf0.001")
     assert call_scans(out) == 3
+
+
+def test_calls_off_the_sites_go_before_reads_are_put_together(spark):
+    """The same rows as a join after the pivot, by one shuffle of the calls."""
+    from methspark.operators.joins import join_tools, join_tools_on_sites, join_truth
+
+    rows = [(t, f"r{k % 5}", f"chr{1 + k % 2}", k % 7, "+-"[k % 2], None if k % 11 == 0 else float(k)) for k in range(120) for t in ("a", "b", "c") if (k + len(t) * ord(t)) % 3]
+    calls = spark.createDataFrame(rows, "tool string, ID string, Chr string, Pos long, Strand string, Score double")
+    sites = spark.createDataFrame([(f"chr{1 + p % 2}", p, s, p % 2) for p in range(0, 7, 2) for s in "+-"], "Chr string, Pos long, Strand string, label int")
+    out, cols = join_tools_on_sites(calls, ["a", "b"], sites), ["ID", "Chr", "Pos", "Strand", "a", "b", "label"]
+    got = lambda df: sorted(map(str, df.select(*cols).collect()))
+    assert got(out) == got(join_truth(join_tools(calls, ["a", "b"], "outer"), sites)) != []
+    text = plan(out).split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" not in text and text.count("Exchange hashpartitioning") == 2
+
+
+def test_forest_reads_its_training_rows_once(spark):
+    from methspark.models.consensus import predict_rf_scaled
+
+    read = spark.sparkContext.accumulator(0)
+    rows = [(f"r{k}", "chr1", k, "+", float(k % 9), float(k % 4), k % 2) for k in range(200)]
+    schema = "ID string, Chr string, Pos long, Strand string, a double, b double, label int"
+    train = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2).map(lambda r: (read.add(1), r)[1]), schema)
+    assert predict_rf_scaled(train, spark.createDataFrame(rows, schema), ["a", "b"]).count() == 200
+    assert read.value == 200
