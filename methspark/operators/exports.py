@@ -108,18 +108,29 @@ def export_corr_table(matrix: DataFrame, tools: list[str]) -> DataFrame:
 KEY = "key"
 
 
-def natural_order(columns: list[str]) -> list[Column]:
-    """Chromosomes in natural order, then place, strand and the other columns; a key like chr1_5_+ as its parts."""
+def natural_keys(columns: list[str]) -> dict[str, Column]:
+    """The natural order's columns by name: chromosomes in natural order, then place, strand and the other columns; a key like chr1_5_+ as its parts."""
     if KEY in columns:
         name = F.regexp_extract(KEY, r"^(.*)_([0-9]+)_([+-])$", 1)
-        return [chromosome_rank(name), name, F.regexp_extract(KEY, r"_([0-9]+)_[+-]$", 1).cast("bigint"), F.col(KEY)]
-    first = [c for c in ("Pos", "start", "Strand") if c in columns]
-    return [chromosome_rank(F.col("Chr")), *[F.col(c) for c in ("Chr", *first, *[c for c in columns if c not in ("Chr", *first)])]]
+        return {"_rank": chromosome_rank(name), "_name": name, "_place": F.regexp_extract(KEY, r"_([0-9]+)_[+-]$", 1).cast("bigint"), KEY: F.col(KEY)}
+    first = ["Chr", *[c for c in ("Pos", "start", "Strand") if c in columns]]
+    return {"_rank": chromosome_rank(F.col("Chr")), **{c: F.col(c) for c in (*first, *[c for c in columns if c not in first])}}
+
+
+def natural_order(columns: list[str]) -> list[Column]:
+    return list(natural_keys(columns).values())
+
 
+def write_text(df: DataFrame, path: str, sort: bool = False, header: bool = False, distinct: bool = False) -> None:
+    """Tab-separated, gzip. sort: rows are cut into ranges in natural order, so the files in the order of their names, put one after the other, are one sorted file.
 
-def write_text(df: DataFrame, path: str, sort: bool = False, header: bool = False) -> None:
-    """Tab-separated, gzip. sort: rows are cut into ranges in natural order, so the files in the order of their names, put one after the other, are one sorted file."""
-    out = df.orderBy(*natural_order(df.columns)) if sort else df
+    distinct: each row once; the ranges hold equal rows together, so sorted rows are dealt out once."""
+    if sort and distinct:
+        keys = natural_keys(df.columns)
+        out = df.withColumns(keys).repartitionByRange(*keys).select(*keys).distinct().sortWithinPartitions(*keys).select(*df.columns)
+    else:
+        out = df.distinct() if distinct else df
+        out = out.orderBy(*natural_order(df.columns)) if sort else out
     out.write.mode("overwrite").csv(path, sep="\t", compression="gzip", header=header)
 
 
