@@ -272,3 +272,47 @@ def test_pieces_of_a_wandering_chain():
         for s, e, _ in align.passages([(np.array(first[lo:hi], np.uint32), np.array(other[p:q], np.uint32), down - off - 8, up + off + 8)], 50, 0.8)[0]:
             found[lo + s : lo + e] = True
     assert found.all()
+
+
+def test_words_within_the_band():
+    """Words of a that b holds on the diagonals, by looking at every place, for many pairs at once."""
+    rng = np.random.default_rng(5)
+    pairs = []
+    for _ in range(60):
+        a, b = (rng.integers(0, 12, int(rng.integers(1, 40))).astype(np.uint32) for _ in range(2))
+        lo = int(rng.integers(-45, 45))
+        pairs.append((a, b, lo, lo + int(rng.integers(0, 9))))
+    for (a, b, lo, hi), flags in zip(pairs, align.within_band(pairs), strict=True):
+        assert flags.tolist() == [any(0 <= i + d < len(b) and b[i + d] == x for d in range(lo, hi + 1)) for i, x in enumerate(a)]
+
+
+def test_pairs_without_hope_are_not_aligned(monkeypatch):
+    """Only what may hold a passage is aligned, and a passage's neighbourhood not once more."""
+    seen, local = [], align.local
+    monkeypatch.setattr(align, "local", lambda pairs: seen.append(len(pairs)) or local(pairs))
+    rng = np.random.default_rng(6)
+    far = []
+    for _ in range(20):  # seeds of five words, far too few for a passage
+        a, b = (rng.integers(1000, 1 << 31, 200).astype(np.uint32) for _ in range(2))
+        for s in range(10, 190, 30):
+            b[s + 2 : s + 7] = a[s : s + 5]
+        far.append((a, b, -8, 8))
+    a, b = (rng.integers(1000, 1 << 31, 400).astype(np.uint32) for _ in range(2))
+    b[103:163] = a[100:160]
+    b[120] = 1
+    assert align.passages([*far, (a, b, -8, 8)], 50, 0.8) == [*[[]] * 20, [(100, 160, 59)]]
+    assert sum(seen) == 1
+
+
+def test_alignments_do_not_depend_on_their_batches(spark, docs, monkeypatch):  # noqa: F811
+    """A chain's two sides meet though a batch ends between them."""
+    got, records = [], "spark.sql.execution.arrow.maxRecordsPerBatch"
+    for size in (1 << 30, 0):
+        monkeypatch.setattr(substring_dedup, "ALIGN_BYTES", size)
+        try:
+            if not size:
+                spark.conf.set(records, 3)
+            got.append(sorted(map(str, substring_dedup.repeats(docs).collect())))
+        finally:
+            spark.conf.unset(records)
+    assert got[0] == got[1] and got[0]
