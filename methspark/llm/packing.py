@@ -32,13 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._spark import shared
-from ._text import ALNUM, U, buffers, chunks, hash_spans, mix, table, thrifty
+from ._text import ALNUM, CHUNK_BYTES, U, buffers, chunks, hash_spans, mix, table, thrifty
 
 WINDOW = 2048
 DOCS_PER_SHARD = 1024
 END_ID = 1
 SIGNATURE = 4
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 MAX_VOCABULARY = 8_000_000
 K1, B = 1.2, 0.75
 SPECIAL = "<|endoftext|>"
@@ -109,6 +109,17 @@ class Encoder:
         self.known, self.count, self.start = known[sort], np.concatenate((self.count, counts))[sort], np.concatenate((self.start, starts))[sort]
         self.pool = np.concatenate((self.pool, *out)) if out else self.pool
 
+    def ids(self, raw: np.ndarray, offsets: np.ndarray, chunk_bytes: int = CHUNK_BYTES) -> tuple[np.ndarray, np.ndarray]:
+        """As batch(), of about a megabyte of whole texts at a time."""
+        parts, totals, i, n = [], [np.zeros(1, np.int64)], 0, len(offsets) - 1
+        while i < n:
+            j = min(n, max(i + 1, int(np.searchsorted(offsets, offsets[i] + chunk_bytes, side="right")) - 1))
+            tokens, at = self.batch(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+            parts.append(tokens)
+            totals.append(totals[-1][-1] + at[1:])
+            i = j
+        return np.concatenate(parts) if parts else np.empty(0, np.uint32), np.concatenate(totals)
+
     def batch(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of consecutive texts, the end id after each, and their offsets."""
         n = len(offsets) - 1
@@ -392,7 +403,7 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str
                 for x, y in zip((doc, term, tf, counts), (*doc_terms(words), words.count), strict=True):
                     x.append(y + i if x is doc else y)
             doc, term, tf, counts = (np.concatenate(x) for x in (doc, term, tf, counts))
-            tokens, at = enc.batch(*buffers(rows["text"]))
+            tokens, at = enc.ids(*buffers(rows["text"]))
             index = BM25(doc, term, tf, counts, np.frombuffer(b"".join(dfs[k] for k in order), np.uint32).astype(np.int64), n_docs, mean)
             lengths = np.diff(at)
             doc, start, length, seq, offset = (np.array(x) for x in zip(*fill(index, lengths, window), strict=True))

@@ -316,3 +316,33 @@ def test_alignments_do_not_depend_on_their_batches(spark, docs, monkeypatch):  #
         finally:
             spark.conf.unset(records)
     assert got[0] == got[1] and got[0]
+
+
+def test_texts_are_scanned_in_little_memory():
+    """What a task holds beside its batch of texts does not come to many times the batch."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from methspark.llm import _text
+
+    column = pa.array([prose(k, 1500, 4000) for k in range(40)] * 20)
+    list(_text.chunks(column.slice(0, 40), _text.ALNUM))  # tables that stay
+    tracemalloc.start()
+    try:
+        for _, _, words in _text.chunks(column, _text.ALNUM):
+            words.windows(5)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert column.nbytes > 6 << 20 and peak < 48 << 20
+
+
+def test_ids_of_a_shard_by_parts():
+    enc = packing.Encoder(*packing.public_files())
+    texts = ["", "a", "x  y\n", *(prose(k, 50, 300) for k in range(9)), "", "\u4f60 \u597d<|endoftext|>", ""]
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    whole = enc.batch(raw, offsets)
+    for size in (1, 300, 1 << 20):
+        assert all((x == y).all() for x, y in zip(enc.ids(raw, offsets, size), whole, strict=True))
