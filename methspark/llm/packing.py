@@ -11,9 +11,10 @@ cut and opens the next window, so only a shard's last window has padding. A neig
 not found; the README gives the share.
 
 A task holds one shard at a time, which does not grow with the table; one shuffle moves each text once.
-Terms are told apart by 44 bits of a hash. Texts are cut at single spaces between other characters, where
-the tokenizer's pattern always splits, and each distinct piece (by a 64-bit hash) is tokenized once: by
-the same vocabulary's ranks if its characters are plain, else by the tokenizer file itself.
+Terms are told apart by 44 bits of a hash. Texts are cut at single spaces between other characters (plain
+ones at single line ends, and before one sign that ends a word, too), where the tokenizer's pattern always
+splits, and a worker remembers the ids of each distinct piece (by a 64-bit hash), up to a bound: by the same
+vocabulary's ranks if its characters are plain, else by the tokenizer file itself.
 
 Defined results: null or empty texts hold the end id alone; a document longer than a window spans
 several; repeated rows are packed each; an empty table gives no row; extra columns are ignored.
@@ -43,16 +44,28 @@ MAX_VOCABULARY = 8_000_000
 K1, B = 1.2, 0.75
 SPECIAL = "<|endoftext|>"
 PLAIN = re.compile("[\\n -~À-ɏ]*")
-CACHE = 400_000
+CACHE = 1_000_000
 JOINED = 8192
 SHARD_BYTES = 4 << 20
 PARTITION_WORDS = 4_000_000
 DENSE = 8
+LAST = U((1 << 64) - 1)
+LIVE, FEW = 0.8, 64
+WORDY, SIGN = np.zeros(256, bool), np.zeros(256, bool)
+WORDY[[b for b in range(256) if chr(b).isalnum() and b < 0x80 or b >= 0x80 and b not in (0x97, 0xB7)]] = True  # not the last bytes of the signs \u00d7 and \u00f7
+SIGN[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = True
 _encoders: dict = {}
 
 
+def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of some spans, one after the other."""
+    end = np.cumsum(size)
+    return np.repeat(start - end + size, size) + np.arange(end[-1] if len(end) else 0)
+
+
 class Encoder:
-    """Ids of texts. Each distinct piece of a text is encoded once and remembered, up to CACHE of them."""
+    """Ids of texts. Each distinct piece of a text is encoded once and remembered, in a table with a slot for each
+    hash; beyond CACHE of them, only those that came again since the last time are kept, up to half as many."""
 
     def __init__(self, file: str, ranks: str | None, pattern: str | None):
         self.file, self.fast = file, None
@@ -73,8 +86,51 @@ class Encoder:
 
         return Tokenizer.from_file(self.file)
 
-    def _forget(self) -> None:
-        self.known, self.count, self.start, self.pool = np.empty(0, U), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
+    def _forget(self, kept: np.ndarray | None = None, slots: int = 1 << 12) -> None:
+        """An empty table, but for the pieces of the slots kept."""
+        old = [x[kept] for x in (self.known, self.count, self.start)] if kept is not None and len(kept) else None
+        self.known, self.count, self.start, self.again = np.zeros(slots, U), np.zeros(slots, np.int64), np.zeros(slots, np.int64), np.zeros(slots, bool)
+        self.held = 0
+        if kept is None:
+            self.pool, self.filled = np.empty(1 << 12, np.uint32), 0
+        if old:
+            self._put(*old)
+
+    def _rare(self) -> None:
+        """Forgets the pieces that did not come again."""
+        kept = np.flatnonzero(self.again)[: CACHE // 2]
+        size = self.count[kept]
+        pool = self.pool[spread(self.start[kept], size)]
+        self.start[kept] = np.cumsum(size) - size
+        self._forget(kept)
+        self.pool, self.filled = pool, len(pool)
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """The slot of each hash: its own, or else the free one that its search ends at."""
+        last = len(self.known) - 1
+        at = (h & U(last)).view(np.int64)
+        found = self.known[at]
+        more = np.flatnonzero((found != h) & (found != 0))
+        while len(more):
+            at[more] = (at[more] + 1) & last
+            found = self.known[at[more]]
+            more = more[(found != h[more]) & (found != 0)]
+        return at
+
+    def _put(self, h: np.ndarray, count: np.ndarray, start: np.ndarray) -> None:
+        """Adds distinct hashes that the table lacks."""
+        if 2 * (self.held + len(h)) > len(self.known):
+            again = self.known[self.again]
+            self._forget(np.flatnonzero(self.known), 1 << (3 * (self.held + len(h))).bit_length())
+            self.again[self._find(again)] = True
+        left = np.arange(len(h))
+        while len(left):
+            at = self._find(h[left])
+            self.known[at] = h[left]
+            own = self.known[at] == h[left]  # of those that meet at a free slot, one gets it
+            self.count[at[own]], self.start[at[own]] = count[left[own]], start[left[own]]
+            left = left[~own]
+        self.held += len(h)
 
     def plain(self, text: str) -> bool:
         return self.fast is not None and PLAIN.fullmatch(text) is not None and SPECIAL not in text
@@ -84,11 +140,11 @@ class Encoder:
 
     def _learn(self, raw: np.ndarray, h: np.ndarray, s: np.ndarray, e: np.ndarray, joins: np.ndarray) -> None:
         """Encodes new pieces; those that can follow each other (a space before, none at the end) some thousands in one text, which is cut again by the tokens' sizes."""
-        size, counts, out = e - s, np.zeros(len(h), np.int64), []
+        size, counts, out = e - s, np.zeros(len(h), np.int64), [np.empty(0, np.uint32)]
         many, rest, done = np.flatnonzero(joins), np.flatnonzero(~joins), []
         for own in np.split(many, range(JOINED, len(many), JOINED)):
             ends = np.cumsum(size[own])
-            ids = np.array(self.fast.encode_ordinary(b"".join(raw[a:b].tobytes() for a, b in zip(s[own].tolist(), e[own].tolist(), strict=True)).decode()), np.uint32) if len(own) else np.empty(0, np.uint32)
+            ids = np.array(self.fast.encode_ordinary(raw[spread(s[own], size[own])].tobytes().decode()), np.uint32) if len(own) else np.empty(0, np.uint32)
             told = np.cumsum(self.size[ids]) if len(own) else ends
             cut = np.minimum(np.searchsorted(told, ends), len(told) - 1)
             if (told[cut] == ends).all():
@@ -101,13 +157,14 @@ class Encoder:
             ids = np.array(self.piece(raw[s[k] : e[k]].tobytes().decode()), np.uint32)
             counts[k] = len(ids)
             out.append(ids)
-        order = np.concatenate((*done, rest))
+        order, new = np.concatenate((*done, rest)), np.concatenate(out)
         starts = np.empty(len(h), np.int64)
-        starts[order] = len(self.pool) + np.concatenate(([0], np.cumsum(counts[order])[:-1]))
-        known = np.concatenate((self.known, h))
-        sort = np.argsort(known, kind="stable")
-        self.known, self.count, self.start = known[sort], np.concatenate((self.count, counts))[sort], np.concatenate((self.start, starts))[sort]
-        self.pool = np.concatenate((self.pool, *out)) if out else self.pool
+        starts[order] = self.filled + np.cumsum(counts[order]) - counts[order]
+        if self.filled + len(new) > len(self.pool):
+            self.pool = np.concatenate((self.pool[: self.filled], np.empty(len(new) + self.filled // 2, np.uint32)))
+        self.pool[self.filled : self.filled + len(new)] = new
+        self.filled += len(new)
+        self._put(h, counts, starts)
 
     def ids(self, raw: np.ndarray, offsets: np.ndarray, chunk_bytes: int = CHUNK_BYTES) -> tuple[np.ndarray, np.ndarray]:
         """As batch(), of about a megabyte of whole texts at a time."""
@@ -127,7 +184,7 @@ class Encoder:
         plain = np.array([self.plain(t) for t in texts], bool)
         doc_plain = np.repeat(plain, np.diff(offsets))
         solid = (raw > 0x20) & ((raw < 0x7F) | doc_plain)  # surely no white space
-        cut = raw == 0x20
+        cut = (raw == 0x20) | ((raw == 0x0A) & doc_plain)
         cut[1:] &= solid[:-1]
         cut[:-1] &= solid[1:]
         if len(cut):
@@ -136,32 +193,39 @@ class Encoder:
             ends = offsets[1:][np.diff(offsets) > 0]
             cut[ends - 1] = False  # a last space is not followed by its text's character
             begin = cut.copy()
+            after = np.flatnonzero(cut & doc_plain)
+            begin[after[SIGN[raw[after - 1]] & WORDY[raw[after - 2]]] - 1] = True
             begin[starts] = True
         else:
             begin = cut
         s = np.flatnonzero(begin)
         e = np.append(s[1:], len(raw))
-        h = hash_spans(raw, s, e)
-        u, first, back = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.known) + len(u) > CACHE:
-            self._forget()
-        at = np.searchsorted(self.known, u)
-        new = np.ones(len(u), bool) if not len(self.known) else self.known[np.minimum(at, len(self.known) - 1)] != u
+        h = np.maximum(hash_spans(raw, s, e), U(1))  # 0 is a free slot
+        if self.held > CACHE:
+            self._rare()
+        at = self._find(h)
+        new = self.known[at] != h
+        self.again[at[~new]] = True
         if new.any():
-            where = first[new]
-            lone = ~((raw == 0x0A) | ((raw >= 0x20) & (raw < 0x7F)) | doc_plain)
-            if not plain.all():
-                lone |= (raw == ord("<")) & ~doc_plain  # may begin the special token
-            joins = cut[s[where]] & solid[e[where] - 1] & ~np.logical_or.reduceat(lone, s)[where] if self.fast else np.zeros(len(where), bool)
-            self._learn(raw, u[new], s[where], e[where], joins)
-            at = np.searchsorted(self.known, u)
-        count, start = self.count[at][back], self.start[at][back]
-        sizes = np.bincount(np.searchsorted(offsets, s, side="right") - 1, count, n).astype(np.int64) if len(s) else np.zeros(n, np.int64)
-        total = np.concatenate(([0], np.cumsum(sizes + 1)))
+            u, first = np.unique(h[new], return_index=True)
+            where = np.flatnonzero(new)[first]
+            joins = cut[s[where]] & solid[e[where] - 1] if self.fast else np.zeros(len(where), bool)
+            if self.fast and not plain.all():
+                lone = ~((raw == 0x0A) | ((raw >= 0x20) & (raw < 0x7F)) | doc_plain) | ((raw == ord("<")) & ~doc_plain)  # the latter may begin the special token
+                joins &= ~np.logical_or.reduceat(lone, s)[where]
+            slots = len(self.known)
+            self._learn(raw, u, s[where], e[where], joins)
+            if len(self.known) > slots:
+                at = self._find(h)
+            else:
+                at[new] = self._find(h[new])
+        count, start = self.count[at], self.start[at]
+        told = np.concatenate(([0], np.cumsum(count)))
+        total = told[np.searchsorted(s, offsets)] + np.arange(n + 1)
         out = np.full(total[-1], END_ID, np.uint32)
         inside = np.ones(total[-1], bool)
         inside[total[1:] - 1] = False
-        out[inside] = self.pool[np.repeat(start - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())] if len(s) else 0
+        out[inside] = self.pool[spread(start, count)]
         return out, total
 
 
@@ -184,43 +248,76 @@ def weights(df: np.ndarray, tf: np.ndarray, length: np.ndarray, n_docs: int, mea
     return np.log1p((n_docs - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / max(1.0, mean)))
 
 
+def in_order(term: np.ndarray) -> np.ndarray:
+    """Places of terms of 44 bits by term, equal ones as they stand."""
+    if len(term) >> 20:
+        return np.argsort(term, kind="stable")
+    return (np.sort((term << U(20)) | np.arange(len(term), dtype=U)) & U((1 << 20) - 1)).view(np.int64)
+
+
 class BM25:
-    """Inverted index of one shard's texts, weighted by the whole corpus; documents that are used leave the results.
+    """Inverted index of one shard's texts, weighted by the whole corpus; documents that are used leave the results,
+    and the index once they are many.
 
-    The lists of terms that more than one in DENSE texts holds are kept as rows of a matrix."""
+    The lists of terms that more than one in DENSE texts holds are kept as rows of a matrix; terms of one text have none."""
 
     def __init__(self, doc: np.ndarray, term: np.ndarray, tf: np.ndarray, lengths: np.ndarray, corpus_df: np.ndarray, n_docs: int, mean: float):
         n = len(lengths)
-        term, term_of = np.unique(term, return_inverse=True)
-        df = np.bincount(term_of, minlength=len(term))
-        weight = weights(corpus_df, tf, lengths[doc], n_docs, mean)
+        order = in_order(term)
+        by = term[order]
+        first = np.flatnonzero(np.concatenate(([True], by[1:] != by[:-1])))[: len(by)]
+        size = np.diff(np.append(first, len(by)))
+        several = size > 1
+        of = np.full(len(term), -1)
+        of[order] = np.repeat(np.where(several, np.cumsum(several) - 1, -1), size)
+        order = order[np.repeat(several, size)]
+        df = size[several]
+        shared_by = np.flatnonzero(of >= 0)
+        self.doc_terms, self.query_start = of[shared_by], np.searchsorted(doc[shared_by], np.arange(n + 1))
         often = np.flatnonzero(df * DENSE > n)
-        self.row = np.full(len(term), -1)
+        self.row = np.full(len(df), -1)
         self.row[often] = np.arange(len(often))
+        self.post_doc, self.post_weight = doc[order], weights(corpus_df[order], tf[order], lengths[doc[order]], n_docs, mean)
+        row = np.repeat(self.row, df)
         self.matrix = np.zeros((len(often), n))
-        own = self.row[term_of] >= 0
-        self.matrix[self.row[term_of[own]], doc[own]] = weight[own]
-        self.query_start = np.searchsorted(doc, np.arange(n + 1))
-        self.doc_terms, self.df = term_of, df
-        order = np.argsort(term_of, kind="stable")
-        self.post_doc, self.post_weight = doc[order], weight[order]
+        self.matrix[row[row >= 0], self.post_doc[row >= 0]] = self.post_weight[row >= 0]
+        self.post_doc, self.post_weight, df[often] = self.post_doc[row < 0], self.post_weight[row < 0], 0
         self.post_start = np.concatenate(([0], np.cumsum(df)))
-        self.n = n
+        self.docs = np.arange(n)
+
+    def _leave(self, used: np.ndarray) -> None:
+        """Takes the used documents out of the lists, if they are many."""
+        keep = ~used[self.docs]
+        left = int(keep.sum())
+        if left > LIVE * len(keep) or left < FEW:
+            return
+        self.docs, self.matrix = self.docs[keep], self.matrix.compress(keep, axis=1)
+        own, place = keep[self.post_doc], np.cumsum(keep) - 1
+        self.post_start = np.concatenate(([0], np.cumsum(own)))[self.post_start]
+        self.post_doc, self.post_weight = place[self.post_doc[own]], self.post_weight[own]
+
+    def nearest(self, seed: int, used: np.ndarray):
+        """Unused documents that share a term with the seed, best first, ties in order, each found as it is asked for."""
+        self._leave(used)
+        docs, terms = self.docs, self.doc_terms[self.query_start[seed] : self.query_start[seed + 1]]
+        rows = self.row[terms]
+        score = self.matrix.take(rows[rows >= 0], axis=0).sum(0)
+        terms = terms[rows < 0]
+        lo = self.post_start[terms]
+        at = spread(lo, self.post_start[terms + 1] - lo)
+        if len(at):
+            score += np.bincount(self.post_doc[at], self.post_weight[at], len(docs))
+        score[used[docs] | (docs == seed)] = 0
+        while len(docs):
+            k = int(score.argmax())
+            if not score[k]:
+                return
+            score[k] = 0
+            yield int(docs[k])
 
     def neighbours(self, seed: int, used: np.ndarray) -> np.ndarray:
-        """Unused documents that share a term with the seed, best first, ties in order."""
-        terms = self.doc_terms[self.query_start[seed] : self.query_start[seed + 1]]
-        rows = self.row[terms]
-        score = self.matrix[rows[rows >= 0]].sum(0)
-        terms = terms[(self.df[terms] > 1) & (rows < 0)]
-        if len(terms):
-            lo, size = self.post_start[terms], self.df[terms]
-            at = np.repeat(lo - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
-            score += np.bincount(self.post_doc[at], self.post_weight[at], self.n)
-        score[used] = 0
-        score[seed] = 0
-        found = np.flatnonzero(score)
-        return found[np.argsort(-score[found], kind="stable")]
+        """All of them."""
+        return np.fromiter(self.nearest(seed, used), np.int64)
 
 
 def fill(index: BM25, lengths: np.ndarray, window: int) -> list[tuple[int, int, int, int, int]]:
@@ -230,21 +327,21 @@ def fill(index: BM25, lengths: np.ndarray, window: int) -> list[tuple[int, int,
     doc, start = -1, 0
     while True:
         if doc < 0:
-            doc = next((int(d) for d in queue if not used[d]), -1)
+            doc = next((d for d in queue if not used[d]), -1)
             if doc < 0:
                 while seed < len(lengths) and used[seed]:
                     seed += 1
                 if seed == len(lengths):
                     return out
                 doc = seed
-                queue = iter(index.neighbours(doc, used))
+                queue = index.nearest(doc, used)
             used[doc], start = True, 0
         take = min(int(lengths[doc]) - start, window - offset)
         out.append((doc, start, take, sequence, offset))
         start, offset = start + take, offset + take
         if offset == window:
             sequence, offset = sequence + 1, 0
-            queue = iter(index.neighbours(doc, used)) if start < lengths[doc] else iter(())
+            queue = index.nearest(doc, used) if start < lengths[doc] else iter(())
         if start == lengths[doc]:
             doc = -1
 
@@ -295,8 +392,25 @@ def vocabulary(own: DataFrame) -> tuple[DataFrame, int, int]:
     return found.select("bucket", "terms", "counts"), total["docs"], total["words"]
 
 
+def finder(known: np.ndarray):
+    """A function of terms of 44 bits that gives the first place of known, in order and with a last value beyond all terms, that is not below each."""
+    bits = (len(known) // 4).bit_length()
+    shift = U(44 - bits)
+    begin = np.searchsorted(known, np.arange(1 << bits, dtype=U) << shift).astype(np.int32)
+
+    def find(term: np.ndarray) -> np.ndarray:
+        at = begin[(term >> shift).view(np.int64)].astype(np.int64)
+        more = np.flatnonzero(known[at] < term)
+        while len(more):
+            at[more] += 1
+            more = more[known[at[more]] < term[more]]
+        return at
+
+    return find
+
+
 def segments(found: DataFrame, most: int):
-    """Broadcasts of (terms, counts), in order of the terms, of at most about `most` terms each; one at least."""
+    """Broadcasts of (terms, counts), in order of the terms and with a last term beyond all, of at most about `most` terms each; one at least."""
     sizes = sorted((r["bucket"], r["n"]) for r in found.select("bucket", (F.length("terms") / 8).cast("long").alias("n")).collect())
     groups, size = [[]], 0
     for bucket, n in sizes:
@@ -306,7 +420,7 @@ def segments(found: DataFrame, most: int):
         size += n
     for own in groups:
         parts = [(np.frombuffer(r["terms"], U), np.frombuffer(r["counts"], np.int64)) for r in found.where(F.col("bucket").isin(own)).toLocalIterator()]
-        yield found.sparkSession.sparkContext.broadcast(summed([(np.empty(0, U), np.empty(0, np.int64)), *parts]))
+        yield found.sparkSession.sparkContext.broadcast(summed([*parts, (np.array([LAST]), np.zeros(1, np.int64))]))
 
 
 def signed(own: DataFrame, kind: str, max_vocabulary: int, docs_per_shard: int, partition_words: int) -> tuple[DataFrame, int, float, int]:
@@ -322,14 +436,13 @@ def signed(own: DataFrame, kind: str, max_vocabulary: int, docs_per_shard: int,
 
         def look(batches, held=held):
             known, counts = held.value
+            find = finder(known)
             for batch in batches:
                 before, salts = batch.column("dfs").to_pylist(), np.array(batch.column("salt"))
                 for i, j, words in chunks(batch.column("text"), ALNUM):
                     doc, term, tf = doc_terms(words)
-                    df = np.ones(len(term), np.int64)
-                    if len(known):
-                        at = np.minimum(np.searchsorted(known, term), len(known) - 1)
-                        df = np.where(known[at] == term, counts[at], 1)
+                    at = find(term)
+                    df = np.where(known[at] == term, counts[at], 1)
                     if before[i] is not None:
                         df = np.maximum(df, np.frombuffer(b"".join(before[i:j]), np.uint32))
                     weight = np.where(df > 1, weights(df, tf, words.count[doc], n_docs, mean), -1.0)

@@ -63,6 +63,92 @@ def test_ids_are_the_tokenizers(spark):
             packing.CACHE = old
 
 
+def test_pieces_that_recur_are_encoded_once(monkeypatch):
+    """Beyond the bound of the cache the pieces that came again stay; words are the same at a line's end and before a sign; ids are the tokenizer's."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from methspark.llm._text import buffers
+
+    whole, enc, asked = Tokenizer.from_file(packing.public_files()[0]), packing.Encoder(*packing.public_files()), []
+    monkeypatch.setattr(packing, "CACHE", 300)
+    fast = enc.fast
+
+    class Told:
+        def encode_ordinary(self, text):
+            asked.append(text)
+            return fast.encode_ordinary(text)
+
+    enc.fast = Told()
+    often = [f"word{k}" for k in range(40)]
+    for step in range(12):
+        seldom = [f"rare{step}x{k}" for k in range(100)]
+        texts = [" ".join(["It", *often, *seldom]), "It " + ", ".join(often) + ", it", "It " + ". it\n".join(often) + ". end", "\u00d7. \u00f7, \u0117, a\n\nb' c\n \u00e9. d"]
+        ids, at = enc.batch(*buffers(pa.array(texts, pa.large_string())))
+        assert [x.tolist() for x in np.split(ids, at[1:-1])] == [[*whole.encode(t, add_special_tokens=False).ids, packing.END_ID] for t in texts]
+    said = " ".join(asked)
+    assert sum(said.count(f"rare{step}x") for step in range(12)) == 1200
+    # the first batch counts no piece as one that came again
+    assert max(said.count(w + " ") + said.count(w + "\n") for w in often) <= 2
+    assert not any(w + sign in said for w in often for sign in (",", "."))
+
+
+def test_windows_are_those_of_whole_lists():
+    """The lists lose used documents on the way, and windows are those that full scores and sorts give."""
+    rng = np.random.default_rng(4)
+    for n, dense in ((1, 8), (90, 8), (400, 8), (400, 1)):
+        own = [np.unique(rng.zipf(1.3, rng.integers(0, 60)) % 900) for _ in range(n)]
+        own[1::7] = own[: len(own[1::7])]  # equal scores
+        doc, term = np.repeat(np.arange(n), [len(x) for x in own]), np.concatenate(own).astype(np.uint64) << np.uint64(30)
+        words, lengths, tf = np.array([len(x) for x in own]), rng.integers(1, 1500, n), rng.integers(1, 4, len(doc))
+        lengths[::50] = 5000
+        df = np.unique(term, return_inverse=True, return_counts=True)
+        df = df[2][df[1]]
+        packing.DENSE, old = dense, packing.DENSE
+        index = packing.BM25(doc, term, tf, words, df, n, 20.0)
+        packing.DENSE = old
+        weight, many = packing.weights(df, tf, words[doc], n, 20.0), np.bincount((term >> np.uint64(30)).astype(int), minlength=900)
+        table = np.zeros((900, n))
+        table[(term >> np.uint64(30)).astype(int), doc] = weight
+        often = many * dense > n
+
+        def ranked(seed, used):
+            mine = own[seed].astype(int)
+            score = table[mine[often[mine]]].sum(0) if n > 1 else np.zeros(n)
+            rest = np.zeros(n)
+            for t in mine[~often[mine]]:
+                rest += table[t]
+            score = score + rest
+            score[used] = score[seed] = 0
+            return [int(d) for d in np.argsort(-score, kind="stable") if score[d]]
+
+        used, want, offset, sequence = np.zeros(n, bool), [], 0, 0
+        queue = []
+        while not used.all():
+            d = next((k for k in queue if not used[k]), None)
+            if d is None:
+                d = int(np.flatnonzero(~used)[0])
+                queue = ranked(d, used)
+            used[d], start = True, 0
+            while start < lengths[d]:
+                take = min(int(lengths[d]) - start, 2048 - offset)
+                want.append((d, start, take, sequence, offset))
+                start, offset = start + take, offset + take
+                if offset == 2048:
+                    sequence, offset = sequence + 1, 0
+                    queue = ranked(d, used) if start < lengths[d] else []
+        assert packing.fill(index, lengths, 2048) == want
+        assert len(index.docs) < max(2 * packing.FEW, n // 2)
+
+
+def test_terms_are_found_by_their_leading_bits():
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 5, 1000, 60000):
+        known = np.append(np.unique(rng.integers(0, 1 << 44, n).astype(np.uint64)), packing.LAST)
+        asked = np.concatenate((known[:-1], rng.integers(0, 1 << 44, 3000).astype(np.uint64), np.array([0, (1 << 44) - 1], np.uint64)))
+        assert (packing.finder(known)(asked) == np.searchsorted(known, asked)).all()
+
+
 def test_removal_does_not_depend_on_blocks(spark, docs):  # noqa: F811
     """Overlapping hits of items in different blocks are all cut; words that a cut brings together are no hit."""
     w = [f"q{k}" for k in range(40)]
