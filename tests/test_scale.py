@@ -170,3 +170,25 @@ def test_sorted_distinct_text_is_dealt_once(spark, tmp_path, monkeypatch):
     assert sorted(map(tuple, got), key=str) == sorted(rows, key=str)
     assert [(r.Chr, r.Pos) for r in got] == sorted(((r.Chr, r.Pos) for r in got), key=lambda x: (order[x[0]], x[1]))
     assert len(shuffles) == 1 and "hashpartitioning" not in plan(shuffles[0].distinct())
+
+
+def test_regions_of_sites_need_no_union_by_site(spark):
+    """Sites and their tags are joined once; what groups by site is no union of sides that adaptive execution may coalesce unequally. Sites of no region, repeated sites and null places keep Genome-wide."""
+    from methspark.operators.joins import annotate_regions_multi
+
+    sites = spark.createDataFrame([("chr1", 5, "+", 1), ("chr1", 5, "+", 2), ("chr1", 5, "-", 3), ("chr9", 1, "+", 4), (None, 7, "+", 5)], "Chr string, Pos long, Strand string, v int")
+    regions = spark.createDataFrame([("a", "chr1", 1, 9, "+"), ("a", "chr1", 2, 6, "+"), ("rep_SINE", "chr1", 1, 9, "+"), (None, "chr1", 5, 5, "-")], "tag string, Chr string, start long, stop long, Strand string")
+    out = annotate_regions_multi(sites, regions)
+    assert out.columns == ["Chr", "Pos", "Strand", "v", "tag"] and plan(out).count("Union") == 1  # of short and long regions
+    every = {(v, "Genome-wide") for v in range(1, 6)}
+    rows = [(r.v, r.tag) for r in out.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == every | {(v, "a") for v in (1, 2, 3)} | {(1, "rep_SINE"), (2, "rep_SINE"), (3, None)}
+
+
+def test_fit_reads_stored_rows(spark):
+    """The rows of a fit, and what weights them, hang on stored rows, not on the plan that joins all calls; a fit's jobs would each carry that along."""
+    from methspark.plans import more
+
+    rows = more.training_rows(spark, "/root/testdata/sf0.001")
+    assert "lineitem" not in rows._jdf.queryExecution().toString() and rows.count() > 0
+    assert rows.where("weight is null").count() == 0
