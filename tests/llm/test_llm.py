@@ -121,6 +121,28 @@ def test_filter_holds_every_count():
     assert (high >= np.minimum(c, high.max())).all() and (low <= c).mean() > 0.97
 
 
+@pytest.mark.parametrize("tail", [0, 70])
+def test_repeats_of_documents_between_the_first_and_the_last(spark, tail):
+    """Every seed of a changed passage has another first and another last document, which hold too little of it; the document between them that holds all is found.
+
+    tail: words that follow in both and that the first document holds too, so the passage's run of seeds is covered in part."""
+    rng = np.random.default_rng(5)
+    fresh = lambda n: ["x" + str(x) for x in rng.integers(1 << 40, 1 << 50, n)]
+    passage, end = fresh(200), fresh(tail)
+    texts = [fresh(20) + end]
+    bits = [passage[a : a + 21] for a in range(0, 200, 16)]
+    texts += [fresh(30) + x + fresh(30) for x in bits]
+    whole = len(texts)
+    texts += [fresh(10) + passage + end + fresh(10), fresh(25) + ["to"] * 90 + fresh(5)]
+    texts += [fresh(30) + x + fresh(30) for x in bits]
+    last = len(texts)
+    texts += [fresh(40) + [w + "y" if n % 10 == 9 else w for n, w in enumerate(passage)] + end + fresh(40)]
+    docs = spark.createDataFrame([(n, " ".join(t)) for n, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    found = {r.row: r for r in substring_dedup.merged(substring_dedup.repeats(docs).withColumn("row", F.col("doc_id"))).collect()}
+    assert set(found) == ({whole, last} if tail else {last}) and whole in found[last].partners
+    assert found[last].spans[0].start <= 45 and found[last].spans[-1].end >= 235 + tail and len(found[last].spans) == 1
+
+
 def test_repeats_across_documents(spark, docs, empty):
     found = substring_dedup.merged(substring_dedup.repeats(docs)).collect()
     assert {tuple(p for p in r.partners) for r in found} >= {(8,), (11,)}
